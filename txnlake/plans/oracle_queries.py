@@ -1,4 +1,9 @@
-"""DuckDB SQL for each registered query, over the CTEs of ``oracle``."""
+"""DuckDB SQL for each registered query, over the CTEs of ``oracle``.
+
+The model-fitting queries (assemble, train, score, importance_rank,
+inference_batch, train_model) have no SQL twin: no SQL engine fits a
+forest, so the driver checks them rows-only and pytest checks the rest.
+"""
 
 from __future__ import annotations
 
@@ -6,16 +11,332 @@ from txnlake.plans.oracle import with_layers
 
 ORACLE: dict[str, str] = {}
 
+FEATURES = (
+    "amt, city_pop, lat, long, merch_lat, merch_long, unix_time, transaction_hour, is_weekend, "
+    "customer_age, high_amount_flag, night_transaction_flag, customer_merchant_distance"
+)
+ALERT_COLS = "trans_num, amt, fraud_probability, inference_timestamp"
+
+# State of the fixture runs (same values as txnlake.plans.queries).
+STATE = """
+scored_keys AS (
+  SELECT trans_num FROM gold WHERE ingestion_timestamp < TIMESTAMP '2024-01-10 00:00:00'
+),
+waiting AS (
+  SELECT * FROM gold g WHERE NOT EXISTS (SELECT 1 FROM scored_keys s WHERE s.trans_num = g.trans_num)
+),
+batch AS (
+  SELECT * FROM waiting ORDER BY ingestion_timestamp ASC NULLS FIRST, trans_num LIMIT 5000
+),
+labelled AS (
+  SELECT p.*, g.is_fraud FROM predictions p JOIN gold g USING (trans_num)
+),
+recent AS (
+  SELECT * FROM predictions
+  WHERE fraud_prediction = 1
+    AND inference_timestamp >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 1 DAY
+),
+alerts AS (
+  SELECT trans_num, amt, fraud_probability, inference_timestamp FROM recent
+  ORDER BY inference_timestamp DESC, trans_num LIMIT 10
+),
+map_rows AS (
+  SELECT * FROM predictions
+  WHERE fraud_prediction = 1 AND fraud_probability < 0.90 AND amt < 5000
+)
+"""
+
+
+def sql(name: str, body: str) -> None:
+    ORACLE[name] = with_layers(body, STATE)
+
+
+sql("fraud_by_hour_gold", "SELECT transaction_hour, count(*) AS frauds FROM gold WHERE is_fraud = 1 GROUP BY 1")
+
+# 2.1 sources
+sql("scan_layer", "SELECT * FROM bronze")
+sql("scan_keys", "SELECT trans_num FROM scored_keys")
+sql("scan_predictions", "SELECT * FROM predictions")
+sql("ingest_full", "SELECT * FROM bronze")
+sql(
+    "ingest_incremental",
+    """
+SELECT b.* FROM bronze b
+WHERE b.ingestion_timestamp >= (
+        SELECT max(ingestion_timestamp) - INTERVAL 1 DAY FROM bronze
+        WHERE ingestion_timestamp < TIMESTAMP '2024-01-20 00:00:00')
+  AND NOT EXISTS (
+        SELECT 1 FROM bronze c
+        WHERE c.ingestion_timestamp < TIMESTAMP '2024-01-20 00:00:00'
+          AND c.trans_num = b.trans_num AND c.ingestion_timestamp = b.ingestion_timestamp)
+""",
+)
 
-def sql(name: str, body: str, extra_ctes: str = "") -> None:
-    ORACLE[name] = with_layers(body, extra_ctes)
+# 2.2 sinks: rows an idempotent append would add
+sql(
+    "append_idempotent",
+    """
+SELECT p.* FROM predictions p JOIN gold g USING (trans_num)
+WHERE g.ingestion_timestamp < TIMESTAMP '2024-01-15 00:00:00'
+  AND p.trans_num NOT IN (SELECT trans_num FROM scored_keys)
+""",
+)
 
+# 2.3 projections
+sql("feature_select", f"SELECT trans_num, {FEATURES} FROM gold")
+sql("training_select", f"SELECT {FEATURES}, is_fraud FROM gold")
+sql("cast_amount", "SELECT trans_num, amt FROM silver")
+sql(
+    "parse_timestamp",
+    "SELECT trans_num, trans_date_trans_time AS raw_time, TRY_CAST(trans_date_trans_time AS TIMESTAMP) AS parsed_time FROM bronze",
+)
+sql("temporal_parts", "SELECT trans_num, transaction_year, transaction_month, transaction_day, transaction_hour FROM silver")
+sql("weekend_flag", "SELECT trans_num, trans_date_trans_time, is_weekend FROM silver")
+sql("customer_age", "SELECT trans_num, dob, customer_age FROM gold")
+sql("high_amount_flag", "SELECT trans_num, amt, high_amount_flag FROM gold")
+sql("night_flag", "SELECT trans_num, transaction_hour, night_transaction_flag FROM gold")
+sql("distance", "SELECT trans_num, customer_merchant_distance FROM gold")
+sql(
+    "stamp_inference",
+    f"SELECT trans_num, {FEATURES}, TIMESTAMP '2024-01-31 00:00:00' AS inference_timestamp FROM batch",
+)
+sql(
+    "label_recode",
+    """
+SELECT trans_num,
+  CASE fraud_prediction WHEN 0 THEN 'Non Fraud' WHEN 1 THEN 'Fraud' ELSE CAST(fraud_prediction AS VARCHAR) END AS fraud_label,
+  CASE high_amount_flag WHEN 0 THEN 'Normal Amount' WHEN 1 THEN 'High Amount' ELSE CAST(high_amount_flag AS VARCHAR) END AS amount_label,
+  CASE night_transaction_flag WHEN 0 THEN 'Day' WHEN 1 THEN 'Night' ELSE CAST(night_transaction_flag AS VARCHAR) END AS time_label
+FROM predictions
+""",
+)
+KPIS = """
+SELECT count(*) AS total_transactions,
+  count(*) FILTER (WHERE fraud_prediction = 1) AS fraud_transactions,
+  CASE WHEN count(*) = 0 THEN NULL
+       ELSE count(*) FILTER (WHERE fraud_prediction = 1) * CAST(100 AS DOUBLE) / count(*) END AS fraud_rate,
+  coalesce(sum(amt) FILTER (WHERE fraud_prediction = 1), CAST(0 AS DOUBLE)) AS fraud_amount,
+  avg(fraud_probability) AS avg_probability
+FROM predictions
+"""
+sql(
+    "format_metrics",
+    f"""
+SELECT format('{{:,}}', total_transactions) AS transactions,
+  format('{{:,}}', fraud_transactions) AS frauds,
+  printf('%.2f%%', fraud_rate) AS fraud_rate,
+  '$' || format('{{:,.2f}}', fraud_amount) AS fraud_amount,
+  printf('%.4f', avg_probability) AS avg_fraud_score
+FROM ({KPIS}) k
+""",
+)
+ALERT_MESSAGE = """
+SELECT count(*) AS n_alerts,
+  CASE WHEN count(*) = 0 THEN 'No frauds detected.' ELSE printf('%d fraud alerts sent.', count(*)) END AS status,
+  CASE WHEN count(*) > 0 THEN '\U0001f6a8 Fraud Transactions Detected' || chr(10) || chr(10) || string_agg(
+    printf('Transaction: %s' || chr(10) || 'Amount: $%s' || chr(10) || 'Probability: %.4f' || chr(10)
+           || 'Timestamp: %s' || chr(10) || chr(10),
+           trans_num, CAST(amt AS VARCHAR), fraud_probability, CAST(inference_timestamp AS VARCHAR)),
+    '' ORDER BY inference_timestamp DESC, trans_num) END AS message
+FROM alerts
+"""
+sql("alert_message", f"SELECT message FROM ({ALERT_MESSAGE}) a")
+
+# 2.4 filters
+sql("prediction_filter", "SELECT trans_num, fraud_prediction, fraud_probability FROM predictions WHERE fraud_prediction = 0")
+sql("fraud_only", "SELECT trans_num, amt, fraud_probability FROM predictions WHERE fraud_prediction = 1")
+sql("map_filter", "SELECT trans_num, amt, fraud_probability, lat, long FROM map_rows")
+sql(
+    "drop_null_coords",
+    "SELECT trans_num, amt, fraud_probability, lat, long FROM map_rows WHERE lat IS NOT NULL AND long IS NOT NULL",
+)
+sql(
+    "drop_null_training",
+    f"""
+SELECT {FEATURES}, is_fraud FROM gold
+WHERE {' AND '.join(c.strip() + ' IS NOT NULL' for c in (FEATURES + ', is_fraud').split(','))}
+""",
+)
+sql("recent_fraud", f"SELECT {ALERT_COLS} FROM recent")
+
+# 2.5 join
+sql("unscored", "SELECT * FROM waiting")
+
+# 2.6 aggregations
+sql("row_count", "SELECT 'predictions' AS layer, count(*) AS rows FROM predictions")
+sql("kpis", KPIS)
+sql(
+    "fraud_distribution",
+    """
+SELECT CASE fraud_prediction WHEN 0 THEN 'Non Fraud' WHEN 1 THEN 'Fraud' ELSE CAST(fraud_prediction AS VARCHAR) END AS fraud,
+  count(*) AS count
+FROM predictions WHERE fraud_prediction IS NOT NULL GROUP BY fraud_prediction
+""",
+)
+sql(
+    "fraud_by_hour",
+    """
+SELECT transaction_hour, count(*) AS count FROM predictions
+WHERE fraud_prediction = 1 AND transaction_hour IS NOT NULL GROUP BY 1
+""",
+)
+sql(
+    "by_high_amount",
+    """
+SELECT CASE high_amount_flag WHEN 0 THEN 'Normal Amount' WHEN 1 THEN 'High Amount' ELSE CAST(high_amount_flag AS VARCHAR) END AS high_amount_flag,
+  count(*) AS count
+FROM predictions WHERE high_amount_flag IS NOT NULL GROUP BY predictions.high_amount_flag
+""",
+)
+sql(
+    "by_night",
+    """
+SELECT CASE night_transaction_flag WHEN 0 THEN 'Day' WHEN 1 THEN 'Night' ELSE CAST(night_transaction_flag AS VARCHAR) END AS night_transaction_flag,
+  count(*) AS count
+FROM predictions WHERE night_transaction_flag IS NOT NULL GROUP BY predictions.night_transaction_flag
+""",
+)
+sql(
+    "hist_probability",
+    """
+SELECT bin, CAST(0 AS DOUBLE) + bin * (CAST(1 AS DOUBLE) / 40) AS bin_start,
+  CAST(0 AS DOUBLE) + (bin + 1) * (CAST(1 AS DOUBLE) / 40) AS bin_end, count(*) AS count
+FROM (SELECT CAST(least(floor((fraud_probability - CAST(0 AS DOUBLE)) / CAST(1 AS DOUBLE) * 40), 39) AS INTEGER) AS bin
+      FROM predictions WHERE fraud_probability IS NOT NULL) t
+GROUP BY bin
+""",
+)
+sql(
+    "hist_distance",
+    """
+SELECT bin, r.lo + bin * ((r.hi - r.lo) / 50) AS bin_start, r.lo + (bin + 1) * ((r.hi - r.lo) / 50) AS bin_end, count(*) AS count
+FROM (SELECT CAST(least(floor((customer_merchant_distance - r.lo) / (r.hi - r.lo) * 50), 49) AS INTEGER) AS bin
+      FROM predictions,
+           (SELECT min(customer_merchant_distance) AS lo, max(customer_merchant_distance) AS hi FROM predictions) r
+      WHERE customer_merchant_distance IS NOT NULL) t,
+     (SELECT min(customer_merchant_distance) AS lo, max(customer_merchant_distance) AS hi FROM predictions) r
+GROUP BY bin, r.lo, r.hi
+""",
+)
+sql(
+    "uniqueness",
+    "SELECT count(*) AS total_rows, count(DISTINCT trans_num) AS unique_rows, count(*) = count(DISTINCT trans_num) AS is_unique FROM bronze",
+)
+sql(
+    "run_status",
+    """
+SELECT count(*) AS rows_processed, count(*) FILTER (WHERE fraud_prediction = 1) AS fraud_alerts,
+  max(inference_timestamp) AS last_inference,
+  strftime(max(inference_timestamp), '%Y-%m-%d %H:%M') AS last_inference_display
+FROM predictions
+""",
+)
+sql(
+    "layer_validation",
+    """
+SELECT 'bronze' AS layer, count(*) AS rows, CAST(NULL AS BIGINT) AS expected, count(*) > 0 AS passed FROM bronze
+UNION ALL SELECT 'silver', count(*), NULL, count(*) > 0 FROM silver
+UNION ALL SELECT 'gold', count(*), NULL, count(*) > 0 FROM gold
+UNION ALL SELECT 'predictions', count(*), NULL, count(*) > 0 FROM predictions
+UNION ALL SELECT 'batch', (SELECT count(*) FROM batch), least(5000, (SELECT count(*) FROM waiting)),
+  (SELECT count(*) FROM batch) = least(5000, (SELECT count(*) FROM waiting))
+""",
+)
+
+# 2.7 top-k / sampling
+sql("next_batch", "SELECT * FROM batch")
+sql(
+    "top_risk",
+    """
+SELECT trans_num, amt, customer_age, transaction_hour, customer_merchant_distance, fraud_probability, fraud_prediction
+FROM predictions ORDER BY fraud_probability DESC, trans_num LIMIT 20
+""",
+)
+sql("latest_predictions", "SELECT * FROM predictions ORDER BY inference_timestamp DESC, trans_num LIMIT 20")
+sql("alerts", "SELECT * FROM alerts")
+sql("raw_head", "SELECT * FROM predictions ORDER BY trans_num LIMIT 100")
+sql(
+    "map_sample",
+    """
+SELECT trans_num, lat, long, amt, fraud_probability FROM map_rows
+WHERE lat IS NOT NULL AND long IS NOT NULL
+ORDER BY md5(trans_num || '42'), trans_num LIMIT 3000
+""",
+)
+
+# 2.9 machine learning (metric formulas; the forest itself has no SQL twin)
+sql(
+    "stratified_split",
+    f"""
+SELECT trans_num, is_fraud,
+  row_number() OVER (PARTITION BY is_fraud ORDER BY md5(trans_num || '42'), trans_num)
+    <= ceil(count(*) OVER (PARTITION BY is_fraud) * 0.2) AS is_test
+FROM gold
+WHERE {' AND '.join(c.strip() + ' IS NOT NULL' for c in (FEATURES + ', is_fraud').split(','))}
+""",
+)
+NULLS = " + ".join(f"CASE WHEN {c.strip()} IS NULL OR isnan(CAST({c.strip()} AS DOUBLE)) THEN 1 ELSE 0 END" for c in FEATURES.split(","))
+sql("reject_unscorable", f"SELECT trans_num, {NULLS} AS null_features FROM gold WHERE ({NULLS}) > 0")
+COUNTS = """
+SELECT count(*) FILTER (WHERE is_fraud = 1 AND fraud_prediction = 1) AS tp,
+       count(*) FILTER (WHERE is_fraud = 0 AND fraud_prediction = 1) AS fp,
+       count(*) FILTER (WHERE is_fraud = 1 AND fraud_prediction = 0) AS fn,
+       count(*) FILTER (WHERE is_fraud = 0 AND fraud_prediction = 0) AS tn
+FROM labelled
+"""
+
+
+def _r(a: str, b: str) -> str:
+    return f"(CASE WHEN ({b}) = 0 THEN CAST(0 AS DOUBLE) ELSE CAST({a} AS DOUBLE) / CAST({b} AS DOUBLE) END)"
+
+
+def _f(p: str, r: str) -> str:
+    return f"(CASE WHEN ({p}) + ({r}) = 0 THEN CAST(0 AS DOUBLE) ELSE 2 * ({p}) * ({r}) / (({p}) + ({r})) END)"
+
+
+P1, R1 = _r("tp", "tp + fp"), _r("tp", "tp + fn")
+P0, R0 = _r("tn", "tn + fn"), _r("tn", "tn + fp")
+sql(
+    "binary_metrics",
+    f"SELECT {_r('tp + tn', 'tp + fp + fn + tn')} AS accuracy, {P1} AS precision, {R1} AS recall, {_f(P1, R1)} AS f1 FROM ({COUNTS}) c",
+)
+sql(
+    "confusion_matrix",
+    f"""
+SELECT 0 AS label, 0 AS prediction, tn AS count FROM ({COUNTS}) c
+UNION ALL SELECT 0, 1, fp FROM ({COUNTS}) c
+UNION ALL SELECT 1, 0, fn FROM ({COUNTS}) c
+UNION ALL SELECT 1, 1, tp FROM ({COUNTS}) c
+""",
+)
+
+
+def _w(a: str, b: str) -> str:
+    return _r(f"({a}) * (tn + fp) + ({b}) * (tp + fn)", "tn + fp + tp + fn")
+
+
+sql(
+    "classification_report",
+    f"""
+SELECT '0' AS class, {P0} AS precision, {R0} AS recall, {_f(P0, R0)} AS f1_score, tn + fp AS support FROM ({COUNTS}) c
+UNION ALL SELECT '1', {P1}, {R1}, {_f(P1, R1)}, tp + fn FROM ({COUNTS}) c
+UNION ALL SELECT 'accuracy', NULL, NULL, {_r('tp + tn', 'tn + fp + tp + fn')}, tn + fp + tp + fn FROM ({COUNTS}) c
+UNION ALL SELECT 'macro avg', ({P0} + {P1}) / 2, ({R0} + {R1}) / 2, ({_f(P0, R0)} + {_f(P1, R1)}) / 2, tn + fp + tp + fn FROM ({COUNTS}) c
+UNION ALL SELECT 'weighted avg', {_w(P0, P1)}, {_w(R0, R1)}, {_w(_f(P0, R0), _f(P1, R1))}, tn + fp + tp + fn FROM ({COUNTS}) c
+""",
+)
 
+# 2.10 end-to-end jobs
+sql("bronze_to_silver", "SELECT * FROM silver")
+sql("silver_to_gold", "SELECT * FROM gold")
+sql("alert_batch", ALERT_MESSAGE)
 sql(
-    "fraud_by_hour_gold",
+    "validation_report",
     """
-SELECT transaction_hour, count(*) AS frauds
-FROM gold WHERE is_fraud = 1
-GROUP BY transaction_hour
+SELECT 'bronze' AS layer, count(*) AS total_rows, count(DISTINCT trans_num) AS unique_rows,
+  count(*) - count(DISTINCT trans_num) AS duplicate_rows, true AS passed FROM bronze
+UNION ALL SELECT 'silver', count(*), count(DISTINCT trans_num), count(*) - count(DISTINCT trans_num), count(*) = count(DISTINCT trans_num) FROM silver
+UNION ALL SELECT 'gold', count(*), count(DISTINCT trans_num), count(*) - count(DISTINCT trans_num), count(*) = count(DISTINCT trans_num) FROM gold
+UNION ALL SELECT 'predictions', count(*), count(DISTINCT trans_num), count(*) - count(DISTINCT trans_num), count(*) = count(DISTINCT trans_num) FROM predictions
 """,
 )

@@ -3,21 +3,39 @@
 Each takes ``(spark, sf_dir)``, derives the transaction layers from the
 whole ``events`` table (``txnlake.sources.fixtures``) and returns a lazy
 DataFrame.  Column names equal those of the matching SQL in
-``txnlake.plans.oracle_queries``.
+``txnlake.plans.oracle_queries``.  Keys are the operator names of the survey,
+except A10 (keyed ``run_status``) and E8 (keyed ``validation_report``).
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnlake.sources.fixtures import fixture_layers
+from txnlake.functions import features as X
+from txnlake.operators import alerts as AL
+from txnlake.operators import incremental as INC
+from txnlake.operators import ml as ML
+from txnlake.operators import monitoring as MON
+from txnlake.operators import validation as VAL
+from txnlake.schemas import FEATURES, KEY, LABEL
+from txnlake.sources import fixtures as FX
+from txnlake.sources.layers import existing_keys, read_layer
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
+# Fixed state of the fixture runs (test data only).
+SCORED_BEFORE = "2024-01-10 00:00:00"  # earlier runs scored Gold rows ingested before this
+BATCH_UPTO = "2024-01-15 00:00:00"  # an overlapping batch for the idempotent append
+BRONZE_UPTO = "2024-01-20 00:00:00"  # Bronze holds rows ingested before this
+LOOKBACK = dt.timedelta(days=1)
+NOW = FX.RUN_TS  # alert clock
+
 
 def register(name: str):
     def deco(fn):
@@ -28,15 +46,429 @@ def register(name: str):
 
 
 def _layers(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return fixture_layers(spark, sf_dir)
+    return FX.fixture_layers(spark, sf_dir)
+
+
+def _before(df: DataFrame, ts: str) -> DataFrame:
+    return df.filter(F.col("ingestion_timestamp") < F.lit(ts).cast("timestamp_ntz"))
+
+
+def _scored_keys(L: dict[str, DataFrame]) -> DataFrame:
+    """Keys of the predictions earlier runs wrote."""
+    return existing_keys(FX.predictions_from_gold(_before(L["gold"], SCORED_BEFORE)))
+
+
+def _waiting(L):
+    return INC.unscored(L["gold"], _scored_keys(L))
+
+
+def _batch(L):
+    return INC.next_batch(_waiting(L))
+
+
+def _labelled(L) -> DataFrame:
+    """Fixture predictions with the true label beside them."""
+    g = L["gold"]
+    return FX.predictions_from_gold(g).join(g.select(KEY, LABEL), KEY)
+
+
+# --- the minimum slice ------------------------------------------------------
 
 
 @register("fraud_by_hour_gold")
 def q_fraud_by_hour_gold(spark, sf_dir):
-    """Minimum slice: labelled frauds per transaction hour on Gold."""
+    """Labelled frauds per transaction hour on Gold."""
     gold = _layers(spark, sf_dir)["gold"]
-    return (
-        gold.filter(F.col("is_fraud") == 1)
-        .groupBy("transaction_hour")
-        .agg(F.count(F.lit(1)).alias("frauds"))
+    return gold.filter(F.col("is_fraud") == 1).groupBy("transaction_hour").agg(F.count(F.lit(1)).alias("frauds"))
+
+
+# --- 2.1 sources --------------------------------------------------------------
+
+EVENTS_REQUIRED = ["event_id", "ts", "user_id", "event_type", "value"]
+
+
+@register("scan_layer")
+def q_scan_layer(spark, sf_dir):
+    events = read_layer(spark, f"{sf_dir.rstrip('/')}/events.parquet", required=EVENTS_REQUIRED)
+    return FX.bronze_from_events(events)
+
+
+@register("scan_keys")
+def q_scan_keys(spark, sf_dir):
+    return _scored_keys(_layers(spark, sf_dir))
+
+
+@register("scan_predictions")
+def q_scan_predictions(spark, sf_dir):
+    return _layers(spark, sf_dir)["predictions"]
+
+
+@register("ingest_full")
+def q_ingest_full(spark, sf_dir):
+    L = _layers(spark, sf_dir)
+    empty = spark.createDataFrame([], L["bronze"].schema)
+    return INC.ingest(L["bronze"], empty)
+
+
+@register("ingest_incremental")
+def q_ingest_incremental(spark, sf_dir):
+    b = _layers(spark, sf_dir)["bronze"]
+    return INC.ingest(b, _before(b, BRONZE_UPTO), lookback=LOOKBACK)
+
+
+# --- 2.2 sinks (the selection part of the idempotent append) ------------------
+
+
+@register("append_idempotent")
+def q_append_idempotent(spark, sf_dir):
+    L = _layers(spark, sf_dir)
+    batch = FX.predictions_from_gold(_before(L["gold"], BATCH_UPTO))
+    return INC.rows_to_append(batch, _scored_keys(L))
+
+
+# --- 2.3 projections ------------------------------------------------------
+
+
+@register("feature_select")
+def q_feature_select(spark, sf_dir):
+    return ML.select_features(_layers(spark, sf_dir)["gold"])
+
+
+@register("training_select")
+def q_training_select(spark, sf_dir):
+    return ML.select_training(_layers(spark, sf_dir)["gold"])
+
+
+@register("cast_amount")
+def q_cast_amount(spark, sf_dir):
+    return _layers(spark, sf_dir)["silver"].select(KEY, "amt")
+
+
+@register("parse_timestamp")
+def q_parse_timestamp(spark, sf_dir):
+    b = _layers(spark, sf_dir)["bronze"]
+    return b.select(
+        KEY,
+        F.col("trans_date_trans_time").alias("raw_time"),
+        X.parse_timestamp(F.col("trans_date_trans_time")).alias("parsed_time"),
     )
+
+
+@register("temporal_parts")
+def q_temporal_parts(spark, sf_dir):
+    return _layers(spark, sf_dir)["silver"].select(
+        KEY, "transaction_year", "transaction_month", "transaction_day", "transaction_hour"
+    )
+
+
+@register("weekend_flag")
+def q_weekend_flag(spark, sf_dir):
+    return _layers(spark, sf_dir)["silver"].select(KEY, "trans_date_trans_time", "is_weekend")
+
+
+@register("customer_age")
+def q_customer_age(spark, sf_dir):
+    return _layers(spark, sf_dir)["gold"].select(KEY, "dob", "customer_age")
+
+
+@register("high_amount_flag")
+def q_high_amount_flag(spark, sf_dir):
+    return _layers(spark, sf_dir)["gold"].select(KEY, "amt", "high_amount_flag")
+
+
+@register("night_flag")
+def q_night_flag(spark, sf_dir):
+    return _layers(spark, sf_dir)["gold"].select(KEY, "transaction_hour", "night_transaction_flag")
+
+
+@register("distance")
+def q_distance(spark, sf_dir):
+    return _layers(spark, sf_dir)["gold"].select(KEY, "customer_merchant_distance")
+
+
+@register("stamp_inference")
+def q_stamp_inference(spark, sf_dir):
+    L = _layers(spark, sf_dir)
+    return INC.stamp(ML.select_features(_batch(L)), NOW)
+
+
+@register("label_recode")
+def q_label_recode(spark, sf_dir):
+    return MON.recode_labels(_layers(spark, sf_dir)["predictions"])
+
+
+@register("format_metrics")
+def q_format_metrics(spark, sf_dir):
+    p = _layers(spark, sf_dir)["predictions"]
+    return MON.format_kpis(MON.kpis(p))
+
+
+@register("alert_message")
+def q_alert_message(spark, sf_dir):
+    p = _layers(spark, sf_dir)["predictions"]
+    return AL.alert_message(AL.alerts(p, NOW)).select("message")
+
+
+# --- 2.4 filters --------------------------------------------------------------
+
+
+@register("prediction_filter")
+def q_prediction_filter(spark, sf_dir):
+    p = _layers(spark, sf_dir)["predictions"]
+    return MON.by_prediction(p, "Non Fraud Only").select(KEY, "fraud_prediction", "fraud_probability")
+
+
+@register("fraud_only")
+def q_fraud_only(spark, sf_dir):
+    p = _layers(spark, sf_dir)["predictions"]
+    return MON.fraud_only(p).select(KEY, "amt", "fraud_probability")
+
+
+@register("map_filter")
+def q_map_filter(spark, sf_dir):
+    p = _layers(spark, sf_dir)["predictions"]
+    return MON.map_filter(p).select(KEY, "amt", "fraud_probability", "lat", "long")
+
+
+@register("drop_null_coords")
+def q_drop_null_coords(spark, sf_dir):
+    p = _layers(spark, sf_dir)["predictions"]
+    return MON.drop_null_coords(MON.map_filter(p)).select(KEY, "amt", "fraud_probability", "lat", "long")
+
+
+@register("drop_null_training")
+def q_drop_null_training(spark, sf_dir):
+    return ML.clean_training(ML.select_training(_layers(spark, sf_dir)["gold"]))
+
+
+@register("recent_fraud")
+def q_recent_fraud(spark, sf_dir):
+    p = _layers(spark, sf_dir)["predictions"]
+    return AL.recent_fraud(p, NOW).select(*AL.ALERT_COLUMNS)
+
+
+# --- 2.5 join -------------------------------------------------------------------
+
+
+@register("unscored")
+def q_unscored(spark, sf_dir):
+    return _waiting(_layers(spark, sf_dir))
+
+
+# --- 2.6 aggregations -------------------------------------------------------------
+
+
+@register("row_count")
+def q_row_count(spark, sf_dir):
+    return VAL.row_count(_layers(spark, sf_dir)["predictions"], "predictions")
+
+
+@register("kpis")
+def q_kpis(spark, sf_dir):
+    return MON.kpis(_layers(spark, sf_dir)["predictions"])
+
+
+@register("fraud_distribution")
+def q_fraud_distribution(spark, sf_dir):
+    return MON.distribution(_layers(spark, sf_dir)["predictions"])
+
+
+@register("fraud_by_hour")
+def q_fraud_by_hour(spark, sf_dir):
+    return MON.by_hour(_layers(spark, sf_dir)["predictions"])
+
+
+@register("by_high_amount")
+def q_by_high_amount(spark, sf_dir):
+    from txnlake.functions.formatting import AMOUNT_LABELS
+
+    return MON.by_flag(_layers(spark, sf_dir)["predictions"], "high_amount_flag", AMOUNT_LABELS)
+
+
+@register("by_night")
+def q_by_night(spark, sf_dir):
+    from txnlake.functions.formatting import TIME_LABELS
+
+    return MON.by_flag(_layers(spark, sf_dir)["predictions"], "night_transaction_flag", TIME_LABELS)
+
+
+@register("hist_probability")
+def q_hist_probability(spark, sf_dir):
+    p = _layers(spark, sf_dir)["predictions"]
+    return MON.histogram(p, "fraud_probability", MON.PROBABILITY_BINS, 0.0, 1.0)
+
+
+@register("hist_distance")
+def q_hist_distance(spark, sf_dir):
+    p = _layers(spark, sf_dir)["predictions"]
+    return MON.histogram(p, "customer_merchant_distance", MON.DISTANCE_BINS)
+
+
+@register("uniqueness")
+def q_uniqueness(spark, sf_dir):
+    return VAL.uniqueness(_layers(spark, sf_dir)["bronze"])
+
+
+@register("run_status")
+def q_run_status(spark, sf_dir):
+    return MON.pipeline_status(_layers(spark, sf_dir)["predictions"])
+
+
+@register("layer_validation")
+def q_layer_validation(spark, sf_dir):
+    L = _layers(spark, sf_dir)
+    layers = {k: L[k] for k in ("bronze", "silver", "gold", "predictions")}
+    return VAL.validate_layers(layers, batch=_batch(L), waiting=_waiting(L))
+
+
+# --- 2.7 top-k / sampling -----------------------------------------------------------
+
+
+@register("next_batch")
+def q_next_batch(spark, sf_dir):
+    return _batch(_layers(spark, sf_dir))
+
+
+@register("top_risk")
+def q_top_risk(spark, sf_dir):
+    return MON.top_risk(_layers(spark, sf_dir)["predictions"])
+
+
+@register("latest_predictions")
+def q_latest_predictions(spark, sf_dir):
+    return MON.latest(_layers(spark, sf_dir)["predictions"], 20)
+
+
+@register("alerts")
+def q_alerts(spark, sf_dir):
+    return AL.alerts(_layers(spark, sf_dir)["predictions"], NOW)
+
+
+@register("raw_head")
+def q_raw_head(spark, sf_dir):
+    return MON.preview(_layers(spark, sf_dir)["predictions"])
+
+
+@register("map_sample")
+def q_map_sample(spark, sf_dir):
+    p = _layers(spark, sf_dir)["predictions"]
+    return MON.map_points(p).select(KEY, "lat", "long", "amt", "fraud_probability")
+
+
+# --- 2.9 machine learning -------------------------------------------------------------
+
+_MODELS: dict[tuple[str, str], object] = {}
+
+
+def _training(L) -> DataFrame:
+    return ML.clean_training(L["gold"].select(KEY, *FEATURES, LABEL))
+
+
+def _split(L) -> DataFrame:
+    return ML.stratified_split(_training(L))
+
+
+def _model(spark, sf_dir, L):
+    """The fitted pipeline for this data, fitted once per application."""
+    k = (spark.sparkContext.applicationId, sf_dir)
+    if k not in _MODELS:
+        train = _split(L).filter(~F.col("is_test")).drop("is_test")
+        _MODELS[k] = ML.train(train)
+    return _MODELS[k]
+
+
+@register("stratified_split")
+def q_stratified_split(spark, sf_dir):
+    return _split(_layers(spark, sf_dir)).select(KEY, LABEL, "is_test")
+
+
+@register("reject_unscorable")
+def q_reject_unscorable(spark, sf_dir):
+    g = _layers(spark, sf_dir)["gold"]
+    _, bad = ML.split_scorable(g)
+    return bad.select(KEY, ML.null_feature_count().alias("null_features"))
+
+
+@register("binary_metrics")
+def q_binary_metrics(spark, sf_dir):
+    return ML.binary_metrics(_labelled(_layers(spark, sf_dir)))
+
+
+@register("classification_report")
+def q_classification_report(spark, sf_dir):
+    return ML.classification_report(_labelled(_layers(spark, sf_dir)))
+
+
+@register("confusion_matrix")
+def q_confusion_matrix(spark, sf_dir):
+    return ML.confusion_matrix(_labelled(_layers(spark, sf_dir)))
+
+
+@register("assemble")
+def q_assemble(spark, sf_dir):
+    g = _layers(spark, sf_dir)["gold"]
+    ok, _ = ML.split_scorable(g)
+    return ML.assemble(ML.select_features(ok)).select(KEY, vector_to_array(F.col("features")).alias("features"))
+
+
+@register("train")
+def q_train(spark, sf_dir):
+    L = _layers(spark, sf_dir)
+    m = _model(spark, sf_dir, L)
+    rf = m.stages[-1]
+    rows = [(i, t.depth, t.numNodes) for i, t in enumerate(rf.trees)]
+    return spark.createDataFrame(rows, "tree int, depth int, nodes int")
+
+
+@register("score")
+def q_score(spark, sf_dir):
+    L = _layers(spark, sf_dir)
+    ok, _ = ML.split_scorable(_batch(L))
+    return ML.score(ok, _model(spark, sf_dir, L), NOW)
+
+
+@register("importance_rank")
+def q_importance_rank(spark, sf_dir):
+    L = _layers(spark, sf_dir)
+    return ML.feature_importance(_model(spark, sf_dir, L), spark)
+
+
+# --- 2.10 end-to-end jobs ---------------------------------------------------------
+
+
+@register("bronze_to_silver")
+def q_bronze_to_silver(spark, sf_dir):
+    return _layers(spark, sf_dir)["silver"]
+
+
+@register("silver_to_gold")
+def q_silver_to_gold(spark, sf_dir):
+    return _layers(spark, sf_dir)["gold"]
+
+
+@register("inference_batch")
+def q_inference_batch(spark, sf_dir):
+    from txnlake.plans.jobs import inference_batch
+
+    L = _layers(spark, sf_dir)
+    return inference_batch(L["gold"], _scored_keys(L), _model(spark, sf_dir, L), NOW)
+
+
+@register("train_model")
+def q_train_model(spark, sf_dir):
+    L = _layers(spark, sf_dir)
+    m = _model(spark, sf_dir, L)
+    test = _split(L).filter(F.col("is_test"))
+    scored = ML.score(test.select(KEY, *FEATURES), m).join(test.select(KEY, LABEL), KEY)
+    return ML.binary_metrics(scored)
+
+
+@register("alert_batch")
+def q_alert_batch(spark, sf_dir):
+    return AL.alert_batch(_layers(spark, sf_dir)["predictions"], NOW)
+
+
+@register("validation_report")
+def q_validation_report(spark, sf_dir):
+    L = _layers(spark, sf_dir)
+    return VAL.validation_report({k: L[k] for k in ("bronze", "silver", "gold", "predictions")})
