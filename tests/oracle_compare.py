@@ -21,6 +21,8 @@ import duckdb
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+EXACT = os.environ.get("EXACT") == "1"
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -35,7 +37,7 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return float(f"{v:.9g}")
+        return v if EXACT else float(f"{v:.9g}")
     if isinstance(v, decimal.Decimal):
         return float(f"{float(v):.9g}")
     if isinstance(v, dt.datetime):

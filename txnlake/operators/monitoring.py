@@ -83,6 +83,17 @@ def map_points(df: DataFrame, cap: int = MAP_CAP, seed: int = MAP_SEED) -> DataF
 # --- aggregates -----------------------------------------------------------
 
 
+# Sums of doubles depend on the order partitions are combined in; these
+# report sums go through exact decimals so every run and cluster layout
+# gives the same bits.
+AMOUNT_SCALE = 10
+PROBABILITY_SCALE = 12
+
+
+def exact_sum(c, scale: int):
+    return F.sum(c.cast(f"decimal(38,{scale})")).cast("double")
+
+
 def kpis(df: DataFrame) -> DataFrame:
     """Total, frauds, rate in %, fraud amount, mean score: one aggregate.
     Empty input gives 0 counts, NULL rate/mean and a 0 amount."""
@@ -93,8 +104,10 @@ def kpis(df: DataFrame) -> DataFrame:
         total.alias("total_transactions"),
         frauds.alias("fraud_transactions"),
         F.try_divide(frauds * F.lit(100.0), total).alias("fraud_rate"),
-        F.coalesce(F.sum(F.when(is_f, F.col("amt"))), F.lit(0.0)).alias("fraud_amount"),
-        F.avg(PROB).alias("avg_probability"),
+        F.coalesce(exact_sum(F.when(is_f, F.col("amt")), AMOUNT_SCALE), F.lit(0.0)).alias("fraud_amount"),
+        F.try_divide(exact_sum(F.col(PROB), PROBABILITY_SCALE), F.count(F.col(PROB)).cast("double")).alias(
+            "avg_probability"
+        ),
     )
 
 

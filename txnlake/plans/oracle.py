@@ -66,7 +66,10 @@ gold AS (
     CAST(floor(date_diff('day', dob, DATE '2024-02-01') / 365) AS BIGINT) AS customer_age,
     CASE WHEN amt > 500 THEN 1 ELSE 0 END AS high_amount_flag,
     CASE WHEN transaction_hour BETWEEN 0 AND 5 THEN 1 ELSE 0 END AS night_transaction_flag,
-    sqrt(pow(lat - merch_lat, 2) + pow(long - merch_long, 2)) AS customer_merchant_distance
+    -- squares as products: exact IEEE products equal Spark's result, while
+    -- DuckDB's pow(x, 2) misrounds near-ties (e.g. x = -11.000000000000004)
+    sqrt((lat - merch_lat) * (lat - merch_lat) + (long - merch_long) * (long - merch_long))
+      AS customer_merchant_distance
   FROM silver
 ),
 scored AS (
