@@ -423,8 +423,8 @@ def q_train(spark, sf_dir):
 @register("score")
 def q_score(spark, sf_dir):
     L = _layers(spark, sf_dir)
-    ok, _ = ML.split_scorable(_batch(L))
-    return ML.score(ok, _model(spark, sf_dir, L), NOW)
+    ok, _ = ML.split_scorable(_waiting(L))
+    return ML.score(ML.select_features(INC.next_batch(ok)), _model(spark, sf_dir, L), NOW)
 
 
 @register("importance_rank")

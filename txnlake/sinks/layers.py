@@ -37,9 +37,9 @@ def write_layer(
         df = df.repartition(*[F.col(c) for c in parts], salt)
     elif parts:
         df = df.sortWithinPartitions(*parts)
-    w = df.write.mode(mode)
-    if touched_only:
-        w = w.option("partitionOverwriteMode", "dynamic")
+    # Set on every write: a session-wide default must not turn a full
+    # recompute into a partial one (or the reverse).
+    w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic" if touched_only else "static")
     if parts:
         w = w.partitionBy(*parts)
     w.parquet(path)

@@ -87,7 +87,8 @@ def read_jdbc(
     (one connection per range), else in one task. ``columns`` prunes the
     SELECT list sent to the database."""
     props = dict(properties or {})
-    src = table if not columns else f"(SELECT {', '.join(columns)} FROM {table}) t"
+    # Quoted names: Spark creates tables with case-preserved column names.
+    src = table if not columns else "(SELECT {} FROM {}) t".format(", ".join(f'"{c}"' for c in columns), table)
     if partition_column is not None:
         return spark.read.jdbc(
             url,
