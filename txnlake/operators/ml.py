@@ -120,9 +120,12 @@ def stratified_split(
         .filter((F.col("_before") < F.col("_k")) & (F.col("_before") + F.col("_n") >= F.col("_k")))
         .select(label, F.col("_b").alias("_cut_b"), "_before", "_k")
     )
-    # One row per class: broadcast only while the class count is small.
-    if cut.count() <= _MAX_BROADCAST_CLASSES:
-        cut = F.broadcast(cut)
+    # One row per class, computed once: its size is checked before it is
+    # brought to the driver and broadcast; beyond the bound it stays a
+    # distributed frame joined by shuffle.
+    rows = cut.limit(_MAX_BROADCAST_CLASSES + 1).collect()
+    if len(rows) <= _MAX_BROADCAST_CLASSES:
+        cut = F.broadcast(df.sparkSession.createDataFrame(rows, cut.schema))
     j = d.join(cut, on=d[label].eqNullSafe(cut[label]), how="left").drop(cut[label])
     decided = j.filter(F.col("_cut_b").isNull() | (F.col("_b") != F.col("_cut_b"))).withColumn(
         "is_test", F.coalesce(F.col("_b") < F.col("_cut_b"), F.lit(False))

@@ -32,6 +32,16 @@ TOP_RISK_COLUMNS = [
     "fraud_probability",
     "fraud_prediction",
 ]
+MAP_COLUMNS = [
+    "trans_num",
+    "lat",
+    "long",
+    "amt",
+    "fraud_probability",
+    "customer_age",
+    "transaction_hour",
+    "customer_merchant_distance",
+]
 PROBABILITY_BINS = 40
 DISTANCE_BINS = 50
 PREVIEW_ROWS = 100
@@ -77,7 +87,9 @@ def seeded_sample(df: DataFrame, n: int, seed: int = MAP_SEED, key: str = KEY) -
 
 
 def map_points(df: DataFrame, cap: int = MAP_CAP, seed: int = MAP_SEED) -> DataFrame:
-    return seeded_sample(drop_null_coords(map_filter(df)), cap, seed)
+    """The map's points: only the columns it plots or shows, so the scan reads
+    just those."""
+    return seeded_sample(drop_null_coords(map_filter(df)).select(*MAP_COLUMNS), cap, seed)
 
 
 # --- aggregates -----------------------------------------------------------

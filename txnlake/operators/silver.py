@@ -32,18 +32,20 @@ def _orderable(dtype: T.DataType) -> bool:
 
 
 def dedupe_latest(df: DataFrame, key: str = KEY, order: str = ORDER_COL) -> DataFrame:
-    """Keep one row per key: the latest by ``order``; ties broken by the row's
-    remaining values so the choice is the same on every run.
+    """Keep one row per key: the latest by ``order``; ties broken by a 64-bit
+    hash of the row's remaining values, so the choice is the same on every
+    run and layout (rows tying on both are identical rows).
 
     Written as a grouped ``max_by`` rather than a ``row_number`` window: the
     aggregate combines map-side, so a key repeated millions of times (a feed
     resending one transaction) is collapsed before the shuffle instead of
-    landing whole in one task.
+    landing whole in one task.  The ordering is (time, hash), two fixed-width
+    fields, so each row crosses the shuffle once, not twice.
     """
     cols = df.columns
     others = [c for c in cols if c not in (key, order)]
-    tie = [F.col(c) for c in others if _orderable(df.schema[c].dataType)]
-    ordering = F.struct(F.col(order), *tie)
+    tie = F.xxhash64(*[F.col(c) for c in others if _orderable(df.schema[c].dataType)]) if others else F.lit(0)
+    ordering = F.struct(F.col(order), tie)
     payload = F.struct(*[F.col(c) for c in cols if c != key])
     return (
         df.groupBy(key)
