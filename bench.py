@@ -72,11 +72,22 @@ def main() -> None:
     trained = timed("e5_train_model", lambda: jobs.train_model(spark, P["gold"], P["model"]))
     timed("e5_holdout_metrics", lambda: trained["metrics"].collect())
     run_ts = dt.datetime(2024, 2, 1, 12, 0, 0)
+    state = f"{root}/scoring_state"
     timed(
         "m4_score_batch",
-        lambda: jobs.run_inference(spark, P["gold"], P["predictions"], P["model"], P["batches"], "run001", run_ts),
+        lambda: jobs.run_inference(
+            spark, P["gold"], P["predictions"], P["model"], P["batches"], "run001", run_ts, state_path=state
+        ),
     )
     timed("k4_append_idempotent", lambda: jobs.persist_predictions(spark, P["batches"], "run001", P["predictions"]))
+    # The next run reads only Gold rows near the cursor and recent batches.
+    timed(
+        "m4_score_next_batch_cursor",
+        lambda: jobs.run_inference(
+            spark, P["gold"], P["predictions"], P["model"], P["batches"], "run002", run_ts, state_path=state
+        ),
+    )
+    timed("k4_append_next_batch", lambda: jobs.persist_predictions(spark, P["batches"], "run002", P["predictions"]))
 
     # --- reports over the predictions table ---------------------------------------
     preds = spark.read.parquet(P["predictions"])

@@ -33,12 +33,24 @@ def lake(spark, tmp_path_factory):
     return {"root": root, "scorable": scorable}
 
 
-def _run(spark, lake, preds, batches, k, n):
+def _run(spark, lake, preds, batches, k, n, state=None):
     bid = f"run{k:03d}"
-    jobs.run_inference(spark, f"{lake['root']}/gold", preds, f"{lake['root']}/model", batches, bid, RUN, n)
+    jobs.run_inference(spark, f"{lake['root']}/gold", preds, f"{lake['root']}/model", batches, bid, RUN, n, state_path=state)
     return jobs.persist_predictions(spark, batches, bid, preds)
 
 
+def test_cursor_mode_selects_the_same_batches_as_full_scans(spark, lake, scratch):
+    full, inc = f"{scratch}/full", f"{scratch}/inc"
+    for k in range(1, 5):
+        _run(spark, lake, f"{full}/p", f"{full}/b", k, 250)
+        _run(spark, lake, f"{inc}/p", f"{inc}/b", k, 250, state=f"{inc}/state")
+        a = {r[KEY] for r in spark.read.parquet(f"{full}/b/batch_id=run{k:03d}").collect()}
+        b = {r[KEY] for r in spark.read.parquet(f"{inc}/b/batch_id=run{k:03d}").collect()}
+        assert a == b and len(a) == min(250, lake["scorable"] - 250 * (k - 1))
+    st = spark.read.parquet(f"{inc}/state")
+    assert st.count() == 4 and st.agg(F.sum("rows")).first()[0] == lake["scorable"]
+
+
 def test_k_runs_have_no_duplicates(spark, lake, scratch):
     preds, batches, n = f"{scratch}/predictions", f"{scratch}/batches", 300
     for k in range(1, 5):

@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txnlake.operators.silver import dedupe_latest
 from txnlake.schemas import KEY, PREDICTIONS
@@ -98,7 +99,9 @@ def append_idempotent(batch: DataFrame, target_path: str, batch_id: str, key: st
     from txnlake.sources.layers import read_or_empty
 
     spark = batch.sparkSession
-    schema = batch.schema.add("batch_id", "string") if "batch_id" not in batch.columns else batch.schema
+    schema = batch.schema
+    if "batch_id" not in schema.fieldNames():
+        schema = T.StructType(schema.fields + [T.StructField("batch_id", T.StringType())])
     target = read_or_empty(spark, target_path, schema)
     # Only *other* batches are read (partition pruning on batch_id), and only
     # this batch's directory is replaced, so the plan never reads what it
@@ -114,5 +117,41 @@ def append_idempotent(batch: DataFrame, target_path: str, batch_id: str, key: st
     return spark.read.parquet(target_path).filter(F.col("batch_id") == F.lit(batch_id)).count()
 
 
+# One row per scoring run: the ingestion-time range its batch covered.
+CURSOR_STATE = T.StructType(
+    [
+        T.StructField("min_ingestion", T.TimestampNTZType()),
+        T.StructField("max_ingestion", T.TimestampNTZType()),
+        T.StructField("rows", T.LongType()),
+        T.StructField("batch_id", T.StringType()),
+    ]
+)
+
+
+def scoring_window(state: DataFrame, lookback: dt.timedelta):
+    """Lower ingestion-time bound of rows that can still be unscored.
+
+    Batches are cut oldest-first, so every scorable row older than the last
+    batch's newest row is already scored; ingestion time is the insert time,
+    so later arrivals sort after it.  ``lookback`` absorbs clock skew between
+    writers.  ``None`` when no run has been recorded (score from the start).
+    """
+    hi = cursor_max(state, "max_ingestion")
+    return None if hi is None else hi - lookback
+
+
+def batch_range(batch_keys: DataFrame, gold: DataFrame, batch_id: str, key: str = KEY) -> DataFrame:
+    """The cursor-state row of a written batch (one aggregate over <= n rows)."""
+    return (
+        gold.join(batch_keys.select(key), key, "left_semi")
+        .agg(
+            F.min(CURSOR).alias("min_ingestion"),
+            F.max(CURSOR).alias("max_ingestion"),
+            F.count(F.lit(1)).alias("rows"),
+        )
+        .withColumn("batch_id", F.lit(batch_id))
+    )
+
+
 def empty_predictions(spark) -> DataFrame:
     return spark.createDataFrame([], PREDICTIONS)

@@ -21,7 +21,7 @@ from txnlake.operators import incremental as INC
 from txnlake.operators import ml as ML
 from txnlake.operators.gold import to_gold
 from txnlake.operators.silver import to_silver
-from txnlake.schemas import FEATURES, KEY, LABEL, PREDICTIONS
+from txnlake.schemas import FEATURES, KEY, LABEL, PREDICTIONS, PREDICTIONS_TABLE
 from txnlake.sinks import layers as SINK
 from txnlake.sources.layers import existing_keys, read_layer, read_or_empty, read_raw_csv
 
@@ -111,12 +111,40 @@ def run_inference(
     batch_id: str,
     run_ts,
     n: int | None = INC.BATCH_SIZE,
+    state_path: str | None = None,
+    lookback: dt.timedelta = dt.timedelta(hours=1),
 ) -> int:
-    """Write this run's batch (possibly empty) under ``batch_root``."""
+    """Write this run's batch (possibly empty) under ``batch_root``.
+
+    Without ``state_path`` every run anti-joins all of Gold with every scored
+    key, as the original job did: work grows with history.  With it, each run
+    records the ingestion range its batch covered, and the next run reads
+    only Gold rows at or after ``last max - lookback`` (a pushed-down range
+    filter) and only the prediction batches that reach into that window (a
+    semi-join on the ``batch_id`` partition column, which dynamic partition
+    pruning turns into a directory listing).  Work then grows with the new
+    data, not with the table.
+    """
     gold = read_layer(spark, gold_path)
-    preds = read_or_empty(spark, predictions_path, PREDICTIONS)
+    preds = read_or_empty(spark, predictions_path, PREDICTIONS_TABLE)
+    if state_path is not None:
+        state = read_or_empty(spark, state_path, INC.CURSOR_STATE)
+        lo = INC.scoring_window(state, lookback)
+        if lo is not None:
+            lo_lit = F.lit(lo).cast("timestamp_ntz")
+            gold = gold.filter(F.col(INC.CURSOR) >= lo_lit)
+            recent = state.filter(F.col("max_ingestion") >= lo_lit).select("batch_id")
+            preds = preds.join(recent, "batch_id", "left_semi")
     model = ML.load_model(model_path)
     p = SINK.write_batch(inference_batch(gold, existing_keys(preds), model, run_ts, n), batch_root, batch_id)
+    if state_path is not None:
+        (
+            INC.batch_range(spark.read.parquet(p), gold, batch_id)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_id")
+            .parquet(state_path)
+        )
     return _written_rows(spark, p)
 
 

@@ -99,6 +99,9 @@ PREDICTIONS = T.StructType(
     ]
 )
 
+# The persisted table: predictions partitioned by the run that wrote them.
+PREDICTIONS_TABLE = T.StructType(PREDICTIONS.fields + [T.StructField("batch_id", T.StringType())])
+
 ALERTS = T.StructType(
     [
         T.StructField("trans_num", T.StringType()),
