@@ -96,3 +96,26 @@ def test_layer_read_and_overwrite_guard(spark, scratch):
         jobs.bronze_to_silver(spark, f"{scratch}/same", f"{scratch}/same/")
     with pytest.raises(AnalysisException):
         spark.read.parquet(f"{scratch}/absent").count()
+
+
+def test_jdbc_persist_is_idempotent_and_historical_load(spark, scratch):
+    from txnlake.operators.gold import to_gold
+    from txnlake.operators.silver import to_silver
+    from txnlake.sources.fixtures import bronze_from_events, load_table, predictions_from_gold
+
+    url = "jdbc:derby:memory:txnlake_persist;create=true"
+    props = {"driver": DERBY}
+    gold = to_gold(to_silver(bronze_from_events(load_table(spark, "/root/testdata/sf0.001", "events"))), as_of="2024-02-01")
+    SINK.write_batch(predictions_from_gold(gold).limit(300), f"{scratch}/b", "r1")
+    assert jobs.persist_predictions_jdbc(spark, f"{scratch}/b", "r1", url, "PREDS", props) == 300
+    assert jobs.persist_predictions_jdbc(spark, f"{scratch}/b", "r1", url, "PREDS", props) == 0
+    back = read_jdbc(spark, url, "PREDS", props)
+    assert back.count() == 300 and back.select("trans_num").distinct().count() == 300
+    gold.write.partitionBy("transaction_year", "transaction_month").parquet(f"{scratch}/gold")
+    jobs.historical_load(spark, f"{scratch}/gold", url, "GOLDFULL", props)
+    assert read_jdbc(spark, url, "GOLDFULL", props).count() == 1000
+
+
+def test_empty_batch_persists_nothing(spark, scratch):
+    SINK.write_batch(spark.createDataFrame([], PREDICTIONS), f"{scratch}/b", "e")
+    assert jobs.persist_predictions(spark, f"{scratch}/b", "e", f"{scratch}/p") == 0

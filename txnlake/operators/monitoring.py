@@ -1,4 +1,4 @@
-"""Monitoring reports over the predictions table (the dashboard's queries).
+"""Monitoring reports over the predictions table (the monitoring panels).
 
 Each panel is one aggregate or top-k plan; only aggregates and bounded
 top-k results ever leave the executors.

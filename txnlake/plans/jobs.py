@@ -22,8 +22,9 @@ from txnlake.operators import ml as ML
 from txnlake.operators.gold import to_gold
 from txnlake.operators.silver import to_silver
 from txnlake.schemas import FEATURES, KEY, LABEL, PREDICTIONS, PREDICTIONS_TABLE
+from txnlake.session import checkpoint_dir
 from txnlake.sinks import layers as SINK
-from txnlake.sources.layers import existing_keys, read_layer, read_or_empty, read_raw_csv
+from txnlake.sources.layers import existing_keys, read_jdbc, read_layer, read_or_empty, read_raw_csv
 
 
 def _written_rows(spark: SparkSession, path: str) -> int:
@@ -149,11 +150,55 @@ def run_inference(
 
 
 def persist_predictions(spark: SparkSession, batch_root: str, batch_id: str, predictions_path: str) -> int:
-    """Append the batch idempotently; rerunning adds nothing."""
+    """Append the batch idempotently; rerunning adds nothing.  An empty
+    batch is a no-op (checked with ``isEmpty``, one row read at most)."""
     batch = read_or_empty(spark, SINK.batch_path(batch_root, batch_id), PREDICTIONS)
+    if batch.isEmpty():
+        return 0
     return INC.append_idempotent(batch, predictions_path, batch_id)
 
 
+def persist_predictions_jdbc(
+    spark: SparkSession,
+    batch_root: str,
+    batch_id: str,
+    url: str,
+    table: str,
+    properties: dict | None = None,
+    batchsize: int = SINK.JDBC_BATCH_ROWS,
+    **key_read,
+) -> int:
+    """E4 into a database table: only keys the table lacks are inserted, in
+    INSERT batches of ``batchsize`` rows from the executors.  The table's
+    keys are read pruned to the key column (pass ``partition_column``,
+    ``lower``, ``upper``, ``num_partitions`` to read them in parallel ranges);
+    a missing table counts as empty.  The rows to insert (at most one batch)
+    are checkpointed once into the cluster's checkpoint folder, so counting
+    and writing them does not read the table's keys twice.
+    Returns the rows inserted."""
+    batch = read_or_empty(spark, SINK.batch_path(batch_root, batch_id), PREDICTIONS)
+    if batch.isEmpty():
+        return 0
+    try:
+        keys = read_jdbc(spark, url, table, properties, columns=[KEY], **key_read)
+        keys.schema  # resolve now: a missing table fails here, not mid-write
+    except Exception as e:  # noqa: BLE001 - only "no such table" is tolerated
+        if not _missing_table(e):
+            raise
+        keys = spark.createDataFrame([], f"{KEY} string")
+    checkpoint_dir(spark)
+    new = INC.rows_to_append(batch, keys).checkpoint(eager=True)
+    n = new.count()
+    if n:
+        SINK.write_jdbc(new, url, table, mode="append", properties=properties, batchsize=batchsize)
+    return n
+
+
+def _missing_table(e: Exception) -> bool:
+    text = str(e).lower()
+    return "does not exist" in text or "doesn't exist" in text or "no such table" in text or "42x05" in text
+
+
 # --- E5: training -----------------------------------------------------------------
 
 

@@ -57,13 +57,16 @@ def write_batch(df: DataFrame, root: str, batch_id: str) -> str:
     return p
 
 
+JDBC_BATCH_ROWS = 5000  # fixed value: rows per INSERT batch
+
+
 def write_jdbc(
     df: DataFrame,
     url: str,
     table: str,
     mode: str = "append",
     properties: dict[str, str] | None = None,
-    batchsize: int = 5000,
+    batchsize: int = JDBC_BATCH_ROWS,
     max_connections: int | None = None,
     truncate: bool = True,
 ) -> None:
