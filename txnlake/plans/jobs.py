@@ -20,8 +20,8 @@ from txnlake.operators import alerts as AL
 from txnlake.operators import incremental as INC
 from txnlake.operators import ml as ML
 from txnlake.operators.gold import to_gold
-from txnlake.operators.silver import to_silver
-from txnlake.schemas import FEATURES, KEY, LABEL, PREDICTIONS, PREDICTIONS_TABLE
+from txnlake.operators.silver import dedupe_latest, split_null_keys, standardize, to_silver
+from txnlake.schemas import FEATURES, KEY, LABEL, PARTITION_COLS, PREDICTIONS, PREDICTIONS_TABLE
 from txnlake.session import checkpoint_dir
 from txnlake.sinks import layers as SINK
 from txnlake.sources.layers import existing_keys, read_jdbc, read_layer, read_or_empty, read_raw_csv
@@ -52,6 +52,46 @@ def bronze_to_silver(
     return _written_rows(spark, silver_path)
 
 
+def bronze_to_silver_incremental(
+    spark: SparkSession,
+    bronze_path: str,
+    silver_path: str,
+    since,
+    files_per_partition: int | None = None,
+) -> list[tuple]:
+    """E1, touched months only: Bronze rows ingested at or after ``since``
+    are standardised, merged with the Silver rows already in their months
+    (partition-pruned read), deduplicated, and only those months are
+    rewritten.  Work grows with the increment and the months it touches, not
+    with the whole history.
+
+    A resent copy of a transaction has the same transaction time, hence the
+    same month, so per-month deduplication is global deduplication.  The
+    merged rows are checkpointed into the cluster's checkpoint folder before
+    the overwrite: the plan must not read the files it replaces.
+    Returns the (year, month) partitions rewritten.
+    """
+    if bronze_path.rstrip("/") == silver_path.rstrip("/"):
+        raise ValueError("a layer cannot be rewritten in place")
+    since_lit = F.lit(since).cast("timestamp_ntz")
+    new_rows = split_null_keys(read_layer(spark, bronze_path).filter(F.col(INC.CURSOR) >= since_lit))[0]
+    new = standardize(new_rows)
+    # Distinct (year, month) of the increment: at most a few dozen values.
+    months = [tuple(r) for r in new.select(*PARTITION_COLS).distinct().collect()]
+    if not months:
+        return []
+    existing = read_or_empty(spark, silver_path, new.schema)
+    cond = None
+    for y, m in months:
+        c = F.col(PARTITION_COLS[0]).eqNullSafe(F.lit(y)) & F.col(PARTITION_COLS[1]).eqNullSafe(F.lit(m))
+        cond = c if cond is None else cond | c
+    merged = dedupe_latest(existing.filter(cond).select(*new.columns).unionByName(new))
+    checkpoint_dir(spark)
+    merged = merged.checkpoint(eager=True)
+    SINK.write_layer(merged, silver_path, touched_only=True, files_per_partition=files_per_partition)
+    return months
+
+
 def silver_to_gold(
     spark: SparkSession,
     silver_path: str,
@@ -66,7 +106,7 @@ def silver_to_gold(
     if months:
         cond = None
         for y, m in months:
-            c = (F.col("transaction_year") == y) & (F.col("transaction_month") == m)
+            c = F.col("transaction_year").eqNullSafe(F.lit(y)) & F.col("transaction_month").eqNullSafe(F.lit(m))
             cond = c if cond is None else cond | c
         silver = silver.filter(cond)
         touched_only = True
