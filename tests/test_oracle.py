@@ -23,6 +23,20 @@ def test_query_matches_oracle(spark, duck, name):
     assert s_cols == d_cols
     assert len(s_rows) == len(d_rows)
     assert s_rows == d_rows
+    spark_types = {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes}
+    duck_types = {r[0]: r[1] for r in duck.execute("DESCRIBE " + E.oracle_sql()[name]).fetchall()}
+    assert spark_types == duck_types
+
+
+SPARK_TO_DUCK = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "timestamp_ntz": "TIMESTAMP",
+    "date": "DATE",
+    "boolean": "BOOLEAN",
+}
 
 
 def test_every_query_has_oracle_or_is_model_fitting():

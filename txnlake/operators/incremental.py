@@ -82,6 +82,8 @@ def rows_to_append(batch: DataFrame, target_keys: DataFrame, key: str = KEY, ord
     b = batch.filter(F.col(key).isNotNull())
     if order in b.columns:
         b = dedupe_latest(b, key, order)
+    elif CURSOR in b.columns:
+        b = dedupe_latest(b, key, CURSOR)
     else:
         b = b.dropDuplicates([key])
     return b.join(target_keys.select(key), key, "left_anti")

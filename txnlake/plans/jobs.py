@@ -52,46 +52,58 @@ def bronze_to_silver(
     return _written_rows(spark, silver_path)
 
 
-def bronze_to_silver_incremental(
-    spark: SparkSession,
-    bronze_path: str,
-    silver_path: str,
-    since,
-    files_per_partition: int | None = None,
-) -> list[tuple]:
-    """E1, touched months only: Bronze rows ingested at or after ``since``
-    are standardised, merged with the Silver rows already in their months
-    (partition-pruned read), deduplicated, and only those months are
-    rewritten.  Work grows with the increment and the months it touches, not
-    with the whole history.
-
-    A resent copy of a transaction has the same transaction time, hence the
-    same month, so per-month deduplication is global deduplication.  The
-    merged rows are checkpointed into the cluster's checkpoint folder before
-    the overwrite: the plan must not read the files it replaces.
+def merge_into_silver(new_bronze: DataFrame, silver_path: str, files_per_partition: int | None = None) -> list[tuple]:
+    """Merge Bronze rows into Silver, rewriting only the months they touch.
+
+    The rows are standardised, unioned with the Silver rows already in their
+    months (partition-pruned read), deduplicated (latest ingestion wins) and
+    those months are overwritten.  A resent copy of a transaction has the same
+    transaction time, hence the same month, so per-month deduplication is
+    global.  The merge is checkpointed into the cluster's checkpoint folder
+    before the overwrite: the plan must not read the files it replaces.
+    Replaying the same rows gives the same Silver (idempotent).
     Returns the (year, month) partitions rewritten.
     """
-    if bronze_path.rstrip("/") == silver_path.rstrip("/"):
-        raise ValueError("a layer cannot be rewritten in place")
-    since_lit = F.lit(since).cast("timestamp_ntz")
-    new_rows = split_null_keys(read_layer(spark, bronze_path).filter(F.col(INC.CURSOR) >= since_lit))[0]
-    new = standardize(new_rows)
+    spark = new_bronze.sparkSession
+    new = standardize(split_null_keys(new_bronze)[0])
     # Distinct (year, month) of the increment: at most a few dozen values.
     months = [tuple(r) for r in new.select(*PARTITION_COLS).distinct().collect()]
     if not months:
         return []
     existing = read_or_empty(spark, silver_path, new.schema)
-    cond = None
-    for y, m in months:
-        c = F.col(PARTITION_COLS[0]).eqNullSafe(F.lit(y)) & F.col(PARTITION_COLS[1]).eqNullSafe(F.lit(m))
-        cond = c if cond is None else cond | c
-    merged = dedupe_latest(existing.filter(cond).select(*new.columns).unionByName(new))
+    merged = dedupe_latest(existing.filter(_months_filter(months)).select(*new.columns).unionByName(new))
     checkpoint_dir(spark)
     merged = merged.checkpoint(eager=True)
     SINK.write_layer(merged, silver_path, touched_only=True, files_per_partition=files_per_partition)
     return months
 
 
+def _months_filter(months: list[tuple]):
+    cond = None
+    for y, m in months:
+        c = F.col(PARTITION_COLS[0]).eqNullSafe(F.lit(y)) & F.col(PARTITION_COLS[1]).eqNullSafe(F.lit(m))
+        cond = c if cond is None else cond | c
+    return cond
+
+
+def bronze_to_silver_incremental(
+    spark: SparkSession,
+    bronze_path: str,
+    silver_path: str,
+    since,
+    files_per_partition: int | None = None,
+) -> list[tuple]:
+    """E1, touched months only: Bronze rows ingested at or after ``since``
+    (a pushed-down filter) are merged into Silver (``merge_into_silver``).
+    Work grows with the increment and the months it touches, not with the
+    whole history.  Returns the (year, month) partitions rewritten."""
+    if bronze_path.rstrip("/") == silver_path.rstrip("/"):
+        raise ValueError("a layer cannot be rewritten in place")
+    since_lit = F.lit(since).cast("timestamp_ntz")
+    new_rows = read_layer(spark, bronze_path).filter(F.col(INC.CURSOR) >= since_lit)
+    return merge_into_silver(new_rows, silver_path, files_per_partition)
+
+
 def silver_to_gold(
     spark: SparkSession,
     silver_path: str,
@@ -104,11 +116,7 @@ def silver_to_gold(
     partitions (partition pruning) and implies ``touched_only``."""
     silver = read_layer(spark, silver_path)
     if months:
-        cond = None
-        for y, m in months:
-            c = F.col("transaction_year").eqNullSafe(F.lit(y)) & F.col("transaction_month").eqNullSafe(F.lit(m))
-            cond = c if cond is None else cond | c
-        silver = silver.filter(cond)
+        silver = silver.filter(_months_filter(months))
         touched_only = True
     SINK.write_layer(to_gold(silver, as_of=as_of), gold_path, touched_only=touched_only)
     return _written_rows(spark, gold_path)
