@@ -255,7 +255,11 @@ def train_model(spark: SparkSession, gold_path: str, model_path: str | None = No
     rank features, save.  Returns the fitted model and report frames."""
     gold = read_layer(spark, gold_path)
     data = ML.clean_training(gold.select(KEY, *FEATURES, LABEL))
-    split = ML.stratified_split(data)
+    # The forest reads its input several times (metadata, split candidates,
+    # binned rows) and the hold-out once more: the split is computed once and
+    # checkpointed into the cluster's checkpoint folder.
+    checkpoint_dir(spark)
+    split = ML.stratified_split(data).checkpoint(eager=True)
     model = ML.train(split.filter(~F.col("is_test")).drop("is_test"), **forest_args)
     test = split.filter(F.col("is_test"))
     scored = ML.score(test.select(KEY, *FEATURES), model).join(test.select(KEY, LABEL), KEY)
