@@ -342,3 +342,18 @@ UNION ALL SELECT 'gold', count(*), count(DISTINCT trans_num), count(*) - count(D
 UNION ALL SELECT 'predictions', count(*), count(DISTINCT trans_num), count(*) - count(DISTINCT trans_num), count(*) = count(DISTINCT trans_num) FROM predictions
 """,
 )
+
+# 2.14 roadmap
+sql(
+    "fraud_trend",
+    """
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, transactions, frauds,
+  frauds * CAST(100 AS DOUBLE) / transactions AS fraud_rate,
+  frauds - lag(frauds) OVER (ORDER BY window_start) AS frauds_change
+FROM (
+  SELECT time_bucket(INTERVAL '1 hour', trans_date_trans_time) AS window_start, count(*) AS transactions,
+         count(*) FILTER (WHERE is_fraud = 1) AS frauds
+  FROM gold WHERE trans_date_trans_time IS NOT NULL GROUP BY 1
+) t
+""",
+)

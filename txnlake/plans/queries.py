@@ -472,3 +472,13 @@ def q_alert_batch(spark, sf_dir):
 def q_validation_report(spark, sf_dir):
     L = _layers(spark, sf_dir)
     return VAL.validation_report({k: L[k] for k in ("bronze", "silver", "gold", "predictions")})
+
+
+# --- 2.14 roadmap ------------------------------------------------------------------
+
+
+@register("fraud_trend")
+def q_fraud_trend(spark, sf_dir):
+    from txnlake.operators.trends import fraud_trend
+
+    return fraud_trend(_layers(spark, sf_dir)["gold"])
