@@ -274,6 +274,32 @@ def train_model(spark: SparkSession, gold_path: str, model_path: str | None = No
     }
 
 
+def compare_models(
+    spark: SparkSession,
+    gold_path: str,
+    current_rows,
+    candidate_rows,
+    **forest_args,
+) -> DataFrame:
+    """Roadmap X6: fit the current and a candidate model on two row ranges
+    (column conditions, e.g. two ingestion periods) and score both on one
+    shared hold-out, the exact stratified test split of all rows.  Returns
+    one metrics row per model."""
+    gold = read_layer(spark, gold_path)
+    data = ML.clean_training(gold)
+    checkpoint_dir(spark)
+    split = ML.stratified_split(data).checkpoint(eager=True)
+    train = split.filter(~F.col("is_test"))
+    test = split.filter(F.col("is_test"))
+    out = None
+    for name, cond in (("current", current_rows), ("candidate", candidate_rows)):
+        m = ML.train(train.filter(cond).select(*FEATURES, LABEL), **forest_args)
+        scored = ML.score(test.select(KEY, *FEATURES), m).join(test.select(KEY, LABEL), KEY)
+        row = ML.binary_metrics(scored).withColumn("model", F.lit(name))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 # --- E6: alerts -------------------------------------------------------------------
 
 

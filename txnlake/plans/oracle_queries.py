@@ -357,3 +357,48 @@ FROM (
 ) t
 """,
 )
+
+sql(
+    "amount_anomalies",
+    """
+SELECT v.trans_num, v.cc_num, v.amt, round(s.m, 6) AS customer_mean, round(s.sd, 6) AS customer_std,
+  round(CASE WHEN s.sd > 0 THEN (v.amt - s.m) / s.sd END, 6) AS z_score,
+  coalesce(abs(CASE WHEN s.sd > 0 THEN (v.amt - s.m) / s.sd END) > 3, false) AS is_anomaly
+FROM (SELECT * FROM gold WHERE cc_num IS NOT NULL AND amt IS NOT NULL) v
+JOIN (SELECT cc_num, avg(amt) AS m, stddev_samp(amt) AS sd FROM gold
+      WHERE cc_num IS NOT NULL AND amt IS NOT NULL GROUP BY cc_num) s USING (cc_num)
+""",
+)
+_DRIFT_FEATURES = [f.strip() for f in FEATURES.split(",")]
+sql(
+    "feature_drift",
+    f"""
+SELECT feature, psi,
+  CASE WHEN psi < 0.1 THEN 'stable' WHEN psi < 0.25 THEN 'moderate' ELSE 'shifted' END AS status
+FROM (
+  WITH drift_long AS (
+    SELECT period, feature, x FROM (
+      SELECT CASE WHEN ingestion_timestamp < TIMESTAMP '2024-01-15 00:00:00' THEN 'base' ELSE 'cur' END AS period,
+             {", ".join(f"CAST({f} AS DOUBLE) AS {f}" for f in _DRIFT_FEATURES)}
+      FROM gold
+    ) UNPIVOT (x FOR feature IN ({", ".join(_DRIFT_FEATURES)}))
+  ),
+  drift_rng AS (SELECT feature, min(x) AS lo, max(x) AS hi FROM drift_long WHERE period = 'base' GROUP BY feature),
+  binned AS (
+    SELECT period, feature,
+      CAST(least(greatest(CASE WHEN hi - lo > 0 THEN floor((x - lo) / (hi - lo) * 10) ELSE 0 END, 0), 9) AS INTEGER) AS bin
+    FROM drift_long JOIN drift_rng USING (feature) WHERE x IS NOT NULL
+  ),
+  shares AS (
+    SELECT period, feature, bin, n / sum(n) OVER (PARTITION BY period, feature) AS share
+    FROM (SELECT period, feature, bin, count(*) AS n FROM binned GROUP BY period, feature, bin) t
+  )
+  SELECT coalesce(b.feature, c.feature) AS feature,
+    round(sum((coalesce(c.share, CAST(0.0001 AS DOUBLE)) - coalesce(b.share, CAST(0.0001 AS DOUBLE)))
+              * ln(coalesce(c.share, CAST(0.0001 AS DOUBLE)) / coalesce(b.share, CAST(0.0001 AS DOUBLE)))), 6) AS psi
+  FROM (SELECT * FROM shares WHERE period = 'base') b
+  FULL OUTER JOIN (SELECT * FROM shares WHERE period = 'cur') c ON b.feature = c.feature AND b.bin = c.bin
+  GROUP BY coalesce(b.feature, c.feature)
+) p
+""",
+)

@@ -482,3 +482,19 @@ def q_fraud_trend(spark, sf_dir):
     from txnlake.operators.trends import fraud_trend
 
     return fraud_trend(_layers(spark, sf_dir)["gold"])
+
+
+@register("amount_anomalies")
+def q_amount_anomalies(spark, sf_dir):
+    from txnlake.operators.anomaly import amount_anomalies
+
+    return amount_anomalies(_layers(spark, sf_dir)["gold"])
+
+
+@register("feature_drift")
+def q_feature_drift(spark, sf_dir):
+    from txnlake.operators.anomaly import drift_report
+
+    g = _layers(spark, sf_dir)["gold"]
+    cut = F.lit(BATCH_UPTO).cast("timestamp_ntz")
+    return drift_report(g.filter(F.col("ingestion_timestamp") < cut), g.filter(F.col("ingestion_timestamp") >= cut))
