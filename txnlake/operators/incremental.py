@@ -76,9 +76,21 @@ def stamp(df: DataFrame, run_ts, col: str = "inference_timestamp") -> DataFrame:
     return df.withColumn(col, F.lit(run_ts).cast("timestamp_ntz"))
 
 
+# Most batch keys broadcast to filter the target's keys; beyond it the
+# reduction is a plain (shuffled) semi-join.
+MAX_BROADCAST_KEYS = 2_000_000
+
+
 def rows_to_append(batch: DataFrame, target_keys: DataFrame, key: str = KEY, order: str = "inference_timestamp") -> DataFrame:
     """Batch rows whose key the target lacks, one row per key: the idempotent
-    part of an append. Re-applying the same batch yields no rows."""
+    part of an append. Re-applying the same batch yields no rows.
+
+    The target grows with every run; the batch does not.  So the target's
+    key column is first cut down to the keys of this batch (a semi-join
+    against the broadcast batch keys: one scan of the key column, no
+    shuffle of it), and the anti-join then runs between two batch-sized
+    sides.  The broadcast happens only after checking the batch key count.
+    """
     b = batch.filter(F.col(key).isNotNull())
     if order in b.columns:
         b = dedupe_latest(b, key, order)
@@ -86,7 +98,11 @@ def rows_to_append(batch: DataFrame, target_keys: DataFrame, key: str = KEY, ord
         b = dedupe_latest(b, key, CURSOR)
     else:
         b = b.dropDuplicates([key])
-    return b.join(target_keys.select(key), key, "left_anti")
+    batch_keys = b.select(key)
+    if batch_keys.limit(MAX_BROADCAST_KEYS + 1).count() <= MAX_BROADCAST_KEYS:
+        batch_keys = F.broadcast(batch_keys)
+    present = target_keys.select(key).join(batch_keys, key, "left_semi")
+    return b.join(present, key, "left_anti")
 
 
 def append_idempotent(batch: DataFrame, target_path: str, batch_id: str, key: str = KEY) -> int:
