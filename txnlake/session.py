@@ -43,6 +43,24 @@ def build_session(
     return spark
 
 
+def scale_conf(input_bytes: int, target_partition_mb: int = 256, max_partitions: int = 200_000) -> dict[str, str]:
+    """Shuffle sizing for a given input volume.
+
+    The initial shuffle partition count is sized so each partition holds
+    about ``target_partition_mb`` of the input (AQE then coalesces small ones
+    at run time, and splits skewed ones above the same size), instead of the
+    default 200, which at 100 TB would put 500 GB into each task.
+    """
+    target = target_partition_mb * 1024 * 1024
+    parts = max(8, min(max_partitions, -(-int(input_bytes) // target)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{target_partition_mb}m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{target_partition_mb}m",
+        "spark.sql.files.maxPartitionBytes": f"{min(target_partition_mb, 512)}m",
+    }
+
+
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
