@@ -64,13 +64,14 @@ def scale_conf(input_bytes: int, target_partition_mb: int = 256, max_partitions:
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) is a fallback used; it is
-    registered on the SparkContext so ``DataFrame.checkpoint`` finds it.
+    Spark registers that setting on the SparkContext at start-up; it is used
+    as is.  Only when the cluster names none (local tests) is a fallback
+    folder registered, so ``DataFrame.checkpoint`` has somewhere to write.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = fallback or tempfile.mkdtemp(prefix="txnlake-ckpt-", dir="/tmp")
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir()
+    if d:
+        return d
+    d = spark.conf.get("spark.checkpoint.dir", None) or fallback or tempfile.mkdtemp(prefix="txnlake-ckpt-", dir="/tmp")
+    sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
