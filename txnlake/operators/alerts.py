@@ -54,8 +54,11 @@ def alert_message(a: DataFrame) -> DataFrame:
     one array (sorted structs), not by a window.
     """
     line = fmt.alert_line(F.col("trans_num"), F.col("amt"), F.col("fraud_probability"), F.col("inference_timestamp"))
+    # Newest first without a zone-dependent cast: micro-seconds until a fixed
+    # far-future instant grow as the timestamp gets older.
+    newest_first = F.expr("timestampdiff(MICROSECOND, inference_timestamp, TIMESTAMP_NTZ'2200-01-01 00:00:00')")
     order_key = F.struct(
-        (-F.unix_micros(F.col("inference_timestamp").cast("timestamp"))).alias("o"),
+        newest_first.alias("o"),
         F.col("trans_num").alias("k"),
         line.alias("m"),
     )

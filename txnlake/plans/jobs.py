@@ -119,7 +119,8 @@ def silver_to_gold(
         silver = silver.filter(_months_filter(months))
         touched_only = True
     SINK.write_layer(to_gold(silver, as_of=as_of), gold_path, touched_only=touched_only)
-    return _written_rows(spark, gold_path)
+    written = spark.read.parquet(gold_path)
+    return (written.filter(_months_filter(months)) if months else written).count()
 
 
 # --- E3, E4: scoring and persistence ------------------------------------------
