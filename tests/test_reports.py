@@ -96,3 +96,32 @@ def test_alerts_threshold_and_already_sent(spark, preds):
 def test_no_alerts(spark):
     m = AL.alert_batch(spark.createDataFrame([], SCHEMA), NOW).first()
     assert m["n_alerts"] == 0 and m["status"] == "No frauds detected." and m["message"] is None
+
+
+@pytest.mark.parametrize("which", ["All", "Fraud Only", "Non Fraud Only"])
+def test_one_pass_panels_equal_per_panel(spark, which):
+    from txnlake.sources.fixtures import fixture_layers
+
+    p = fixture_layers(spark, "/root/testdata/sf0.001")["predictions"]
+    a = MON.monitoring(p, which, one_pass=True)
+    b = MON.monitoring(p, which, one_pass=False)
+    assert set(a) == set(b)
+    for name in a:
+        ra = sorted(map(tuple, a[name].collect()), key=repr)
+        rb = sorted(map(tuple, b[name].select(*a[name].columns).collect()), key=repr)
+        assert ra == rb, name
+        assert a[name].dtypes == b[name].select(*a[name].columns).dtypes, name
+
+
+def test_one_pass_plan_scans_once(spark):
+    from txnlake.sources.fixtures import fixture_layers
+
+    p = fixture_layers(spark, "/root/testdata/sf0.001")["predictions"]
+    plan = MON.panel_aggregates(p)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Expand") == 1
+
+
+def test_empty_table_panels(spark):
+    m = MON.monitoring(spark.createDataFrame([], SCHEMA))
+    assert m["kpis"].first()["total_transactions"] == 0
+    assert m["status"].first()["rows_processed"] == 0

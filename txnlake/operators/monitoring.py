@@ -97,13 +97,14 @@ def map_points(df: DataFrame, cap: int = MAP_CAP, seed: int = MAP_SEED) -> DataF
 
 # Sums of doubles depend on the order partitions are combined in; these
 # report sums go through exact decimals so every run and cluster layout
-# gives the same bits.
-AMOUNT_SCALE = 10
-PROBABILITY_SCALE = 12
+# gives the same bits.  18 digits keep Spark on its long-backed decimal
+# arithmetic: money to 1/10,000 (up to 10^14), probabilities to 10^-12.
+AMOUNT_DECIMAL = "decimal(18,4)"
+PROBABILITY_DECIMAL = "decimal(18,12)"
 
 
-def exact_sum(c, scale: int):
-    return F.sum(c.cast(f"decimal(38,{scale})")).cast("double")
+def exact_sum(c, decimal_type: str):
+    return F.sum(c.cast(decimal_type)).cast("double")
 
 
 def kpis(df: DataFrame) -> DataFrame:
@@ -116,8 +117,8 @@ def kpis(df: DataFrame) -> DataFrame:
         total.alias("total_transactions"),
         frauds.alias("fraud_transactions"),
         F.try_divide(frauds * F.lit(100.0), total).alias("fraud_rate"),
-        F.coalesce(exact_sum(F.when(is_f, F.col("amt")), AMOUNT_SCALE), F.lit(0.0)).alias("fraud_amount"),
-        F.try_divide(exact_sum(F.col(PROB), PROBABILITY_SCALE), F.count(F.col(PROB)).cast("double")).alias(
+        F.coalesce(exact_sum(F.when(is_f, F.col("amt")), AMOUNT_DECIMAL), F.lit(0.0)).alias("fraud_amount"),
+        F.try_divide(exact_sum(F.col(PROB), PROBABILITY_DECIMAL), F.count(F.col(PROB)).cast("double")).alias(
             "avg_probability"
         ),
     )
@@ -237,9 +238,113 @@ def recode_labels(df: DataFrame) -> DataFrame:
     )
 
 
-def monitoring(df: DataFrame, which: str = "All") -> dict[str, DataFrame]:
-    """Every panel, after the sidebar filter (which applies to all of them)."""
+# --- all aggregate panels in one scan -------------------------------------------
+
+_BIN = "_prob_bin"
+_PANEL_KEYS = [PRED, "high_amount_flag", "night_transaction_flag", "transaction_hour", _BIN]
+
+
+def _gid(*grouped: str) -> int:
+    """grouping_id of a grouping set: bit set for every key *not* grouped."""
+    n = len(_PANEL_KEYS)
+    return sum(1 << (n - 1 - i) for i, k in enumerate(_PANEL_KEYS) if k not in grouped)
+
+
+def panel_aggregates(df: DataFrame) -> DataFrame:
+    """Every aggregate panel from one scan: a GROUPING SETS aggregate over
+    (), prediction, amount flag, night flag, hour and probability bin.  The
+    Expand feeds a map-side partial aggregate, so the shuffle carries a few
+    rows per set and task, and the result has at most ~100 rows."""
+    bin_ = F.least(F.floor(F.col(PROB) * F.lit(PROBABILITY_BINS)), F.lit(PROBABILITY_BINS - 1)).cast("int")
+    is_f = F.col(PRED) == 1
+    sets = [[], [PRED], ["high_amount_flag"], ["night_transaction_flag"], ["transaction_hour"], [_BIN]]
+    return (
+        df.withColumn(_BIN, bin_)
+        .groupingSets(sets, *_PANEL_KEYS)
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count_if(is_f).alias("frauds"),
+            exact_sum(F.when(is_f, F.col("amt")), AMOUNT_DECIMAL).alias("fraud_amount"),
+            exact_sum(F.col(PROB), PROBABILITY_DECIMAL).alias("prob_sum"),
+            F.count(F.col(PROB)).alias("prob_n"),
+            F.max(TS).alias("last_ts"),
+            F.grouping_id().alias("gid"),
+        )
+    )
+
+
+def panels_from_aggregates(agg: DataFrame) -> dict[str, DataFrame]:
+    """The aggregate panels, each a filter + projection of ``panel_aggregates``
+    (same columns and values as the one-panel functions above)."""
+
+    def grp(*keys):
+        g = agg.filter(F.col("gid") == _gid(*keys))
+        for k in keys:
+            g = g.filter(F.col(k).isNotNull())
+        return g
+
+    total = grp()
+    kp = total.select(
+        F.col("n").alias("total_transactions"),
+        F.col("frauds").alias("fraud_transactions"),
+        F.try_divide(F.col("frauds") * F.lit(100.0), F.col("n")).alias("fraud_rate"),
+        F.coalesce(F.col("fraud_amount"), F.lit(0.0)).alias("fraud_amount"),
+        F.try_divide(F.col("prob_sum"), F.col("prob_n").cast("double")).alias("avg_probability"),
+    )
+    width = 1.0 / PROBABILITY_BINS
+    return {
+        "kpis": kp,
+        "kpis_display": format_kpis(kp),
+        "distribution": grp(PRED)
+        .select(fmt.recode(F.col(PRED), fmt.PREDICTION_LABELS).alias("fraud"), F.col("n").alias("count"))
+        .orderBy(F.desc("count"), "fraud"),
+        "probability_histogram": grp(_BIN).select(
+            F.col(_BIN).alias("bin"),
+            (F.lit(0.0) + F.col(_BIN) * F.lit(width)).alias("bin_start"),
+            (F.lit(0.0) + (F.col(_BIN) + 1) * F.lit(width)).alias("bin_end"),
+            F.col("n").alias("count"),
+        ),
+        "fraud_by_hour": grp("transaction_hour")
+        .filter(F.col("frauds") > 0)
+        .select("transaction_hour", F.col("frauds").alias("count"))
+        .orderBy("transaction_hour"),
+        "by_high_amount": grp("high_amount_flag").select(
+            fmt.recode(F.col("high_amount_flag"), fmt.AMOUNT_LABELS).alias("high_amount_flag"), F.col("n").alias("count")
+        ),
+        "by_night": grp("night_transaction_flag").select(
+            fmt.recode(F.col("night_transaction_flag"), fmt.TIME_LABELS).alias("night_transaction_flag"),
+            F.col("n").alias("count"),
+        ),
+        "status": total.select(
+            F.col("n").alias("rows_processed"),
+            F.col("frauds").alias("fraud_alerts"),
+            F.col("last_ts").alias("last_inference"),
+            fmt.minute_stamp(F.col("last_ts")).alias("last_inference_display"),
+        ),
+    }
+
+
+def monitoring(df: DataFrame, which: str = "All", one_pass: bool = True) -> dict[str, DataFrame]:
+    """Every panel, after the sidebar filter (which applies to all of them).
+
+    With ``one_pass`` the seven aggregate panels come from one GROUPING SETS
+    scan, checkpointed (it is tiny) so that reading the panels does not scan
+    the table again; the top-k panels and the distance histogram (whose
+    range needs its own pass) scan on their own.  An empty input takes the
+    per-panel path, whose global aggregates still return their one row.
+    """
     d = by_prediction(df, which)
+    rest = {
+        "map_points": map_points(d),
+        "top_risk": top_risk(d),
+        "distance_histogram": histogram(d, "customer_merchant_distance", DISTANCE_BINS),
+        "preview": preview(d),
+    }
+    if one_pass and not d.isEmpty():
+        from txnlake.session import checkpoint_dir
+
+        checkpoint_dir(d.sparkSession)
+        return {**panels_from_aggregates(panel_aggregates(d).checkpoint(eager=True)), **rest}
     k = kpis(d)
     return {
         "kpis": k,
@@ -249,9 +354,6 @@ def monitoring(df: DataFrame, which: str = "All") -> dict[str, DataFrame]:
         "fraud_by_hour": by_hour(d),
         "by_high_amount": by_flag(d, "high_amount_flag", fmt.AMOUNT_LABELS),
         "by_night": by_flag(d, "night_transaction_flag", fmt.TIME_LABELS),
-        "map_points": map_points(d),
-        "top_risk": top_risk(d),
-        "distance_histogram": histogram(d, "customer_merchant_distance", DISTANCE_BINS),
         "status": pipeline_status(d),
-        "preview": preview(d),
+        **rest,
     }

@@ -115,9 +115,9 @@ SELECT count(*) AS total_transactions,
   count(*) FILTER (WHERE fraud_prediction = 1) AS fraud_transactions,
   CASE WHEN count(*) = 0 THEN NULL
        ELSE count(*) FILTER (WHERE fraud_prediction = 1) * CAST(100 AS DOUBLE) / count(*) END AS fraud_rate,
-  coalesce(CAST(sum(CAST(amt AS DECIMAL(38,10))) FILTER (WHERE fraud_prediction = 1) AS DOUBLE),
+  coalesce(CAST(sum(CAST(amt AS DECIMAL(18,4))) FILTER (WHERE fraud_prediction = 1) AS DOUBLE),
            CAST(0 AS DOUBLE)) AS fraud_amount,
-  CAST(sum(CAST(fraud_probability AS DECIMAL(38,12))) AS DOUBLE)
+  CAST(sum(CAST(fraud_probability AS DECIMAL(18,12))) AS DOUBLE)
     / CAST(count(fraud_probability) AS DOUBLE) AS avg_probability
 FROM predictions
 """
