@@ -87,3 +87,11 @@ def test_unscorable_rows_split_off(spark, separable):
     bad = separable.limit(3).withColumn("lat", F.lit(None).cast("double"))
     ok, rej = ML.split_scorable(separable.limit(10).unionByName(bad))
     assert rej.count() == 3 and ok.count() == 10
+
+
+def test_balanced_weights_and_weighted_fit(spark, separable):
+    w = ML.with_balanced_weights(separable)
+    r = {x[LABEL]: x["class_weight"] for x in w.select(LABEL, "class_weight").distinct().collect()}
+    assert r[1] == pytest.approx(2000 / (2 * 200)) and r[0] == pytest.approx(2000 / (2 * 1800))
+    m = ML.train(w, num_trees=5, max_depth=3, weight_col="class_weight")
+    assert ML.score(separable, m).count() == 2000

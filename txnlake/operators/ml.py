@@ -169,6 +169,19 @@ def forest(
     return rf
 
 
+def with_balanced_weights(df: DataFrame, label: str = LABEL, col: str = "class_weight") -> DataFrame:
+    """Adds ``n / (classes * n_class)`` per row, so each class weighs the same
+    in the fit (for ``train(..., weight_col=col)``; off by default).  The class
+    counts come from one aggregate, a handful of scalars."""
+    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    total, k = sum(counts.values()), len(counts)
+    w = None
+    for cls, n in counts.items():
+        c = F.col(label) == F.lit(cls)
+        w = F.when(c, F.lit(total / (k * n))) if w is None else w.when(c, F.lit(total / (k * n)))
+    return df.withColumn(col, (w if w is not None else F.lit(1.0)).cast("double"))
+
+
 def train(df: DataFrame, **forest_args) -> PipelineModel:
     """Fit assembler + forest on a cleaned training frame (label double)."""
     data = df.withColumn(LABEL, F.col(LABEL).cast("double"))
