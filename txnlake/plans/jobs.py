@@ -32,6 +32,33 @@ def _written_rows(spark: SparkSession, path: str) -> int:
     return spark.read.parquet(path).count()
 
 
+# --- S6, S7: ingestion ------------------------------------------------------------
+
+
+def ingest_to_bronze(
+    spark: SparkSession,
+    source: DataFrame,
+    bronze_path: str,
+    lookback: dt.timedelta = dt.timedelta(hours=1),
+) -> int:
+    """Append to Bronze the source rows it does not hold yet.
+
+    First load: everything.  Later loads: rows at or beyond Bronze's
+    ``max(ingestion_timestamp) - lookback``, minus records (key + ingestion
+    time) already in that window.  A rerun after a failure appends nothing
+    twice.  The rows to append are checkpointed before the append: the plan
+    reads the Bronze window it is about to extend.  Returns rows appended.
+    """
+    schema = source.schema
+    bronze = read_or_empty(spark, bronze_path, schema)
+    checkpoint_dir(spark)
+    new = INC.ingest(source, bronze, lookback=lookback).checkpoint(eager=True)
+    n = new.count()
+    if n:
+        new.write.mode("append").parquet(bronze_path)
+    return n
+
+
 # --- E1, E2: layers -------------------------------------------------------------
 
 
@@ -176,9 +203,13 @@ def run_inference(
     data, not with the table.
     """
     gold = read_layer(spark, gold_path)
-    preds = read_or_empty(spark, predictions_path, PREDICTIONS_TABLE)
+    # A batch id is one unit of work: its selection ignores its own earlier
+    # output, so rerunning a batch (after a failure, or by mistake after it
+    # completed) selects and writes the same rows instead of new ones.
+    this = F.lit(batch_id)
+    preds = read_or_empty(spark, predictions_path, PREDICTIONS_TABLE).filter(F.col("batch_id") != this)
     if state_path is not None:
-        state = read_or_empty(spark, state_path, INC.CURSOR_STATE)
+        state = read_or_empty(spark, state_path, INC.CURSOR_STATE).filter(F.col("batch_id") != this)
         lo = INC.scoring_window(state, lookback)
         if lo is not None:
             lo_lit = F.lit(lo).cast("timestamp_ntz")
@@ -333,6 +364,40 @@ def prepare_raw(
     return df
 
 
+# --- one scheduled run ---------------------------------------------------------------
+
+
+def scoring_cycle(
+    spark: SparkSession,
+    paths: dict[str, str],
+    run_ts,
+    batch_id: str,
+    as_of=None,
+    n: int | None = INC.BATCH_SIZE,
+    since=None,
+) -> dict:
+    """One scheduled run, in order: Silver, Gold, score the next batch,
+    persist it, select alerts.  ``paths`` names bronze, silver, gold, model,
+    batches, predictions and (optional) state.  With ``since`` the layers are
+    refreshed for the touched months only; with a state path scoring runs in
+    cursor mode.  Every step is replay-safe, so a failed cycle is rerun with
+    the same arguments."""
+    if since is None:
+        bronze_to_silver(spark, paths["bronze"], paths["silver"])
+        silver_to_gold(spark, paths["silver"], paths["gold"], as_of=as_of)
+    else:
+        months = bronze_to_silver_incremental(spark, paths["bronze"], paths["silver"], since)
+        if months:
+            silver_to_gold(spark, paths["silver"], paths["gold"], as_of=as_of, months=months)
+    scored = run_inference(
+        spark, paths["gold"], paths["predictions"], paths["model"], paths["batches"], batch_id, run_ts, n,
+        state_path=paths.get("state"),
+    )
+    appended = persist_predictions(spark, paths["batches"], batch_id, paths["predictions"])
+    alert = alert_batch(spark.read.parquet(paths["predictions"]), run_ts).first()
+    return {"scored": scored, "appended": appended, "alerts": alert["n_alerts"], "status": alert["status"]}
+
+
 def run_clock() -> dt.datetime:
     """Wall-clock run time, truncated to the second; callers pass it down."""
     return dt.datetime.now().replace(microsecond=0)
