@@ -10,9 +10,9 @@ from txnlake.schemas import FEATURES, KEY, LABEL
 def test_hot_customer_is_aggregated_not_windowed(spark):
     rows = [(str(i), 1, 100.0) for i in range(300)] + [("x", 1, 1000.0), ("y", 2, 5.0), ("z", 2, 7.0), ("w", 3, 1.0)]
     df = spark.createDataFrame(rows, "trans_num string, cc_num long, amt double")
-    out = amount_anomalies(df)
+    out = amount_anomalies(df, hot_share=0.5)  # customer 1 holds > half: hot
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan and "partial_avg" in plan
+    assert "Window" not in plan and "BroadcastHashJoin" in plan
     r = {x[KEY]: x for x in out.collect()}
     assert r["x"]["is_anomaly"] and not r["0"]["is_anomaly"]
     assert r["w"]["z_score"] is None and not r["w"]["is_anomaly"]  # single transaction: no spread
@@ -44,3 +44,25 @@ def test_compare_models_on_one_holdout(spark, scratch):
     ).collect()
     assert sorted(r["model"] for r in res) == ["candidate", "current"]
     assert all(0.0 <= r["accuracy"] <= 1.0 for r in res)
+
+
+def test_hot_key_join_equals_plain_join_and_spreads_hot_rows(spark):
+    from txnlake.operators.anomaly import join_per_key_stats
+
+    n = 30000
+    rows = spark.range(0, n).select(
+        F.col("id").cast("string").alias(KEY),
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 500).cast("long").alias("cc_num"),
+    )
+    stats = rows.groupBy("cc_num").agg(F.count(F.lit(1)).alias("n"), F.max(KEY).alias("mx"))
+    got = join_per_key_stats(rows, stats, "cc_num", spread_by=KEY)
+    want = rows.join(stats, "cc_num", "left").select(*got.columns)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    # customer 7 (a third of the rows) never meets in one shuffle partition
+    sizes = (
+        got.filter(F.col("cc_num") == 7)
+        .groupBy(F.spark_partition_id().alias("p"))
+        .count()
+        .collect()
+    )
+    assert len(sizes) > 1

@@ -16,23 +16,65 @@ DRIFT_BINS = 10
 DRIFT_EPSILON = 1e-4  # share given to an empty bin so the log stays finite
 
 
+# A key holding more than this share of all rows is "hot".  At most
+# 1 / HOT_KEY_SHARE keys can be hot, which bounds what is broadcast.
+HOT_KEY_SHARE = 1e-3
+_HOT_SPREAD = 4096  # tasks the hot rows are spread over in the shuffled join
+
+
+def join_per_key_stats(rows: DataFrame, stats: DataFrame, key: str, spread_by: str, hot_share: float = HOT_KEY_SHARE) -> DataFrame:
+    """Left-join per-key statistics (one row per key, with its row count
+    ``n``) onto ``rows`` without letting one key's rows meet in one task.
+
+    AQE cannot split this join's skew: the statistics side is an aggregate on
+    the join key, so no exchange is left to split.  Instead hot keys (more
+    than ``hot_share`` of all rows, so at most ``1 / hot_share`` of them) are
+    joined map-side against a broadcast of their statistics, and for the
+    shuffled join of the remaining keys their rows carry a salted key that
+    matches nothing and spreads them over ``_HOT_SPREAD`` tasks.  ``stats``
+    is checkpointed so the counting passes do not re-aggregate ``rows``.
+    """
+    from txnlake.session import checkpoint_dir
+
+    spark = rows.sparkSession
+    checkpoint_dir(spark)
+    stats = stats.checkpoint(eager=True)
+    total = stats.agg(F.sum("n")).first()[0] or 0
+    bound = int(1 / hot_share)
+    hot_rows = stats.filter(F.col("n") > F.lit(total * hot_share)).limit(bound + 1).collect()
+    if not hot_rows:
+        return rows.join(stats, key, "left")
+    value_cols = [c for c in stats.columns if c != key]
+    hot = F.broadcast(spark.createDataFrame(hot_rows, stats.schema).select(key, *[F.col(c).alias(f"_h_{c}") for c in value_cols]))
+    tagged = rows.join(hot, key, "left")
+    is_hot = F.col(f"_h_{value_cols[0]}").isNotNull() if value_cols else F.lit(False)
+    jk = "_join_key"
+    salted = F.concat(F.lit("\u0000hot:"), F.pmod(F.xxhash64(F.col(spread_by)), F.lit(_HOT_SPREAD)).cast("string"))
+    left = tagged.withColumn(jk, F.when(is_hot, salted).otherwise(F.col(key).cast("string")))
+    cold = stats.select(F.col(key).cast("string").alias(jk), *[F.col(c).alias(f"_c_{c}") for c in value_cols])
+    joined = left.join(cold, jk, "left")
+    return joined.select(
+        *[F.col(c) for c in rows.columns],
+        *[F.coalesce(F.col(f"_h_{c}"), F.col(f"_c_{c}")).alias(c) for c in value_cols],
+    )
+
+
 def amount_anomalies(
     df: DataFrame,
     customer: str = "cc_num",
     value: str = "amt",
     threshold: float = Z_THRESHOLD,
     key: str = KEY,
+    hot_share: float = HOT_KEY_SHARE,
 ) -> DataFrame:
     """Each transaction's z-score against its customer's mean and sample
     standard deviation; ``is_anomaly`` when ``|z| > threshold``.
 
-    Written as a grouped aggregate joined back on the customer, not as a
-    window partitioned by customer: a customer holding a third of all rows
-    would make that window one task, while the aggregate combines map-side
-    (one small row per customer) and the join back is planned by AQE
-    (broadcast when the per-customer table is measured small, otherwise
-    sort-merge with the hot customer's partition split).  Customers with one
-    transaction, or constant amounts, get no z-score.
+    Per-customer statistics are a grouped aggregate (combined map-side, one
+    row per customer), joined back by ``join_per_key_stats``, not a window
+    partitioned by customer, which would put a customer holding a third of
+    all rows into one task.  Customers with one transaction, or constant
+    amounts, get no z-score.
     """
     valid = df.filter(F.col(customer).isNotNull() & F.col(value).isNotNull())
     stats = valid.groupBy(customer).agg(
@@ -40,8 +82,9 @@ def amount_anomalies(
         F.avg(value).alias("_mean"),
         F.stddev_samp(value).alias("_std"),
     )
+    j = join_per_key_stats(valid.select(key, customer, value), stats, customer, spread_by=key, hot_share=hot_share)
     z = F.when(F.col("_std") > 0, (F.col(value) - F.col("_mean")) / F.col("_std"))
-    return valid.join(stats, customer).select(
+    return j.select(
         key,
         customer,
         value,
