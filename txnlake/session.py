@@ -65,13 +65,18 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
     Spark registers that setting on the SparkContext at start-up; it is used
-    as is.  Only when the cluster names none (local tests) is a fallback
-    folder registered, so ``DataFrame.checkpoint`` has somewhere to write.
+    as is.  Only a local-mode session (tests) without one gets a fallback
+    folder; on a cluster a missing setting is an error, because a folder on
+    one machine is not visible to the executors that read checkpoints back.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if d:
         return d
-    d = spark.conf.get("spark.checkpoint.dir", None) or fallback or tempfile.mkdtemp(prefix="txnlake-ckpt-", dir="/tmp")
+    d = spark.conf.get("spark.checkpoint.dir", None) or fallback
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        d = tempfile.mkdtemp(prefix="txnlake-ckpt-", dir="/tmp")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
