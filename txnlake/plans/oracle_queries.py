@@ -198,6 +198,22 @@ SELECT CASE night_transaction_flag WHEN 0 THEN 'Day' WHEN 1 THEN 'Night' ELSE CA
 FROM predictions WHERE night_transaction_flag IS NOT NULL GROUP BY predictions.night_transaction_flag
 """,
 )
+sql(
+    "monitoring_panels",
+    """
+SELECT fraud_prediction, high_amount_flag, night_transaction_flag, transaction_hour, _prob_bin,
+  count(*) AS n,
+  count(*) FILTER (WHERE fraud_prediction = 1) AS frauds,
+  CAST(sum(CAST(amt AS DECIMAL(18,4))) FILTER (WHERE fraud_prediction = 1) AS DOUBLE) AS fraud_amount,
+  CAST(sum(CAST(fraud_probability AS DECIMAL(18,12))) AS DOUBLE) AS prob_sum,
+  count(fraud_probability) AS prob_n,
+  max(inference_timestamp) AS last_ts,
+  grouping_id(fraud_prediction, high_amount_flag, night_transaction_flag, transaction_hour, _prob_bin) AS gid
+FROM (SELECT *, CAST(least(floor(fraud_probability * 40), 39) AS INTEGER) AS _prob_bin FROM predictions) t
+GROUP BY GROUPING SETS ((), (fraud_prediction), (high_amount_flag), (night_transaction_flag),
+                        (transaction_hour), (_prob_bin))
+""",
+)
 sql(
     "hist_probability",
     """

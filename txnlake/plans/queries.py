@@ -292,6 +292,12 @@ def q_by_night(spark, sf_dir):
     return MON.by_flag(_layers(spark, sf_dir)["predictions"], "night_transaction_flag", TIME_LABELS)
 
 
+@register("monitoring_panels")
+def q_monitoring_panels(spark, sf_dir):
+    """E7's one-scan GROUPING SETS aggregate behind the seven aggregate panels."""
+    return MON.panel_aggregates(_layers(spark, sf_dir)["predictions"])
+
+
 @register("hist_probability")
 def q_hist_probability(spark, sf_dir):
     p = _layers(spark, sf_dir)["predictions"]
