@@ -149,7 +149,7 @@ def test_touched_only_overwrite_keeps_other_months(spark, scratch):
     write_layer(spark.createDataFrame([("c", 2024, 2)], schema), path, touched_only=True)
     got = sorted(r[KEY] for r in spark.read.parquet(path).collect())
     assert got == ["a", "c"]
-    write_layer(spark.createDataFrame([("d", 2024, 3)], schema), path, files_per_partition=4)
+    write_layer(spark.createDataFrame([("d", 2024, 3)], schema), path, rebalance=True)
     assert sorted(r[KEY] for r in spark.read.parquet(path).collect()) == ["d"]
 
 

@@ -67,19 +67,21 @@ def bronze_to_silver(
     bronze_path: str,
     silver_path: str,
     touched_only: bool = False,
-    files_per_partition: int | None = None,
+    rebalance: bool = True,
 ) -> int:
     """Bronze -> Silver. ``touched_only`` replaces only the months present in
     the input (for a Bronze read restricted to new rows); otherwise the layer
-    is recomputed whole."""
+    is recomputed whole.  ``rebalance`` (default) re-shuffles the deduplicated
+    rows by month so files come out near the advisory size (see
+    ``write_layer``)."""
     if bronze_path.rstrip("/") == silver_path.rstrip("/"):
         raise ValueError("a layer cannot be rewritten in place")
     df = to_silver(read_layer(spark, bronze_path))
-    SINK.write_layer(df, silver_path, touched_only=touched_only, files_per_partition=files_per_partition)
+    SINK.write_layer(df, silver_path, touched_only=touched_only, rebalance=rebalance)
     return _written_rows(spark, silver_path)
 
 
-def merge_into_silver(new_bronze: DataFrame, silver_path: str, files_per_partition: int | None = None) -> list[tuple]:
+def merge_into_silver(new_bronze: DataFrame, silver_path: str) -> list[tuple]:
     """Merge Bronze rows into Silver, rewriting only the months they touch.
 
     The rows are standardised, unioned with the Silver rows already in their
@@ -99,9 +101,11 @@ def merge_into_silver(new_bronze: DataFrame, silver_path: str, files_per_partiti
         return []
     existing = read_or_empty(spark, silver_path, new.schema)
     merged = dedupe_latest(existing.filter(_months_filter(months)).select(*new.columns).unionByName(new))
+    # Rebalanced by month before the checkpoint, so the checkpointed
+    # partitions are already the files to write.
     checkpoint_dir(spark)
-    merged = merged.checkpoint(eager=True)
-    SINK.write_layer(merged, silver_path, touched_only=True, files_per_partition=files_per_partition)
+    merged = merged.hint("rebalance", *PARTITION_COLS).checkpoint(eager=True)
+    SINK.write_layer(merged, silver_path, touched_only=True)
     return months
 
 
@@ -118,7 +122,6 @@ def bronze_to_silver_incremental(
     bronze_path: str,
     silver_path: str,
     since,
-    files_per_partition: int | None = None,
 ) -> list[tuple]:
     """E1, touched months only: Bronze rows ingested at or after ``since``
     (a pushed-down filter) are merged into Silver (``merge_into_silver``).
@@ -128,7 +131,7 @@ def bronze_to_silver_incremental(
         raise ValueError("a layer cannot be rewritten in place")
     since_lit = F.lit(since).cast("timestamp_ntz")
     new_rows = read_layer(spark, bronze_path).filter(F.col(INC.CURSOR) >= since_lit)
-    return merge_into_silver(new_rows, silver_path, files_per_partition)
+    return merge_into_silver(new_rows, silver_path)
 
 
 def silver_to_gold(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnlake.schemas import KEY, PARTITION_COLS
+from txnlake.schemas import PARTITION_COLS
 
 
 def write_layer(
@@ -14,28 +14,29 @@ def write_layer(
     mode: str = "overwrite",
     partition_cols: list[str] | None = None,
     touched_only: bool = False,
-    files_per_partition: int | None = None,
-    key: str = KEY,
+    rebalance: bool = False,
 ) -> None:
     """Write a layer partitioned by (year, month).
 
     * ``touched_only``: dynamic partition overwrite, so only the months present
       in ``df`` are replaced (incremental refresh); otherwise the whole layer.
-    * ``files_per_partition``: one extra shuffle on (year, month, hash(key) %
-      n), giving at most n files per month.  A month holding a third of all
-      rows is then still written by n tasks, not one (plain
-      ``repartition(year, month)`` would funnel it into a single task).
-      Without it, no shuffle is added: rows are only sorted by month inside
-      each task, so each task writes one file per month it holds.
+    * ``rebalance``: one shuffle on the partition columns through the
+      ``REBALANCE`` hint; AQE then splits any month larger than the advisory
+      partition size over several tasks and merges small ones, so files come
+      out near the advisory size even when one month holds a third of the
+      data (a plain ``repartition(year, month)`` would write that month from
+      a single task).  Without it no shuffle is added: rows are sorted by
+      month inside each task, which then writes one file per month it holds.
+      Use it after a shuffle on another key (Silver's dedupe); a narrow job
+      over month-partitioned input (Gold) does not need it.
 
     Never point ``path`` at the layer ``df`` was read from: Spark deletes the
     old files before the new ones are computed.
     """
     parts = partition_cols if partition_cols is not None else PARTITION_COLS
-    if files_per_partition:
-        salt = F.pmod(F.xxhash64(F.col(key)), F.lit(files_per_partition))
-        df = df.repartition(*[F.col(c) for c in parts], salt)
-    elif parts:
+    if rebalance and parts:
+        df = df.hint("rebalance", *parts)
+    if parts:
         df = df.sortWithinPartitions(*parts)
     # Set on every write: a session-wide default must not turn a full
     # recompute into a partial one (or the reverse).
