@@ -285,6 +285,14 @@ def _missing_table(e: Exception) -> bool:
 # --- E5: training -----------------------------------------------------------------
 
 
+def _at_least_one_partition_per_core(df: DataFrame) -> DataFrame:
+    """The forest's passes run one task per input partition: a layer stored in
+    a few large files must not fit on a few cores.  Only ever increases the
+    partition count."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def train_model(spark: SparkSession, gold_path: str, model_path: str | None = None, **forest_args) -> dict:
     """Select, clean, split (exact, stratified), fit, evaluate on the hold-out,
     rank features, save.  Returns the fitted model and report frames."""
@@ -294,7 +302,7 @@ def train_model(spark: SparkSession, gold_path: str, model_path: str | None = No
     # binned rows) and the hold-out once more: the split is computed once and
     # checkpointed into the cluster's checkpoint folder.
     checkpoint_dir(spark)
-    split = ML.stratified_split(data).checkpoint(eager=True)
+    split = _at_least_one_partition_per_core(ML.stratified_split(data)).checkpoint(eager=True)
     model = ML.train(split.filter(~F.col("is_test")).drop("is_test"), **forest_args)
     test = split.filter(F.col("is_test"))
     scored = ML.score(test.select(KEY, *FEATURES), model).join(test.select(KEY, LABEL), KEY)
