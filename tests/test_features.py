@@ -119,3 +119,28 @@ def test_hot_key_collapses_before_shuffle(spark):
 def test_empty_input(spark):
     e = spark.createDataFrame([], SCHEMA)
     assert to_gold(to_silver(e)).count() == 0
+
+
+def test_layer_contracts(spark):
+    """Fixture Bronze fits the source record; Silver and Gold add exactly the
+    documented columns with the documented types."""
+    from txnlake.schemas import BRONZE, GOLD_DERIVED, SILVER_DERIVED
+    from txnlake.sources.fixtures import fixture_layers
+
+    L = fixture_layers(spark, "/root/testdata/sf0.001")
+    assert set(L["bronze"].columns) <= set(BRONZE.fieldNames())
+    s, g = L["silver"].schema, L["gold"].schema
+    for f in SILVER_DERIVED.fields:
+        assert s[f.name].dataType == f.dataType
+    for f in GOLD_DERIVED.fields:
+        assert g[f.name].dataType == f.dataType
+    assert s["trans_date_trans_time"].dataType.typeName() == "timestamp_ntz"
+    assert s["amt"].dataType.typeName() == "double"
+
+
+def test_jobs_reject_a_layer_missing_columns(spark, scratch):
+    from txnlake.plans import jobs
+
+    spark.createDataFrame([("a",)], "trans_num string").write.parquet(f"{scratch}/bronze")
+    with pytest.raises(ValueError, match="missing columns"):
+        jobs.bronze_to_silver(spark, f"{scratch}/bronze", f"{scratch}/silver")

@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnlake.functions import formatting as fmt
-from txnlake.schemas import KEY
+from txnlake.schemas import ALERTS, KEY
 
 ALERT_LIMIT = 10  # fixed value: alerts per message
 ALERT_WINDOW = dt.timedelta(days=1)  # fixed value: look-back from "now"
-ALERT_COLUMNS = ["trans_num", "amt", "fraud_probability", "inference_timestamp"]
+ALERT_COLUMNS = ALERTS.fieldNames()
 
 
 def _ts(now) -> F.Column:

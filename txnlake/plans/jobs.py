@@ -21,7 +21,18 @@ from txnlake.operators import incremental as INC
 from txnlake.operators import ml as ML
 from txnlake.operators.gold import to_gold
 from txnlake.operators.silver import dedupe_latest, split_null_keys, standardize, to_silver
-from txnlake.schemas import FEATURES, KEY, LABEL, PARTITION_COLS, PREDICTIONS, PREDICTIONS_TABLE
+from txnlake.schemas import (
+    FEATURES,
+    GOLD_INPUT,
+    KEY,
+    LABEL,
+    PARTITION_COLS,
+    PREDICTIONS,
+    PREDICTIONS_TABLE,
+    SCORING_INPUT,
+    SILVER_INPUT,
+    TRAINING_INPUT,
+)
 from txnlake.session import checkpoint_dir
 from txnlake.sinks import layers as SINK
 from txnlake.sources.layers import existing_keys, read_jdbc, read_layer, read_or_empty, read_raw_csv
@@ -76,7 +87,7 @@ def bronze_to_silver(
     ``write_layer``)."""
     if bronze_path.rstrip("/") == silver_path.rstrip("/"):
         raise ValueError("a layer cannot be rewritten in place")
-    df = to_silver(read_layer(spark, bronze_path))
+    df = to_silver(read_layer(spark, bronze_path, required=SILVER_INPUT))
     SINK.write_layer(df, silver_path, touched_only=touched_only, rebalance=rebalance)
     return _written_rows(spark, silver_path)
 
@@ -130,7 +141,7 @@ def bronze_to_silver_incremental(
     if bronze_path.rstrip("/") == silver_path.rstrip("/"):
         raise ValueError("a layer cannot be rewritten in place")
     since_lit = F.lit(since).cast("timestamp_ntz")
-    new_rows = read_layer(spark, bronze_path).filter(F.col(INC.CURSOR) >= since_lit)
+    new_rows = read_layer(spark, bronze_path, required=SILVER_INPUT).filter(F.col(INC.CURSOR) >= since_lit)
     return merge_into_silver(new_rows, silver_path)
 
 
@@ -144,7 +155,7 @@ def silver_to_gold(
 ) -> int:
     """Silver -> Gold. ``months`` restricts the read to those (year, month)
     partitions (partition pruning) and implies ``touched_only``."""
-    silver = read_layer(spark, silver_path)
+    silver = read_layer(spark, silver_path, required=GOLD_INPUT)
     if months:
         silver = silver.filter(_months_filter(months))
         touched_only = True
@@ -205,7 +216,7 @@ def run_inference(
     pruning turns into a directory listing).  Work then grows with the new
     data, not with the table.
     """
-    gold = read_layer(spark, gold_path)
+    gold = read_layer(spark, gold_path, required=SCORING_INPUT)
     # A batch id is one unit of work: its selection ignores its own earlier
     # output, so rerunning a batch (after a failure, or by mistake after it
     # completed) selects and writes the same rows instead of new ones.
@@ -296,7 +307,7 @@ def _at_least_one_partition_per_core(df: DataFrame) -> DataFrame:
 def train_model(spark: SparkSession, gold_path: str, model_path: str | None = None, **forest_args) -> dict:
     """Select, clean, split (exact, stratified), fit, evaluate on the hold-out,
     rank features, save.  Returns the fitted model and report frames."""
-    gold = read_layer(spark, gold_path)
+    gold = read_layer(spark, gold_path, required=TRAINING_INPUT)
     data = ML.clean_training(gold.select(KEY, *FEATURES, LABEL))
     # The forest reads its input several times (metadata, split candidates,
     # binned rows) and the hold-out once more: the split is computed once and
@@ -328,7 +339,7 @@ def compare_models(
     (column conditions, e.g. two ingestion periods) and score both on one
     shared hold-out, the exact stratified test split of all rows.  Returns
     one metrics row per model."""
-    gold = read_layer(spark, gold_path)
+    gold = read_layer(spark, gold_path, required=TRAINING_INPUT)
     data = ML.clean_training(gold)
     checkpoint_dir(spark)
     split = ML.stratified_split(data).checkpoint(eager=True)

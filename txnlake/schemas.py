@@ -111,9 +111,11 @@ ALERTS = T.StructType(
     ]
 )
 
-
-def key_schema() -> T.StructType:
-    return T.StructType([T.StructField(KEY, T.StringType())])
+# Columns each job needs from its input layer (checked when it is read).
+SILVER_INPUT = [KEY, "trans_date_trans_time", "amt", "ingestion_timestamp"]
+GOLD_INPUT = ["dob", "amt", "transaction_hour", "lat", "long", "merch_lat", "merch_long"]
+SCORING_INPUT = [KEY, "ingestion_timestamp", *FEATURES]
+TRAINING_INPUT = [KEY, *FEATURES, LABEL]
 
 
 def check_columns(df: DataFrame, required: list[str] | T.StructType, what: str) -> DataFrame:
