@@ -84,13 +84,17 @@ def to_silver(bronze: DataFrame, dedupe: bool = True, key: str = KEY) -> DataFra
 
 
 def silver_quality(bronze: DataFrame, key: str = KEY) -> DataFrame:
-    """One row of reject counts: null keys, duplicate copies, unparseable
-    times, NULL amounts. Computed in a single aggregate over Bronze."""
+    """One row of reject counts over Bronze: rows, NULL keys, duplicate copies
+    (rows beyond one per key), unparseable times (text present, no
+    timestamp), NULL amounts and NULL coordinates.  One aggregate; the
+    distinct count combines map-side, so a key repeated millions of times
+    collapses before its shuffle."""
     ts = X.parse_timestamp(F.col("trans_date_trans_time"))
     return bronze.agg(
         F.count(F.lit(1)).alias("bronze_rows"),
         F.count_if(F.col(key).isNull()).alias("null_keys"),
-        (F.count(F.col(key)) - F.approx_count_distinct(key)).alias("approx_duplicate_rows"),
+        (F.count(F.col(key)) - F.count_distinct(F.col(key))).alias("duplicate_rows"),
         F.count_if(F.col("trans_date_trans_time").isNotNull() & ts.isNull()).alias("bad_timestamps"),
         F.count_if(X.to_double(F.col("amt")).isNull()).alias("null_amounts"),
+        F.count_if(F.col("lat").isNull() | F.col("long").isNull()).alias("null_coordinates"),
     )

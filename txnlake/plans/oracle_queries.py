@@ -236,6 +236,19 @@ FROM (SELECT CAST(least(floor((customer_merchant_distance - r.lo) / (r.hi - r.lo
 GROUP BY bin, r.lo, r.hi
 """,
 )
+sql(
+    "silver_quality",
+    """
+SELECT count(*) AS bronze_rows,
+  count(*) FILTER (WHERE trans_num IS NULL) AS null_keys,
+  count(trans_num) - count(DISTINCT trans_num) AS duplicate_rows,
+  count(*) FILTER (WHERE trans_date_trans_time IS NOT NULL AND TRY_CAST(trans_date_trans_time AS TIMESTAMP) IS NULL)
+    AS bad_timestamps,
+  count(*) FILTER (WHERE TRY_CAST(amt AS DOUBLE) IS NULL) AS null_amounts,
+  count(*) FILTER (WHERE lat IS NULL OR long IS NULL) AS null_coordinates
+FROM bronze
+""",
+)
 sql(
     "uniqueness",
     "SELECT count(*) AS total_rows, count(DISTINCT trans_num) AS unique_rows, count(*) = count(DISTINCT trans_num) AS is_unique FROM bronze",

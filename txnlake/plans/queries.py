@@ -310,6 +310,13 @@ def q_hist_distance(spark, sf_dir):
     return MON.histogram(p, "customer_merchant_distance", MON.DISTANCE_BINS)
 
 
+@register("silver_quality")
+def q_silver_quality(spark, sf_dir):
+    from txnlake.operators.silver import silver_quality
+
+    return silver_quality(_layers(spark, sf_dir)["bronze"])
+
+
 @register("uniqueness")
 def q_uniqueness(spark, sf_dir):
     return VAL.uniqueness(_layers(spark, sf_dir)["bronze"])
