@@ -15,7 +15,7 @@ from txnlake.functions.columns import drop_if_present, normalize_columns
 from txnlake.plans import jobs
 from txnlake.schemas import PREDICTIONS
 from txnlake.sinks import layers as SINK
-from txnlake.sources.layers import read_jdbc, read_or_empty, read_raw_csv
+from txnlake.sources.layers import read_jdbc, read_jdbc_parallel, read_or_empty, read_raw_csv
 
 DERBY = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
 
@@ -81,6 +81,8 @@ def test_jdbc_full_load_append_and_partitioned_read(spark):
     assert back.count() == 110
     keys = read_jdbc(spark, url, "FULLLOAD", props, columns=["trans_num"])
     assert keys.columns == ["trans_num"] and keys.count() == 110
+    par = read_jdbc_parallel(spark, url, "FULLLOAD", "row_id", 3, props)
+    assert par.rdd.getNumPartitions() == 3 and par.count() == 110
 
 
 def test_reset_tables_only_named(spark):
