@@ -11,7 +11,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from txnlake.schemas import FEATURES, KEY, LABEL
@@ -216,7 +216,7 @@ def feature_importance(model: PipelineModel, spark=None) -> DataFrame:
     rf = model.stages[-1]
     imp = rf.featureImportances.toArray().tolist()
     names = model.stages[0].getInputCols()
-    spark = spark or __import__("pyspark.sql", fromlist=["SparkSession"]).SparkSession.getActiveSession()
+    spark = spark or SparkSession.getActiveSession()
     rows = [(n, float(v)) for n, v in zip(names, imp)]
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 

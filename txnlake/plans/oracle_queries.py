@@ -358,6 +358,14 @@ UNION ALL SELECT 'weighted avg', {_w(P0, P1)}, {_w(R0, R1)}, {_w(_f(P0, R0), _f(
 )
 
 # 2.10 end-to-end jobs
+sql(
+    "inference_selection",
+    f"""
+SELECT trans_num, {FEATURES} FROM waiting
+WHERE {' AND '.join(c.strip() + ' IS NOT NULL AND NOT isnan(CAST(' + c.strip() + ' AS DOUBLE))' for c in FEATURES.split(','))}
+ORDER BY ingestion_timestamp ASC NULLS FIRST, trans_num LIMIT 5000
+""",
+)
 sql("bronze_to_silver", "SELECT * FROM silver")
 sql("silver_to_gold", "SELECT * FROM gold")
 sql("alert_batch", ALERT_MESSAGE)

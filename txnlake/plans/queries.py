@@ -459,6 +459,14 @@ def q_silver_to_gold(spark, sf_dir):
     return _layers(spark, sf_dir)["gold"]
 
 
+@register("inference_selection")
+def q_inference_selection(spark, sf_dir):
+    """E3 up to the model: unscored -> scorable -> oldest 5,000 -> features."""
+    L = _layers(spark, sf_dir)
+    ok, _ = ML.split_scorable(_waiting(L))
+    return ML.select_features(INC.next_batch(ok))
+
+
 @register("inference_batch")
 def q_inference_batch(spark, sf_dir):
     from txnlake.plans.jobs import inference_batch
