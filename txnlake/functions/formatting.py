@@ -30,8 +30,9 @@ def thousands(c: Column) -> Column:
 
 
 def percent(c: Column, digits: int = 2) -> Column:
-    """12.3456 -> '12.35%'."""
-    return F.format_string(f"%.{digits}f%%", c)
+    """12.3456 -> '12.35%'; NULL stays NULL (``format_string`` would print
+    a truncated 'null')."""
+    return F.when(c.isNotNull(), F.format_string(f"%.{digits}f%%", c))
 
 
 def money(c: Column) -> Column:
@@ -40,7 +41,7 @@ def money(c: Column) -> Column:
 
 
 def fixed(c: Column, digits: int = 4) -> Column:
-    return F.format_string(f"%.{digits}f", c)
+    return F.when(c.isNotNull(), F.format_string(f"%.{digits}f", c))
 
 
 def minute_stamp(c: Column) -> Column:

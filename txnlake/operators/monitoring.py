@@ -258,7 +258,7 @@ def panel_aggregates(df: DataFrame) -> DataFrame:
     bin_ = F.least(F.floor(F.col(PROB) * F.lit(PROBABILITY_BINS)), F.lit(PROBABILITY_BINS - 1)).cast("int")
     is_f = F.col(PRED) == 1
     sets = [[], [PRED], ["high_amount_flag"], ["night_transaction_flag"], ["transaction_hour"], [_BIN]]
-    return (
+    out = (
         df.withColumn(_BIN, bin_)
         .groupingSets(sets, *_PANEL_KEYS)
         .agg(
@@ -271,6 +271,12 @@ def panel_aggregates(df: DataFrame) -> DataFrame:
             F.grouping_id().alias("gid"),
         )
     )
+    # Spark returns no grand-total row for an empty input; SQL (and a
+    # global aggregate) returns one.  Reading one row settles which case.
+    if df.isEmpty():
+        total = (None,) * len(_PANEL_KEYS) + (0, 0, None, None, 0, None, _gid())
+        return df.sparkSession.createDataFrame([total], out.schema)
+    return out
 
 
 def panels_from_aggregates(agg: DataFrame) -> dict[str, DataFrame]:
@@ -330,8 +336,7 @@ def monitoring(df: DataFrame, which: str = "All", one_pass: bool = True) -> dict
     With ``one_pass`` the seven aggregate panels come from one GROUPING SETS
     scan, checkpointed (it is tiny) so that reading the panels does not scan
     the table again; the top-k panels and the distance histogram (whose
-    range needs its own pass) scan on their own.  An empty input takes the
-    per-panel path, whose global aggregates still return their one row.
+    range needs its own pass) scan on their own.
     """
     d = by_prediction(df, which)
     rest = {
@@ -340,7 +345,7 @@ def monitoring(df: DataFrame, which: str = "All", one_pass: bool = True) -> dict
         "distance_histogram": histogram(d, "customer_merchant_distance", DISTANCE_BINS),
         "preview": preview(d),
     }
-    if one_pass and not d.isEmpty():
+    if one_pass:
         from txnlake.session import checkpoint_dir
 
         checkpoint_dir(d.sparkSession)
