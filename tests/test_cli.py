@@ -38,3 +38,24 @@ def test_cycle_from_the_command_line(spark, scratch, capsys):
         "bronze": True, "silver": True, "gold": True, "predictions": True
     }
     _ = dt
+
+
+def test_ingest_full_load_and_reset_from_the_command_line(spark, scratch, capsys):
+    from txnlake.sources.layers import read_jdbc
+
+    src = bronze_from_events(load_table(spark, SF, "events"))
+    src.write.parquet(f"{scratch}/source")
+    capsys.readouterr()
+    main(["ingest", "--source", f"{scratch}/source", "--bronze", f"{scratch}/bronze"], spark)
+    main(["ingest", "--source", f"{scratch}/source", "--bronze", f"{scratch}/bronze"], spark)
+    out = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
+    assert out == [{"appended": 1050}, {"appended": 0}]
+    props = f"{scratch}/jdbc.json"
+    with open(props, "w") as f:
+        json.dump({"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}, f)
+    url = "jdbc:derby:memory:txnlake_cli;create=true"
+    main(["full-load", "--gold", f"{scratch}/bronze", "--url", url, "--table", "HISTORY_LOAD", "--jdbc-properties", props], spark)
+    assert read_jdbc(spark, url, "HISTORY_LOAD", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}).count() == 1050
+    spark.range(2).write.saveAsTable("txnlake_cli_tmp")
+    main(["reset", "--tables", "txnlake_cli_tmp"], spark)
+    assert not spark.catalog.tableExists("txnlake_cli_tmp")

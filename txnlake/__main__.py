@@ -11,6 +11,12 @@
     python -m txnlake backup --predictions P --out DIR
     python -m txnlake prepare-raw --csv F --out DIR
     python -m txnlake cycle --root R --batch-id ID --run-ts TS [--since TS]
+    python -m txnlake ingest --source SRC --bronze B [--format parquet|csv] [--lookback-hours H]
+    python -m txnlake full-load --gold G --url URL --table T --jdbc-properties FILE.json
+    python -m txnlake reset --tables T1,T2
+
+JDBC credentials are read from a JSON properties file (user, password,
+driver, ...), never from the command line.
 
 Clocks, dates and batch ids are arguments, never read from the machine, so
 a rerun with the same arguments writes the same output.  Results that are
@@ -83,6 +89,18 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     a.add_argument("--run-ts", type=_ts, required=True)
     a.add_argument("--since", type=_ts)
     a.add_argument("--as-of")
+    a = sub.add_parser("ingest")
+    a.add_argument("--source", required=True)
+    a.add_argument("--bronze", required=True)
+    a.add_argument("--format", default="parquet", choices=["parquet", "csv"])
+    a.add_argument("--lookback-hours", type=float, default=1.0)
+    a = sub.add_parser("full-load")
+    a.add_argument("--gold", required=True)
+    a.add_argument("--url", required=True)
+    a.add_argument("--table", required=True)
+    a.add_argument("--jdbc-properties", required=True)
+    a = sub.add_parser("reset")
+    a.add_argument("--tables", required=True)
     args = p.parse_args(argv)
 
     if spark is None:
@@ -131,6 +149,23 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         jobs.backup(spark.read.parquet(args.predictions), args.out)
     elif c == "prepare-raw":
         jobs.prepare_raw(spark, args.csv, args.out)
+    elif c == "ingest":
+        from txnlake.sources.layers import read_raw_csv
+
+        src = read_raw_csv(spark, args.source) if args.format == "csv" else spark.read.parquet(args.source)
+        n = jobs.ingest_to_bronze(spark, src, args.bronze, lookback=dt.timedelta(hours=args.lookback_hours))
+        print(json.dumps({"appended": n}))
+    elif c == "full-load":
+        with open(args.jdbc_properties) as f:
+            props = json.load(f)
+        jobs.historical_load(spark, args.gold, args.url, args.table, props)
+        print(json.dumps({"loaded": args.table}))
+    elif c == "reset":
+        from txnlake.sinks.layers import reset_tables
+
+        names = [t.strip() for t in args.tables.split(",") if t.strip()]
+        reset_tables(spark, names)
+        print(json.dumps({"dropped": names}))
     elif c == "cycle":
         r = args.root.rstrip("/")
         paths = {k: f"{r}/{k}" for k in ("bronze", "silver", "gold", "model", "batches", "predictions", "state")}
