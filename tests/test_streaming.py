@@ -96,3 +96,26 @@ def test_stream_trend_matches_batch_for_closed_windows(spark, bronze, scratch):
     j = got.alias("s").join(batch.alias("b"), "window_start")
     assert j.count() == emitted
     assert j.filter("s.transactions != b.transactions OR s.frauds != b.frauds").count() == 0
+
+
+def test_stream_scoring_scores_every_scorable_row_once(spark, bronze, scratch):
+    from txnlake.operators import ml as ML
+    from txnlake.schemas import FEATURES, LABEL
+
+    gold = to_gold(to_silver(bronze), as_of=AS_OF)
+    gold.repartition(4).write.parquet(f"{scratch}/gold")
+    g = spark.read.parquet(f"{scratch}/gold")
+    model = ML.train(ML.clean_training(g.select(*FEATURES, LABEL)), num_trees=5, max_depth=3)
+    for _ in range(2):  # second start: nothing new, nothing appended twice
+        q = S.start_scoring(
+            spark.readStream.schema(g.schema).option("maxFilesPerTrigger", 1).parquet(f"{scratch}/gold"),
+            model,
+            f"{scratch}/pred",
+            f"{scratch}/ckpt",
+        )
+        q.awaitTermination(300)
+        assert q.exception() is None
+    p = spark.read.parquet(f"{scratch}/pred")
+    scorable = ML.split_scorable(g)[0].count()
+    assert p.count() == p.select("trans_num").distinct().count() == scorable
+    assert p.select("batch_id").distinct().count() == 4

@@ -93,3 +93,32 @@ def start_idempotent_append(
 
     w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint_location)
     return _trigger(w, available_now, interval).start()
+
+
+def start_scoring(
+    stream: DataFrame,
+    model,
+    predictions_path: str,
+    checkpoint_location: str,
+    available_now: bool = True,
+    interval: str | None = None,
+    key: str = KEY,
+) -> StreamingQuery:
+    """Continuous E3 + E4: every micro-batch of new Gold rows is split into
+    scorable rows (the rest are left for the quality report), scored on the
+    executors, stamped with the micro-batch's time, and appended through the
+    idempotent sink under ``batch_id=s<id>``.  Pace it with
+    ``maxFilesPerTrigger`` on the source rather than a row limit.  A replayed
+    micro-batch rescores the same keys and replaces its own directory."""
+    from txnlake.operators import ml as ML
+    from txnlake.schemas import PREDICTIONS
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        ok, _ = ML.split_scorable(batch.filter(F.col(key).isNotNull()))
+        scored = ML.score(ML.select_features(ok), model).withColumn(
+            "inference_timestamp", F.current_timestamp().cast("timestamp_ntz")
+        )
+        append_idempotent(scored.select(*PREDICTIONS.fieldNames()), predictions_path, f"s{batch_id:012d}", key)
+
+    w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint_location)
+    return _trigger(w, available_now, interval).start()
