@@ -103,8 +103,12 @@ if __name__ == "__main__":
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or None
-    tz = os.environ.get("SESSION_TZ")
-    spark = build_session(extra={"spark.sql.session.timeZone": tz} if tz else None)
+    import json
+
+    extra = json.loads(os.environ.get("EXTRA_CONF", "{}"))
+    if os.environ.get("SESSION_TZ"):
+        extra["spark.sql.session.timeZone"] = os.environ["SESSION_TZ"]
+    spark = build_session(extra=extra or None)
     res = compare(spark, sf, names)
     bad = [k for k, v in res.items() if v[0] is False]
     print("FAILED:", bad if bad else "none")
