@@ -72,10 +72,10 @@ def test_jdbc_full_load_append_and_partitioned_read(spark):
         F.col("id").cast("string").alias("trans_num"),
         (F.col("id") / 10).alias("amt"),
         F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz").alias("inference_timestamp"),
-        F.struct(F.lit(1).alias("x")).alias("_airbyte_meta"),
+        F.struct(F.lit(1).alias("x")).alias("_ingestion_meta"),
     )
     SINK.full_load(df, url, "FULLLOAD", props, max_connections=2)
-    SINK.write_jdbc(df.drop("_airbyte_meta").limit(10), url, "FULLLOAD", mode="append", properties=props)
+    SINK.write_jdbc(SINK.jdbc_storable(df).limit(10), url, "FULLLOAD", mode="append", properties=props)
     back = read_jdbc(spark, url, "FULLLOAD", props, partition_column="row_id", lower=0, upper=100, num_partitions=4)
     assert back.rdd.getNumPartitions() == 4
     assert back.count() == 110

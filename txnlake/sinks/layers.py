@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from txnlake.schemas import PARTITION_COLS
 
@@ -93,10 +94,16 @@ def export(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite")
         raise ValueError(f"unknown format {fmt}")
 
 
+def jdbc_storable(df: DataFrame) -> DataFrame:
+    """Drop nested columns (structs, maps), such as the ingestion tool's
+    metadata record: JDBC has no column type for them."""
+    nested = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StructType, T.MapType))]
+    return df.drop(*nested) if nested else df
+
+
 def full_load(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None, **kw) -> None:
-    """Overwrite a database table with a layer; nested ingestion metadata is
-    dropped because JDBC has no type for structs."""
-    write_jdbc(df.drop("_airbyte_meta"), url, table, mode="overwrite", properties=properties, **kw)
+    """Overwrite a database table with a layer, nested columns dropped."""
+    write_jdbc(jdbc_storable(df), url, table, mode="overwrite", properties=properties, **kw)
 
 
 def reset_tables(spark: SparkSession, names: list[str]) -> None:
