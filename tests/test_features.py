@@ -144,3 +144,13 @@ def test_jobs_reject_a_layer_missing_columns(spark, scratch):
     spark.createDataFrame([("a",)], "trans_num string").write.parquet(f"{scratch}/bronze")
     with pytest.raises(ValueError, match="missing columns"):
         jobs.bronze_to_silver(spark, f"{scratch}/bronze", f"{scratch}/silver")
+
+
+def test_timestamp_typed_source_is_not_reparsed(spark):
+    df = spark.createDataFrame(
+        [("a", dt.datetime(2024, 1, 6, 3, 15), 1.0, dt.datetime(2024, 1, 6))],
+        "trans_num string, trans_date_trans_time timestamp_ntz, amt double, ingestion_timestamp timestamp_ntz",
+    )
+    r = to_silver(df).first()
+    assert (r["transaction_hour"], r["is_weekend"], r["transaction_day"]) == (3, 1, 6)
+    assert "to_timestamp" not in to_silver(df)._jdf.queryExecution().optimizedPlan().toString()

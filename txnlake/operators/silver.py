@@ -56,7 +56,13 @@ def dedupe_latest(df: DataFrame, key: str = KEY, order: str = ORDER_COL) -> Data
 
 
 def silver_columns(df: DataFrame, ts_col: str = "trans_date_trans_time") -> dict[str, Column]:
-    ts = X.parse_timestamp(F.col(ts_col))
+    # Text is parsed (unparseable -> NULL); a timestamp column (the source
+    # table's declared type) only has its type normalised to wall-clock NTZ.
+    kind = df.schema[ts_col].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        ts = F.col(ts_col).cast("timestamp_ntz")
+    else:
+        ts = X.parse_timestamp(F.col(ts_col))
     return {
         ts_col: ts,
         "transaction_year": F.year(ts),

@@ -17,7 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnlake.functions import features as X
+from txnlake.functions.formatting import AMOUNT_LABELS, TIME_LABELS
 from txnlake.operators import alerts as AL
+from txnlake.operators.anomaly import amount_anomalies, drift_report
+from txnlake.operators.silver import silver_quality
+from txnlake.operators.trends import fraud_trend
+from txnlake.plans import jobs
 from txnlake.operators import incremental as INC
 from txnlake.operators import ml as ML
 from txnlake.operators import monitoring as MON
@@ -280,15 +285,11 @@ def q_fraud_by_hour(spark, sf_dir):
 
 @register("by_high_amount")
 def q_by_high_amount(spark, sf_dir):
-    from txnlake.functions.formatting import AMOUNT_LABELS
-
     return MON.by_flag(_layers(spark, sf_dir)["predictions"], "high_amount_flag", AMOUNT_LABELS)
 
 
 @register("by_night")
 def q_by_night(spark, sf_dir):
-    from txnlake.functions.formatting import TIME_LABELS
-
     return MON.by_flag(_layers(spark, sf_dir)["predictions"], "night_transaction_flag", TIME_LABELS)
 
 
@@ -312,8 +313,6 @@ def q_hist_distance(spark, sf_dir):
 
 @register("silver_quality")
 def q_silver_quality(spark, sf_dir):
-    from txnlake.operators.silver import silver_quality
-
     return silver_quality(_layers(spark, sf_dir)["bronze"])
 
 
@@ -469,10 +468,8 @@ def q_inference_selection(spark, sf_dir):
 
 @register("inference_batch")
 def q_inference_batch(spark, sf_dir):
-    from txnlake.plans.jobs import inference_batch
-
     L = _layers(spark, sf_dir)
-    return inference_batch(L["gold"], _scored_keys(L), _model(spark, sf_dir, L), NOW)
+    return jobs.inference_batch(L["gold"], _scored_keys(L), _model(spark, sf_dir, L), NOW)
 
 
 @register("train_model")
@@ -500,22 +497,16 @@ def q_validation_report(spark, sf_dir):
 
 @register("fraud_trend")
 def q_fraud_trend(spark, sf_dir):
-    from txnlake.operators.trends import fraud_trend
-
     return fraud_trend(_layers(spark, sf_dir)["gold"])
 
 
 @register("amount_anomalies")
 def q_amount_anomalies(spark, sf_dir):
-    from txnlake.operators.anomaly import amount_anomalies
-
     return amount_anomalies(_layers(spark, sf_dir)["gold"])
 
 
 @register("feature_drift")
 def q_feature_drift(spark, sf_dir):
-    from txnlake.operators.anomaly import drift_report
-
     g = _layers(spark, sf_dir)["gold"]
     cut = F.lit(BATCH_UPTO).cast("timestamp_ntz")
     return drift_report(g.filter(F.col("ingestion_timestamp") < cut), g.filter(F.col("ingestion_timestamp") >= cut))
