@@ -56,6 +56,9 @@ def test_ingest_full_load_and_reset_from_the_command_line(spark, scratch, capsys
     url = "jdbc:derby:memory:txnlake_cli;create=true"
     main(["full-load", "--gold", f"{scratch}/bronze", "--url", url, "--table", "HISTORY_LOAD", "--jdbc-properties", props], spark)
     assert read_jdbc(spark, url, "HISTORY_LOAD", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}).count() == 1050
+    main(["quality", "--bronze", f"{scratch}/bronze"], spark)
+    q = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert (q["bronze_rows"], q["duplicate_rows"], q["bad_timestamps"]) == (1050, 50, 10)
     spark.range(2).write.saveAsTable("txnlake_cli_tmp")
     main(["reset", "--tables", "txnlake_cli_tmp"], spark)
     assert not spark.catalog.tableExists("txnlake_cli_tmp")

@@ -14,6 +14,7 @@
     python -m txnlake ingest --source SRC --bronze B [--format parquet|csv] [--lookback-hours H]
     python -m txnlake full-load --gold G --url URL --table T --jdbc-properties FILE.json
     python -m txnlake reset --tables T1,T2
+    python -m txnlake quality --bronze B
 
 JDBC credentials are read from a JSON properties file (user, password,
 driver, ...), never from the command line.
@@ -101,6 +102,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     a.add_argument("--jdbc-properties", required=True)
     a = sub.add_parser("reset")
     a.add_argument("--tables", required=True)
+    a = sub.add_parser("quality")
+    a.add_argument("--bronze", required=True)
     args = p.parse_args(argv)
 
     if spark is None:
@@ -166,6 +169,10 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         names = [t.strip() for t in args.tables.split(",") if t.strip()]
         reset_tables(spark, names)
         print(json.dumps({"dropped": names}))
+    elif c == "quality":
+        from txnlake.operators.silver import silver_quality
+
+        _print_rows(silver_quality(spark.read.parquet(args.bronze)))
     elif c == "cycle":
         r = args.root.rstrip("/")
         paths = {k: f"{r}/{k}" for k in ("bronze", "silver", "gold", "model", "batches", "predictions", "state")}
