@@ -113,6 +113,11 @@ def stratified_split(
     at most 2^20 rows per class), whose running totals locate, per class, the
     one bucket the cut falls in.  Only rows of that bucket are ranked
     individually; every other row is decided by comparing its bucket.
+
+    Keys are expected unique (the training frame comes from Gold, which is
+    deduplicated on the key): copies of one key share a hash, so a key copied
+    across a large share of the rows would be ranked in one task if its
+    bucket held the cut.  Dedupe first (``silver.dedupe_latest``) otherwise.
     """
     h = _split_hash(key, seed)
     d = df.withColumn("_h", h).withColumn(
