@@ -58,6 +58,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     a = sub.add_parser("train")
     a.add_argument("--gold", required=True)
     a.add_argument("--model", required=True)
+    a.add_argument("--balanced", action="store_true", help="weight classes equally (off by default)")
     a = sub.add_parser("infer")
     for k in ("gold", "predictions", "model", "batches", "batch-id"):
         a.add_argument(f"--{k}", required=True)
@@ -124,7 +125,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     elif c == "silver-to-gold":
         print(json.dumps({"rows": jobs.silver_to_gold(spark, args.silver, args.gold, as_of=args.as_of)}))
     elif c == "train":
-        r = jobs.train_model(spark, args.gold, args.model)
+        r = jobs.train_model(spark, args.gold, args.model, balanced=args.balanced)
         _print_rows(r["metrics"])
         _print_rows(r["importance"])
     elif c == "infer":

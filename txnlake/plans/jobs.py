@@ -304,7 +304,9 @@ def _at_least_one_partition_per_core(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def train_model(spark: SparkSession, gold_path: str, model_path: str | None = None, **forest_args) -> dict:
+def train_model(
+    spark: SparkSession, gold_path: str, model_path: str | None = None, balanced: bool = False, **forest_args
+) -> dict:
     """Select, clean, split (exact, stratified), fit, evaluate on the hold-out,
     rank features, save.  Returns the fitted model and report frames."""
     gold = read_layer(spark, gold_path, required=TRAINING_INPUT)
@@ -314,7 +316,11 @@ def train_model(spark: SparkSession, gold_path: str, model_path: str | None = No
     # checkpointed into the cluster's checkpoint folder.
     checkpoint_dir(spark)
     split = _at_least_one_partition_per_core(ML.stratified_split(data)).checkpoint(eager=True)
-    model = ML.train(split.filter(~F.col("is_test")).drop("is_test"), **forest_args)
+    fit_rows = split.filter(~F.col("is_test")).drop("is_test")
+    if balanced:  # off by default, as in the original fit
+        fit_rows = ML.with_balanced_weights(fit_rows)
+        forest_args = {**forest_args, "weight_col": "class_weight"}
+    model = ML.train(fit_rows, **forest_args)
     test = split.filter(F.col("is_test"))
     scored = ML.score(test.select(KEY, *FEATURES), model).join(test.select(KEY, LABEL), KEY)
     if model_path:
