@@ -62,3 +62,34 @@ def test_ingest_full_load_and_reset_from_the_command_line(spark, scratch, capsys
     spark.range(2).write.saveAsTable("txnlake_cli_tmp")
     main(["reset", "--tables", "txnlake_cli_tmp"], spark)
     assert not spark.catalog.tableExists("txnlake_cli_tmp")
+
+
+def test_remaining_commands(spark, scratch, capsys):
+    from txnlake.operators import ml as ML
+    from txnlake.operators.gold import to_gold
+    from txnlake.operators.silver import to_silver
+    from txnlake.schemas import FEATURES, LABEL
+    from txnlake.sources.fixtures import predictions_from_gold
+
+    gold = to_gold(to_silver(bronze_from_events(load_table(spark, SF, "events"))), as_of="2024-02-01")
+    gold.write.parquet(f"{scratch}/gold")
+    ML.save_model(ML.train(ML.clean_training(gold.select(*FEATURES, LABEL)), num_trees=3, max_depth=2), f"{scratch}/m")
+    args = ["--gold", f"{scratch}/gold", "--predictions", f"{scratch}/p", "--model", f"{scratch}/m",
+            "--batches", f"{scratch}/b", "--run-ts", "2024-02-01T00:00:00", "--state", f"{scratch}/st", "--n", "300"]
+    capsys.readouterr()
+    main(["infer", *args, "--batch-id", "r1"], spark)
+    main(["persist", "--batches", f"{scratch}/b", "--batch-id", "r1", "--predictions", f"{scratch}/p"], spark)
+    main(["infer", *args, "--batch-id", "r2"], spark)
+    main(["persist", "--batches", f"{scratch}/b", "--batch-id", "r2", "--predictions", f"{scratch}/p"], spark)
+    lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
+    assert [list(x.values())[0] for x in lines] == [300, 300, 300, 300]
+    predictions_from_gold(gold).write.parquet(f"{scratch}/fixture_preds")
+    main(["alerts", "--predictions", f"{scratch}/fixture_preds", "--now", "2024-01-31T00:00:00"], spark)
+    alert = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert alert["n_alerts"] == 10 and alert["message"].count("Transaction: ") == 10
+    main(["backup", "--predictions", f"{scratch}/p", "--out", f"{scratch}/bk"], spark)
+    assert spark.read.parquet(f"{scratch}/bk/parquet").count() == 600
+    with open(f"{scratch}/raw.csv", "w") as f:
+        f.write("Unnamed: 0,Trans Num\n0,a\n")
+    main(["prepare-raw", "--csv", f"{scratch}/raw.csv", "--out", f"{scratch}/clean"], spark)
+    assert spark.read.option("header", True).csv(f"{scratch}/clean").columns == ["trans_num"]
