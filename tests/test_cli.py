@@ -93,3 +93,19 @@ def test_remaining_commands(spark, scratch, capsys):
         f.write("Unnamed: 0,Trans Num\n0,a\n")
     main(["prepare-raw", "--csv", f"{scratch}/raw.csv", "--out", f"{scratch}/clean"], spark)
     assert spark.read.option("header", True).csv(f"{scratch}/clean").columns == ["trans_num"]
+
+
+def test_stream_commands(spark, scratch, capsys):
+    from txnlake.operators import ml as ML
+    from txnlake.schemas import FEATURES, LABEL
+
+    bronze_from_events(load_table(spark, SF, "events")).write.parquet(f"{scratch}/bronze")
+    main(["stream-layers", "--bronze", f"{scratch}/bronze", "--silver", f"{scratch}/silver", "--gold",
+          f"{scratch}/gold", "--checkpoint", f"{scratch}/c1", "--as-of", "2024-02-01"], spark)
+    gold = spark.read.parquet(f"{scratch}/gold")
+    assert gold.count() == 1000
+    ML.save_model(ML.train(ML.clean_training(gold.select(*FEATURES, LABEL)), num_trees=3, max_depth=2), f"{scratch}/m")
+    main(["stream-score", "--gold", f"{scratch}/gold", "--model", f"{scratch}/m", "--predictions",
+          f"{scratch}/p", "--checkpoint", f"{scratch}/c2"], spark)
+    p = spark.read.parquet(f"{scratch}/p")
+    assert p.count() == p.select("trans_num").distinct().count() == ML.split_scorable(gold)[0].count()

@@ -15,6 +15,8 @@
     python -m txnlake full-load --gold G --url URL --table T --jdbc-properties FILE.json
     python -m txnlake reset --tables T1,T2
     python -m txnlake quality --bronze B
+    python -m txnlake stream-layers --bronze B --silver S --gold G --checkpoint C [--interval "5 minutes"]
+    python -m txnlake stream-score --gold G --model M --predictions P --checkpoint C [--interval ...]
 
 JDBC credentials are read from a JSON properties file (user, password,
 driver, ...), never from the command line.
@@ -105,6 +107,17 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     a.add_argument("--tables", required=True)
     a = sub.add_parser("quality")
     a.add_argument("--bronze", required=True)
+    a = sub.add_parser("stream-layers")
+    for k in ("bronze", "silver", "gold", "checkpoint"):
+        a.add_argument(f"--{k}", required=True)
+    a.add_argument("--as-of")
+    a.add_argument("--interval", help="processing-time trigger; default: process what is there and stop")
+    a.add_argument("--max-files", type=int)
+    a = sub.add_parser("stream-score")
+    for k in ("gold", "model", "predictions", "checkpoint"):
+        a.add_argument(f"--{k}", required=True)
+    a.add_argument("--interval")
+    a.add_argument("--max-files", type=int)
     args = p.parse_args(argv)
 
     if spark is None:
@@ -174,6 +187,25 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         from txnlake.operators.silver import silver_quality
 
         _print_rows(silver_quality(spark.read.parquet(args.bronze)))
+    elif c in ("stream-layers", "stream-score"):
+        from txnlake.streaming import layers as S
+
+        if c == "stream-layers":
+            src = S.bronze_stream(spark, args.bronze, max_files_per_trigger=args.max_files)
+            q = S.start_silver_gold(
+                src, args.silver, args.gold, args.checkpoint, as_of=args.as_of,
+                available_now=args.interval is None, interval=args.interval,
+            )
+        else:
+            from txnlake.operators.ml import load_model
+
+            src = S.bronze_stream(spark, args.gold, max_files_per_trigger=args.max_files)
+            q = S.start_scoring(
+                src, load_model(args.model), args.predictions, args.checkpoint,
+                available_now=args.interval is None, interval=args.interval,
+            )
+        q.awaitTermination()
+        print(json.dumps({"stream": c, "batches": q.lastProgress["batchId"] + 1 if q.lastProgress else 0}))
     elif c == "cycle":
         r = args.root.rstrip("/")
         paths = {k: f"{r}/{k}" for k in ("bronze", "silver", "gold", "model", "batches", "predictions", "state")}
