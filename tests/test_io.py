@@ -91,6 +91,8 @@ def test_reset_tables_only_named(spark):
     SINK.reset_tables(spark, ["txnlake_drop_me"])
     assert not spark.catalog.tableExists("txnlake_drop_me")
     assert spark.table("keepme").count() == 1
+    with pytest.raises(ValueError):
+        SINK.reset_tables(spark, ["x; DROP TABLE keepme"])
 
 
 def test_layer_read_and_overwrite_guard(spark, scratch):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -106,7 +108,14 @@ def full_load(df: DataFrame, url: str, table: str, properties: dict[str, str] |
     write_jdbc(jdbc_storable(df), url, table, mode="overwrite", properties=properties, **kw)
 
 
+_TABLE_NAME = re.compile(r"^[A-Za-z_]\w*(\.[A-Za-z_]\w*)?$")
+
+
 def reset_tables(spark: SparkSession, names: list[str]) -> None:
-    """Drop the named catalog tables (an explicit list, never a pattern)."""
+    """Drop the named catalog tables (an explicit list, never a pattern).
+    Names must be plain, optionally database-qualified, identifiers."""
+    bad = [n for n in names if not _TABLE_NAME.match(n)]
+    if bad:
+        raise ValueError(f"not a table name: {bad}")
     for n in names:
         spark.sql(f"DROP TABLE IF EXISTS {n}")
