@@ -154,3 +154,10 @@ def test_timestamp_typed_source_is_not_reparsed(spark):
     r = to_silver(df).first()
     assert (r["transaction_hour"], r["is_weekend"], r["transaction_day"]) == (3, 1, 6)
     assert "to_timestamp" not in to_silver(df)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_haversine_is_offered_beside_the_degree_distance(spark):
+    rows = [("k", "2024-01-05 10:00:00", 1.0, 30.0, -90.0, 31.0, -90.0, dt.date(1990, 1, 1), T0)]
+    g = to_gold(to_silver(spark.createDataFrame(rows, SCHEMA)), with_haversine=True).first()
+    assert g["customer_merchant_distance"] == pytest.approx(1.0)  # degrees, unchanged
+    assert g["customer_merchant_km"] == pytest.approx(111.2, abs=0.1)  # one degree of latitude
