@@ -5,6 +5,11 @@ whole ``events`` table (``txnlake.sources.fixtures``) and returns a lazy
 DataFrame.  Column names equal those of the matching SQL in
 ``txnlake.plans.oracle_queries``.  Keys are the operator names of the survey,
 except A10 (keyed ``run_status``) and E8 (keyed ``validation_report``).
+Beyond one key per survey row: ``fraud_by_hour_gold`` (the first end-to-end
+slice), ``silver_quality`` (reject counts, traps T11/T12),
+``monitoring_panels`` (E7's one-pass aggregate), ``inference_selection``
+(E3 up to the model) and the roadmap reports ``fraud_trend``,
+``amount_anomalies`` and ``feature_drift``.
 """
 
 from __future__ import annotations
