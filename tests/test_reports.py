@@ -125,3 +125,15 @@ def test_empty_table_panels(spark):
     m = MON.monitoring(spark.createDataFrame([], SCHEMA))
     assert m["kpis"].first()["total_transactions"] == 0
     assert m["status"].first()["rows_processed"] == 0
+
+
+def test_approximate_uniqueness_has_no_key_shuffle(spark):
+    from txnlake.operators.validation import uniqueness
+
+    df = spark.range(0, 50000).selectExpr("cast(id % 40000 as string) as trans_num")
+    exact = uniqueness(df).first()
+    approx = uniqueness(df, approx=True)
+    assert exact["unique_rows"] == 40000 and not exact["is_unique"]
+    assert abs(approx.first()["unique_rows"] - 40000) <= 40000 * 0.03
+    p = approx._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(trans_num" not in p

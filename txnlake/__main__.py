@@ -81,6 +81,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     a = sub.add_parser("validate")
     for k in ("bronze", "silver", "gold", "predictions"):
         a.add_argument(f"--{k}", required=True)
+    a.add_argument("--approx", action="store_true", help="HyperLogLog distinct counts (no key shuffle)")
     a = sub.add_parser("backup")
     a.add_argument("--predictions", required=True)
     a.add_argument("--out", required=True)
@@ -161,7 +162,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         from txnlake.operators.validation import validation_report
 
         layers = {k: spark.read.parquet(getattr(args, k)) for k in ("bronze", "silver", "gold", "predictions")}
-        _print_rows(validation_report(layers))
+        _print_rows(validation_report(layers, approx=args.approx))
     elif c == "backup":
         jobs.backup(spark.read.parquet(args.predictions), args.out)
     elif c == "prepare-raw":

@@ -16,11 +16,16 @@ def row_count(df: DataFrame, name: str = "table") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("layer"), "rows")
 
 
-def uniqueness(df: DataFrame, key: str = KEY) -> DataFrame:
-    """Total rows vs distinct keys (equal when the key is unique)."""
+def uniqueness(df: DataFrame, key: str = KEY, approx: bool = False, rsd: float = 0.01) -> DataFrame:
+    """Total rows vs distinct keys (equal when the key is unique).
+
+    Exact by default (every key is shuffled once).  ``approx`` counts keys
+    with HyperLogLog++ sketches merged map-side (no key shuffle), within
+    ``rsd`` relative error; ``is_unique`` then only means "within error"."""
+    distinct = F.approx_count_distinct(F.col(key), rsd) if approx else F.count_distinct(F.col(key))
     return df.agg(
         F.count(F.lit(1)).alias("total_rows"),
-        F.count_distinct(F.col(key)).alias("unique_rows"),
+        distinct.alias("unique_rows"),
     ).withColumn("is_unique", F.col("total_rows") == F.col("unique_rows"))
 
 
@@ -49,12 +54,12 @@ def validate_layers(
     return reduce(DataFrame.unionByName, parts)
 
 
-def validation_report(layers: dict[str, DataFrame], key: str = KEY) -> DataFrame:
+def validation_report(layers: dict[str, DataFrame], key: str = KEY, approx: bool = False) -> DataFrame:
     """Per layer: rows, distinct keys, duplicate copies, pass flag (no duplicates
-    in any layer after Bronze)."""
+    in any layer after Bronze).  ``approx`` as in ``uniqueness``."""
     parts = []
     for name, df in layers.items():
-        u = uniqueness(df, key)
+        u = uniqueness(df, key, approx=approx)
         parts.append(
             u.select(
                 F.lit(name).alias("layer"),
