@@ -227,7 +227,8 @@ def run_inference(
         lo = INC.scoring_window(state, lookback)
         if lo is not None:
             lo_lit = F.lit(lo).cast("timestamp_ntz")
-            gold = gold.filter(F.col(INC.CURSOR) >= lo_lit)
+            # NULL times sort first in a full run, so they stay candidates here.
+            gold = gold.filter((F.col(INC.CURSOR) >= lo_lit) | F.col(INC.CURSOR).isNull())
             recent = state.filter(F.col("max_ingestion") >= lo_lit).select("batch_id")
             preds = preds.join(recent, "batch_id", "left_semi")
     model = ML.load_model(model_path)
