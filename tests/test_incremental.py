@@ -187,3 +187,21 @@ def test_ingest_job_first_then_incremental_then_rerun(spark, scratch):
     assert jobs.ingest_to_bronze(spark, bronze_src, f"{scratch}/bronze") == 0
     b = spark.read.parquet(f"{scratch}/bronze")
     assert b.count() == 1050 and b.exceptAll(bronze_src.select(*b.columns)).count() == 0
+
+
+def test_cursor_mode_scores_rows_without_ingestion_time_once(spark, lake, scratch):
+    gold = read_layer(spark, f"{lake['root']}/gold")
+    nulled = gold.withColumn(
+        "ingestion_timestamp",
+        F.when(F.col("trans_num").isin("1", "2", "3"), F.lit(None)).otherwise(F.col("ingestion_timestamp")),
+    )
+    nulled.write.parquet(f"{scratch}/gold")
+    preds, batches, state = f"{scratch}/p", f"{scratch}/b", f"{scratch}/st"
+    for k in range(1, 6):
+        jobs.run_inference(spark, f"{scratch}/gold", preds, f"{lake['root']}/model", batches, f"r{k}", RUN, 100,
+                           state_path=state)
+        jobs.persist_predictions(spark, batches, f"r{k}", preds)
+    p = spark.read.parquet(preds)
+    assert p.count() == p.select(KEY).distinct().count() == 500
+    first = {r[KEY] for r in spark.read.parquet(f"{batches}/batch_id=r1").collect()}
+    assert {"1", "2", "3"} <= first  # NULL times first, as in a full run

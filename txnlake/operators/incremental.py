@@ -141,6 +141,7 @@ CURSOR_STATE = T.StructType(
         T.StructField("min_ingestion", T.TimestampNTZType()),
         T.StructField("max_ingestion", T.TimestampNTZType()),
         T.StructField("rows", T.LongType()),
+        T.StructField("null_times", T.LongType()),
         T.StructField("batch_id", T.StringType()),
     ]
 )
@@ -166,6 +167,7 @@ def batch_range(batch_keys: DataFrame, gold: DataFrame, batch_id: str, key: str
             F.min(CURSOR).alias("min_ingestion"),
             F.max(CURSOR).alias("max_ingestion"),
             F.count(F.lit(1)).alias("rows"),
+            F.count_if(F.col(CURSOR).isNull()).alias("null_times"),
         )
         .withColumn("batch_id", F.lit(batch_id))
     )

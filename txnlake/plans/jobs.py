@@ -229,7 +229,9 @@ def run_inference(
             lo_lit = F.lit(lo).cast("timestamp_ntz")
             # NULL times sort first in a full run, so they stay candidates here.
             gold = gold.filter((F.col(INC.CURSOR) >= lo_lit) | F.col(INC.CURSOR).isNull())
-            recent = state.filter(F.col("max_ingestion") >= lo_lit).select("batch_id")
+            # Batches reaching into the window, and the (few) that scored rows
+            # without an ingestion time, which are candidates in every run.
+            recent = state.filter((F.col("max_ingestion") >= lo_lit) | (F.col("null_times") > 0)).select("batch_id")
             preds = preds.join(recent, "batch_id", "left_semi")
     model = ML.load_model(model_path)
     p = SINK.write_batch(inference_batch(gold, existing_keys(preds), model, run_ts, n), batch_root, batch_id)
