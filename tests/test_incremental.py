@@ -125,12 +125,20 @@ def test_ingest_cursor_with_lookback_takes_back_dated_rows_once(spark):
             ("d", t + dt.timedelta(hours=1)),  # new
             ("b", t + dt.timedelta(hours=3)),  # re-sent copy with a newer time
             ("z", t - dt.timedelta(days=3)),  # older than the look-back: not re-read
+            ("n", None),  # no cursor value: taken once
         ],
         schema,
     )
     got = sorted((r[KEY], r["ingestion_timestamp"]) for r in INC.ingest(source, bronze, lookback=dt.timedelta(hours=6)).collect())
-    assert got == [("b", t + dt.timedelta(hours=3)), ("c", t - dt.timedelta(hours=1)), ("d", t + dt.timedelta(hours=1))]
-    assert INC.ingest(source, spark.createDataFrame([], schema)).count() == 6
+    assert got == [
+        ("b", t + dt.timedelta(hours=3)),
+        ("c", t - dt.timedelta(hours=1)),
+        ("d", t + dt.timedelta(hours=1)),
+        ("n", None),
+    ]
+    assert INC.ingest(source, spark.createDataFrame([], schema)).count() == 7
+    loaded = bronze.unionByName(INC.ingest(source, bronze, lookback=dt.timedelta(hours=6)))
+    assert INC.ingest(source, loaded, lookback=dt.timedelta(hours=6)).count() == 0  # rerun: nothing twice
 
 
 def test_rows_to_append_one_per_key(spark):

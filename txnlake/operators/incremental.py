@@ -34,7 +34,9 @@ def ingest(
     (a record is its key plus its cursor value, so a re-sent copy of a record
     with a newer ingestion time is kept, and the lookback overlap is not
     appended twice).  The anti-join's right side is only Bronze's lookback
-    window, not all of Bronze.
+    window, not all of Bronze.  Rows without a cursor value cannot be placed
+    after the mark; they are candidates on every load and matched NULL-safely,
+    so each is appended once.
     """
     if bronze is None:
         return source
@@ -43,9 +45,11 @@ def ingest(
         return source
     lo = hi - lookback
     lo_lit = F.lit(lo).cast(source.schema[cursor].dataType)
-    window = F.col(cursor) >= lo_lit
-    seen = bronze.filter(window).select(key, cursor)
-    return source.filter(window).join(seen, [key, cursor], "left_anti")
+    window = (F.col(cursor) >= lo_lit) | F.col(cursor).isNull()
+    s = source.filter(window).alias("s")
+    seen = bronze.filter(window).select(key, cursor).alias("b")
+    cond = (F.col(f"s.{key}") == F.col(f"b.{key}")) & F.col(f"s.{cursor}").eqNullSafe(F.col(f"b.{cursor}"))
+    return s.join(seen, cond, "left_anti").select(*[F.col(f"s.{c}") for c in source.columns])
 
 
 def unscored(gold: DataFrame, scored_keys: DataFrame, key: str = KEY) -> DataFrame:

@@ -62,13 +62,15 @@ sql(
     "ingest_incremental",
     """
 SELECT b.* FROM bronze b
-WHERE b.ingestion_timestamp >= (
-        SELECT max(ingestion_timestamp) - INTERVAL 1 DAY FROM bronze
-        WHERE ingestion_timestamp < TIMESTAMP '2024-01-20 00:00:00')
+WHERE (b.ingestion_timestamp >= (
+         SELECT max(ingestion_timestamp) - INTERVAL 1 DAY FROM bronze
+         WHERE ingestion_timestamp < TIMESTAMP '2024-01-20 00:00:00')
+       OR b.ingestion_timestamp IS NULL)
   AND NOT EXISTS (
         SELECT 1 FROM bronze c
         WHERE c.ingestion_timestamp < TIMESTAMP '2024-01-20 00:00:00'
-          AND c.trans_num = b.trans_num AND c.ingestion_timestamp = b.ingestion_timestamp)
+          AND c.trans_num = b.trans_num
+          AND c.ingestion_timestamp IS NOT DISTINCT FROM b.ingestion_timestamp)
 """,
 )
 
