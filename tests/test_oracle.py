@@ -44,20 +44,40 @@ def test_every_query_has_oracle_or_is_model_fitting():
     assert set(E.queries()) - set(E.oracle_sql()) == model_fitting
 
 
-def test_fixture_facts(spark):
-    """Counts the fixture mapping promises (FIXTURES.md section 8, sf0.001)."""
+FACTS = {
+    # sf: bronze rows, distinct keys, bad times, null lat, predicted fraud,
+    #     (p >= 0.90, amt >= 5000, null lat) among those, confusion 00, 01, 10, 11
+    "sf0.001": (1050, 1000, 10, 20, 210, (10, 2, 1), (684, 59, 106, 151)),
+    "sf0.01": (10500, 10000, 100, 200, 2168, (79, 21, 13), (6799, 593, 1033, 1575)),
+    "sf0.1": (105000, 100000, 1000, 2000, 21081, (815, 171, 141), (68471, 5767, 10448, 15314)),
+}
+
+
+@pytest.mark.parametrize("sf", sorted(FACTS))
+def test_fixture_facts(spark, sf):
+    """Counts the fixture mapping promises (FIXTURES.md section 8)."""
     from pyspark.sql import functions as F
 
-    L = __import__("txnlake.sources.fixtures", fromlist=["x"]).fixture_layers(spark, SF)
-    b = L["bronze"]
-    assert b.count() == 1050
-    assert b.select("trans_num").distinct().count() == 1000
-    assert b.filter(F.col("trans_date_trans_time") == "bad").count() == 10
-    assert L["silver"].filter(F.col("lat").isNull()).count() == 20
-    p = L["predictions"]
-    assert p.filter("fraud_prediction = 1").count() == 210
-    cm = {(r["label"], r["prediction"]): r["count"] for r in E.queries()["confusion_matrix"](spark, SF).collect()}
-    assert cm == {(0, 0): 684, (0, 1): 59, (1, 0): 106, (1, 1): 151}
+    from txnlake.sources.fixtures import fixture_layers
+
+    rows, keys, bad, null_lat, fraud, sub, cm = FACTS[sf]
+    L = fixture_layers(spark, f"/root/testdata/{sf}")
+    b = L["bronze"].agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_distinct("trans_num").alias("k"),
+        F.count_if(F.col("trans_date_trans_time") == "bad").alias("bad"),
+    ).first()
+    assert (b["n"], b["k"], b["bad"]) == (rows, keys, bad)
+    assert L["silver"].filter(F.col("lat").isNull()).count() == null_lat
+    f = L["predictions"].filter("fraud_prediction = 1").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("fraud_probability") >= 0.90).alias("p90"),
+        F.count_if(F.col("amt") >= 5000).alias("amt"),
+        F.count_if(F.col("lat").isNull()).alias("nl"),
+    ).first()
+    assert (f["n"], (f["p90"], f["amt"], f["nl"])) == (fraud, sub)
+    got = {(r["label"], r["prediction"]): r["count"] for r in E.queries()["confusion_matrix"](spark, f"/root/testdata/{sf}").collect()}
+    assert got == dict(zip([(0, 0), (0, 1), (1, 0), (1, 1)], cm))
 
 
 def test_entry_runs(spark):
