@@ -13,6 +13,8 @@ from txnlake.operators import monitoring as MON
 from txnlake.operators.silver import dedupe_latest
 
 SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+# Fewer examples where each one checkpoints or runs several jobs.
+SLOW = settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 T0 = dt.datetime(2024, 1, 1)
 
 rows_st = st.lists(
@@ -99,3 +101,41 @@ def test_split_ranks_inside_crowded_buckets(spark, labels, frac):
         members = sorted((hashlib.md5(f"{k}42".encode()).hexdigest(), k) for k, y in data if y == cls)
         want |= {k for _, k in members[: math.ceil(frac * len(members))]}
     assert got == want
+
+
+@SLOW
+@given(
+    rows=st.lists(st.tuples(st.integers(0, 6), st.integers(0, 100)), min_size=1, max_size=60),
+    share=st.sampled_from([0.05, 0.2, 0.5, 0.99]),
+)
+def test_hot_key_join_equals_a_plain_join(spark, rows, share):
+    from pyspark.sql import functions as F
+
+    from txnlake.operators.anomaly import join_per_key_stats
+
+    data = [(str(i), c, v) for i, (c, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "trans_num string, cc_num long, v long")
+    stats = df.groupBy("cc_num").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("s"))
+    got = sorted(tuple(r) for r in join_per_key_stats(df, stats, "cc_num", "trans_num", hot_share=share).collect())
+    per = {}
+    for _, c, v in data:
+        n, s = per.get(c, (0, 0))
+        per[c] = (n + 1, s + v)
+    want = sorted((k, c, v, per[c][0], per[c][1]) for k, c, v in data)
+    assert got == want
+
+
+@SLOW
+@given(
+    batch=st.lists(st.tuples(st.integers(0, 30), st.integers(0, 5)), max_size=40),
+    target=st.lists(st.integers(0, 30), max_size=20),
+)
+def test_rows_to_append_is_idempotent(spark, batch, target):
+    data = [(str(k), T0 + dt.timedelta(hours=h)) for k, h in batch]
+    b = spark.createDataFrame(data, "trans_num string, inference_timestamp timestamp_ntz")
+    t = spark.createDataFrame([(str(k),) for k in target], "trans_num string")
+    first = INC.rows_to_append(b, t)
+    keys = [r["trans_num"] for r in first.collect()]
+    assert sorted(keys) == sorted({k for k, _ in data} - {str(k) for k in target})
+    after = t.unionByName(first.select("trans_num"))
+    assert INC.rows_to_append(b, after).count() == 0

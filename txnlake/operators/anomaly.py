@@ -42,9 +42,10 @@ def join_per_key_stats(rows: DataFrame, stats: DataFrame, key: str, spread_by: s
     total = stats.agg(F.sum("n")).first()[0] or 0
     bound = int(1 / hot_share)
     hot_rows = stats.filter(F.col("n") > F.lit(total * hot_share)).limit(bound + 1).collect()
-    if not hot_rows:
-        return rows.join(stats, key, "left")
     value_cols = [c for c in stats.columns if c != key]
+    if not hot_rows:
+        # Same column order as the split path: the input's columns, then the stats.
+        return rows.join(stats, key, "left").select(*rows.columns, *value_cols)
     hot = F.broadcast(spark.createDataFrame(hot_rows, stats.schema).select(key, *[F.col(c).alias(f"_h_{c}") for c in value_cols]))
     tagged = rows.join(hot, key, "left")
     is_hot = F.col(f"_h_{value_cols[0]}").isNotNull() if value_cols else F.lit(False)
