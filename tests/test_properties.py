@@ -139,3 +139,27 @@ def test_rows_to_append_is_idempotent(spark, batch, target):
     assert sorted(keys) == sorted({k for k, _ in data} - {str(k) for k in target})
     after = t.unionByName(first.select("trans_num"))
     assert INC.rows_to_append(b, after).count() == 0
+
+
+@SLOW
+@given(
+    source=st.lists(st.tuples(st.integers(0, 8), st.one_of(st.none(), st.integers(0, 24))), max_size=40),
+    loaded=st.integers(0, 40),
+    lookback=st.integers(0, 6),
+)
+def test_ingest_appends_each_new_record_once(spark, source, loaded, lookback):
+    schema = "trans_num string, ingestion_timestamp timestamp_ntz"
+    recs = [(str(k), None if h is None else T0 + dt.timedelta(hours=h)) for k, h in source]
+    bronze_recs = recs[:loaded]
+    src = spark.createDataFrame(recs, schema)
+    bronze = spark.createDataFrame(bronze_recs, schema)
+    got = sorted(map(tuple, INC.ingest(src, bronze, lookback=dt.timedelta(hours=lookback)).collect()), key=repr)
+    times = [t for _, t in bronze_recs if t is not None]
+    if not times:
+        want = recs
+    else:
+        lo = max(times) - dt.timedelta(hours=lookback)
+        window = [(k, t) for k, t in recs if t is None or t >= lo]
+        seen = {(k, t) for k, t in bronze_recs if t is None or t >= lo}
+        want = [r for r in window if r not in seen]
+    assert got == sorted(want, key=repr)
