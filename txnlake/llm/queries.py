@@ -9,19 +9,37 @@ from pyspark.sql import DataFrame, SparkSession
 
 from txnlake.llm.common import table
 from txnlake.llm.exact_dedup import exact_dedup
+from txnlake.llm.langid import identify
+from txnlake.llm.mixing import mix
+from txnlake.llm.packing import pack
 from txnlake.llm.simhash import near_duplicates
 
 
+def op4_ipf_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_ipf_mixing": op4_ipf_mixing,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_language_id": op8_language_id,
+    "op9_packing": op9_packing,
     "op10_simhash": op10_simhash,
 }
 
