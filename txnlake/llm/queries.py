@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from txnlake.llm import lm, toxicity
 from txnlake.llm.common import table
 from txnlake.llm.exact_dedup import exact_dedup
 from txnlake.llm.langid import identify
@@ -15,6 +16,14 @@ from txnlake.llm.packing import pack
 from txnlake.llm.simhash import near_duplicates
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_ipf_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
@@ -36,6 +45,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scoring": op1_lm_scoring,
+    "op2_toxicity": op2_toxicity,
     "op4_ipf_mixing": op4_ipf_mixing,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_language_id": op8_language_id,
