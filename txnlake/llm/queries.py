@@ -6,14 +6,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from txnlake.llm import lm, toxicity
 from txnlake.llm.common import table
 from txnlake.llm.exact_dedup import exact_dedup
+from txnlake.llm.html_extract import extract
+from txnlake.llm.imi import search
 from txnlake.llm.langid import identify
 from txnlake.llm.mixing import mix
 from txnlake.llm.packing import pack
 from txnlake.llm.simhash import near_duplicates
+from txnlake.llm.token_counts import section_tokens, windows
 
 
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,10 +28,22 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op4_ipf_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return section_tokens(table(spark, sf_dir, "documents"), "largest", windows(1000))
+
+
+def op6_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -47,7 +63,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_toxicity": op2_toxicity,
+    "op3_html_extraction": op3_html_extraction,
     "op4_ipf_mixing": op4_ipf_mixing,
+    "op5_token_counts": op5_token_counts,
+    "op6_inverted_multi_index": op6_inverted_multi_index,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
