@@ -1,0 +1,451 @@
+"""Every operator against brute force, an exact round trip or held-out accuracy."""
+
+import bisect
+import html
+import itertools
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from txnlake.llm import html_extract, imi, langid, lm, mixing, packing, simhash, token_counts, toxicity
+from txnlake.llm.common import components
+from txnlake.llm.exact_dedup import CuckooIndex, exact_dedup
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+
+
+@pytest.fixture(scope="module")
+def texts(docs):
+    return {r["doc_id"]: r["text"] for r in docs.collect()}
+
+
+def held_out(doc_id, of, rest):
+    return zlib.crc32(str(doc_id).encode()) % of == rest
+
+
+def tokens(text):
+    return re.findall(rb"[^\x20\x09-\x0d]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode()))
+
+
+# --- 1
+def test_base_score_and_counts(docs, texts):
+    count = Counter()
+    for i, t in texts.items():
+        if not held_out(i, 7, 2):
+            count.update([*tokens(t), None])
+    n, v = sum(count.values()), len(count)
+    got = lm.score_documents(docs).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        w = [*tokens(texts[r["doc_id"]]), None]
+        assert r["held_out"] == held_out(r["doc_id"], 7, 2) and r["train_tokens"] == n
+        assert r["n_tokens"] == len(w) and r["n_known"] == sum(count[x] > 0 for x in w)
+        assert r["base_score"] == pytest.approx(sum(math.log10((count[x] + 1) / (n + v + 1)) for x in w), abs=1e-6)
+        assert r["score"] < 0
+    out = [r for r in got if r["held_out"]]
+    assert sum(r["score"] for r in out) > sum(r["base_score"] for r in out)
+
+
+def test_probabilities_sum_to_at_most_one(spark):
+    rng = random.Random(3)
+    vocabulary = [f"w{i}" for i in range(12)]
+    rows = [(i, " ".join(rng.choices(vocabulary, range(1, 13), k=rng.randint(0, 30)))) for i in range(300)]
+    model, _, _ = lm.train(spark.createDataFrame(rows, "doc_id long, text string"))
+    from txnlake.llm.tokens import sequences
+
+    for context in ("", "w3", "w3 w11", "w0 w1", "unseen w2", "w2 unseen"):
+        total = 0.0
+        for word in [*vocabulary, "\x00end"]:
+            flat, first = sequences([(context if word == "\x00end" else f"{context} {word}").encode()])
+            # the last word's probability, or the end token's
+            at = -1 if word == "\x00end" else -2
+            _, _, value = lm.log_probabilities(model, flat, first)
+            total += 10 ** value[at]
+        unseen, first = sequences([f"{context} never".encode()])
+        whole = model.n + model.v + 1
+        total += 10 ** lm.log_probabilities(model, unseen, first)[2][-2] / whole
+        assert 0.5 < total <= 1 + 1e-6
+
+
+def test_bloom_reads_back_counts():
+    rng = np.random.default_rng(0)
+    key = rng.integers(0, 2**63, 20_000).astype(np.uint64)
+    value = rng.integers(1, 12, len(key)).astype(np.int32)
+    bloom = lm.LogBloom(int(value.sum()))
+    bloom.add(key, value)
+    got = bloom.get(key)
+    assert (got >= value).all() and (got == value).mean() > 0.999
+    assert (bloom.get(rng.integers(0, 2**63, 50_000).astype(np.uint64)) > 0).mean() < 0.001
+
+
+# --- 2
+def test_grammar_contexts():
+    lexicon = toxicity.Lexicon({"idiot": 4.0}, {"lowe": 3.0})
+    read = toxicity.Reader(lexicon).evidence
+    assert read("What an idiot.").tolist() == [4, 0, 0, 0, 0]
+    assert read("You are an idiot!").tolist() == [0, 4, 0, 0, 0]
+    assert read("This is not an idiot").tolist() == [0, 0, 4, 0, 0]
+    assert read("Someone wrote idiot").tolist() == [0, 0, 0, 4, 0]
+    assert read("Not here. Idiot###").tolist() == [4, 0, 0, 0, 0]
+    assert read("Loweischaft").tolist() == [3, 0, 0, 0, 0]
+    assert read("I will hurt you").tolist()[4] == 1 and read("It can hurt").tolist()[4] == 0
+
+
+def test_toxicity_on_held_out_rows(spark):
+    rng = random.Random(1)
+    clean = ["".join(rng.choices("abcdeghimnoprst", k=rng.randint(2, 7))) for _ in range(500)]
+    bad = ["idiot", "scum", "moron", "trash"]
+    rows, labels = [], []
+    for i in range(900):
+        toxic = i % 4 == 0
+        words = rng.choices(clean, k=40) + (rng.sample(bad, 2) if toxic else [])
+        rng.shuffle(words)
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    got = toxicity.score_documents(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
+    out = [r for r in got if r["held_out"]]
+    assert len(out) > 200 and all(r["held_out"] == held_out(r["doc_id"], 3, 1) for r in got)
+    assert all(r["predicted"] == labels[r["doc_id"]][1] for r in out)
+
+
+def test_toxicity_leaves_clean_documents_alone(spark, docs):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    got = toxicity.score_documents(docs, labels).join(labels, "doc_id").collect()
+    assert not [r for r in got if r["predicted"] and not r["toxic"]]
+    assert sum(r["predicted"] for r in got if r["toxic"]) > 0.5 * sum(r["toxic"] for r in got)
+
+
+# --- 3
+def test_extraction_equals_the_articles(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    source = {r["page_id"]: r["html"] for r in pages.collect()}
+    for r in html_extract.extract(pages).collect():
+        article = re.search(r"<article>(.*?)</article>", source[r["page_id"]], re.S)[1]
+        article = re.sub(r"<[^>]+>", "", re.sub(r"</?(?:h1|p|b|br)\b[^>]*>", " ", article))
+        assert r["text"] == " ".join(html.unescape(article).split()) and r["n_chars"] == len(r["text"])
+
+
+def test_minimum_cut_against_all_labellings():
+    rng = np.random.default_rng(2)
+    for _ in range(30):
+        n = int(rng.integers(1, 9))
+        odds = rng.normal(0, 2, n)
+        paths = [(0, int(p), 100 + i) for i, p in enumerate(np.sort(rng.integers(1, 4, n)))]
+        got = html_extract.label(odds, paths)
+
+        def cost(keep):
+            total = sum(x if x > 0 and not k else -x if x < 0 and k else 0 for x, k in zip(odds, keep))
+            last = {}
+            for i, path in enumerate(paths):
+                if i and keep[i] != keep[i - 1]:
+                    steps = len(path) + len(paths[i - 1]) - 2 * len(set(path) & set(paths[i - 1]))
+                    total += math.exp(-steps / 2)
+                parent = path[:-1]
+                if parent in last and last[parent] != i - 1 and keep[i] != keep[last[parent]]:
+                    total += 0.5
+                last[parent] = i
+            return total
+
+        assert cost(got) == pytest.approx(min(cost(k) for k in itertools.product([False, True], repeat=n)), abs=1e-9)
+
+
+PAGE = """<!DOCTYPE html><title>x</title><body><header><a href=/>Home</a></header><div class="cookie-notice">We use cookies to give you a better experience on this site.</div>
+<nav><ul><li><a href=a>One</a><li><a href=b>Two</a></ul></nav><div id="main-content"><h1>A title</h1><p>The first paragraph of this story is long enough, has commas, and ends.
+<p>Yes.<p>The second paragraph of this story goes on for a while &mdash; as they do.</div><div class="sidebar"><a href=c>Related things to read</a></div>
+<form><label>Your name</label></form><div class="comments"><p>I liked this story a lot, it was very good to read, thanks!</p></div><script>var a = "<p>no</p>"</script><footer>&copy; 2024 site</footer>"""
+
+
+def test_extraction_without_semantic_elements(spark):
+    weights = html_extract.train(spark.read.parquet(f"{SF}/pages.parquet"))
+    want = "A title The first paragraph of this story is long enough, has commas, and ends. Yes. The second paragraph of this story goes on for a while — as they do."
+    assert html_extract.main_text(PAGE, weights) == want
+
+
+# --- 4
+def test_raking_meets_the_targets():
+    rng = np.random.default_rng(0)
+    cells = np.array(list(itertools.product(range(4), range(3), range(2))))
+    counts = rng.integers(50, 2000, len(cells)).astype(float)
+    targets = [np.array([0.4, 0.2, 0.2, 0.2]), np.array([0.5, 0.3, 0.2]), np.array([0.5, 0.5])]
+    p = mixing.rake(counts, list(cells.T), targets, 0.2)
+    assert ((p >= 0) & (p <= 1)).all() and (p * counts).sum() == pytest.approx(0.2 * counts.sum(), rel=1e-6)
+    for d, share in enumerate(targets):
+        got = np.bincount(cells[:, d], p * counts)
+        assert got / got.sum() == pytest.approx(share, abs=1e-6)
+
+
+def test_mixture_by_brute_force(docs, texts):
+    import hashlib
+
+    got = mixing.mix(docs).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        assert r["n_tokens"] == len(tokens(texts[r["doc_id"]]))
+        draw = int(hashlib.md5(f"mix/{r['doc_id']}".encode()).hexdigest()[:13], 16) / 16**13
+        assert r["sampled"] == (draw < r["probability"])
+    weight = Counter()
+    for r in got:
+        weight[r["lang"]] += r["n_tokens"] * r["probability"]
+    for lang, share in mixing.TARGETS["lang"].items():
+        assert weight[lang] / sum(weight.values()) == pytest.approx(share, abs=0.02)
+
+
+# --- 5
+@pytest.mark.parametrize("rule", token_counts.RULES)
+def test_attribution_by_the_other_library(docs, texts, rule):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tokenizer.encode_special_tokens = True
+    size = 97
+    got = {}
+    for r in token_counts.section_tokens(docs.filter("doc_id < 200"), rule, token_counts.windows(size)).collect():
+        got.setdefault(r["doc_id"], {})[r["section"]] = r["n_tokens"]
+    for i, section in got.items():
+        t = texts[i]
+        starts = list(range(0, max(1, len(t)), size))
+        want = Counter()
+        for a, b in tokenizer.encode(t, add_special_tokens=False).offsets:
+            first, last = bisect.bisect_right(starts, a) - 1, bisect.bisect_right(starts, b - 1) - 1
+            if rule == "largest":
+                first = max(range(first, last + 1), key=lambda k: (min(b, starts[k] + size) - max(a, starts[k]), -k))
+            want[(last if rule == "last" else first) + 1] += 1
+        assert section == {k: want[k] for k in range(1, len(starts) + 1)}
+
+
+def test_tokens_outside_all_sections():
+    of, crossing = token_counts.attribute(np.array([0, 2, 4, 6]), np.array([2, 4, 6, 8]), np.array([3]), np.array([5]), "largest")
+    assert of.tolist() == [-1, 0, 0, -1] and crossing.tolist() == [False, True, True, False]
+
+
+# --- 6
+def test_search_recall(spark):
+    vectors = spark.read.parquet(f"{SF}/embeddings.parquet")
+    rows = vectors.collect()
+    ids, x = np.array([r["vec_id"] for r in rows]), np.array([r["embedding"] for r in rows], float)
+    got = imi.search(vectors, F.col("vec_id") % 20 == 0).collect()
+    hits = total = 0
+    for q in ids[ids % 20 == 0]:
+        s = x @ x[ids == q][0]
+        order = [int(i) for i in ids[np.lexsort((ids, -s))] if i != q][:20]
+        mine = sorted((r["rank"], r["vec_id"], r["score"]) for r in got if r["query_id"] == q)
+        assert [m[0] for m in mine] == list(range(1, 21))
+        assert all(m[2] == pytest.approx(float(s[ids == m[1]][0]), abs=1e-12) for m in mine)
+        hits += len(set(order) & {m[1] for m in mine})
+        total += 20
+    assert hits / total >= 0.9
+
+
+def test_search_of_all_cells_is_exact(spark):
+    rng = np.random.default_rng(4)
+    x = np.round(rng.normal(size=(300, 6)), 1)
+    x[50:90] = x[50]  # ties
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = imi.search(df, F.col("vec_id") % 20 == 0, k=7, recall=1.0, block=16).collect()
+    for q in range(0, 300, 20):
+        s = (x * x[q]).sum(axis=1)
+        want = [i for i in np.lexsort((np.arange(300), -s)).tolist() if i != q][:7]
+        assert [r["vec_id"] for r in sorted((r for r in got if r["query_id"] == q), key=lambda r: r["rank"])] == want
+
+
+def test_walk_visits_pairs_in_order():
+    rng = np.random.default_rng(1)
+    index = imi.Index(4, (rng.normal(size=(64, 2)), rng.normal(size=(64, 2))), 1.0, np.ones((64, 64), np.int64))
+    q = rng.normal(size=4)
+    summed = (index.books[0] @ q[:2])[:, None] + (index.books[1] @ q[2:])[None]
+    for want in (1, 17, 900, 4096):
+        masks = index.visit(q, want)
+        visited = np.array([[int(m) >> b & 1 for b in range(64)] for m in masks], bool)
+        assert visited.sum() == want and (want == 4096 or summed[visited].min() >= summed[~visited].max())
+
+
+# --- 7
+def test_exact_dedup_equals_grouping(docs, texts):
+    groups = {}
+    for i, t in texts.items():
+        groups.setdefault(re.sub(r"[\x20\x09-\x0d]+", " ", t or ""), []).append(i)
+    of = {i: g for g in groups.values() for i in g}
+    for window in (64 << 20, 1000):  # the second one empties the index again and again
+        for r in exact_dedup(docs, window_bytes=window, ids_per_row=3).collect():
+            g = of[r["doc_id"]]
+            assert (r["keep_id"], r["group_size"], r["kept"]) == (min(g), len(g), r["doc_id"] == min(g))
+
+
+def test_cuckoo_index_grows_and_deletes():
+    index, live = CuckooIndex(buckets=4), {}
+    rng = random.Random(0)
+    for i in range(5000):
+        key = rng.randbytes(32)
+        index.add(key, key + b"x", i)
+        live[key] = i
+        if i % 3 == 0:
+            gone = rng.choice(list(live)[:50])
+            assert index.remove(gone, gone + b"x") and not index.remove(gone, gone + b"x")
+            del live[gone]
+    assert index.resizes > 0 and index.size == len(live)
+    assert all(index.get(k, k + b"x") == v for k, v in live.items())
+    assert all(index.get(k, b"other") is None for k in live)
+
+
+# --- 8
+def test_language_of_held_out_rows(docs):
+    truth = {r["doc_id"]: r["lang"] for r in docs.collect()}
+    got = [r for r in langid.identify(docs).collect() if r["held_out"]]
+    assert len(got) > 200 and all(held_out(r["doc_id"], 4, 2) for r in got)
+    assert np.mean([r["lang_pred"] == truth[r["doc_id"]] for r in got]) > 0.98
+
+
+def test_backoff_takes_the_longest_known_grams():
+    row = lambda *x: np.array(x, np.float32)
+    model = langid.Model(["a", "b"], np.zeros(2), {"cat": row(-1, -5)}, [{"\x02do": row(-2, -3)}, {"og": row(-9, -1)}, {"z": row(-4, -1)}])
+    assert model.unseen("dog").tolist() == [-2, -3]
+    assert model.unseen("og").tolist() == [-9, -1]
+    assert model.unseen("zz").tolist() == [-4, -1]
+    assert model.unseen("q").tolist() == [0, 0]
+
+
+# --- 9
+def test_packing_round_trip(docs, texts):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(packing.tokenizer_path())
+    got = packing.pack(docs, block_tokens=200_000).collect()
+    covered, sequences = Counter(), {}
+    ids = {i: np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 2], "<u4") for i, t in texts.items()}
+    spans = {}
+    for r in got:
+        own = ids[r["doc_id"]]
+        assert r["doc_tokens"] == len(own)
+        assert zlib.crc32(own[r["start"] : r["start"] + r["length"]].tobytes()) == r["ids_crc32"]
+        covered[r["doc_id"]] += r["length"]
+        spans.setdefault(r["doc_id"], []).append((r["start"], r["start"] + r["length"]))
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    assert covered == {i: len(x) for i, x in ids.items()}
+    assert all(a[1] == b[0] for s in spans.values() for a, b in itertools.pairwise(sorted(s)))
+    for pieces in sequences.values():
+        pieces.sort()
+        ends = [a + b for a, b in pieces]
+        assert [a for a, _ in pieces] == [0, *ends[:-1]]
+        assert ends[-1] <= 4096 and ends[-1] & (ends[-1] - 1) == 0  # a full window or another power of two: no padding
+
+
+@pytest.mark.parametrize("text", ["a\x0bb it's 'tis don't!! x's,' é'ES ÄÖÜß É%%% a b \x1c\x1d", "<|endoftext|> A<|ENDOFTEXT|>b", "ﬁ İstanbul ΣΑΣ 日本語!! ½² 123abc a1b2 x…… a-b_c 'll 's!! é!!", "", " \n"])
+def test_words_encode_as_the_whole_text(text):
+    from tokenizers import Tokenizer
+
+    path = packing.tokenizer_path()
+    whole = np.array(Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert packing.WordEncoder(path).document(text.encode()) == whole
+
+
+def test_nnls_against_projected_gradient():
+    rng = np.random.default_rng(5)
+    a, b = rng.random((12, 30)), rng.random(12) * 10
+    x = packing.nnls(a, b)
+    y = np.zeros(30)
+    step = 1 / np.linalg.norm(a, 2) ** 2
+    for _ in range(20_000):
+        y = np.maximum(0, y - step * a.T @ (a @ y - b))
+    assert (x >= 0).all() and np.linalg.norm(a @ x - b) <= np.linalg.norm(a @ y - b) + 1e-4
+
+
+# --- 10
+def brute_fingerprint(text):
+    w = [x.decode() for x in tokens(text)]
+    shingles = [" ".join(w[i : i + 3]) for i in range(len(w) - 2)] if len(w) >= 3 else [" ".join(w)] if w else []
+    h = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h)) if h else 0
+
+
+def brute_classes(prints):
+    distinct = np.array(sorted(set(prints.values())), np.uint64)
+    a, b = np.nonzero(np.bitwise_count(distinct[:, None] ^ distinct) <= 3)
+    label = components(len(distinct), a, b)
+    place = {int(f): label[i] for i, f in enumerate(distinct)}
+    least = {}
+    for i, f in sorted(prints.items()):
+        least.setdefault(place[f], i)
+    return {i: least[place[f]] for i, f in prints.items()}
+
+
+def test_simhash_by_brute_force(spark, docs, texts):
+    rng = random.Random(7)
+    rows = dict(texts)
+    for i, t in list(texts.items())[:300]:  # near copies: a word or two changed, in chains
+        for j in range(4):
+            w = (t or "").split()
+            for _ in range(1 + j % 2):
+                if w:
+                    w[rng.randrange(len(w))] = f"x{rng.randrange(50)}"
+            t = rows[100_000 + 10 * i + j] = " ".join(w)
+    got = simhash.near_duplicates(spark.createDataFrame(list(rows.items()), "doc_id long, text string")).collect()
+    prints = {i: brute_fingerprint(t) for i, t in rows.items()}
+    want = brute_classes(prints)
+    assert len(got) == len(rows) and len(set(want.values())) < len(set(prints.values()))
+    for r in got:
+        assert r["fingerprint"] == f"{prints[r['doc_id']]:016x}"
+        assert r["component_id"] == want[r["doc_id"]]
+
+
+@pytest.mark.parametrize("dense", [0, 1 << 16])
+def test_near_pairs_against_all_pairs(dense):
+    rng = np.random.default_rng(9)
+    base = rng.integers(0, 2**63, 20, dtype=np.uint64)
+    fp = np.unique(np.concatenate([base, *(base ^ (np.uint64(1) << rng.integers(0, 24, 20, dtype=np.uint64)) ^ (np.uint64(1) << rng.integers(0, 24, 20, dtype=np.uint64)) for _ in range(60))]))
+    a, b = np.nonzero(np.bitwise_count(fp[:, None] ^ fp) <= 3)
+    # a group shares five bytes, so the dense form sees few free bits; here one base's group at a time
+    want = components(len(fp), a, b)
+    if dense:
+        assert (components(len(fp), *simhash.near_pairs(fp, 3, dense)) == want).all()
+    else:
+        for root in np.unique(want):
+            part = fp[want == root]
+            assert (components(len(part), *simhash.near_pairs(part, 3, 0)) == 0).all()
+
+
+def test_components_of_a_long_chain(spark):
+    rng = random.Random(2)
+    names = list({rng.randrange(-(2**62), 2**62) for _ in range(400)})
+    links = [(names[i], names[i + 1]) for i in range(250)] + [(names[300], x) for x in names[301:]]
+    got = {r["node"]: r["root"] for r in simhash.connected(spark.createDataFrame(links, "a long, b long")).collect()}
+    chain, star = min(names[:251]), min(names[300:])
+    assert got == {n: chain for n in names[:251] if n != chain} | {n: star for n in names[300:] if n != star}
+
+
+# --- pipeline
+def test_pipeline_by_brute_force(spark, docs, texts):
+    """Each stage on what its predecessor kept."""
+    import corpus_pipeline as pipeline
+    from txnlake.llm.common import cut
+
+    steps = {}
+    rows = docs
+    for name, stage in pipeline.STAGES:
+        rows = cut(stage(spark, rows, SF), name)
+        steps[name] = rows.collect()
+    kept = {name: {r["doc_id"] for r in got} for name, got in steps.items()}
+    assert kept["language_id"] == {i for i, t in texts.items() if re.search(r"[^\W\d_]", t or "")}
+    first = {}
+    for i in sorted(kept["language_id"]):
+        first.setdefault(re.sub(r"[\x20\x09-\x0d]+", " ", texts[i]), i)
+    assert kept["exact_dedup"] == set(first.values())
+    classes = brute_classes({i: brute_fingerprint(texts[i]) for i in kept["exact_dedup"]})
+    assert kept["simhash_near_dedup"] == set(classes.values())
+    assert kept["ipf_mixing"] < kept["simhash_near_dedup"] and kept["packing"] == kept["ipf_mixing"]
+    assert sum(r["length"] for r in steps["packing"]) == sum(
+        {r["doc_id"]: r["doc_tokens"] for r in steps["packing"]}.values()
+    )
+    assert {r["doc_id"] for r in pipeline.run(spark, SF).collect()} == kept["packing"]
