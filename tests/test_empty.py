@@ -4,8 +4,9 @@ import os
 
 import pytest
 
-import __spark_entry__ as E
 from tests.oracle_compare import canon, duck_conn
+from txnlake.plans.oracle_queries import ORACLE
+from txnlake.plans.queries import REGISTRY
 
 
 @pytest.fixture(scope="module")
@@ -18,11 +19,11 @@ def empty_dir(spark, tmp_path_factory):
     return d
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_empty_input_matches_oracle(spark, empty_dir, name):
-    df = E.queries()[name](spark, empty_dir)
+    df = REGISTRY[name](spark, empty_dir)
     s_cols, s_rows = canon(df.columns, [tuple(r) for r in df.collect()])
-    cur = duck_conn(empty_dir).execute(E.oracle_sql()[name])
+    cur = duck_conn(empty_dir).execute(ORACLE[name])
     d_cols, d_rows = canon([d[0] for d in cur.description], cur.fetchall())
     assert s_cols == d_cols
     assert s_rows == d_rows

@@ -213,3 +213,117 @@ def test_cursor_mode_scores_rows_without_ingestion_time_once(spark, lake, scratc
     assert p.count() == p.select(KEY).distinct().count() == 500
     first = {r[KEY] for r in spark.read.parquet(f"{batches}/batch_id=r1").collect()}
     assert {"1", "2", "3"} <= first  # NULL times first, as in a full run
+
+
+# --- incremental equals full ---------------------------------------------------
+
+
+def _gold_copy(spark, lake, path):
+    read_layer(spark, f"{lake['root']}/gold").write.partitionBy("transaction_year", "transaction_month").parquet(path)
+    return path
+
+
+def _late(spark, gold_path, key, ts):
+    """A copy of a scorable row under another key and ingestion time, in a new file."""
+    gold = spark.read.parquet(gold_path)
+    row = ML.split_scorable(gold)[0].limit(1).withColumn(KEY, F.lit(key)).withColumn("ingestion_timestamp", F.lit(ts).cast("timestamp_ntz"))
+    row.select(*gold.columns).write.mode("append").partitionBy("transaction_year", "transaction_month").parquet(gold_path)
+
+
+def test_cursor_mode_equals_full_mode_with_late_resent_and_unpersisted_rows(spark, lake, scratch):
+    gold = _gold_copy(spark, lake, f"{scratch}/gold")
+    roots = {m: {"p": f"{scratch}/{m}/p", "b": f"{scratch}/{m}/b"} for m in ("full", "inc")}
+
+    def run(k, n, persist=True):
+        out = {}
+        for m, r in roots.items():
+            bid = f"run{k:03d}"
+            jobs.run_inference(
+                spark, gold, r["p"], f"{lake['root']}/model", r["b"], bid, RUN, n,
+                state_path=f"{scratch}/inc/state" if m == "inc" else None, lookback=dt.timedelta(0),
+            )
+            out[m] = sorted(x[KEY] for x in spark.read.parquet(f"{r['b']}/batch_id={bid}").collect())
+            if persist:
+                jobs.persist_predictions(spark, r["b"], bid, r["p"])
+        assert out["full"] == out["inc"]
+        return out["inc"]
+
+    run(1, 300)
+    skipped = run(2, 200, persist=False)  # scored, never persisted
+    assert run(3, 200) == skipped  # so it comes up again
+    assert len(run(4, None)) == lake["scorable"] - 500
+    assert run(5, None) == []
+    _late(spark, gold, "late", dt.datetime(2020, 1, 1))  # ingested long before the last mark
+    assert run(6, None) == ["late"]
+    scored = spark.read.parquet(roots["inc"]["p"]).select(KEY).first()[0]
+    _late(spark, gold, scored, dt.datetime(2024, 3, 1))  # resent: scored before
+    assert run(7, 5) == []
+    assert run(6, None) == ["late"]  # a rerun of a batch selects its rows again
+    p = spark.read.parquet(roots["inc"]["p"])
+    assert p.count() == p.select(KEY).distinct().count() == lake["scorable"] + 1
+
+
+def test_incremental_silver_equals_full_after_corrected_times(spark, scratch):
+    bronze = bronze_from_events(load_table(spark, SF, "events"))
+    bad = bronze.filter("trans_date_trans_time = 'bad'").select(KEY).orderBy(KEY).first()[0]
+    moved = bronze.filter("trans_date_trans_time <> 'bad'").select(KEY).orderBy(KEY).first()[0]
+    # Two corrections: a time that could not be parsed, and one that moves to a month of its own.
+    fixed = (
+        bronze.filter(F.col(KEY).isin(bad, moved)).dropDuplicates([KEY])
+        .withColumn("trans_date_trans_time", F.when(F.col(KEY) == bad, "2024-01-05 10:00:00").otherwise("2023-06-01 00:00:00"))
+        .withColumn("ingestion_timestamp", F.lit("2024-03-01 00:00:00").cast("timestamp_ntz"))
+    )
+    back = fixed.filter(F.col(KEY) == moved).withColumn("trans_date_trans_time", F.lit("2024-01-02 00:00:00")).withColumn(
+        "ingestion_timestamp", F.lit("2024-04-01 00:00:00").cast("timestamp_ntz")
+    )
+    bronze.write.parquet(f"{scratch}/bronze")
+    jobs.bronze_to_silver(spark, f"{scratch}/bronze", f"{scratch}/inc")
+    jobs.silver_to_gold(spark, f"{scratch}/inc", f"{scratch}/gold", as_of=AS_OF)
+    for step, (more, since) in enumerate(((fixed, "2024-02-15"), (back, "2024-03-15"))):
+        more.select(*bronze.columns).write.mode("append").parquet(f"{scratch}/bronze")
+        months = jobs.bronze_to_silver_incremental(spark, f"{scratch}/bronze", f"{scratch}/inc", since)
+        jobs.silver_to_gold(spark, f"{scratch}/inc", f"{scratch}/gold", as_of=AS_OF, months=months)
+        jobs.bronze_to_silver(spark, f"{scratch}/bronze", f"{scratch}/full{step}")
+        rows = {}
+        for name in ("inc", f"full{step}"):
+            df = spark.read.parquet(f"{scratch}/{name}")
+            rows[name] = sorted(map(str, df.select(*sorted(df.columns)).collect()))
+        assert rows["inc"] == rows[f"full{step}"] and len(rows["inc"]) == 1000
+        gold = spark.read.parquet(f"{scratch}/gold")
+        assert gold.count() == gold.select(KEY).distinct().count() == 1000
+
+
+def test_ingest_takes_rows_without_a_key_once(spark):
+    schema = "trans_num string, amt double, ingestion_timestamp timestamp_ntz"
+    t = dt.datetime(2024, 1, 1)
+    source = spark.createDataFrame([(None, 1.0, t), (None, 2.0, t), (None, 3.0, None), ("a", 1.0, t)], schema)
+    assert INC.ingest(source, source.limit(0)).count() == 4
+    assert INC.ingest(source, source).count() == 0
+    more = source.union(spark.createDataFrame([(None, 4.0, t)], schema))
+    assert [r["amt"] for r in INC.ingest(more, source).collect()] == [4.0]
+
+
+def test_rows_below_the_mark_are_reported(spark):
+    schema = "trans_num string, ingestion_timestamp timestamp_ntz"
+    t = dt.datetime(2024, 1, 10)
+    bronze = spark.createDataFrame([("a", t), ("b", t - dt.timedelta(days=2))], schema)
+    source = bronze.union(spark.createDataFrame([("old", t - dt.timedelta(days=3)), ("new", t)], schema))
+    assert [r[KEY] for r in INC.below_mark(source, bronze, lookback=dt.timedelta(hours=1)).collect()] == ["old"]
+    assert INC.below_mark(source, bronze, lookback=dt.timedelta(days=5)).count() == 0
+
+
+def test_a_rerun_that_shrinks_replaces_its_batch(spark, scratch):
+    schema = "trans_num string, fraud_probability double, inference_timestamp timestamp_ntz"
+    t = dt.datetime(2024, 1, 1)
+    rows = spark.createDataFrame([(str(i), 0.5, t) for i in range(20)], schema)
+    assert INC.append_idempotent(rows, f"{scratch}/p", "x") == 20
+    assert INC.append_idempotent(rows.limit(0), f"{scratch}/p", "x") == 0
+    assert INC.append_idempotent(rows, f"{scratch}/p", "y") == 20
+    assert spark.read.parquet(f"{scratch}/p").count() == 20
+
+
+def test_batch_cut_keeps_the_oldest_rows(spark):
+    t = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(str(i), t + dt.timedelta(minutes=20 * i)) for i in range(30)] + [("n", None)], "trans_num string, ingestion_timestamp timestamp_ntz")
+    assert INC.batch_cut(df, 4) == t + dt.timedelta(hours=2)
+    assert INC.batch_cut(df, 31) is None

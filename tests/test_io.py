@@ -123,3 +123,29 @@ def test_jdbc_persist_is_idempotent_and_historical_load(spark, scratch):
 def test_empty_batch_persists_nothing(spark, scratch):
     SINK.write_batch(spark.createDataFrame([], PREDICTIONS), f"{scratch}/b", "e")
     assert jobs.persist_predictions(spark, f"{scratch}/b", "e", f"{scratch}/p") == 0
+
+
+def test_prepare_raw_keeps_text_as_text(spark, scratch):
+    import os
+
+    from txnlake.plans import jobs
+
+    os.makedirs(f"{scratch}/raw")
+    with open(f"{scratch}/raw/a.csv", "w") as f:
+        f.write("Unnamed: 0,trans_date_trans_time,Zip\n0,2019-01-01 00:00:18,01234\n")
+    jobs.prepare_raw(spark, f"{scratch}/raw", f"{scratch}/out")
+    row = spark.read.option("header", True).csv(f"{scratch}/out").first()
+    assert (row["trans_date_trans_time"], row["zip"]) == ("2019-01-01 00:00:18", "01234")
+
+
+def test_only_a_table_the_database_lists_is_read(spark, scratch):
+    import pytest
+
+    from txnlake.sources.layers import jdbc_table_exists
+
+    url = f"jdbc:derby:{scratch}/db;create=true"
+    assert not jdbc_table_exists(spark, url, "predictions")
+    spark.range(1).write.jdbc(url, "predictions")
+    assert jdbc_table_exists(spark, url, "predictions")
+    with pytest.raises(Exception):
+        jdbc_table_exists(spark, f"jdbc:derby:{scratch}/missing", "predictions")

@@ -4,9 +4,11 @@ import pytest
 
 import __spark_entry__ as E
 from tests.oracle_compare import canon, duck_conn
+from txnlake.plans.oracle_queries import ORACLE
+from txnlake.plans.queries import REGISTRY
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(E.oracle_sql())
+NAMES = sorted(ORACLE)
 
 
 @pytest.fixture(scope="module")
@@ -16,15 +18,15 @@ def duck():
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF)
+    df = REGISTRY[name](spark, SF)
     s_cols, s_rows = canon(df.columns, [tuple(r) for r in df.collect()])
-    cur = duck.execute(E.oracle_sql()[name])
+    cur = duck.execute(ORACLE[name])
     d_cols, d_rows = canon([d[0] for d in cur.description], cur.fetchall())
     assert s_cols == d_cols
     assert len(s_rows) == len(d_rows)
     assert s_rows == d_rows
     spark_types = {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes}
-    duck_types = {r[0]: r[1] for r in duck.execute("DESCRIBE " + E.oracle_sql()[name]).fetchall()}
+    duck_types = {r[0]: r[1] for r in duck.execute("DESCRIBE " + ORACLE[name]).fetchall()}
     assert spark_types == duck_types
 
 
@@ -41,7 +43,7 @@ SPARK_TO_DUCK = {
 
 def test_every_query_has_oracle_or_is_model_fitting():
     model_fitting = {"assemble", "train", "score", "importance_rank", "inference_batch", "train_model"}
-    assert set(E.queries()) - set(E.oracle_sql()) == model_fitting
+    assert set(REGISTRY) - set(ORACLE) == model_fitting
 
 
 FACTS = {
@@ -76,7 +78,7 @@ def test_fixture_facts(spark, sf):
         F.count_if(F.col("lat").isNull()).alias("nl"),
     ).first()
     assert (f["n"], (f["p90"], f["amt"], f["nl"])) == (fraud, sub)
-    got = {(r["label"], r["prediction"]): r["count"] for r in E.queries()["confusion_matrix"](spark, f"/root/testdata/{sf}").collect()}
+    got = {(r["label"], r["prediction"]): r["count"] for r in REGISTRY["confusion_matrix"](spark, f"/root/testdata/{sf}").collect()}
     assert got == dict(zip([(0, 0), (0, 1), (1, 0), (1, 1)], cm))
 
 

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txnlake.operators.silver import dedupe_latest
 from txnlake.schemas import KEY
+from txnlake.session import checkpoint_dir
 
 CURSOR = "ingestion_timestamp"
 BATCH_SIZE = 5000  # fixed value: rows scored per run
@@ -20,6 +21,28 @@ def cursor_max(df: DataFrame, cursor: str = CURSOR):
     return df.agg(F.max(F.col(cursor)).alias("m")).first()["m"]
 
 
+def _lower_bound(source: DataFrame, bronze: DataFrame, cursor: str, lookback: dt.timedelta):
+    """``max(cursor) - lookback`` of Bronze as a literal, None without a mark."""
+    hi = cursor_max(bronze, cursor)
+    return None if hi is None else F.lit(hi - lookback).cast(source.schema[cursor].dataType)
+
+
+def _not_in(rows: DataFrame, seen: DataFrame, cursor: str, key: str) -> DataFrame:
+    """``rows`` whose record ``seen`` lacks.  A record is its key plus its cursor
+    value, compared NULL-safely; without a key it is its whole row (a hash)."""
+    shared = [f.name for f in rows.schema.fields if f.name in seen.columns and not isinstance(f.dataType, T.MapType)]
+
+    def identity(df: DataFrame) -> DataFrame:
+        return df.withColumn("_row", F.when(F.col(key).isNull(), F.xxhash64(*shared)))
+
+    s, b = identity(rows).alias("s"), identity(seen).select(key, cursor, "_row").alias("b")
+    cond = None
+    for c in (key, cursor, "_row"):
+        same = F.col(f"s.{c}").eqNullSafe(F.col(f"b.{c}"))
+        cond = same if cond is None else cond & same
+    return s.join(b, cond, "left_anti").select(*[F.col(f"s.{c}") for c in rows.columns])
+
+
 def ingest(
     source: DataFrame,
     bronze: DataFrame | None = None,
@@ -33,23 +56,32 @@ def ingest(
     rows at or beyond ``max(cursor) - lookback``, minus those already in Bronze
     (a record is its key plus its cursor value, so a re-sent copy of a record
     with a newer ingestion time is kept, and the lookback overlap is not
-    appended twice).  The anti-join's right side is only Bronze's lookback
-    window, not all of Bronze.  Rows without a cursor value cannot be placed
-    after the mark; they are candidates on every load and matched NULL-safely,
-    so each is appended once.
+    appended twice; a record without a key is its whole row).  The anti-join's
+    right side is only Bronze's lookback window, not all of Bronze.  Rows
+    without a cursor value cannot be placed after the mark; they are candidates
+    on every load and matched NULL-safely, so each is appended once.
+    ``below_mark`` reports what the mark leaves out.
     """
-    if bronze is None:
+    lo = None if bronze is None else _lower_bound(source, bronze, cursor, lookback)
+    if lo is None:
         return source
-    hi = cursor_max(bronze, cursor)
-    if hi is None:
-        return source
-    lo = hi - lookback
-    lo_lit = F.lit(lo).cast(source.schema[cursor].dataType)
-    window = (F.col(cursor) >= lo_lit) | F.col(cursor).isNull()
-    s = source.filter(window).alias("s")
-    seen = bronze.filter(window).select(key, cursor).alias("b")
-    cond = (F.col(f"s.{key}") == F.col(f"b.{key}")) & F.col(f"s.{cursor}").eqNullSafe(F.col(f"b.{cursor}"))
-    return s.join(seen, cond, "left_anti").select(*[F.col(f"s.{c}") for c in source.columns])
+    window = (F.col(cursor) >= lo) | F.col(cursor).isNull()
+    return _not_in(source.filter(window), bronze.filter(window), cursor, key)
+
+
+def below_mark(
+    source: DataFrame,
+    bronze: DataFrame,
+    cursor: str = CURSOR,
+    lookback: dt.timedelta = dt.timedelta(0),
+    key: str = KEY,
+) -> DataFrame:
+    """Source rows older than the ingestion window that Bronze does not hold:
+    what a load with this ``lookback`` leaves out (load them with a longer one)."""
+    lo = _lower_bound(source, bronze, cursor, lookback)
+    if lo is None:
+        return source.limit(0)
+    return _not_in(source.filter(F.col(cursor) < lo), bronze.filter(F.col(cursor) < lo), cursor, key)
 
 
 def unscored(gold: DataFrame, scored_keys: DataFrame, key: str = KEY) -> DataFrame:
@@ -75,25 +107,51 @@ def next_batch(df: DataFrame, n: int | None = BATCH_SIZE, key: str = KEY, order:
     return df.orderBy(F.col(order).asc_nulls_first(), F.col(key).asc()).limit(n)
 
 
+def batch_cut(df: DataFrame, n: int, order: str = CURSOR):
+    """A time that the oldest ``n`` rows do not pass, or None if all are needed.
+
+    Rows are counted per hour (one partial aggregate, one row per hour of
+    history); filtering to the hour in which the running total reaches ``n``
+    before the top-n keeps its merge to the rows of that hour instead of
+    n rows from every task."""
+    hours = df.filter(F.col(order).isNotNull()).groupBy(F.date_trunc("hour", order).alias("h")).agg(F.count(F.lit(1)).alias("n"))
+    # One row per hour: a year is 8,760 rows in the ordered pass.
+    running = hours.withColumn("total", F.sum("n").over(Window.orderBy("h")))
+    h = running.filter(F.col("total") >= n).agg(F.min("h").alias("h")).first()["h"]
+    return None if h is None else h + dt.timedelta(hours=1)
+
+
 def stamp(df: DataFrame, run_ts, col: str = "inference_timestamp") -> DataFrame:
     """One run time for all rows, passed in so a retried run writes the same value."""
     return df.withColumn(col, F.lit(run_ts).cast("timestamp_ntz"))
 
 
-# Most batch keys broadcast to filter the target's keys; beyond it the
-# reduction is a plain (shuffled) semi-join.
+# Largest key set broadcast to filter another table's keys, in rows and in bytes
+# of key text; beyond either the reduction is a plain (shuffled) semi-join.
 MAX_BROADCAST_KEYS = 2_000_000
+MAX_BROADCAST_BYTES = 64 << 20
+
+
+def absent(rows: DataFrame, target_keys: DataFrame, key: str = KEY) -> DataFrame:
+    """``rows`` (keys not NULL) whose key the target lacks.
+
+    The target grows with every run; ``rows`` often does not.  A left-anti join
+    can only build its right side, so the target's key column is first cut down
+    to the keys asked for: one scan and no shuffle of it when their checked
+    size, in rows and in bytes, allows a broadcast."""
+    size = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.col(key).cast("string"))).alias("b")).first()
+    keys = rows.select(key)
+    if size["n"] <= MAX_BROADCAST_KEYS and (size["b"] or 0) <= MAX_BROADCAST_BYTES:
+        keys = F.broadcast(keys)
+    present = target_keys.select(key).join(keys, key, "left_semi")
+    return rows.join(present, key, "left_anti")
 
 
 def rows_to_append(batch: DataFrame, target_keys: DataFrame, key: str = KEY, order: str = "inference_timestamp") -> DataFrame:
     """Batch rows whose key the target lacks, one row per key: the idempotent
-    part of an append. Re-applying the same batch yields no rows.
-
-    The target grows with every run; the batch does not.  So the target's
-    key column is first cut down to the keys of this batch (a semi-join
-    against the broadcast batch keys: one scan of the key column, no
-    shuffle of it), and the anti-join then runs between two batch-sized
-    sides.  The broadcast happens only after checking the batch key count.
+    part of an append. Re-applying the same batch yields no rows.  The batch is
+    deduplicated once, into the cluster's checkpoint folder, as its size check,
+    the target's reduction and the result all read it.
     """
     b = batch.filter(F.col(key).isNotNull())
     if order in b.columns:
@@ -102,20 +160,17 @@ def rows_to_append(batch: DataFrame, target_keys: DataFrame, key: str = KEY, ord
         b = dedupe_latest(b, key, CURSOR)
     else:
         b = b.dropDuplicates([key])
-    batch_keys = b.select(key)
-    if batch_keys.limit(MAX_BROADCAST_KEYS + 1).count() <= MAX_BROADCAST_KEYS:
-        batch_keys = F.broadcast(batch_keys)
-    present = target_keys.select(key).join(batch_keys, key, "left_semi")
-    return b.join(present, key, "left_anti")
+    checkpoint_dir(batch.sparkSession)
+    return absent(b.checkpoint(eager=True), target_keys, key)
 
 
 def append_idempotent(batch: DataFrame, target_path: str, batch_id: str, key: str = KEY) -> int:
     """Append ``batch`` to a Parquet predictions table under ``batch_id=<id>``.
 
     Keys already present in *other* batches are skipped; the batch's own
-    directory is overwritten (dynamic partition overwrite), so a retried run
-    of the same batch replaces its files instead of adding a second copy.
-    Single writer per table is assumed (plain files have no MERGE).
+    directory is replaced whole, so a retried run of the same batch replaces
+    its files instead of adding a second copy, also when it has fewer rows or
+    none.  Single writer per table is assumed (plain files have no MERGE).
     Returns the number of rows written.
     """
     from txnlake.sources.layers import read_or_empty
@@ -129,49 +184,42 @@ def append_idempotent(batch: DataFrame, target_path: str, batch_id: str, key: st
     # this batch's directory is replaced, so the plan never reads what it
     # overwrites and a task retried after an executor loss sees the same input.
     others = target.filter(F.col("batch_id") != F.lit(batch_id))
-    new = rows_to_append(batch.drop("batch_id"), others, key).withColumn("batch_id", F.lit(batch_id))
-    (
-        new.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
-        .parquet(target_path)
-    )
-    return spark.read.parquet(target_path).filter(F.col("batch_id") == F.lit(batch_id)).count()
+    own = f"{target_path.rstrip('/')}/batch_id={batch_id}"
+    rows_to_append(batch.drop("batch_id"), others, key).write.mode("overwrite").parquet(own)
+    return spark.read.schema(batch.drop("batch_id").schema).parquet(own).count()
 
 
-# One row per scoring run: the ingestion-time range its batch covered.
+# One row per scoring run: where its window began, and where the next one may
+# begin once the run's batch is persisted.  Marks are arrival times: when the
+# Gold file of a row was written, which no source clock or late record changes.
 CURSOR_STATE = T.StructType(
     [
-        T.StructField("min_ingestion", T.TimestampNTZType()),
-        T.StructField("max_ingestion", T.TimestampNTZType()),
+        T.StructField("mark_before", T.TimestampType()),
+        T.StructField("mark_after", T.TimestampType()),
         T.StructField("rows", T.LongType()),
-        T.StructField("null_times", T.LongType()),
         T.StructField("batch_id", T.StringType()),
     ]
 )
+ARRIVED = "_arrived"
+
+
+def with_arrival(layer: DataFrame) -> DataFrame:
+    """A layer read from files with the time each row's file was written."""
+    return layer.withColumn(ARRIVED, F.col("_metadata.file_modification_time"))
 
 
-def scoring_window(state: DataFrame, lookback: dt.timedelta):
-    """Lower ingestion-time bound of rows that can still be unscored.
+def scoring_mark(state: DataFrame, batch_id: str, persisted) -> dt.datetime | None:
+    """Rows that arrived before this mark are all scored; None if nothing is known.
 
-    Batches are cut oldest-first, so every scorable row older than the last
-    batch's newest row is already scored; ingestion time is the insert time,
-    so later arrivals sort after it.  ``lookback`` absorbs clock skew between
-    writers.  ``None`` when no run has been recorded (score from the start).
+    A run's ``mark_after`` holds only once its batch is in the predictions
+    (``persisted(batch_id)``), so a failed or skipped persistence never moves the
+    mark.  A rerun of a batch starts where its first run did and selects the same rows.
     """
-    hi = cursor_max(state, "max_ingestion")
-    return None if hi is None else hi - lookback
-
-
-def batch_range(batch_keys: DataFrame, gold: DataFrame, batch_id: str, key: str = KEY) -> DataFrame:
-    """The cursor-state row of a written batch (one aggregate over <= n rows)."""
-    return (
-        gold.join(batch_keys.select(key), key, "left_semi")
-        .agg(
-            F.min(CURSOR).alias("min_ingestion"),
-            F.max(CURSOR).alias("max_ingestion"),
-            F.count(F.lit(1)).alias("rows"),
-            F.count_if(F.col(CURSOR).isNull()).alias("null_times"),
-        )
-        .withColumn("batch_id", F.lit(batch_id))
-    )
+    rows = state.orderBy(F.desc("mark_after")).select("batch_id", "mark_before", "mark_after", "rows")
+    own = rows.filter(F.col("batch_id") == F.lit(batch_id)).first()
+    if own is not None:
+        return own["mark_before"]
+    for r in rows.filter(F.col("mark_after").isNotNull()).toLocalIterator():
+        if r["rows"] == 0 or persisted(r["batch_id"]):
+            return r["mark_after"]
+    return None

@@ -35,7 +35,7 @@ from txnlake.schemas import (
 )
 from txnlake.session import checkpoint_dir
 from txnlake.sinks import layers as SINK
-from txnlake.sources.layers import existing_keys, read_jdbc, read_layer, read_or_empty, read_raw_csv
+from txnlake.sources.layers import existing_keys, jdbc_table_exists, read_jdbc, read_layer, read_or_empty, read_raw_csv
 
 
 def _written_rows(spark: SparkSession, path: str) -> int:
@@ -62,6 +62,9 @@ def ingest_to_bronze(
     """
     schema = source.schema
     bronze = read_or_empty(spark, bronze_path, schema)
+    if bronze.isEmpty():  # a first load reads nothing it extends: written once, straight from the source
+        source.write.mode("append").parquet(bronze_path)
+        return _written_rows(spark, bronze_path)
     checkpoint_dir(spark)
     new = INC.ingest(source, bronze, lookback=lookback).checkpoint(eager=True)
     n = new.count()
@@ -95,31 +98,47 @@ def bronze_to_silver(
 def merge_into_silver(new_bronze: DataFrame, silver_path: str) -> list[tuple]:
     """Merge Bronze rows into Silver, rewriting only the months they touch.
 
-    The rows are standardised, unioned with the Silver rows already in their
-    months (partition-pruned read), deduplicated (latest ingestion wins) and
-    those months are overwritten.  A resent copy of a transaction has the same
-    transaction time, hence the same month, so per-month deduplication is
-    global.  The merge is checkpointed into the cluster's checkpoint folder
+    The touched months are those of the new rows and those in which their keys
+    already sit (one scan of Silver's key column): a corrected transaction time
+    moves a record to another month.  Silver's rows of these months are unioned
+    with the new ones, deduplicated (latest ingestion wins) and the months are
+    overwritten; a month that lost its last row is removed.  The merge is checkpointed into the cluster's checkpoint folder
     before the overwrite: the plan must not read the files it replaces.
     Replaying the same rows gives the same Silver (idempotent).
     Returns the (year, month) partitions rewritten.
     """
     spark = new_bronze.sparkSession
     new = standardize(split_null_keys(new_bronze)[0])
-    # Distinct (year, month) of the increment: at most a few dozen values.
-    months = [tuple(r) for r in new.select(*PARTITION_COLS).distinct().collect()]
+    existing = read_or_empty(spark, silver_path, new.schema)
+    keys = new.select(KEY)
+    size = keys.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(KEY)).alias("b")).first()
+    if size["n"] <= INC.MAX_BROADCAST_KEYS and (size["b"] or 0) <= INC.MAX_BROADCAST_BYTES:
+        keys = F.broadcast(keys)
+    sitting = existing.select(KEY, *PARTITION_COLS).join(keys, KEY, "left_semi").select(*PARTITION_COLS)
+    touched = new.select(*PARTITION_COLS).union(sitting).distinct()
+    months = [tuple(r) for r in touched.limit(MAX_MONTHS + 1).collect()]
     if not months:
         return []
-    existing = read_or_empty(spark, silver_path, new.schema)
-    merged = dedupe_latest(existing.filter(_months_filter(months)).select(*new.columns).unionByName(new))
+    if len(months) > MAX_MONTHS:
+        # Corrupt times can name any month: all months are then rewritten, by a plan that names none.
+        months = [tuple(r) for r in existing.select(*PARTITION_COLS).union(new.select(*PARTITION_COLS)).distinct().collect()]
+        merged = dedupe_latest(existing.select(*new.columns).unionByName(new))
+    else:
+        merged = dedupe_latest(existing.filter(_months_filter(months)).select(*new.columns).unionByName(new))
     # Rebalanced by month before the checkpoint, so the checkpointed
     # partitions are already the files to write.
     checkpoint_dir(spark)
     merged = merged.hint("rebalance", *PARTITION_COLS).checkpoint(eager=True)
     SINK.write_layer(merged, silver_path, touched_only=True)
+    left = {tuple(r) for r in merged.select(*PARTITION_COLS).distinct().collect()}
+    SINK.drop_partitions(spark, silver_path, [m for m in months if m not in left])
     return months
 
 
+# Most months named one by one in a filter.
+MAX_MONTHS = 500
+
+
 def _months_filter(months: list[tuple]):
     cond = None
     for y, m in months:
@@ -160,6 +179,9 @@ def silver_to_gold(
         silver = silver.filter(_months_filter(months))
         touched_only = True
     SINK.write_layer(to_gold(silver, as_of=as_of), gold_path, touched_only=touched_only)
+    if months:
+        left = {tuple(r) for r in silver.select(*PARTITION_COLS).distinct().collect()}
+        SINK.drop_partitions(spark, gold_path, [m for m in months if tuple(m) not in left])
     written = spark.read.parquet(gold_path)
     return (written.filter(_months_filter(months)) if months else written).count()
 
@@ -207,50 +229,77 @@ def run_inference(
 ) -> int:
     """Write this run's batch (possibly empty) under ``batch_root``.
 
-    Without ``state_path`` every run anti-joins all of Gold with every scored
-    key, as the original job did: work grows with history.  With it, each run
-    records the ingestion range its batch covered, and the next run reads
-    only Gold rows at or after ``last max - lookback`` (a pushed-down range
-    filter) and only the prediction batches that reach into that window (a
-    semi-join on the ``batch_id`` partition column, which dynamic partition
-    pruning turns into a directory listing).  Work then grows with the new
-    data, not with the table.
+    Only keys and times are compared: the scorable Gold rows' keys are
+    anti-joined with the scored keys, the batch is cut from them, and the wide
+    rows are fetched by its keys.
+
+    With ``state_path`` a run looks only at Gold files written since the mark of
+    the last persisted run, less ``lookback`` for clocks that differ between
+    writers, and finds the already scored among them by their keys.  The mark is
+    the arrival time of the oldest row still waiting (of the newest file, if
+    none is), so it selects exactly what a run over all of Gold would: a late
+    record arrives in a new file, a rewritten month is looked at again, and a
+    batch that was not persisted never moves the mark.
     """
-    gold = read_layer(spark, gold_path, required=SCORING_INPUT)
+    gold = INC.with_arrival(read_layer(spark, gold_path, required=SCORING_INPUT))
     # A batch id is one unit of work: its selection ignores its own earlier
     # output, so rerunning a batch (after a failure, or by mistake after it
     # completed) selects and writes the same rows instead of new ones.
     this = F.lit(batch_id)
     preds = read_or_empty(spark, predictions_path, PREDICTIONS_TABLE).filter(F.col("batch_id") != this)
+    mark = None
     if state_path is not None:
-        state = read_or_empty(spark, state_path, INC.CURSOR_STATE).filter(F.col("batch_id") != this)
-        lo = INC.scoring_window(state, lookback)
-        if lo is not None:
-            lo_lit = F.lit(lo).cast("timestamp_ntz")
-            # NULL times sort first in a full run, so they stay candidates here.
-            gold = gold.filter((F.col(INC.CURSOR) >= lo_lit) | F.col(INC.CURSOR).isNull())
-            # Batches reaching into the window, and the (few) that scored rows
-            # without an ingestion time, which are candidates in every run.
-            recent = state.filter((F.col("max_ingestion") >= lo_lit) | (F.col("null_times") > 0)).select("batch_id")
-            preds = preds.join(recent, "batch_id", "left_semi")
-    model = ML.load_model(model_path)
-    p = SINK.write_batch(inference_batch(gold, existing_keys(preds), model, run_ts, n), batch_root, batch_id)
+        state = read_or_empty(spark, state_path, INC.CURSOR_STATE)
+        mark = INC.scoring_mark(
+            state, batch_id, lambda b: SINK.path_exists(spark, f"{predictions_path.rstrip('/')}/batch_id={b}/_SUCCESS")
+        )
+        if mark is not None:
+            gold = gold.filter(F.col(INC.ARRIVED) >= F.lit(mark) - F.lit(lookback))
+    checkpoint_dir(spark)
+    ok, _ = ML.split_scorable(gold.filter(F.col(KEY).isNotNull()))
+    waiting = ok.select(KEY, INC.CURSOR, INC.ARRIVED)
+    if mark is not None:  # a window: its keys are few beside the predictions'
+        waiting = INC.absent(waiting, existing_keys(preds))
+    else:
+        waiting = INC.unscored(waiting, existing_keys(preds))
+    waiting = waiting.checkpoint(eager=True)
+    batch = waiting
+    if n is not None:
+        until = INC.batch_cut(waiting, n)
+        if until is not None:
+            batch = batch.filter(F.col(INC.CURSOR).isNull() | (F.col(INC.CURSOR) <= F.lit(until).cast("timestamp_ntz")))
+        batch = INC.next_batch(batch, n)
+    batch = batch.select(KEY).checkpoint(eager=True)
+    # The batch is at most n keys; larger ones are joined by shuffle.
+    keys = F.broadcast(batch) if n is not None and n <= MAX_BROADCAST_BATCH else batch
+    rows = gold.join(keys, KEY, "left_semi")
+    scored = ML.score(ML.select_features(rows), ML.load_model(model_path), run_ts).select(*PREDICTIONS.fieldNames())
+    p = SINK.write_batch(scored, batch_root, batch_id)
+    count = _written_rows(spark, p)
     if state_path is not None:
+        after = waiting.join(keys, KEY, "left_anti").agg(F.min(INC.ARRIVED)).first()[0]
+        if after is None:
+            after = gold.agg(F.max(INC.ARRIVED)).first()[0] or mark
         (
-            INC.batch_range(spark.read.parquet(p), gold, batch_id)
+            spark.createDataFrame([(mark, after, count, batch_id)], INC.CURSOR_STATE)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("batch_id")
             .parquet(state_path)
         )
-    return _written_rows(spark, p)
+    return count
+
+
+# Most keys of a batch that are broadcast to fetch its rows.
+MAX_BROADCAST_BATCH = 1_000_000
 
 
 def persist_predictions(spark: SparkSession, batch_root: str, batch_id: str, predictions_path: str) -> int:
     """Append the batch idempotently; rerunning adds nothing.  An empty
-    batch is a no-op (checked with ``isEmpty``, one row read at most)."""
+    batch is a no-op (checked with ``isEmpty``, one row read at most), unless an
+    earlier run of it left rows, which it then replaces."""
     batch = read_or_empty(spark, SINK.batch_path(batch_root, batch_id), PREDICTIONS)
-    if batch.isEmpty():
+    if batch.isEmpty() and not SINK.path_exists(spark, SINK.batch_path(predictions_path, batch_id)):
         return 0
     return INC.append_idempotent(batch, predictions_path, batch_id)
 
@@ -269,19 +318,17 @@ def persist_predictions_jdbc(
     INSERT batches of ``batchsize`` rows from the executors.  The table's
     keys are read pruned to the key column (pass ``partition_column``,
     ``lower``, ``upper``, ``num_partitions`` to read them in parallel ranges);
-    a missing table counts as empty.  The rows to insert (at most one batch)
+    a table that the database does not list counts as empty, every other failure
+    propagates.  The rows to insert (at most one batch)
     are checkpointed once into the cluster's checkpoint folder, so counting
     and writing them does not read the table's keys twice.
     Returns the rows inserted."""
     batch = read_or_empty(spark, SINK.batch_path(batch_root, batch_id), PREDICTIONS)
     if batch.isEmpty():
         return 0
-    try:
+    if jdbc_table_exists(spark, url, table, properties):
         keys = read_jdbc(spark, url, table, properties, columns=[KEY], **key_read)
-        keys.schema  # resolve now: a missing table fails here, not mid-write
-    except Exception as e:  # noqa: BLE001 - only "no such table" is tolerated
-        if not _missing_table(e):
-            raise
+    else:
         keys = spark.createDataFrame([], f"{KEY} string")
     checkpoint_dir(spark)
     new = INC.rows_to_append(batch, keys).checkpoint(eager=True)
@@ -291,34 +338,50 @@ def persist_predictions_jdbc(
     return n
 
 
-def _missing_table(e: Exception) -> bool:
-    text = str(e).lower()
-    return "does not exist" in text or "doesn't exist" in text or "no such table" in text or "42x05" in text
+# --- E5: training -----------------------------------------------------------------
 
 
-# --- E5: training -----------------------------------------------------------------
+# Partitions the forest is fitted on.  Bagging draws per partition and in row
+# order, so a fixed number, filled by key and sorted, makes the model a function
+# of the data and the seed alone, on any cluster.
+FIT_PARTITIONS = 64
 
 
-def _at_least_one_partition_per_core(df: DataFrame) -> DataFrame:
-    """The forest's passes run one task per input partition: a layer stored in
-    a few large files must not fit on a few cores.  Only ever increases the
-    partition count."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def fixed_layout(df: DataFrame, partitions: int = FIT_PARTITIONS) -> DataFrame:
+    """Rows in ``partitions`` partitions by key, sorted by key in each."""
+    return df.repartition(partitions, KEY).sortWithinPartitions(KEY, *[c for c in df.columns if c != KEY])
 
 
 def train_model(
-    spark: SparkSession, gold_path: str, model_path: str | None = None, balanced: bool = False, **forest_args
+    spark: SparkSession,
+    gold_path: str,
+    model_path: str | None = None,
+    balanced: bool = False,
+    partitions: int = FIT_PARTITIONS,
+    **forest_args,
 ) -> dict:
     """Select, clean, split (exact, stratified), fit, evaluate on the hold-out,
     rank features, save.  Returns the fitted model and report frames."""
     gold = read_layer(spark, gold_path, required=TRAINING_INPUT)
+    return train_on(gold, model_path, balanced, partitions, **forest_args)
+
+
+def train_on(
+    gold: DataFrame,
+    model_path: str | None = None,
+    balanced: bool = False,
+    partitions: int = FIT_PARTITIONS,
+    **forest_args,
+) -> dict:
+    """``train_model`` on a Gold frame.  The model does not depend on the number
+    of cores or files (see ``FIT_PARTITIONS``)."""
+    spark = gold.sparkSession
     data = ML.clean_training(gold.select(KEY, *FEATURES, LABEL))
     # The forest reads its input several times (metadata, split candidates,
     # binned rows) and the hold-out once more: the split is computed once and
     # checkpointed into the cluster's checkpoint folder.
     checkpoint_dir(spark)
-    split = _at_least_one_partition_per_core(ML.stratified_split(data)).checkpoint(eager=True)
+    split = fixed_layout(ML.stratified_split(data), partitions).checkpoint(eager=True)
     fit_rows = split.filter(~F.col("is_test")).drop("is_test")
     if balanced:  # off by default, as in the original fit
         fit_rows = ML.with_balanced_weights(fit_rows)
@@ -351,7 +414,7 @@ def compare_models(
     gold = read_layer(spark, gold_path, required=TRAINING_INPUT)
     data = ML.clean_training(gold)
     checkpoint_dir(spark)
-    split = ML.stratified_split(data).checkpoint(eager=True)
+    split = fixed_layout(ML.stratified_split(data)).checkpoint(eager=True)
     train = split.filter(~F.col("is_test"))
     test = split.filter(F.col("is_test"))
     out = None
@@ -389,8 +452,9 @@ def prepare_raw(
     rename: dict[str, str] | None = None,
     fmt: str = "csv",
 ) -> DataFrame:
-    """Raw CSV -> drop the index column -> normalised names -> CSV/Parquet."""
-    df = normalize_columns(drop_if_present(read_raw_csv(spark, csv_path), INDEX_COLUMN), rename)
+    """Raw CSV -> drop the index column -> normalised names -> CSV/Parquet.
+    Values stay the text they are (times, leading zeros)."""
+    df = normalize_columns(drop_if_present(read_raw_csv(spark, csv_path, infer=False), INDEX_COLUMN), rename)
     SINK.export(df, out_path, fmt)
     return df
 

@@ -388,7 +388,8 @@ sql(
     """
 SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, transactions, frauds,
   frauds * CAST(100 AS DOUBLE) / transactions AS fraud_rate,
-  frauds - lag(frauds) OVER (ORDER BY window_start) AS frauds_change
+  CASE WHEN window_start > min(window_start) OVER () THEN frauds - coalesce(max(frauds) OVER (
+    ORDER BY window_start RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND INTERVAL 1 HOUR PRECEDING), 0) END AS frauds_change
 FROM (
   SELECT time_bucket(INTERVAL '1 hour', trans_date_trans_time) AS window_start, count(*) AS transactions,
          count(*) FILTER (WHERE is_fraud = 1) AS frauds

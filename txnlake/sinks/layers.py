@@ -48,6 +48,26 @@ def write_layer(
     w.parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path``, so any store that Spark writes to."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def drop_partitions(spark: SparkSession, path: str, values: list[tuple], partition_cols: list[str] | None = None) -> None:
+    """Remove the named partitions of a layer: a dynamic overwrite replaces the
+    partitions it has rows for and leaves one that lost its last row."""
+    for row in values:
+        parts = (f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for c, v in zip(partition_cols or PARTITION_COLS, row))
+        p, fs = _file_system(spark, "/".join([path.rstrip("/"), *parts]))
+        fs.delete(p, True)
+
+
 def batch_path(root: str, batch_id: str) -> str:
     return f"{root.rstrip('/')}/batch_id={batch_id}"
 

@@ -54,16 +54,18 @@ def read_raw_csv(
     path: str,
     schema: T.StructType | None = None,
     corrupt_column: str = "_corrupt_record",
+    infer: bool = True,
 ) -> DataFrame:
     """Header CSV, parsed on the executors. With a schema, malformed lines
-    are kept (PERMISSIVE) and their text lands in ``corrupt_column``."""
+    are kept (PERMISSIVE) and their text lands in ``corrupt_column``.
+    ``infer=False`` keeps every value as text, without a pass for the types."""
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
     if schema is not None:
         if corrupt_column not in schema.fieldNames():
             schema = T.StructType(schema.fields + [T.StructField(corrupt_column, T.StringType())])
         reader = reader.schema(schema).option("columnNameOfCorruptRecord", corrupt_column)
     else:
-        reader = reader.option("inferSchema", True)
+        reader = reader.option("inferSchema", infer)
     return reader.csv(path)
 
 
@@ -72,6 +74,22 @@ def existing_keys(predictions: DataFrame, key: str = KEY) -> DataFrame:
     return predictions.select(F.col(key)).filter(F.col(key).isNotNull())
 
 
+def jdbc_table_exists(spark: SparkSession, url: str, table: str, properties: dict[str, str] | None = None) -> bool:
+    """Whether the database's metadata list the table; a failed connection raises."""
+    props = spark._jvm.java.util.Properties()
+    for k, v in (properties or {}).items():
+        props.setProperty(k, str(v))
+    owner, _, name = table.replace('"', "").rpartition(".")
+    connection = spark._jvm.java.sql.DriverManager.getConnection(url, props)
+    try:
+        meta = connection.getMetaData()
+        # Unquoted names are stored in the database's own case.
+        spellings = {(owner, name), (owner.upper(), name.upper()), (owner.lower(), name.lower())}
+        return any(meta.getTables(None, o or None, n, None).next() for o, n in spellings)
+    finally:
+        connection.close()
+
+
 def read_jdbc(
     spark: SparkSession,
     url: str,
