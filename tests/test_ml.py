@@ -95,3 +95,18 @@ def test_balanced_weights_and_weighted_fit(spark, separable):
     assert r[1] == pytest.approx(2000 / (2 * 200)) and r[0] == pytest.approx(2000 / (2 * 1800))
     m = ML.train(w, num_trees=5, max_depth=3, weight_col="class_weight")
     assert ML.score(separable, m).count() == 2000
+
+
+def test_model_is_the_same_on_any_layout_and_core_count(spark, tmp_path):
+    """Partitions of the input, and with them the tasks of a run, don't change the model."""
+    from txnlake.plans import jobs
+    from txnlake.sources.fixtures import fixture_layers
+
+    gold = fixture_layers(spark, "/root/testdata/sf0.001")["gold"]
+    got = []
+    for n in (2, 8):
+        gold.repartition(n).write.parquet(f"{tmp_path}/gold{n}")
+        m = jobs.train_model(spark, f"{tmp_path}/gold{n}", num_trees=5, max_depth=4)["model"]
+        scored = ML.score(ML.select_features(ML.split_scorable(gold)[0]), m)
+        got.append(sorted((r[KEY], r["fraud_probability"]) for r in scored.collect()))
+    assert got[0] == got[1] and len(got[0]) > 900

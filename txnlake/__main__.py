@@ -38,6 +38,10 @@ def _ts(s: str) -> dt.datetime:
     return dt.datetime.fromisoformat(s)
 
 
+def _rows(s: str) -> int | None:
+    return None if s == "all" else int(s)
+
+
 def _print_rows(df) -> None:
     for r in df.collect():
         print(json.dumps(r.asDict(recursive=True), default=str))
@@ -66,7 +70,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         a.add_argument(f"--{k}", required=True)
     a.add_argument("--run-ts", type=_ts, required=True)
     a.add_argument("--state")
-    a.add_argument("--n", type=int, default=5000)
+    a.add_argument("--n", type=_rows, default=5000, help="rows to score, or all")
     a = sub.add_parser("persist")
     for k in ("batches", "batch-id", "predictions"):
         a.add_argument(f"--{k}", required=True)
@@ -94,6 +98,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     a.add_argument("--run-ts", type=_ts, required=True)
     a.add_argument("--since", type=_ts)
     a.add_argument("--as-of")
+    a.add_argument("--n", type=_rows, default=5000, help="rows to score, or all")
     a = sub.add_parser("ingest")
     a.add_argument("--source", required=True)
     a.add_argument("--bronze", required=True)
@@ -210,7 +215,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     elif c == "cycle":
         r = args.root.rstrip("/")
         paths = {k: f"{r}/{k}" for k in ("bronze", "silver", "gold", "model", "batches", "predictions", "state")}
-        out = jobs.scoring_cycle(spark, paths, args.run_ts, args.batch_id, as_of=args.as_of, since=args.since)
+        out = jobs.scoring_cycle(spark, paths, args.run_ts, args.batch_id, as_of=args.as_of, n=args.n, since=args.since)
         print(json.dumps(out, default=str))
     return 0
 

@@ -108,21 +108,21 @@ def stratified_split(
     rows go to test -- those ranked first by (md5(key || seed), key).
 
     Exact and repeatable, unlike ``sampleBy``, and without a window over a
-    whole class (a class can be most of the data): ranks are found from a
-    histogram of the hash's first 5 hex digits (one partial aggregate,
-    at most 2^20 rows per class), whose running totals locate, per class, the
-    one bucket the cut falls in.  Only rows of that bucket are ranked
-    individually; every other row is decided by comparing its bucket.
+    whole class (a class can be most of the data).  A histogram of the hash's
+    first 5 hex digits (one partial aggregate, at most 2^20 rows per class) has
+    running totals that locate, per class, the one bucket the cut falls in; a
+    second aggregate over that bucket counts its distinct (hash, key) pairs, and
+    their running totals give the exact threshold.  The split itself is one
+    narrow pass: test rows are those at or below their class's threshold.
 
     Keys are expected unique (the training frame comes from Gold, which is
-    deduplicated on the key): copies of one key share a hash, so a key copied
-    across a large share of the rows would be ranked in one task if its
-    bucket held the cut.  Dedupe first (``silver.dedupe_latest``) otherwise.
+    deduplicated on the key).  Copies of one key go to the same side, so a copied
+    key at the cut can make the test part larger by its copies; they are counted,
+    never ranked, so a hot key is no hot task.
     """
     h = _split_hash(key, seed)
-    d = df.withColumn("_h", h).withColumn(
-        "_b", F.conv(F.substring(F.col("_h"), 1, _SPLIT_HEX_DIGITS), 16, 10).cast("long")
-    )
+    bucket = F.conv(F.substring(F.col("_h"), 1, _SPLIT_HEX_DIGITS), 16, 10).cast("long")
+    d = df.select(label, F.col(key).cast("string").alias("_key"), h.alias("_h")).withColumn("_b", bucket)
     counts = d.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n"))
     w_run = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     w_all = Window.partitionBy(label)
@@ -130,24 +130,28 @@ def stratified_split(
         counts.withColumn("_before", F.coalesce(F.sum("_n").over(w_run), F.lit(0)))
         .withColumn("_k", F.ceil(F.sum("_n").over(w_all) * F.lit(test_fraction)).cast("long"))
         .filter((F.col("_before") < F.col("_k")) & (F.col("_before") + F.col("_n") >= F.col("_k")))
-        .select(label, F.col("_b").alias("_cut_b"), "_before", "_k")
-    )
-    # One row per class, computed once: its size is checked before it is
-    # brought to the driver and broadcast; beyond the bound it stays a
-    # distributed frame joined by shuffle.
-    rows = cut.limit(_MAX_BROADCAST_CLASSES + 1).collect()
-    if len(rows) <= _MAX_BROADCAST_CLASSES:
-        cut = F.broadcast(df.sparkSession.createDataFrame(rows, cut.schema))
-    j = d.join(cut, on=d[label].eqNullSafe(cut[label]), how="left").drop(cut[label])
-    decided = j.filter(F.col("_cut_b").isNull() | (F.col("_b") != F.col("_cut_b"))).withColumn(
-        "is_test", F.coalesce(F.col("_b") < F.col("_cut_b"), F.lit(False))
-    )
-    w_cut = Window.partitionBy(label, "_b").orderBy("_h", key)
-    edge = j.filter(F.col("_b") == F.col("_cut_b")).withColumn(
-        "is_test", (F.col("_before") + F.row_number().over(w_cut)) <= F.col("_k")
+        .select(F.col(label).alias("_class"), F.col("_b").alias("_cut_b"), "_before", "_k")
     )
-    cols = [*df.columns, "is_test"]
-    return decided.select(*cols).unionByName(edge.select(*cols))
+    # One row per class, computed once and size-checked before the broadcast;
+    # beyond the bound it stays a distributed frame joined by shuffle.
+    cut = _small(df, cut)
+    in_bucket = d.join(cut, d[label].eqNullSafe(F.col("_class")) & (F.col("_b") == F.col("_cut_b")))
+    pairs = in_bucket.groupBy("_class", "_before", "_k", "_h", "_key").agg(F.count(F.lit(1)).alias("_n"))
+    w_cut = Window.partitionBy("_class").orderBy("_h", "_key").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.col("_before") + F.coalesce(F.sum("_n").over(w_cut), F.lit(0))
+    edge = pairs.withColumn("_below", below).filter(F.col("_below") < F.col("_k"))
+    edge = _small(df, edge.groupBy("_class").agg(F.max(F.struct("_h", "_key")).alias("_edge")))
+    rows = df.withColumn("_h", h)
+    j = rows.join(edge, rows[label].eqNullSafe(F.col("_class")), "left")
+    is_test = F.coalesce(F.struct(F.col("_h"), F.col(key).cast("string").alias("_key")) <= F.col("_edge"), F.lit(False))
+    return j.select(*[rows[c] for c in df.columns], is_test.alias("is_test"))
+
+
+def _small(df: DataFrame, per_class: DataFrame) -> DataFrame:
+    rows = per_class.limit(_MAX_BROADCAST_CLASSES + 1).collect()
+    if len(rows) > _MAX_BROADCAST_CLASSES:
+        return per_class
+    return F.broadcast(df.sparkSession.createDataFrame(rows, per_class.schema))
 
 
 # --- train / score --------------------------------------------------------
@@ -178,7 +182,10 @@ def with_balanced_weights(df: DataFrame, label: str = LABEL, col: str = "class_w
     """Adds ``n / (classes * n_class)`` per row, so each class weighs the same
     in the fit (for ``train(..., weight_col=col)``; off by default).  The class
     counts come from one aggregate, a handful of scalars."""
-    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    found = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).limit(_MAX_BROADCAST_CLASSES + 1).collect()
+    if len(found) > _MAX_BROADCAST_CLASSES:
+        raise ValueError(f"more than {_MAX_BROADCAST_CLASSES} classes")
+    counts = {r[label]: r["n"] for r in found}
     total, k = sum(counts.values()), len(counts)
     w = None
     for cls, n in counts.items():

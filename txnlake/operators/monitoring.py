@@ -174,9 +174,11 @@ def histogram(df: DataFrame, col: str, bins: int, lo: float | None = None, hi: f
 
     Bin i covers [lo + i*w, lo + (i+1)*w); the top edge ``hi`` falls in the
     last bin.  When the range is not given it is taken from one aggregate
-    (two scalars) over the data.  NULLs are not counted.
+    (two scalars) over the data.  NULL and NaN have no place on the axis and
+    are not counted.
     """
     x = F.col(col)
+    df = df.filter(x.isNotNull() & ~F.isnan(x))
     if lo is None or hi is None:
         r = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).first()
         lo = r["lo"] if lo is None else lo
@@ -192,8 +194,7 @@ def histogram(df: DataFrame, col: str, bins: int, lo: float | None = None, hi: f
     else:
         idx = F.lit(0)
     return (
-        df.filter(x.isNotNull())
-        .groupBy(idx.alias("bin"))
+        df.groupBy(idx.alias("bin"))
         .agg(F.count(F.lit(1)).alias("count"))
         .select(
             "bin",

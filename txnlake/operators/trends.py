@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -31,15 +31,19 @@ def fraud_trend(
 ) -> DataFrame:
     """Transactions, frauds and fraud rate per event-time window (tumbling, or
     sliding with ``slide``), and the change in frauds against the previous
-    window.
+    window, the one that starts ``every`` (``slide``, if given) earlier; a
+    window without transactions has 0 frauds, the first one no change.
 
-    The counts are a partial aggregate keyed by window.  The change is a
-    ``lag`` over the aggregated windows only: one row per window (8,760 a
-    year at one hour), which is the one place a single ordered pass is used.
+    The counts are a partial aggregate keyed by window; the change is a join of
+    these few rows with themselves, moved on by one window.
     """
     counts = _windowed_counts(df, ts_col, flag_col, every, slide)
-    order = Window.orderBy("window_start")
-    return counts.withColumn("frauds_change", F.col("frauds") - F.lag("frauds").over(order))
+    step = F.expr(f"INTERVAL {slide or every}")
+    before = counts.select((F.col("window_start") + step).alias("window_start"), F.col("frauds").alias("_before"))
+    start = counts.agg(F.min("window_start").alias("_first"))
+    joined = counts.join(before, "window_start", "left").join(F.broadcast(start))
+    change = F.when(F.col("window_start") > F.col("_first"), F.col("frauds") - F.coalesce("_before", F.lit(0)))
+    return joined.withColumn("frauds_change", change).drop("_before", "_first")
 
 
 def fraud_trend_stream(
