@@ -311,10 +311,10 @@ def test_language_of_held_out_rows(docs):
 def test_backoff_takes_the_longest_known_grams():
     row = lambda *x: np.array(x, np.float32)
     model = langid.Model(["a", "b"], np.zeros(2), {"cat": row(-1, -5)}, [{"\x02do": row(-2, -3)}, {"og": row(-9, -1)}, {"z": row(-4, -1)}])
-    assert model.unseen("dog").tolist() == [-2, -3]
-    assert model.unseen("og").tolist() == [-9, -1]
-    assert model.unseen("zz").tolist() == [-4, -1]
-    assert model.unseen("q").tolist() == [0, 0]
+    assert model.unseen(["dog", "og", "zz", "q"]).tolist() == [[-2, -3], [-9, -1], [-4, -1], [0, 0]]
+    scores = langid.Scorer(model, cache=4)  # smaller than the texts
+    got = scores.totals([["cat", "dog", "cat"], [], ["zz", "og", "q", "dog", "cat", "zz"]])
+    assert got.tolist() == [[-4, -13], [0, 0], [-20, -11]]
 
 
 # --- 9

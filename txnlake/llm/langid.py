@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -41,10 +42,11 @@ UNDETERMINED = "und"
 
 
 def grams(word: str, n: int) -> list[str]:
+    """The n-grams of a word in boundary marks; of one character, its letters."""
     if n == 1:
         return list(word)
     marked = f"{MARK}{word}{MARK}"
-    return [marked[i : i + n] for i in range(len(marked) - n + 1)] or [marked]
+    return [marked[i : i + n] for i in range(len(marked) - n + 1)]
 
 
 @dataclass
@@ -55,13 +57,91 @@ class Model:
     prior: np.ndarray
     words: dict[str, np.ndarray]
     grams: list[dict[str, np.ndarray]]  # longest first
+    name: str = ""
 
-    def unseen(self, word: str) -> np.ndarray:
+    def unseen(self, words: list[str]) -> np.ndarray:
+        """Scores of words that training hasn't kept: the mean over a word's known n-grams of the greatest length with any."""
+        out = np.zeros((len(words), len(self.langs)), np.float32)
+        left = np.arange(len(words))
         longest = len(self.grams)
         for n, known in zip(range(longest, 0, -1), self.grams):
-            if found := [known[g] for g in grams(word, n) if g in known]:
-                return np.mean(found, axis=0)
-        return np.zeros(len(self.langs), np.float32)
+            if not len(left) or not known:
+                continue
+            place = self._place(n, known)
+            parts = [grams(words[i], n) for i in left.tolist()]
+            at = np.fromiter((place.get(g, 0) for p in parts for g in p), np.int64)
+            of = np.repeat(np.arange(len(left)), [len(p) for p in parts])
+            count = np.bincount(of, at > 0, len(left))
+            rows = self._rows[n][at]  # row 0 is for unknown n-grams, all zero
+            some = np.flatnonzero(count)
+            for lang in range(len(self.langs)):
+                out[left[some], lang] = (np.bincount(of, rows[:, lang], len(left))[some] / count[some]).astype(np.float32)
+            left = np.delete(left, some)
+        return out
+
+    def _place(self, n: int, known: dict[str, np.ndarray]) -> dict[str, int]:
+        if not hasattr(self, "_rows"):
+            self._rows, self._places = {}, {}
+        if n not in self._rows:
+            self._rows[n] = np.vstack([np.zeros((1, len(self.langs)), np.float32), *known.values()])
+            self._places[n] = {g: i + 1 for i, g in enumerate(known)}
+        return self._places[n]
+
+
+class Scorer:
+    """Adds up word scores; the scores of unseen words are kept, ``cache`` of them."""
+
+    def __init__(self, model: Model, cache: int):
+        self.model, self.cache = model, cache
+        self.known = {w: i for i, w in enumerate(model.words)}
+        self.table = np.vstack([np.zeros((0, len(model.langs)), np.float32), *model.words.values()])
+        self._reset()
+
+    def _reset(self) -> None:
+        self.place = dict(self.known)
+        self.rows = self.table
+
+    def totals(self, texts: list[list[str]]) -> np.ndarray:
+        """The sum of word scores of each text."""
+        out = np.zeros((len(texts), len(self.model.langs)))
+        at = 0
+        while at < len(texts):  # as many texts at a time as half the cache has words; of a longer text, a part
+            end, n = at, 0
+            while end < len(texts) and (end == at or n + len(texts[end]) <= self.cache // 2):
+                n += len(texts[end])
+                end += 1
+            for start in range(0, max(1, n), self.cache // 2):
+                part = [t[start : start + self.cache // 2] for t in texts[at:end]] if end == at + 1 else texts[at:end]
+                self._add(out[at:end], part)
+                if end > at + 1:
+                    break
+            at = end
+        return out
+
+    def _add(self, out: np.ndarray, texts: list[list[str]]) -> None:
+        new = list(set().union(*texts) - self.place.keys())
+        if len(self.place) - len(self.known) + len(new) > self.cache:
+            self._reset()
+            new = list(set().union(*texts) - self.place.keys())
+        if new:
+            first = len(self.rows)
+            self.rows = np.vstack([self.rows, self.model.unseen(new)])
+            self.place.update(zip(new, range(first, first + len(new))))
+        flat = np.fromiter((i for t in texts for i in map(self.place.__getitem__, t)), np.int64)
+        of = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+        for lang in range(len(self.model.langs)):
+            out[:, lang] += np.bincount(of, self.rows[flat, lang], len(texts))
+
+
+_SCORERS: dict[str, Scorer] = {}
+
+
+def scorer(model: Model, cache: int) -> Scorer:
+    """One for each worker process and model, kept from task to task."""
+    if model.name not in _SCORERS:
+        _SCORERS.clear()
+        _SCORERS[model.name] = Scorer(model, cache)
+    return _SCORERS[model.name]
 
 
 def _word_counts(flush: int):
@@ -90,31 +170,36 @@ def _gram_counts(max_gram: int):
     """n-grams of distinct words, weighted by the words' counts, combined per task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        counts: dict[str, dict[str, int]] = defaultdict(lambda: defaultdict(int))
 
         def out() -> Iterator[pa.RecordBatch]:
-            items = list(counts.items())
-            for at in range(0, len(items), 50_000):
-                k, n = zip(*items[at : at + 50_000])
-                lang, length, gram = zip(*k)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(lang), pa.array(length, pa.int32()), pa.array(gram), pa.array(n, pa.int64())], names=["lang", "length", "gram", "n"]
-                )
+            for lang, c in counts.items():
+                items = list(c.items())
+                for at in range(0, len(items), 50_000):
+                    g, n = zip(*items[at : at + 50_000])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * len(g)), pa.array([len(x) for x in g], pa.int32()), pa.array(g), pa.array(n, pa.int64())],
+                        names=["lang", "length", "gram", "n"],
+                    )
             counts.clear()
 
         for batch in batches:
             for lang, word, n in zip(*(batch.column(c).to_pylist() for c in ("lang", "word", "n"))):
-                for length in range(1, max_gram + 1):
-                    for g in grams(word, length):
-                        counts[lang, length, g] += n
-            if len(counts) > 500_000:
+                c = counts[lang]
+                for g in word:
+                    c[g] += n
+                marked = f"{MARK}{word}{MARK}"
+                for length in range(2, max_gram + 1):
+                    for i in range(len(marked) - length + 1):
+                        c[marked[i : i + length]] += n
+            if sum(map(len, counts.values())) > 500_000:
                 yield from out()
         yield from out()
 
     return run
 
 
-def train(docs: DataFrame, max_gram: int = 4, min_share: float = 1e-5, max_languages: int = 200) -> Model:
+def train(docs: DataFrame, max_gram: int = 4, min_share: float = 4e-6, max_languages: int = 200) -> Model:
     """Learn from every row of ``docs`` (text, lang); rows with null text or lang teach nothing."""
     rows = docs.filter("text IS NOT NULL AND lang IS NOT NULL").select("lang", "text")
     counts = rows.mapInArrow(_word_counts(1_000_000), "lang string, word string, n long")
@@ -139,7 +224,7 @@ def train(docs: DataFrame, max_gram: int = 4, min_share: float = 1e-5, max_langu
         known[r[0]].append(r[1:])
     whole = sum(totals.values()) or 1
     prior = np.log(np.array([max(totals[x], 1) / whole for x in langs], np.float64))
-    return Model(langs, prior, words, [_table(known[n], place, min_share) for n in range(max_gram, 0, -1)])
+    return Model(langs, prior, words, [_table(known[n], place, min_share) for n in range(max_gram, 0, -1)], uuid.uuid4().hex)
 
 
 def _table(rows: list, place: dict[str, int], min_share: float) -> dict[str, np.ndarray]:
@@ -153,44 +238,26 @@ def _table(rows: list, place: dict[str, int], min_share: float) -> dict[str, np.
     return found
 
 
-def predict(docs: DataFrame, model: Model, keep: list[str], cache: int = 200_000) -> DataFrame:
+def predict(docs: DataFrame, model: Model, keep: list[str], cache: int = 600_000) -> DataFrame:
     """The columns ``keep`` of ``docs`` with lang_pred and score."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     schema = docs.select(*keep).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
-        known, seen = len(model.words), {}
-        scores = np.zeros((known + cache + 1, max(1, len(model.langs))), np.float32)
-        for i, (w, row) in enumerate(model.words.items()):
-            seen[w], scores[i] = i, row
-        first = dict(seen)
-        at = known
+        reader = scorer(model, cache)
         for batch in slices(batches, "text"):
-            langs, out = [], []
-            for text in batch.column("text").to_pylist():
-                found = LETTERS.findall(text.lower()) if text else []
-                if not found or not model.langs:
-                    langs.append(UNDETERMINED)
-                    out.append(0.0)
-                    continue
-                total = model.prior.copy()
-                for start in range(0, len(found), cache):  # a block never holds more unseen words than the cache
-                    part = found[start : start + cache]
-                    new = [w for w in set(part) if w not in seen]
-                    if at + len(new) > known + cache:
-                        seen, at = dict(first), known
-                        new = [w for w in set(part) if w not in seen]
-                    for w in new:
-                        scores[at] = model.unseen(w)
-                        seen[w] = at
-                        at += 1
-                    total += scores[np.fromiter(map(seen.__getitem__, part), np.int64, len(part))].sum(axis=0, dtype=np.float64)
-                best = int(np.argmax(total))
-                langs.append(model.langs[best])
-                out.append(float(1 / np.exp(total - total[best]).sum()))
+            texts = [LETTERS.findall(t.lower()) if t else [] for t in batch.column("text").to_pylist()]
+            langs, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
+            if model.langs:
+                total = reader.totals(texts) + model.prior
+                best = total.argmax(axis=1)
+                sure = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
+                for i, words in enumerate(texts):
+                    if words:
+                        langs[i], scores[i] = model.langs[best[i]], sure[i]
             cols = [batch.column(c) for c in keep]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(langs, pa.string()), pa.array(out, pa.float64())], names=[*keep, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(langs, pa.string()), pa.array(scores)], names=[*keep, "lang_pred", "score"])
 
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     return docs.select(*keep, *(["text"] if "text" not in keep else [])).mapInArrow(run, f"{ddl}, lang_pred string, score double")
