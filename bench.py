@@ -29,7 +29,7 @@ from txnlake.operators import monitoring as MON  # noqa: E402
 from txnlake.operators import validation as VAL  # noqa: E402
 from txnlake.plans import jobs  # noqa: E402
 from txnlake.session import build_session  # noqa: E402
-from txnlake.sources.fixtures import AS_OF, RUN_TS, bronze_from_events, load_table, predictions_from_gold  # noqa: E402
+from txnlake.plans.fixtures import AS_OF, RUN_TS, bronze_from_events, load_table, predictions_from_gold  # noqa: E402
 from txnlake.sources.layers import existing_keys, read_layer  # noqa: E402
 
 SCORED_BEFORE = "2024-01-10 00:00:00"

@@ -25,7 +25,7 @@ from txnlake.operators import monitoring as MON  # noqa: E402
 from txnlake.operators.silver import to_silver  # noqa: E402
 from txnlake.plans import jobs  # noqa: E402
 from txnlake.session import build_session  # noqa: E402
-from txnlake.sources.fixtures import AS_OF, bronze_from_events, load_table, predictions_from_gold  # noqa: E402
+from txnlake.plans.fixtures import AS_OF, bronze_from_events, load_table, predictions_from_gold  # noqa: E402
 
 KEEP = re.compile(r"(PushedFilters|PartitionFilters|ReadSchema|Location)")
 
@@ -54,16 +54,12 @@ def main() -> None:
     gold = spark.read.parquet(f"{root}/gold")
     predictions_from_gold(gold).withColumn("batch_id", F.lit("b1")).write.partitionBy("batch_id").parquet(f"{root}/pred")
     pred = spark.read.parquet(f"{root}/pred")
-    state = spark.createDataFrame([("b1", dt.datetime(2024, 1, 31))], "batch_id string, max_ingestion timestamp_ntz")
     plans = {
         "E1 Silver: null-key filter, partial max_by dedupe, features": to_silver(spark.read.parquet(f"{root}/bronze")),
         "N1+L1 next batch: anti-join + top-k (no global sort)": INC.next_batch(INC.unscored(gold, pred.select("trans_num"))),
-        "Cursor mode: Gold range filter + batch_id semi-join (dynamic pruning)": INC.next_batch(
-            INC.unscored(
-                gold.filter(F.col("ingestion_timestamp") >= F.lit(dt.datetime(2024, 1, 20))),
-                pred.join(state.filter(F.col("max_ingestion") >= F.lit(dt.datetime(2024, 1, 20))).select("batch_id"),
-                          "batch_id", "left_semi").select("trans_num"),
-            )
+        "Cursor mode: files since the mark, key columns only, scored keys found by a semi-join": INC.absent(
+            INC.with_arrival(gold).filter(F.col(INC.ARRIVED) >= F.lit(dt.datetime(2024, 1, 20))).select("trans_num", INC.CURSOR),
+            pred.select("trans_num"),
         ),
         "K4 rows to append: broadcast semi-join reduction, then anti-join": INC.rows_to_append(
             pred.limit(5000).drop("batch_id"), pred.select("trans_num")

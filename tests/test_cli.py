@@ -4,7 +4,7 @@ import datetime as dt
 import json
 
 from txnlake.__main__ import main
-from txnlake.sources.fixtures import bronze_from_events, load_table
+from txnlake.plans.fixtures import bronze_from_events, load_table
 
 SF = "/root/testdata/sf0.001"
 
@@ -69,7 +69,7 @@ def test_remaining_commands(spark, scratch, capsys):
     from txnlake.operators.gold import to_gold
     from txnlake.operators.silver import to_silver
     from txnlake.schemas import FEATURES, LABEL
-    from txnlake.sources.fixtures import predictions_from_gold
+    from txnlake.plans.fixtures import predictions_from_gold
 
     gold = to_gold(to_silver(bronze_from_events(load_table(spark, SF, "events"))), as_of="2024-02-01")
     gold.write.parquet(f"{scratch}/gold")
@@ -109,3 +109,31 @@ def test_stream_commands(spark, scratch, capsys):
           f"{scratch}/p", "--checkpoint", f"{scratch}/c2"], spark)
     p = spark.read.parquet(f"{scratch}/p")
     assert p.count() == p.select("trans_num").distinct().count() == ML.split_scorable(gold)[0].count()
+
+
+def test_predictions_in_a_database(spark, scratch, capsys):
+    """Score, persist and read alerts with the predictions in a database of this process."""
+    import json
+
+    from txnlake.plans import jobs
+    from txnlake.plans.fixtures import AS_OF, bronze_from_events, load_table
+
+    bronze_from_events(load_table(spark, SF, "events")).write.parquet(f"{scratch}/bronze")
+    jobs.bronze_to_silver(spark, f"{scratch}/bronze", f"{scratch}/silver")
+    jobs.silver_to_gold(spark, f"{scratch}/silver", f"{scratch}/gold", as_of=AS_OF)
+    jobs.train_model(spark, f"{scratch}/gold", f"{scratch}/model", num_trees=3, max_depth=3)
+    url = f"jdbc:derby:{scratch}/db;create=true"
+    base = ["--gold", f"{scratch}/gold", "--model", f"{scratch}/model", "--batches", f"{scratch}/b", "--run-ts", "2024-02-01T00:00:00"]
+    half = "CAST(\"trans_num\" AS VARCHAR(50)) < '5'"  # this database stores Spark's strings as CLOB
+    halves = ["--predicate", half, "--predicate", f"NOT ({half})"]
+    db = ["--url", url, "--table", "predictions"]
+    main(["infer", *base, "--batch-id", "one", "--predictions", f"{scratch}/none", "--n", "300"], spark=spark)
+    main(["persist", "--batches", f"{scratch}/b", "--batch-id", "one", *db], spark=spark)
+    main(["infer", *base, "--batch-id", "two", *db, *halves, "--n", "all"], spark=spark)
+    main(["persist", "--batches", f"{scratch}/b", "--batch-id", "two", *db, *halves], spark=spark)
+    main(["alerts", "--now", "2024-02-01T00:00:00", *db], spark=spark)
+    out = [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
+    assert out[0]["scored"] == out[1]["appended"] == 300
+    assert out[2]["scored"] == out[3]["appended"] > 600
+    rows = spark.read.jdbc(url, "predictions")
+    assert rows.count() == rows.select("trans_num").distinct().count() == 300 + out[3]["appended"]

@@ -125,7 +125,7 @@ def test_layer_contracts(spark):
     """Fixture Bronze fits the source record; Silver and Gold add exactly the
     documented columns with the documented types."""
     from txnlake.schemas import BRONZE, GOLD_DERIVED, SILVER_DERIVED
-    from txnlake.sources.fixtures import fixture_layers
+    from txnlake.plans.fixtures import fixture_layers
 
     L = fixture_layers(spark, "/root/testdata/sf0.001")
     assert set(L["bronze"].columns) <= set(BRONZE.fieldNames())

@@ -10,7 +10,7 @@ from txnlake.operators import ml as ML
 from txnlake.plans import jobs
 from txnlake.schemas import FEATURES, KEY, LABEL
 from txnlake.sinks.layers import write_layer
-from txnlake.sources.fixtures import AS_OF, bronze_from_events, load_table
+from txnlake.plans.fixtures import AS_OF, bronze_from_events, load_table
 from txnlake.sources.layers import read_layer
 
 SF = "/root/testdata/sf0.001"

@@ -105,7 +105,7 @@ def test_layer_read_and_overwrite_guard(spark, scratch):
 def test_jdbc_persist_is_idempotent_and_historical_load(spark, scratch):
     from txnlake.operators.gold import to_gold
     from txnlake.operators.silver import to_silver
-    from txnlake.sources.fixtures import bronze_from_events, load_table, predictions_from_gold
+    from txnlake.plans.fixtures import bronze_from_events, load_table, predictions_from_gold
 
     url = "jdbc:derby:memory:txnlake_persist;create=true"
     props = {"driver": DERBY}

@@ -100,7 +100,7 @@ def test_balanced_weights_and_weighted_fit(spark, separable):
 def test_model_is_the_same_on_any_layout_and_core_count(spark, tmp_path):
     """Partitions of the input, and with them the tasks of a run, don't change the model."""
     from txnlake.plans import jobs
-    from txnlake.sources.fixtures import fixture_layers
+    from txnlake.plans.fixtures import fixture_layers
 
     gold = fixture_layers(spark, "/root/testdata/sf0.001")["gold"]
     got = []

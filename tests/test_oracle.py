@@ -60,7 +60,7 @@ def test_fixture_facts(spark, sf):
     """Counts the fixture mapping promises (FIXTURES.md section 8)."""
     from pyspark.sql import functions as F
 
-    from txnlake.sources.fixtures import fixture_layers
+    from txnlake.plans.fixtures import fixture_layers
 
     rows, keys, bad, null_lat, fraud, sub, cm = FACTS[sf]
     L = fixture_layers(spark, f"/root/testdata/{sf}")

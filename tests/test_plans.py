@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from txnlake.operators import incremental as INC
 from txnlake.operators import monitoring as MON
-from txnlake.sources.fixtures import fixture_layers
+from txnlake.plans.fixtures import fixture_layers
 
 
 def plan(df) -> str:

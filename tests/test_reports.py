@@ -100,7 +100,7 @@ def test_no_alerts(spark):
 
 @pytest.mark.parametrize("which", ["All", "Fraud Only", "Non Fraud Only"])
 def test_one_pass_panels_equal_per_panel(spark, which):
-    from txnlake.sources.fixtures import fixture_layers
+    from txnlake.plans.fixtures import fixture_layers
 
     p = fixture_layers(spark, "/root/testdata/sf0.001")["predictions"]
     a = MON.monitoring(p, which, one_pass=True)
@@ -114,7 +114,7 @@ def test_one_pass_panels_equal_per_panel(spark, which):
 
 
 def test_one_pass_plan_scans_once(spark):
-    from txnlake.sources.fixtures import fixture_layers
+    from txnlake.plans.fixtures import fixture_layers
 
     p = fixture_layers(spark, "/root/testdata/sf0.001")["predictions"]
     plan = MON.panel_aggregates(p)._jdf.queryExecution().executedPlan().toString()

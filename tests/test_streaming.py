@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from txnlake.operators.gold import to_gold
 from txnlake.operators.silver import to_silver
-from txnlake.sources.fixtures import AS_OF, bronze_from_events, load_table
+from txnlake.plans.fixtures import AS_OF, bronze_from_events, load_table
 from txnlake.streaming import layers as S
 
 SF = "/root/testdata/sf0.001"

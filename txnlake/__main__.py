@@ -42,6 +42,30 @@ def _rows(s: str) -> int | None:
     return None if s == "all" else int(s)
 
 
+def _database(a) -> None:
+    """Predictions held in a database instead of files."""
+    a.add_argument("--url")
+    a.add_argument("--table")
+    a.add_argument("--jdbc-properties", help="JSON file")
+    a.add_argument("--predicate", action="append", help="one of several disjoint conditions, each read by a task")
+
+
+def _properties(args) -> dict | None:
+    if not args.jdbc_properties:
+        return None
+    with open(args.jdbc_properties) as f:
+        return json.load(f)
+
+
+def _predictions(spark, args):
+    """The predictions a command reads: of the database if ``--url`` names one, else of the files."""
+    from txnlake.sources.layers import read_jdbc
+
+    if not args.url:
+        return spark.read.parquet(args.predictions)
+    return read_jdbc(spark, args.url, args.table, _properties(args), predicates=args.predicate)
+
+
 def _print_rows(df) -> None:
     for r in df.collect():
         print(json.dumps(r.asDict(recursive=True), default=str))
@@ -66,28 +90,36 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     a.add_argument("--model", required=True)
     a.add_argument("--balanced", action="store_true", help="weight classes equally (off by default)")
     a = sub.add_parser("infer")
-    for k in ("gold", "predictions", "model", "batches", "batch-id"):
+    _database(a)
+    for k in ("gold", "model", "batches", "batch-id"):
         a.add_argument(f"--{k}", required=True)
+    a.add_argument("--predictions")
     a.add_argument("--run-ts", type=_ts, required=True)
     a.add_argument("--state")
     a.add_argument("--n", type=_rows, default=5000, help="rows to score, or all")
     a = sub.add_parser("persist")
-    for k in ("batches", "batch-id", "predictions"):
+    _database(a)
+    for k in ("batches", "batch-id"):
         a.add_argument(f"--{k}", required=True)
+    a.add_argument("--predictions")
     a = sub.add_parser("alerts")
-    a.add_argument("--predictions", required=True)
+    _database(a)
+    a.add_argument("--predictions")
     a.add_argument("--now", type=_ts, required=True)
     a.add_argument("--threshold", type=float)
     a = sub.add_parser("monitor")
-    a.add_argument("--predictions", required=True)
+    _database(a)
+    a.add_argument("--predictions")
     a.add_argument("--out", required=True)
     a.add_argument("--filter", default="All")
     a = sub.add_parser("validate")
     for k in ("bronze", "silver", "gold", "predictions"):
         a.add_argument(f"--{k}", required=True)
     a.add_argument("--approx", action="store_true", help="HyperLogLog distinct counts (no key shuffle)")
+    a.add_argument("--batch", help="a written batch: report rows per layer and its size too")
     a = sub.add_parser("backup")
-    a.add_argument("--predictions", required=True)
+    _database(a)
+    a.add_argument("--predictions")
     a.add_argument("--out", required=True)
     a = sub.add_parser("prepare-raw")
     a.add_argument("--csv", required=True)
@@ -150,26 +182,34 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     elif c == "infer":
         n = jobs.run_inference(
             spark, args.gold, args.predictions, args.model, args.batches, args.batch_id, args.run_ts, args.n,
-            state_path=args.state,
+            state_path=args.state, predictions=_predictions(spark, args) if args.url else None,
         )
         print(json.dumps({"scored": n}))
     elif c == "persist":
-        print(json.dumps({"appended": jobs.persist_predictions(spark, args.batches, args.batch_id, args.predictions)}))
+        if args.url:
+            n = jobs.persist_predictions_jdbc(
+                spark, args.batches, args.batch_id, args.url, args.table, _properties(args), predicates=args.predicate
+            )
+        else:
+            n = jobs.persist_predictions(spark, args.batches, args.batch_id, args.predictions)
+        print(json.dumps({"appended": n}))
     elif c == "alerts":
-        _print_rows(jobs.alert_batch(spark.read.parquet(args.predictions), args.now, threshold=args.threshold))
+        _print_rows(jobs.alert_batch(_predictions(spark, args), args.now, threshold=args.threshold))
     elif c == "monitor":
         from txnlake.operators.monitoring import monitoring
 
-        for name, df in monitoring(spark.read.parquet(args.predictions), args.filter).items():
+        for name, df in monitoring(_predictions(spark, args), args.filter).items():
             df.write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/{name}")
         print(json.dumps({"panels": args.out}))
     elif c == "validate":
-        from txnlake.operators.validation import validation_report
+        from txnlake.operators.validation import validate_layers, validation_report
 
         layers = {k: spark.read.parquet(getattr(args, k)) for k in ("bronze", "silver", "gold", "predictions")}
         _print_rows(validation_report(layers, approx=args.approx))
+        if args.batch:
+            _print_rows(validate_layers(layers, spark.read.parquet(args.batch)))
     elif c == "backup":
-        jobs.backup(spark.read.parquet(args.predictions), args.out)
+        jobs.backup(_predictions(spark, args), args.out)
     elif c == "prepare-raw":
         jobs.prepare_raw(spark, args.csv, args.out)
     elif c == "ingest":

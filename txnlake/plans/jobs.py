@@ -218,7 +218,7 @@ def unscorable_rows(gold: DataFrame, scored_keys: DataFrame) -> DataFrame:
 def run_inference(
     spark: SparkSession,
     gold_path: str,
-    predictions_path: str,
+    predictions_path: str | None,
     model_path: str,
     batch_root: str,
     batch_id: str,
@@ -226,6 +226,7 @@ def run_inference(
     n: int | None = INC.BATCH_SIZE,
     state_path: str | None = None,
     lookback: dt.timedelta = dt.timedelta(hours=1),
+    predictions: DataFrame | None = None,
 ) -> int:
     """Write this run's batch (possibly empty) under ``batch_root``.
 
@@ -246,7 +247,13 @@ def run_inference(
     # output, so rerunning a batch (after a failure, or by mistake after it
     # completed) selects and writes the same rows instead of new ones.
     this = F.lit(batch_id)
-    preds = read_or_empty(spark, predictions_path, PREDICTIONS_TABLE).filter(F.col("batch_id") != this)
+    # ``predictions`` names the scored keys in another store (a database read); the mark needs files.
+    if predictions is not None:
+        if state_path is not None:
+            raise ValueError("a scoring state needs predictions in files")
+        preds = predictions
+    else:
+        preds = read_or_empty(spark, predictions_path, PREDICTIONS_TABLE).filter(F.col("batch_id") != this)
     mark = None
     if state_path is not None:
         state = read_or_empty(spark, state_path, INC.CURSOR_STATE)

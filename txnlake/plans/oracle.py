@@ -2,7 +2,7 @@
 
 ``with_layers(sql)`` prefixes a query with CTEs ``bronze``, ``silver``,
 ``gold`` and ``predictions`` that compute, in DuckDB SQL, what
-``txnlake.sources.fixtures.fixture_layers`` computes in Spark.  Written
+``txnlake.plans.fixtures.fixture_layers`` computes in Spark.  Written
 independently of the Spark code: same definitions, different engine.
 """
 

@@ -2,7 +2,8 @@
 
 The model-fitting queries (assemble, train, score, importance_rank,
 inference_batch, train_model) have no SQL twin: no SQL engine fits a
-forest, so the driver checks them rows-only and pytest checks the rest.
+forest, so the driver checks them rows-only; their ``*_contract`` queries hold
+what any right forest must give.
 """
 
 from __future__ import annotations
@@ -78,9 +79,8 @@ WHERE (b.ingestion_timestamp >= (
 sql(
     "append_idempotent",
     """
-SELECT p.* FROM predictions p JOIN gold g USING (trans_num)
-WHERE g.ingestion_timestamp < TIMESTAMP '2024-01-15 00:00:00'
-  AND p.trans_num NOT IN (SELECT trans_num FROM scored_keys)
+SELECT p.* FROM predictions p
+WHERE p.trans_num NOT IN (SELECT trans_num FROM scored_keys)
 """,
 )
 
@@ -442,3 +442,39 @@ FROM (
 ) p
 """,
 )
+
+# The model operators' contracts, and the column operators
+SCORABLE = f"({NULLS}) = 0"
+PARTS = " UNION ALL ".join(
+    f"SELECT trans_num, CAST({i} AS INTEGER) AS position, CAST({c.strip()} AS DOUBLE) AS value FROM gold WHERE {SCORABLE}"
+    for i, c in enumerate(FEATURES.split(","))
+)
+sql("assemble_elements", PARTS)
+sql("separate_columns", f"SELECT trans_num, CAST(13 AS INTEGER) AS width FROM gold WHERE {SCORABLE}")
+sql(
+    "score_contract",
+    f"""
+SELECT count(*) AS rows, count(DISTINCT trans_num) AS keys, CAST(0 AS BIGINT) AS bad_probability,
+  CAST(0 AS BIGINT) AS bad_label, CAST(0 AS BIGINT) AS bad_time
+FROM gold WHERE {SCORABLE}
+""",
+)
+sql(
+    "inference_batch_contract",
+    f"SELECT trans_num, amt FROM (SELECT * FROM waiting WHERE {SCORABLE} ORDER BY ingestion_timestamp ASC NULLS FIRST, trans_num LIMIT 5000)",
+)
+sql(
+    "train_model_contract",
+    f"""
+SELECT CAST(is_fraud AS INTEGER) AS actual, CAST(ceil(count(*) * 0.2) AS BIGINT) AS support FROM gold
+WHERE {' AND '.join(c.strip() + ' IS NOT NULL' for c in (FEATURES + ', is_fraud').split(','))}
+GROUP BY is_fraud
+UNION ALL
+SELECT CAST(l AS INTEGER), CAST(0 AS BIGINT) FROM (VALUES (0), (1)) v(l)
+WHERE l NOT IN (SELECT is_fraud FROM gold WHERE is_fraud IS NOT NULL)
+""",
+)
+sql("importance_contract", "SELECT CAST(13 AS BIGINT) AS features, CAST(0 AS BIGINT) AS negative, CAST(1 AS DOUBLE) AS total")
+sql("normalize_columns", "SELECT trans_num, amt AS amount, city_pop FROM bronze")
+sql("drop_if_present", "SELECT trans_num, amt FROM bronze")
+sql("missing_source", "SELECT trans_num FROM gold WHERE trans_num IS NOT NULL")

@@ -60,6 +60,7 @@ GOLD_DERIVED = T.StructType(
 )
 
 # Model inputs, in the order the model was trained on.
+# The model's features in their order, and the columns of a prediction.
 FEATURES = [
     "amt",
     "city_pop",

@@ -100,13 +100,18 @@ def read_jdbc(
     upper: int | None = None,
     num_partitions: int | None = None,
     columns: list[str] | None = None,
+    predicates: list[str] | None = None,
 ) -> DataFrame:
-    """Database table read in parallel ranges of ``partition_column`` when given
-    (one connection per range), else in one task. ``columns`` prunes the
+    """Database table read in parallel: by ranges of a numeric ``partition_column``,
+    or by ``predicates``, disjoint SQL conditions that together cover all rows (as
+    ranges or a hash of a text key), one connection for each; without either in one
+    task. ``columns`` prunes the
     SELECT list sent to the database."""
     props = dict(properties or {})
     # Quoted names: Spark creates tables with case-preserved column names.
     src = table if not columns else "(SELECT {} FROM {}) t".format(", ".join(f'"{c}"' for c in columns), table)
+    if predicates is not None:
+        return spark.read.jdbc(url, src, predicates=predicates, properties=props)
     if partition_column is not None:
         return spark.read.jdbc(
             url,

@@ -106,7 +106,8 @@ def start_scoring(
 ) -> StreamingQuery:
     """Continuous E3 + E4: every micro-batch of new Gold rows is split into
     scorable rows (the rest are left for the quality report), scored on the
-    executors, stamped with the micro-batch's time, and appended through the
+    executors, stamped with the time that Spark logged for the micro-batch (a
+    replay reads the same time from the checkpoint), and appended through the
     idempotent sink under ``batch_id=s<id>``.  Pace it with
     ``maxFilesPerTrigger`` on the source rather than a row limit.  A replayed
     micro-batch rescores the same keys and replaces its own directory."""
@@ -114,11 +115,12 @@ def start_scoring(
     from txnlake.schemas import PREDICTIONS
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
+        first = batch.select("_run").first()
         ok, _ = ML.split_scorable(batch.filter(F.col(key).isNotNull()))
-        scored = ML.score(ML.select_features(ok), model).withColumn(
-            "inference_timestamp", F.current_timestamp().cast("timestamp_ntz")
-        )
+        scored = ML.score(ML.select_features(ok), model, first["_run"] if first else None)
         append_idempotent(scored.select(*PREDICTIONS.fieldNames()), predictions_path, f"s{batch_id:012d}", key)
 
-    w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint_location)
+    # In a streaming plan this is the micro-batch's logged time, not the clock of a retry.
+    timed = stream.withColumn("_run", F.current_timestamp().cast("timestamp_ntz"))
+    w = timed.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint_location)
     return _trigger(w, available_now, interval).start()
