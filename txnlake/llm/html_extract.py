@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnlake.llm.common import slices
+from txnlake.llm.common import bounded_sample, slices
 
 # HTML's own element names by kind.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -333,9 +333,8 @@ def train(pages: DataFrame, max_pages: int = 1000) -> np.ndarray:
                             truth.append(float(y))
             yield pa.RecordBatch.from_arrays([pa.array([list(r) for r in rows], pa.list_(pa.float64())), pa.array(truth, pa.float64())], names=["x", "y"])
 
-    chosen = pages.filter("html IS NOT NULL").select("html", F.xxhash64("page_id", F.length("html")).alias("h"))
-    chosen = chosen.orderBy("h", F.xxhash64("html")).limit(max_pages).select("html")
-    got = chosen.mapInArrow(run, "x array<double>, y double").groupBy("x", "y").count().orderBy("x", "y").collect()
+    chosen = bounded_sample(pages.filter("html IS NOT NULL").select("page_id", "html"), ["page_id", "html"], max_pages)
+    got = chosen.select("html").mapInArrow(run, "x array<double>, y double").groupBy("x", "y").count().orderBy("x", "y").collect()
     return fit(np.array([r["x"] for r in got], float).reshape(-1, FEATURES), np.array([r["y"] for r in got], float))
 
 

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnlake.llm.common import cut, shuffle_partitions
+from txnlake.llm.common import bounded_sample, cut, shuffle_partitions
 
 CENTROIDS = 64
 
@@ -205,8 +205,9 @@ def search(
     if common is None:
         return spark.createDataFrame([], RESULT)
     dims = common["dims"]
-    rows = rows.filter(F.size("embedding") == dims).mapInArrow(_pack(dims), "vec_id long, vector binary")
-    sample = rows.orderBy(F.xxhash64("vec_id", F.lit(seed))).limit(max_sample).select("vector").collect()
+    rows = rows.filter(F.size("embedding") == dims)
+    sample = bounded_sample(rows, ["vec_id"], max_sample, seed).mapInArrow(_pack(dims), "vec_id long, vector binary").select("vector").collect()
+    rows = rows.mapInArrow(_pack(dims), "vec_id long, vector binary")
     index = fit(np.frombuffer(b"".join(r[0] for r in sample), np.float64).reshape(-1, dims), recall, k)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnlake.llm.common import cut, remainder, slices
+from txnlake.llm.common import bounded_sample, cut, remainder, slices
 
 LETTERS = re.compile(r"[^\W\d_]+")
 CLAUSE = re.compile(r"[.!?;:\n]+")
@@ -202,7 +202,7 @@ def fit(evidence: np.ndarray, toxic: np.ndarray, strength: float = 0.02, rounds:
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_lexicon: int = 20_000) -> Model:
     """Learn from the rows of ``docs`` (doc_id, text) that ``labels`` (doc_id, toxic) labels: at most ``max_rows``."""
     chosen = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+    chosen = bounded_sample(chosen, ["doc_id"], max_rows)
     rows = docs.select("doc_id", "text").filter("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
     # Repeated ids could add rows; the sample stays bounded.
     rows = rows.select("text", "toxic").mapInArrow(_sketched, "text string, toxic int, sketch long")
