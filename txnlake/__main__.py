@@ -73,9 +73,10 @@ def _print_rows(df) -> None:
 
 def main(argv: list[str] | None = None, spark=None) -> int:
     from txnlake.plans import jobs
-    from txnlake.session import BASE_CONF
+    from txnlake.session import BASE_CONF, scale_conf
 
     p = argparse.ArgumentParser(prog="txnlake")
+    p.add_argument("--input-gb", type=float, help="size of the input: sets the shuffle's partitions (scale_conf)")
     sub = p.add_subparsers(dest="cmd", required=True)
     a = sub.add_parser("bronze-to-silver")
     a.add_argument("--bronze", required=True)
@@ -162,7 +163,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         from pyspark.sql import SparkSession
 
         b = SparkSession.builder.appName(f"txnlake-{args.cmd}")
-        for k, v in BASE_CONF.items():
+        sized = scale_conf(int(args.input_gb * 2**30)) if args.input_gb else {}
+        for k, v in (BASE_CONF | sized).items():
             b = b.config(k, v)
         spark = b.getOrCreate()
 
