@@ -478,3 +478,7 @@ sql("importance_contract", "SELECT CAST(13 AS BIGINT) AS features, CAST(0 AS BIG
 sql("normalize_columns", "SELECT trans_num, amt AS amount, city_pop FROM bronze")
 sql("drop_if_present", "SELECT trans_num, amt FROM bronze")
 sql("missing_source", "SELECT trans_num FROM gold WHERE trans_num IS NOT NULL")
+
+# The incremental paths give what the full ones do
+sql("unscored_cursor", "SELECT trans_num, ingestion_timestamp FROM waiting WHERE trans_num IS NOT NULL")
+sql("silver_merge", "SELECT * FROM silver")

@@ -15,6 +15,7 @@ slice), ``silver_quality`` (reject counts, traps T11/T12),
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
@@ -26,7 +27,7 @@ from txnlake.functions.columns import INDEX_COLUMN, drop_if_present, normalize_c
 from txnlake.functions.formatting import AMOUNT_LABELS, TIME_LABELS
 from txnlake.operators import alerts as AL
 from txnlake.operators.anomaly import amount_anomalies, drift_report
-from txnlake.operators.silver import silver_quality
+from txnlake.operators.silver import silver_quality, to_silver
 from txnlake.operators.trends import fraud_trend
 from txnlake.plans import jobs
 from txnlake.operators import incremental as INC
@@ -35,6 +36,8 @@ from txnlake.operators import monitoring as MON
 from txnlake.operators import validation as VAL
 from txnlake.schemas import FEATURES, KEY, LABEL, PREDICTIONS
 from txnlake.plans import fixtures as FX
+from txnlake.session import checkpoint_dir
+from txnlake.sinks.layers import write_layer
 from txnlake.sources.layers import existing_keys, read_layer, read_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -491,6 +494,33 @@ def q_train_model(spark, sf_dir):
     return jobs.train_on(_layers(spark, sf_dir)["gold"])["metrics"]
 
 
+# --- incremental paths, against the full rule ----------------------------------------
+
+
+@register("unscored_cursor")
+def q_unscored_cursor(spark, sf_dir):
+    """N1 as cursor mode does it: narrow keys, the scored ones among them found by a reduced semi-join."""
+    L = _layers(spark, sf_dir)
+    return INC.absent(L["gold"].filter(F.col(KEY).isNotNull()).select(KEY, INC.CURSOR), _scored_keys(L))
+
+
+@register("silver_merge")
+def q_silver_merge(spark, sf_dir):
+    """E1 incrementally: Silver of the earlier Bronze rows, then the later ones merged into its months.
+    Times of every 50th record were wrong at first, so the merge also moves records between months."""
+    L = _layers(spark, sf_dir)
+    path = f"{checkpoint_dir(spark)}/silver-merge-{uuid.uuid4().hex[:12]}"
+    early = F.col("ingestion_timestamp") < F.lit(BRONZE_UPTO).cast("timestamp_ntz")
+    wrong = F.col(KEY).cast("long") % 50 == 0
+    first = L["bronze"].filter(early | wrong).withColumn(
+        "trans_date_trans_time", F.when(wrong, F.lit("2023-06-01 00:00:00")).otherwise(F.col("trans_date_trans_time"))
+    ).withColumn("ingestion_timestamp", F.when(wrong, F.lit("2000-01-01").cast("timestamp_ntz")).otherwise(F.col("ingestion_timestamp")))
+    write_layer(to_silver(first), path, rebalance=True)
+    jobs.merge_into_silver(L["bronze"].filter(~early | wrong), path)
+    silver = L["silver"]
+    return spark.read.schema(silver.schema).parquet(path).select(*silver.columns)
+
+
 # --- contracts of the model operators: what holds for any right forest --------------
 
 
