@@ -173,6 +173,27 @@ def test_extraction_without_semantic_elements(spark):
     assert html_extract.main_text(PAGE, weights) == want
 
 
+A = "The first paragraph of this story is long enough, has commas, and ends well."
+B = "The second paragraph goes on for a while, as paragraphs of stories tend to do."
+C = "I liked this story a lot, it was very good to read, thanks for it all!"
+LAYOUTS = [
+    f'<article><h1>T</h1><p>{A}</p><div class="ad"><p>{C}</p></div><p>{B}</p></article>',
+    f"<article><h1>T</h1><p>{A}</p><aside><p>{C}</p></aside><p>{B}</p></article>",
+    f'<main><article><h1>T</h1><p>{A}</p><p>{B}</p></article><section class="comments"><article><p>{C}</p></article></section></main>',
+    f'<article><h1>T</h1><p>{A}</p><p>{B}</p><div id="comments"><h2>Comments</h2><div class="comment-body"><p>{C}</p></div></div></article>',
+    f'<div id="header"><a href=x>Home</a></div><div id="menu"><a href=a>A</a></div><div id="content"><h1>T</h1><p>{A}</p><p>{B}</p></div><div id="footer">(c)</div>',
+    f"<div><a href=x>Home</a> <a href=y>News</a></div><div><h1>T</h1><p>{A}</p><p>{B}</p></div><div><a href=z>About us</a></div>",
+    f'<div class="notice">{C}</div><div role="main"><h1>T</h1><p>{A}</p><p>{B}</p></div><form><p>{C}</p><input></form>',
+    f"<article><h1>T</h1><nav><a href=x>Part 1</a></nav><p>{A}</p><p>{B}</p><footer>Posted by me</footer></article>",
+]
+
+
+def test_extraction_of_common_layouts(spark):
+    weights = html_extract.train(spark.read.parquet(f"{SF}/pages.parquet"))
+    for page in LAYOUTS:
+        assert html_extract.main_text(f"<html><body>{page}</body></html>", weights) == f"T {A} {B}", page
+
+
 # --- 4
 def test_raking_meets_the_targets():
     rng = np.random.default_rng(0)

@@ -67,6 +67,11 @@ BOILER_WORDS = frozenset(
     "ad ads adv advert advertisement advertising sponsor sponsored promo promotion dfp "
     "comment comments reply replies disqus discussion respond share sharing social related recommended more pagination pager tags copyright form".split()
 )
+#: Parts in which no inner article counts as content (reader comments often are articles).
+STICKY_TAGS = frozenset("nav footer aside".split())
+STICKY_WORDS = frozenset(
+    "comment comments reply replies respond disqus discussion related recommended ad ads adv advert advertisement sponsor sponsored promo cookie cookies consent gdpr newsletter".split()
+)
 CONTENT_WORDS = frozenset("article content post entry story main body text maincontent articlebody prose".split())
 NAME = re.compile(r"[a-z]+")
 SPACE = re.compile(r"\s+")
@@ -93,6 +98,7 @@ class _Open:
     content_words: int
     boiler_words: int
     skipped: bool = field(default=False)
+    sticky: bool = field(default=False)
 
 
 class BlockReader(HTMLParser):
@@ -145,17 +151,19 @@ class BlockReader(HTMLParser):
             return
         up = self._open[-1]
         depth = len(self._open)
-        words = set(NAME.findall(" ".join((v or "").lower() for k, v in attrs if k in ("class", "id", "role"))))
+        words = set(NAME.findall(" ".join((v or "").lower() for k, v in attrs if k in ("class", "id", "role")))) if tag not in ("html", "body") else set()
         self._n += 1
         header = tag == "header" and not up.content
+        sticky = up.sticky or tag in STICKY_TAGS or bool(words & STICKY_WORDS)
         own = _Open(
             tag,
             self._n,
-            depth if tag in CONTENT_TAGS else up.content,
+            depth if tag in CONTENT_TAGS and not sticky else up.content,
             depth if tag in BOILER_TAGS or header else up.boiler,
-            depth if words & CONTENT_WORDS and not words & BOILER_WORDS else up.content_words,
+            depth if words & CONTENT_WORDS and not words & BOILER_WORDS and not sticky else up.content_words,
             depth if words & BOILER_WORDS else up.boiler_words,
             up.skipped or tag in SKIPPED,
+            sticky,
         )
         self._open.append(own)
         self._links += tag == "a"
@@ -192,10 +200,10 @@ def describe(blocks: list[Block], named: bool = True) -> np.ndarray:
         chars = len(b.text)
         rows.append(
             (
-                named and b.content > b.boiler,
+                named and b.content > max(b.boiler, b.boiler_words),
                 named and b.boiler > b.content,
-                b.content_words > b.boiler_words,
-                b.boiler_words > b.content_words,
+                b.content_words > max(b.boiler, b.boiler_words),
+                b.boiler_words > max(b.content_words, b.content if named else 0),
                 b.linked / chars,
                 b.linked >= 0.5 * chars,
                 min(math.log1p(chars), 8) / 8,
