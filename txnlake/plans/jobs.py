@@ -348,14 +348,17 @@ def persist_predictions_jdbc(
 # --- E5: training -----------------------------------------------------------------
 
 
-# Partitions the forest is fitted on.  Bagging draws per partition and in row
-# order, so a fixed number, filled by key and sorted, makes the model a function
-# of the data and the seed alone, on any cluster.
-FIT_PARTITIONS = 64
+# The forest is fitted on one partition per so many rows, FIT_PARTITIONS at
+# least.  Bagging draws per partition and in row order, so a number that follows
+# from the data alone, filled by key and sorted, makes the model a function of the
+# data and the seed, on any cluster.
+FIT_PARTITIONS, FIT_ROWS = 16, 250_000
 
 
-def fixed_layout(df: DataFrame, partitions: int = FIT_PARTITIONS) -> DataFrame:
+def fixed_layout(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """Rows in ``partitions`` partitions by key, sorted by key in each."""
+    if partitions is None:
+        partitions = max(FIT_PARTITIONS, -(-df.count() // FIT_ROWS))
     return df.repartition(partitions, KEY).sortWithinPartitions(KEY, *[c for c in df.columns if c != KEY])
 
 
@@ -364,7 +367,7 @@ def train_model(
     gold_path: str,
     model_path: str | None = None,
     balanced: bool = False,
-    partitions: int = FIT_PARTITIONS,
+    partitions: int | None = None,
     **forest_args,
 ) -> dict:
     """Select, clean, split (exact, stratified), fit, evaluate on the hold-out,
@@ -377,7 +380,7 @@ def train_on(
     gold: DataFrame,
     model_path: str | None = None,
     balanced: bool = False,
-    partitions: int = FIT_PARTITIONS,
+    partitions: int | None = None,
     **forest_args,
 ) -> dict:
     """``train_model`` on a Gold frame.  The model does not depend on the number
