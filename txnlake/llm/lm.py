@@ -23,7 +23,7 @@ false positives).  The context of a text's first word is the end token.
 
 Words below the share occur in no kept n-gram; their exact counts, which P(w)
 and the base score need, come from a join on the word's hash: both sides in
-blocks, partial sums by text go back.  So nothing unbounded is broadcast.
+blocks, partial sums for blocks of texts go back.  So nothing unbounded is broadcast.
 
 Defined results: null text is empty, its one token is the end; a null id counts
 as the empty text in the fold rule; repeated rows each count and each get a
@@ -38,6 +38,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,7 +51,7 @@ BITS = 21  # of a word's number
 MIN_SHARE = 2.0**-BITS
 DISCOUNT = 0.75
 COUNT_BASE, LEFT_BASE = 2**0.5, 0.9
-SLICE = 2 << 20
+SLICE = 1 << 20
 
 
 class LogBloom:
@@ -162,7 +163,7 @@ def _sum(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray,
     return key[start], np.add.reduceat(count, start)
 
 
-def counted(rows: DataFrame, keys_of, buckets: int, flush: int = 3_000_000) -> DataFrame:
+def counted(rows: DataFrame, keys_of, buckets: int, flush: int = 1_500_000) -> DataFrame:
     """Blocks of keys with their counts over all ``rows`` (text), each key in one block.
 
     ``keys_of(texts)`` gives the keys of a few texts.  Each task sums its own before anything is shuffled."""
@@ -411,22 +412,64 @@ def score(docs: DataFrame, model: Model, blocks: DataFrame, buckets: int, held_o
         row, back = np.unique(row, return_inverse=True)
         gained, known = np.bincount(back, np.log10(count + 1.0)), np.bincount(back, count > 0).astype(np.int64)
         some = known > 0  # unseen words add nothing
-        yield pa.RecordBatch.from_arrays([pa.array(row[some]), pa.array(gained[some]), pa.array(known[some])], names=["row", "gained", "known"])
+        row, gained, known = row[some], gained[some], known[some]
+        if len(row):  # one answer for each block of rows
+            start = np.flatnonzero(np.concatenate([[True], (row[1:] >> BLOCK) != (row[:-1] >> BLOCK)]))
+            edges = [*start.tolist(), len(row)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(row[start] >> BLOCK), *(pa.array([x[a:b].tobytes() for a, b in zip(edges, edges[1:])], pa.binary()) for x in (row, gained, known))],
+                names=["block", "rows", "gained", "known"],
+            )
 
     both = blocks.withColumn("asked", F.lit(False)).union(scored.select("row", "rare").mapInArrow(asked, BLOCKS).withColumn("asked", F.lit(True)))
-    gains = both.repartition(shuffle_partitions(spark), "bucket").mapInArrow(answered, "row long, gained double, known long")
-    gains = gains.groupBy("row").agg(F.sum("gained").alias("gained"), F.sum("known").alias("known"))
-    joined = scored.drop("rare").join(gains, "row", "left")
-    gained = F.coalesce("gained", F.lit(0.0))
-    return joined.select(
-        "doc_id",
-        "held_out",
-        "n_tokens",
-        (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
-        F.lit(model.n).cast("long").alias("train_tokens"),
-        (F.col("base") + gained).alias("base_score"),
-        (F.col("score") + gained).alias("score"),
-    )
+    answers = both.repartition(shuffle_partitions(spark), "bucket").mapInArrow(answered, "block long, rows binary, gained binary, known binary")
+    local = scored.drop("rare").withColumn("block", F.shiftright("row", BLOCK))
+    whole = local.unionByName(answers, allowMissingColumns=True).repartition(shuffle_partitions(spark), "block")
+    return whole.mapInArrow(_united(model.n), RESULT)
+
+
+#: Documents whose answers travel together: 2 to this power.
+BLOCK = 10
+RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+
+
+def _united(train_tokens: int):
+    """What each document's own task found out, plus the answers of all partitions about its rare words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, rows, gained, known = [], [], [], []
+        for batch in batches:
+            answer = pa.compute.is_valid(batch.column("rows"))
+            told = batch.filter(answer)
+            rows += [np.frombuffer(x, np.int64) for x in told.column("rows").to_pylist()]
+            gained += [np.frombuffer(x, np.float64) for x in told.column("gained").to_pylist()]
+            known += [np.frombuffer(x, np.int64) for x in told.column("known").to_pylist()]
+            own.append(batch.filter(pa.compute.invert(answer)).select(["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score"]))
+        docs = pa.Table.from_batches(own).combine_chunks() if own else None
+        if not docs:
+            return
+        row = docs.column("row").to_numpy()
+        order = np.argsort(row)
+        plus, more = np.zeros(len(row)), np.zeros(len(row), np.int64)
+        if rows:
+            at = order[np.searchsorted(row[order], np.concatenate(rows))]
+            plus = np.bincount(at, np.concatenate(gained), len(row))
+            more = np.bincount(at, np.concatenate(known), len(row)).astype(np.int64)
+        out = pa.table(
+            [
+                docs.column("doc_id"),
+                docs.column("held_out"),
+                docs.column("n_tokens"),
+                pa.array(docs.column("n_known").to_numpy() + more),
+                pa.array(np.full(len(row), train_tokens, np.int64)),
+                pa.array(docs.column("base").to_numpy() + plus),
+                pa.array(docs.column("score").to_numpy() + plus),
+            ],
+            names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+        )
+        yield from out.to_batches(max_chunksize=10_000)
+
+    return run
 
 
 HELD_OUT = (7, 2)
