@@ -45,6 +45,7 @@ REGISTRY: dict[str, Query] = {}
 
 # Fixed state of the fixture runs (test data only).
 SCORED_BEFORE = "2024-01-10 00:00:00"  # earlier runs scored Gold rows ingested before this
+BATCH_UPTO = "2024-01-15 00:00:00"  # the two halves of the drift report
 BRONZE_UPTO = "2024-01-20 00:00:00"  # Bronze holds rows ingested before this
 LOOKBACK = dt.timedelta(days=1)
 NOW = FX.RUN_TS  # alert clock
