@@ -204,10 +204,11 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_lexico
     chosen = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     chosen = bounded_sample(chosen, ["doc_id"], max_rows)
     rows = docs.select("doc_id", "text").filter("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
-    # Repeated ids could add rows; the sample stays bounded.
     rows = rows.select("text", "toxic").mapInArrow(_sketched, "text string, toxic int, sketch long")
     rows = rows.groupBy("sketch").agg(F.max_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"), F.max("toxic").alias("toxic"))
-    rows = cut(rows.orderBy(F.xxhash64("sketch")).limit(max_rows), "toxic-sample")
+    rows = cut(rows, "toxic-sample")
+    if (n := rows.count()) > max_rows:  # repeated ids added rows: a share of them keeps the bound, without a merge of texts in one task
+        rows = rows.filter(F.xxhash64("sketch") < int(-(2**63) + max_rows / n * 2**64))
     total = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     if not total.get(0) or not total.get(1):
         share = total.get(1, 0) / max(1, sum(total.values()))
