@@ -211,7 +211,7 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def exact_dedup(docs: DataFrame, window_bytes: int = 64 << 20, ids_per_row: int = 1000) -> DataFrame:
+def exact_dedup(docs: DataFrame, window_bytes: int = 32 << 20, ids_per_row: int = 1000) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 for every row of ``docs`` (doc_id, text)."""
     content = F.regexp_replace(F.coalesce("text", F.lit("")), WHITE, " ")
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), content.alias("content"))

@@ -156,7 +156,7 @@ def _word_counts(flush: int):
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(w)), pa.array(w), pa.array(n, pa.int64())], names=["lang", "word", "n"])
             counts.clear()
 
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 2 << 20):
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
                 counts[lang].update(LETTERS.findall(text.lower()))
             if sum(map(len, counts.values())) > flush:
@@ -202,7 +202,7 @@ def _gram_counts(max_gram: int):
 def train(docs: DataFrame, max_gram: int = 4, min_share: float = 4e-6, max_languages: int = 200) -> Model:
     """Learn from every row of ``docs`` (text, lang); rows with null text or lang teach nothing."""
     rows = docs.filter("text IS NOT NULL AND lang IS NOT NULL").select("lang", "text")
-    counts = rows.mapInArrow(_word_counts(1_000_000), "lang string, word string, n long")
+    counts = rows.mapInArrow(_word_counts(600_000), "lang string, word string, n long")
     counts = cut(counts.groupBy("lang", "word").agg(F.sum("n").alias("n")), "langid-words")
     totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).limit(max_languages + 1).collect()}
     if len(totals) > max_languages:
@@ -238,7 +238,7 @@ def _table(rows: list, place: dict[str, int], min_share: float) -> dict[str, np.
     return found
 
 
-def predict(docs: DataFrame, model: Model, keep: list[str], cache: int = 600_000) -> DataFrame:
+def predict(docs: DataFrame, model: Model, keep: list[str], cache: int = 400_000) -> DataFrame:
     """The columns ``keep`` of ``docs`` with lang_pred and score."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     schema = docs.select(*keep).schema
@@ -246,7 +246,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str], cache: int = 600_000
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         reader = scorer(model, cache)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 2 << 20):
             texts = [LETTERS.findall(t.lower()) if t else [] for t in batch.column("text").to_pylist()]
             langs, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
             if model.langs:

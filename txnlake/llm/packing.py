@@ -68,7 +68,7 @@ class WordEncoder(dict):
     ids are the ids of its words one after another; each word is encoded once.
     Texts that hold a special token's string are encoded as a whole."""
 
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 400_000):
         from tokenizers import Tokenizer
 
         super().__init__()
