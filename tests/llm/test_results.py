@@ -79,6 +79,20 @@ def test_probabilities_sum_to_at_most_one(spark):
         assert 0.5 < total <= 1 + 1e-6
 
 
+def test_rare_pairs_are_kept_in_a_large_corpus(spark):
+    """More than 2^21 tokens: a pair and a triple that stand there once still count."""
+    from txnlake.llm.tokens import sequences
+
+    rows = spark.range(0, 230).select(F.lit("common words " * 10_000).alias("text")).union(spark.createDataFrame([("once upon time",)], "text string"))
+    model, _, _ = lm.train(rows)
+    assert model.n == 230 * 20_001 + 4 > 2 * 2**21
+    flat, first = sequences([b"once upon time", b"time once upon"])
+    c, _, value = lm.log_probabilities(model, flat, first)
+    assert c[[1, 2, 3]].tolist() == [1, 1, 1]
+    assert value[2] > value[first[1] + 3] > -3 and value[3] > -1  # by its pair; by its triple
+    assert value[first[1] + 2] < -5  # "once" after "time" was never seen
+
+
 def test_bloom_reads_back_counts():
     rng = np.random.default_rng(0)
     key = rng.integers(0, 2**63, 20_000).astype(np.uint64)

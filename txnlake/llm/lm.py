@@ -1,29 +1,29 @@
-"""LM scoring with a log-frequency Bloom filter.
-
-Training counts words, then word pairs, then triples, over all training texts;
-counts are gathered by hash in compact blocks, so what is shuffled grows with
-the corpus.  The model keeps the n-grams that make up at least ``min_share`` of
-the training tokens (and at least one occurrence).  No more than 1 / min_share
-n-grams of an order can have that share, so the model has a proven size bound at
-any input size, the rule is the same at every size, and a word's number fits
-into 21 bits: n-grams up to order three are exact 63-bit keys.
+"""LM scoring with a log-frequency Bloom filter in shards.
+
+The model keeps every word, word pair and triple of the training texts, however
+rare.  Texts are put into blocks; each block sends the different n-grams it holds,
+by key hash, to their shards, with the number of training occurrences (0 where
+only held-out texts have them).  A shard sums them, holds pairs and triples in a
+log-frequency Bloom filter sized from the events it counted (words keep exact
+counts) and answers each block in the order it was asked, so an answer is a byte
+and needs no key.  The block then scores its texts.  What is shuffled and held
+grows with the corpus, a shard only with a partition's share of it; nothing is
+broadcast or gathered on the driver but two totals.
 
 The filter holds an n-gram at level 1 to q, where q is its count on a scale of
 powers of sqrt 2.  Nothing but bits is kept: a count is read by probing level
-after level until a miss.  A context's left-over probability is held likewise,
-on a scale of powers of 0.9.
+after level until a miss.
 
-    P(w)     = (c(w) + 1) / (N + V + 1)                          exact counts
-    P(w|v)   = (q(vw) - D) / c(v) + left(v) P(w)                 absolute discounting, D = 3/4
-    P(w|uv)  = (q(uvw) - D) / Q(uv) + left(uv) P(w|v)
+    P(w)     = (c(w) + 1) / (N + V + 1)                 exact counts
+    P(w|v)   = (q(vw) + K1 P(w)) / (c(v) + K1)          each context smoothed by the shorter one
+    P(w|uv)  = (q(uvw) + K2 P(w|v)) / (Q(uv) + K2)
 
-q is rounded down, Q up, and left is what the discounted q leave, rounded down,
-so that the probabilities of all words sum to at most 1 (but for the filter's
-false positives).  The context of a text's first word is the end token.
+q is rounded down and Q up, so that the probabilities of all words sum to at most
+1 (but for the filter's false positives).  An unseen context leaves the shorter
+one's probability as it is.  The context of a text's first word is the end token.
 
-Words below the share occur in no kept n-gram; their exact counts, which P(w)
-and the base score need, come from a join on the word's hash: both sides in
-blocks, partial sums for blocks of texts go back.  So nothing unbounded is broadcast.
+Words are known by 64-bit hashes, pairs and triples by 50-bit ones: among 10^10 of them an unseen one meets another's
+key with a probability of 10^-5, below the filter's own false positives (6 x 10^-4).
 
 Defined results: null text is empty, its one token is the end; a null id counts
 as the empty text in the fold rule; repeated rows each count and each get a
@@ -33,8 +33,8 @@ gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -44,14 +44,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnlake.llm.common import cut, remainder, shuffle_partitions, slices, text_bytes
-from txnlake.llm.tokens import END, mix, sequences
+from txnlake.llm.tokens import mix, sequences
 
 _U = np.uint64
-BITS = 21  # of a word's number
-MIN_SHARE = 2.0**-BITS
-DISCOUNT = 0.75
-COUNT_BASE, LEFT_BASE = 2**0.5, 0.9
-SLICE = 1 << 20
+#: How many occurrences the shorter context's probability weighs as, by length of the context.
+K1, K2 = 800.0, 5.0
+COUNT_BASE = 2**0.5
+SLICE = 2 << 20
 
 
 class LogBloom:
@@ -95,379 +94,349 @@ class LogBloom:
             live, y, step = live[hit], y[hit] + step[hit], step[hit]
         return live
 
+# --- keys -------------------------------------------------------------------
+PAIR, TRIPLE = _U(0x1111111111111111), _U(0x2222222222222222)
+#: Pairs and triples are known by 50 bits, so the gap between two keys of a block takes four bytes.
+SPARE = _U(14)
+GRAM = ~((_U(1) << SPARE) - _U(1))
 
-@dataclass
-class Model:
-    """What is broadcast: the kept words with their counts, and the filter."""
-
-    n: int  # training tokens
-    v: int  # different ones
-    unit: float  # the least count kept
-    words: np.ndarray  # hashes, sorted
-    counts: np.ndarray
-    bloom: LogBloom
 
-    def number(self, hashes: np.ndarray) -> np.ndarray:
-        """Each word's number, -1 for those below the share."""
-        if not len(self.words):
-            return np.full(len(hashes), -1, np.int64)
-        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        return np.where(self.words[at] == hashes, at, -1)
+def _spots(flat: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Of each entry, its place within its text (the leading end token is 0)."""
+    return np.arange(len(flat)) - np.repeat(first[:-1], np.diff(first))
 
 
-# --- keys -------------------------------------------------------------------
-TAGS = {"pair": _U(0x1111111111111111), "triple": _U(0x2222222222222222), "left1": _U(0x3333333333333333), "left2": _U(0x4444444444444444)}
+def keys_of(flat: np.ndarray, spot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each entry's word, pair and triple (those that end with it); 0 where the text has too few entries before it."""
+    word = mix(flat)
+    pair, triple = np.zeros(len(flat), _U), np.zeros(len(flat), _U)
+    pair[1:] = mix(mix(flat[:-1] ^ PAIR) + flat[1:])
+    triple[2:] = mix(mix(pair[1:-1] ^ TRIPLE) + flat[2:])
+    return word, np.where(spot >= 1, pair & GRAM, _U(0)), np.where(spot >= 2, triple & GRAM, _U(0))
 
 
-def tagged(kind: str, key: np.ndarray) -> np.ndarray:
-    return mix(key.astype(_U) ^ TAGS[kind])
+def level_of(count: np.ndarray) -> np.ndarray:
+    return 1 + np.floor(np.log(count) / np.log(COUNT_BASE) + 1e-9).astype(np.int32)
 
 
-def level_of(count: np.ndarray, unit: float) -> np.ndarray:
-    return 1 + np.floor(np.log(count / unit) / np.log(COUNT_BASE) + 1e-9).astype(np.int32)
+def low(level: np.ndarray) -> np.ndarray:
+    return COUNT_BASE ** (level - 1.0)
 
 
-def low(level: np.ndarray, unit: float) -> np.ndarray:
-    return unit * COUNT_BASE ** (level - 1.0)
+# --- blocks -----------------------------------------------------------------
+BLOCKS = "block long, docs long, doc_ids binary, nulls binary, held binary, lengths binary, size long, texts binary"
+#: ``counts`` are the occurrences that are asked with (question) or found (answer).
+QUESTIONS = "block long, bucket int, words binary, word_counts binary, grams binary, gram_counts binary"
 
 
-# --- counting ---------------------------------------------------------------
-BLOCKS = "bucket int, keys binary, counts binary"
+def _pack(values: np.ndarray) -> bytes:
+    """Numbers byte plane by byte plane, in as many planes as the largest needs (the first byte says)."""
+    if not len(values):
+        return b""
+    values = values.astype(np.int64, copy=False).view(_U)
+    width = max(1, (int(values.max()).bit_length() + 7) // 8)
+    return bytes([width]) + values.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
 
 
-def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
-    return ((mix(key.astype(_U)) >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int32)
+def _unpack(data: bytes) -> np.ndarray:
+    if not data:
+        return np.zeros(0, np.int64)
+    planes = np.frombuffer(data, np.uint8, offset=1).reshape(data[0], -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, : data[0]] = planes.T
+    return out.view(np.int64).ravel()
 
 
-def _blocks(key: np.ndarray, count: np.ndarray, buckets: int) -> pa.RecordBatch:
-    bucket = _bucket(key, buckets)
-    order = np.argsort(bucket, kind="stable")
-    key, count, bucket = key[order], count[order], bucket[order]
-    present, start = np.unique(bucket, return_index=True)
-    edges = [*start.tolist(), len(key)]
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(present, pa.int32()),
-            pa.array([key[a:b].tobytes() for a, b in zip(edges, edges[1:])], pa.binary()),
-            pa.array([count[a:b].tobytes() for a, b in zip(edges, edges[1:])], pa.binary()),
-        ],
-        names=["bucket", "keys", "counts"],
-    )
+def _pack_keys(keys: np.ndarray, spare: np.uint64 = _U(0)) -> bytes:
+    return _pack((np.diff(keys, prepend=_U(0)) >> spare).view(np.int64))
 
 
-def _sum(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    key, count = np.concatenate(keys), np.concatenate(counts)
-    order = np.argsort(key, kind="stable")
-    key, count = key[order], count[order]
-    start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    return key[start], np.add.reduceat(count, start)
+def _unpack_keys(data: bytes, spare: np.uint64 = _U(0)) -> np.ndarray:
+    return np.cumsum(_unpack(data).view(_U) << spare, dtype=_U)
 
 
-def counted(rows: DataFrame, keys_of, buckets: int, flush: int = 1_500_000) -> DataFrame:
-    """Blocks of keys with their counts over all ``rows`` (text), each key in one block.
+def blocked(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` (doc_id, text, held_out) written in blocks of a few thousand texts, each with a number of its own."""
 
-    ``keys_of(texts)`` gives the keys of a few texts.  Each task sums its own before anything is shuffled."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held, size = TaskContext.get().partitionId() << 36, [], 0
+
+        def block() -> pa.RecordBatch:
+            table = pa.Table.from_batches(held)
+            ids = table.column("doc_id")
+            texts = text_bytes(table.column("text"))
+            whole = b"".join(texts)
+            row = {
+                "block": number,
+                "docs": len(texts),
+                "doc_ids": _pack(pa.compute.fill_null(ids, 0).to_numpy()),
+                "nulls": pa.compute.is_null(ids).to_numpy().tobytes(),
+                "held": table.column("held_out").to_numpy().astype(bool).tobytes(),
+                "lengths": _pack(np.array([len(t) for t in texts])),
+                "size": len(whole),
+                "texts": pa.compress(whole, "zstd", asbytes=True),
+            }
+            return pa.RecordBatch.from_arrays([pa.array([row[k]], pa.int64() if k in ("block", "docs", "size") else pa.binary()) for k in row], names=list(row))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts, held = [], [], 0
         for batch in slices(batches, "text", SLICE):
-            k, c = np.unique(keys_of(text_bytes(batch.column("text"))), return_counts=True)
-            keys.append(k)
-            counts.append(c.astype(np.int64))
-            held += len(k)
-            if held > flush:
-                k, c = _sum(keys, counts)
-                keys, counts, held = [k], [c], len(k)
-                if held > flush // 2:
-                    yield _blocks(k, c, buckets)
-                    keys, counts, held = [], [], 0
+            more = pa.compute.sum(pa.compute.binary_length(batch.column("text"))).as_py() or 0
+            if held and size + more > SLICE:
+                yield block()
+                number, held, size = number + 1, [], 0
+            held.append(batch)
+            size += more
         if held:
-            yield _blocks(*_sum(keys, counts), buckets)
+            yield block()
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.col("held_out").cast("boolean").alias("held_out"))
+    return cut(rows.mapInArrow(run, BLOCKS), name)
+
 
-    return rows.select("text").mapInArrow(count, BLOCKS).repartition(shuffle_partitions(rows.sparkSession), "bucket").mapInArrow(_merged(buckets), BLOCKS)
+def _texts(row: dict) -> list[bytes]:
+    whole = pa.decompress(row["texts"], row["size"], "zstd", asbytes=True) if row["size"] else b""
+    edge = np.concatenate([[0], np.cumsum(_unpack(row["lengths"]))]).tolist()
+    return [whole[a:b] for a, b in zip(edge, edge[1:])]
 
 
-def _merged(buckets: int):
+def questions(blocks: DataFrame, buckets: int) -> DataFrame:
+    """The different n-grams of each block, dealt to ``buckets`` by their keys, with their occurrences in training texts."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = [], []
         for batch in batches:
-            keys += [np.frombuffer(x, _U) for x in batch.column("keys").to_pylist()]
-            counts += [np.frombuffer(x, np.int64) for x in batch.column("counts").to_pylist()]
-        if keys:
-            yield _blocks(*_sum(keys, counts), buckets)
+            for row in batch.to_pylist():
+                flat, first = sequences(_texts(row))
+                spot = _spots(flat, first)
+                trained = np.repeat(~np.frombuffer(row["held"], bool), np.diff(first))
+                word, pair, triple = keys_of(flat, spot)
+                # The leading end token is asked for as a context, but doesn't count.
+                grams = np.concatenate([pair[spot >= 1], triple[spot >= 2]])
+                columns = []
+                for key, counts, spare in ((word, trained & (spot >= 1), _U(0)), (grams, np.concatenate([trained[spot >= 1], trained[spot >= 2]]), SPARE)):
+                    key, back = np.unique(key, return_inverse=True)
+                    count = np.bincount(back, counts, len(key)).astype(np.int64)
+                    edges = np.searchsorted(bucket_of(key, buckets), np.arange(buckets + 1)).tolist()
+                    # The first key of a part counts from 0, so a part can be read by itself.
+                    columns.append([_pack_keys(key[a:b], spare) for a, b in zip(edges, edges[1:])])
+                    columns.append([_pack(count[a:b]) for a, b in zip(edges, edges[1:])])
+                present = [i for i in range(buckets) if columns[0][i] or columns[2][i]]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([row["block"]] * len(present), pa.int64()),
+                        pa.array(present, pa.int32()),
+                        *(pa.array([x[i] for i in present], pa.binary()) for x in columns),
+                    ],
+                    names=["block", "bucket", "words", "word_counts", "grams", "gram_counts"],
+                )
+
+    asked = blocks.select("block", "held", "lengths", "size", "texts").mapInArrow(run, QUESTIONS)
+    return asked.repartition(shuffle_partitions(blocks.sparkSession), "bucket")
+
+
+def bucket_of(key: np.ndarray, buckets: int) -> np.ndarray:
+    """Rises with the key, so sorted keys are in the order of their buckets."""
+    return ((key >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int32)
+
+
+def _sum(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different keys, their totals, and for each entry its key's place."""
+    key, back = np.unique(np.concatenate(keys), return_inverse=True)
+    total = np.zeros(len(key), np.int64)
+    np.add.at(total, back, np.concatenate(counts))
+    return key, total, back
+
+
+def _filter(key: np.ndarray, total: np.ndarray) -> LogBloom:
+    level = level_of(total[total > 0])
+    bloom = LogBloom(int(level.sum()))
+    bloom.add(key[total > 0], level)
+    return bloom
 
-    return run
 
+def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
+    """Each bucket with its questions: block, words, their counts, pairs and triples, their counts."""
+    held: dict[int, list[tuple]] = {}
+    for batch in batches:
+        for block, bucket, *parts in zip(*(batch.column(x).to_pylist() for x in ("block", "bucket", "words", "word_counts", "grams", "gram_counts"))):
+            held.setdefault(bucket, []).append((block, *parts))
+    for bucket in sorted(held):
+        yield bucket, held.pop(bucket)
 
-def _kept(blocks: DataFrame, unit: float) -> tuple[np.ndarray, np.ndarray]:
-    """The keys with at least ``unit`` occurrences, sorted, with their counts: 1 / min_share at most."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for k, c in zip(batch.column("keys").to_pylist(), batch.column("counts").to_pylist()):
-                k, c = np.frombuffer(k, _U), np.frombuffer(c, np.int64)
-                out.append((k[c >= unit].tobytes(), c[c >= unit].tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*out)] if out else [pa.array([], pa.binary())] * 2, names=["keys", "counts"])
+def _words(rows: list[tuple]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    return [_unpack_keys(r[1]) for r in rows], [_unpack(r[2]) for r in rows]
 
-    rows = blocks.select("keys", "counts").mapInArrow(run, "keys binary, counts binary").collect()
-    key = np.concatenate([np.zeros(0, _U), *(np.frombuffer(r[0], _U) for r in rows)])
-    count = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(r[1], np.int64) for r in rows)])
-    order = np.argsort(key)
-    return key[order], count[order]
 
+def _grams(rows: list[tuple]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    return [_unpack_keys(r[3], SPARE) for r in rows], [_unpack(r[4]) for r in rows]
 
-def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        counts = [np.frombuffer(x, np.int64) for x in batch.column("counts").to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array([int(sum(c.sum() for c in counts))]), pa.array([sum(map(len, counts))])], names=["n", "v"])
 
+ANSWERS = "block long, bucket int, words binary, grams binary, n long, v long"
 
-# --- training ---------------------------------------------------------------
-def _spots(flat: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Of each entry, its place within its text (the leading end token is 0)."""
-    return np.arange(len(flat)) - np.repeat(first[:-1], np.diff(first))
 
+def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """To each question the words' counts and the pairs' and triples' levels over all blocks; the words' totals with the first."""
+    for bucket, rows in _by_bucket(batches):
+        keys, counts = _words(rows)
+        _, total, back = _sum(keys, counts)
+        found, edges = total[back], np.cumsum([0, *map(len, keys)]).tolist()
+        words = [_pack(found[a:b]) for a, b in zip(edges, edges[1:])]
+        n, v = int(total.sum()), int((total > 0).sum())
+        keys, counts = _grams(rows)
+        key, total, back = _sum(keys, counts)
+        found, edges = _filter(key, total).get(key).astype(np.uint8)[back], np.cumsum([0, *map(len, keys)]).tolist()
+        grams = [found[a:b].tobytes() for a, b in zip(edges, edges[1:])]
+        rest = len(rows) - 1
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([r[0] for r in rows], pa.int64()),
+                pa.array([bucket] * len(rows), pa.int32()),
+                pa.array(words, pa.binary()),
+                pa.array(grams, pa.binary()),
+                pa.array([n] + [0] * rest, pa.int64()),
+                pa.array([v] + [0] * rest, pa.int64()),
+            ],
+            names=["block", "bucket", "words", "grams", "n", "v"],
+        )
 
-def train(rows: DataFrame, min_share: float = MIN_SHARE) -> tuple[Model, DataFrame, int]:
-    """The model, the blocks of all word counts, and their number of buckets; learns from every row of ``rows`` (text)."""
-    if min_share < MIN_SHARE:
-        raise ValueError(f"min_share must be at least 2^-{BITS}")
-    spark = rows.sparkSession
-    buckets = 4 * shuffle_partitions(spark)
-    sc = spark.sparkContext
-
-    def unigrams(texts: list[bytes]) -> np.ndarray:
-        flat, first = sequences(texts)
-        scored = np.ones(len(flat), bool)
-        scored[first[:-1]] = False
-        return flat[scored]
-
-    blocks = cut(counted(rows, unigrams, buckets), "lm-words")
-    n, v = blocks.select("counts").mapInArrow(_totals, "n long, v long").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
-    unit = max(1.0, n * min_share)
-    words, counts = _kept(blocks, unit)
-    model = Model(n, v, unit, words, counts, LogBloom(1))
-    sent = sc.broadcast(model)
-
-    def pairs(texts: list[bytes]) -> np.ndarray:
-        flat, first = sequences(texts)
-        w = sent.value.number(flat)
-        use = np.flatnonzero((_spots(flat, first) >= 1) & (w >= 0))
-        use = use[w[use - 1] >= 0]
-        return (w[use - 1].astype(_U) << _U(BITS)) | w[use].astype(_U)
-
-    pair, pair_count = _kept(counted(rows, pairs, buckets), unit)
-    sent_pair = sc.broadcast(pair)
-
-    def triples(texts: list[bytes]) -> np.ndarray:
-        flat, first = sequences(texts)
-        w, known = sent.value.number(flat), sent_pair.value
-        spot = _spots(flat, first)
-        use = np.flatnonzero((spot >= 1) & (w >= 0))
-        use = use[w[use - 1] >= 0]
-        key = np.zeros(len(flat), _U)
-        key[use] = (w[use - 1].astype(_U) << _U(BITS)) | w[use].astype(_U)
-        kept = np.zeros(len(flat), bool)
-        if len(known):
-            at = np.minimum(np.searchsorted(known, key[use]), len(known) - 1)
-            kept[use] = known[at] == key[use]
-        # A triple can't be more frequent than either of its pairs.
-        use = np.flatnonzero(kept & (spot >= 2))
-        use = use[kept[use - 1]]
-        return (key[use - 1] << _U(BITS)) | w[use].astype(_U)
-
-    triple, triple_count = _kept(counted(rows, triples, buckets), unit)
-    model.bloom = _filter(model, pair, pair_count, triple, triple_count)
-    sent.unpersist()
-    sent_pair.unpersist()
-    return model, blocks, buckets
-
-
-def _filter(model: Model, pair: np.ndarray, pair_count: np.ndarray, triple: np.ndarray, triple_count: np.ndarray) -> LogBloom:
-    unit = model.unit
-
-    def left(context: np.ndarray, level: np.ndarray, of: np.ndarray) -> np.ndarray:
-        """Levels of the left-over probability of contexts numbered 0.. with the total ``of``."""
-        used = np.bincount(context, np.maximum(low(level, unit) - DISCOUNT, 0), len(of)) / np.maximum(of, 1)
-        return np.maximum(0, np.ceil(np.log(np.maximum(1 - used, 1e-12)) / np.log(LEFT_BASE) - 1e-9)).astype(np.int32)
-
-    entries = []
-    pair_level, triple_level = level_of(pair_count, unit), level_of(triple_count, unit)
-    entries += [(tagged("pair", pair), pair_level), (tagged("triple", triple), triple_level)]
-    entries.append((tagged("left1", np.arange(len(model.words))), left((pair >> _U(BITS)).astype(np.int64), pair_level, model.counts.astype(float))))
-    context = np.searchsorted(pair, triple >> _U(BITS))
-    entries.append((tagged("left2", pair), left(context, triple_level, low(pair_level + 1, unit))))
-    bloom = LogBloom(sum(int(v.sum()) for _, v in entries))
-    for key, value in entries:
-        bloom.add(key[value > 0], value[value > 0])
-    return bloom
 
+# --- a model that stays -----------------------------------------------------
+SHARDS = "bucket int, words binary, counts binary, size long, bits binary, n long, v long"
 
-# --- scoring ----------------------------------------------------------------
-SCORED = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, rare binary"
 
+@dataclass
+class Model:
+    """A trained model in a written table of shards; ``find`` fetches the shards it is asked for, for a few texts."""
 
-def log_probabilities(model: Model, flat: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each entry: the word's number, log10 (c + 1) (0 below the share), and log10 P less its log10 P(w) for
-    words below the share, or log10 P itself."""
-    spot = _spots(flat, first)
-    w = model.number(flat)
-    whole = model.n + model.v + 1
-    c = np.where(w >= 0, model.counts[w] if len(model.counts) else 0, 0)
-    p = (c + 1) / whole
-    has1 = np.zeros(len(flat), bool)
-    has1[1:] = (spot[1:] >= 1) & (w[:-1] >= 0)
-    # The context of one word: its left-over share, read once for each word in the batch.
-    left = np.ones(len(flat))
-    use = np.flatnonzero(has1)
-    context, back = np.unique(w[use - 1], return_inverse=True)
-    left[use] = (LEFT_BASE ** model.bloom.get(tagged("left1", context)).astype(float))[back]
-    pair = np.zeros(len(flat), _U)
-    use = use[w[use] >= 0]
-    pair[use] = (w[use - 1].astype(_U) << _U(BITS)) | w[use].astype(_U)
-    key, back = np.unique(pair[use], return_inverse=True)
-    level = np.zeros(len(flat), np.int32)
-    level[use] = model.bloom.get(tagged("pair", key))[back]
-    got = use[level[use] > 0]
-    rest = left.copy()
-    p2 = p * left
-    p2[got] += np.maximum(low(level[got], model.unit) - DISCOUNT, 0) / c[got - 1]
-    # The context of two words: only if it is a kept pair itself.
-    has2 = np.zeros(len(flat), bool)
-    has2[1:] = (spot[1:] >= 2) & (level[:-1] > 0)
-    use = np.flatnonzero(has2)
-    key, back = np.unique(pair[use - 1], return_inverse=True)
-    left2 = (LEFT_BASE ** model.bloom.get(tagged("left2", key)).astype(float))[back]
-    rest[use] *= left2
-    p3 = p2.copy()
-    p3[use] *= left2
-    use = use[level[use] > 0]
-    q = model.bloom.get(tagged("triple", (pair[use - 1] << _U(BITS)) | w[use].astype(_U)))
-    use, q = use[q > 0], q[q > 0]
-    p3[use] += np.maximum(low(q, model.unit) - DISCOUNT, 0) / low(level[use - 1] + 1, model.unit)
-    return w, np.log10(c + 1.0), np.log10(np.where(w >= 0, p3, rest))
-
-
-def score(docs: DataFrame, model: Model, blocks: DataFrame, buckets: int, held_out: str = "held_out") -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of ``docs`` (doc_id, text, held_out)."""
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(model)
+    n: int  # training tokens
+    v: int  # different ones
+    shards: DataFrame | None
+    buckets: int
+    held: dict = field(default_factory=dict)
+
+    def find(self, key: np.ndarray, words: bool) -> np.ndarray:
+        bucket = bucket_of(key, self.buckets)
+        asked = np.unique(bucket).tolist()
+        new = [b for b in asked if b not in self.held]
+        if new:
+            self.held |= {b: None for b in new}
+            for r in self.shards.filter(F.col("bucket").isin(new)).collect():
+                bloom = LogBloom(1)
+                bloom.size, bloom.bits = r["size"], np.frombuffer(pa.decompress(r["bits"], r["size"] // 8, "zstd", asbytes=True), np.uint8)
+                self.held[r["bucket"]] = (_unpack_keys(r["words"]), _unpack(r["counts"]), bloom)
+        out = np.zeros(len(key), np.int64)
+        for b in asked:
+            at = np.flatnonzero(bucket == b)
+            if self.held[b] is None:
+                continue
+            known, count, bloom = self.held[b]
+            if not words:
+                out[at] = bloom.get(key[at])
+            elif len(known):
+                place = np.minimum(np.searchsorted(known, key[at]), len(known) - 1)
+                out[at] = np.where(known[place] == key[at], count[place], 0)
+        return out
+
+
+def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for bucket, rows in _by_bucket(batches):
+        key, total, _ = _sum(*_words(rows))
+        key, total = key[total > 0], total[total > 0]
+        gram, of, _ = _sum(*_grams(rows))
+        bloom = _filter(gram, of)
+        row = (bucket, _pack_keys(key), _pack(total), bloom.size, pa.compress(bloom.bits.tobytes(), "zstd", asbytes=True), int(total.sum()), len(key))
+        types = (pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types)], names=["bucket", "words", "counts", "size", "bits", "n", "v"])
+
+
+def _totals(rows: DataFrame) -> tuple[int, int]:
+    return tuple(rows.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first())
+
+
+def train(rows: DataFrame) -> tuple[Model, DataFrame, int]:
+    """The model, its table of shards and their number of buckets; learns from every row of ``rows`` (text)."""
+    buckets = 2 * shuffle_partitions(rows.sparkSession)
+    blocks = blocked(rows.select(F.lit(0).alias("doc_id"), "text", F.lit(False).alias("held_out")), "lm-blocks")
+    shards = cut(questions(blocks, buckets).mapInArrow(_shards, SHARDS), "lm-shards")
+    return Model(*_totals(shards), shards, buckets), shards, buckets
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, row = sent.value, TaskContext.get().partitionId() << 36
-        for batch in slices(batches, "text", SLICE):
-            flat, first = sequences(text_bytes(batch.column("text")))
-            w, base, value = log_probabilities(model, flat, first)
-            base[first[:-1]] = value[first[:-1]] = 0  # the leading end token isn't scored
-            known = w >= 0
-            known[first[:-1]] = False
-            rare = w < 0
-            rare[first[:-1]] = False
-            n = np.diff(first) - 1
-            at = first[:-1]
-            n_rare = np.add.reduceat(rare.astype(np.int64), at)
-            whole = np.log10(model.n + model.v + 1)
-            edges = np.cumsum([0, *n_rare])
-            hashes = flat[rare]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(row + np.arange(len(n))),
-                    batch.column("doc_id"),
-                    batch.column("held_out"),
-                    pa.array(n),
-                    pa.array(np.add.reduceat(known.astype(np.int64), at)),
-                    pa.array(np.add.reduceat(base, at) - n * whole),
-                    pa.array(np.add.reduceat(value, at) - n_rare * whole),
-                    pa.array([hashes[a:b].tobytes() for a, b in zip(edges, edges[1:])], pa.binary()),
-                ],
-                names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare"],
-            )
-            row += len(n)
 
-    scored = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(held_out).alias("held_out"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, SCORED), "lm-scored")
+# --- scoring ----------------------------------------------------------------
+Find = Callable[[np.ndarray, bool], np.ndarray]
 
-    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Blocks of the rare words' hashes with their rows' numbers."""
-        for batch in slices(batches, "rare", 16 << 20):
-            hashes = [np.frombuffer(x, _U) for x in batch.column("rare").to_pylist()]
-            rows = np.repeat(batch.column("row").to_numpy(zero_copy_only=False), [len(h) for h in hashes])
-            if len(rows):
-                yield _blocks(np.concatenate(hashes), rows, buckets)
 
-    def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts, words, rows = [], [], [], []
-        for batch in batches:
-            for k, c, ask in zip(*(batch.column(x).to_pylist() for x in ("keys", "counts", "asked"))):
-                (words if ask else keys).append(np.frombuffer(k, _U))
-                (rows if ask else counts).append(np.frombuffer(c, np.int64))
-        if not words:
-            return
-        word, row = np.concatenate(words), np.concatenate(rows)
-        count = np.zeros(len(word))
-        if keys:
-            key, of = _sum(keys, counts)
-            at = np.minimum(np.searchsorted(key, word), len(key) - 1)
-            count = np.where(key[at] == word, of[at], 0)
-        row, back = np.unique(row, return_inverse=True)
-        gained, known = np.bincount(back, np.log10(count + 1.0)), np.bincount(back, count > 0).astype(np.int64)
-        some = known > 0  # unseen words add nothing
-        row, gained, known = row[some], gained[some], known[some]
-        if len(row):  # one answer for each block of rows
-            start = np.flatnonzero(np.concatenate([[True], (row[1:] >> BLOCK) != (row[:-1] >> BLOCK)]))
-            edges = [*start.tolist(), len(row)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(row[start] >> BLOCK), *(pa.array([x[a:b].tobytes() for a, b in zip(edges, edges[1:])], pa.binary()) for x in (row, gained, known))],
-                names=["block", "rows", "gained", "known"],
-            )
+def log_probabilities(model: Model, flat: np.ndarray, first: np.ndarray, find: Find | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each entry: the word's count, its log10 (c + 1), and log10 P (unseen words: less their log10 P(w)).
 
-    both = blocks.withColumn("asked", F.lit(False)).union(scored.select("row", "rare").mapInArrow(asked, BLOCKS).withColumn("asked", F.lit(True)))
-    answers = both.repartition(shuffle_partitions(spark), "bucket").mapInArrow(answered, "block long, rows binary, gained binary, known binary")
-    local = scored.drop("rare").withColumn("block", F.shiftright("row", BLOCK))
-    whole = local.unionByName(answers, allowMissingColumns=True).repartition(shuffle_partitions(spark), "block")
-    return whole.mapInArrow(_united(model.n), RESULT)
+    ``find`` gives the counts of different words, or the levels of different pairs and triples, in rising order of their keys."""
+    find = find or model.find
+    spot = _spots(flat, first)
+    word, pair, triple = keys_of(flat, spot)
+    key, back = np.unique(word, return_inverse=True)
+    c = find(key, True)[back]
+    one, two = np.flatnonzero(spot >= 1), np.flatnonzero(spot >= 2)
+    key, back = np.unique(np.concatenate([pair[one], triple[two]]), return_inverse=True)
+    found = find(key, False)[back]
+    level2, level3 = np.zeros(len(flat), np.int64), np.zeros(len(flat), np.int64)
+    level2[one], level3[two] = found[: len(one)], found[len(one) :]
+    whole = model.n + model.v + 1
+    p = (c + 1) / whole
+    context = c[one - 1]
+    q = np.where(level2[one] > 0, np.minimum(low(level2[one]), context), 0)
+    p[one] = np.where(context > 0, (q + K1 * p[one]) / (context + K1), p[one])
+    context = np.where(level2[two - 1] > 0, low(level2[two - 1] + 1), 0)
+    q = np.where(level3[two] > 0, np.minimum(low(level3[two]), context), 0)
+    p[two] = np.where(context > 0, (q + K2 * p[two]) / (context + K2), p[two])
+    return c, np.log10(c + 1.0), np.log10(p) + np.where(c > 0, 0, np.log10(whole))
 
 
-#: Documents whose answers travel together: 2 to this power.
-BLOCK = 10
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+COLUMNS = [x.split()[0] for x in RESULT.split(", ")]
 
 
-def _united(train_tokens: int):
-    """What each document's own task found out, plus the answers of all partitions about its rare words."""
+def _scored(n: int, v: int):
+    """The rows of each block, from its texts and all answers to it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, rows, gained, known = [], [], [], []
+        texts, told = {}, {}
         for batch in batches:
-            answer = pa.compute.is_valid(batch.column("rows"))
-            told = batch.filter(answer)
-            rows += [np.frombuffer(x, np.int64) for x in told.column("rows").to_pylist()]
-            gained += [np.frombuffer(x, np.float64) for x in told.column("gained").to_pylist()]
-            known += [np.frombuffer(x, np.int64) for x in told.column("known").to_pylist()]
-            own.append(batch.filter(pa.compute.invert(answer)).select(["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score"]))
-        docs = pa.Table.from_batches(own).combine_chunks() if own else None
-        if not docs:
-            return
-        row = docs.column("row").to_numpy()
-        order = np.argsort(row)
-        plus, more = np.zeros(len(row)), np.zeros(len(row), np.int64)
-        if rows:
-            at = order[np.searchsorted(row[order], np.concatenate(rows))]
-            plus = np.bincount(at, np.concatenate(gained), len(row))
-            more = np.bincount(at, np.concatenate(known), len(row)).astype(np.int64)
-        out = pa.table(
-            [
-                docs.column("doc_id"),
-                docs.column("held_out"),
-                docs.column("n_tokens"),
-                pa.array(docs.column("n_known").to_numpy() + more),
-                pa.array(np.full(len(row), train_tokens, np.int64)),
-                pa.array(docs.column("base").to_numpy() + plus),
-                pa.array(docs.column("score").to_numpy() + plus),
-            ],
-            names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-        )
-        yield from out.to_batches(max_chunksize=10_000)
+            for row in batch.to_pylist():
+                if row["docs"] is not None:
+                    texts[row["block"]] = row
+                else:
+                    told.setdefault(row["block"], []).append((row["bucket"], row["words"], row["grams"]))
+        model = Model(n, v, None, 0)
+        for block in sorted(texts):
+            row, answers = texts.pop(block), sorted(told.pop(block, []))
+
+            def find(key: np.ndarray, words: bool) -> np.ndarray:
+                got = [_unpack(x) if words else np.frombuffer(y, np.uint8).astype(np.int64) for _, x, y in answers]
+                got = np.concatenate([np.zeros(0, np.int64), *got])
+                if len(got) != len(key):
+                    raise ValueError(f"block {block}: {len(got)} answers to {len(key)} questions")
+                return got
+
+            flat, first = sequences(_texts(row))
+            c, base, value = log_probabilities(model, flat, first, find)
+            whole = np.log10(n + v + 1)
+            value = value - np.where(c > 0, 0, whole)
+            known = (c > 0).astype(np.int64)
+            at = first[:-1]
+            base[at] = value[at] = known[at] = 0  # the leading end token isn't scored
+            length = np.diff(first) - 1
+            ids = pa.array(_unpack(row["doc_ids"]), mask=np.frombuffer(row["nulls"], bool))
+            out = pa.table(
+                [
+                    ids,
+                    pa.array(np.frombuffer(row["held"], bool)),
+                    pa.array(length),
+                    pa.array(np.add.reduceat(known, at)),
+                    pa.array(np.full(len(length), n, np.int64)),
+                    pa.array(np.add.reduceat(base, at) - length * whole),
+                    pa.array(np.add.reduceat(value, at)),
+                ],
+                names=COLUMNS,
+            )
+            yield from out.to_batches(max_chunksize=10_000)
 
     return run
 
@@ -478,5 +447,8 @@ HELD_OUT = (7, 2)
 def score_documents(docs: DataFrame) -> DataFrame:
     """Every row of ``docs`` scored by a model of the rows that are not held out."""
     rows = docs.select("doc_id", "text").withColumn("held_out", remainder("doc_id", HELD_OUT[0]) == HELD_OUT[1])
-    model, blocks, buckets = train(rows.filter("NOT held_out"))
-    return score(rows, model, blocks, buckets)
+    partitions = shuffle_partitions(docs.sparkSession)
+    blocks = blocked(rows, "lm-blocks")
+    answers = cut(questions(blocks, 2 * partitions).mapInArrow(_answer, ANSWERS), "lm-answers")
+    both = blocks.unionByName(answers.drop("n", "v"), allowMissingColumns=True).repartition(partitions, "block")
+    return both.mapInArrow(_scored(*_totals(answers)), RESULT)
