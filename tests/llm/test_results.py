@@ -208,6 +208,24 @@ def test_extraction_of_common_layouts(spark):
         assert html_extract.main_text(f"<html><body>{page}</body></html>", weights) == f"T {A} {B}", page
 
 
+HEADS = [
+    "<head><meta charset=utf-8><title>x</title><style>p {}</style><body>",
+    "<head><title>x</title><script>var a = 1</script>",
+    "<head><link rel=a href=b><noscript><p>Scripts are off</p></noscript><body class=a>",
+    "<head><title>x</title><noscript><p>Scripts are off<body>",
+]
+
+
+def test_extraction_with_an_open_head(spark):
+    weights = html_extract.train(spark.read.parquet(f"{SF}/pages.parquet"))
+    for head in HEADS:
+        for page in LAYOUTS:
+            assert html_extract.main_text(f"<html>{head}{page}", weights) == f"T {A} {B}", head + page
+    read = lambda x: [b.text for b in html_extract.BlockReader().read(x)]
+    assert read(f"<html><head><title>x</title>{A}<p>{B}") == [A, B]
+    assert read(f"<html><head><title>x</title></head><body><p>{A}<head><p>{B}") == [A, B]
+
+
 # --- 4
 def test_raking_meets_the_targets():
     rng = np.random.default_rng(0)

@@ -45,6 +45,9 @@ SKIPPED = frozenset("script style noscript template head title svg math iframe o
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
+#: What may stand in a head; any other start tag ends an open head, unless it is inside one of ``HEAD_HOLDS``.
+HEAD_TAGS = frozenset("html head base basefont bgsound link meta noframes noscript script style template title".split())
+HEAD_HOLDS = frozenset(["noscript", "template"])
 #: An open element that one of these ends without an end tag.
 CLOSED_BY = {
     "p": frozenset("p div ul ol dl table h1 h2 h3 h4 h5 h6 section article aside header footer nav main form blockquote pre figure hr address fieldset details".split()),
@@ -109,6 +112,7 @@ class BlockReader(HTMLParser):
         self.blocks: list[Block] = []
         self._open: list[_Open] = [_Open("", 0, 0, 0, 0, 0)]
         self._n = 0
+        self._head = 0  # the place of an open head
         self._parts: list[str] = []
         self._links = 0
         self._linked = 0
@@ -134,8 +138,16 @@ class BlockReader(HTMLParser):
         for x in self._open[to:]:
             self._links -= x.tag == "a"
         del self._open[to:]
+        if to <= self._head:
+            self._head = 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if self._head and tag not in HEAD_TAGS and (tag == "body" or not any(x.tag in HEAD_HOLDS for x in self._open[self._head :])):
+            self._pop(self._head)
+        if tag == "head":
+            if any(x.tag not in ("", "html") for x in self._open):
+                return  # HTML ignores a head inside of something else
+            self._head = len(self._open)
         if tag == "br":
             self._parts.append(" ")
         if tag not in INLINE:
@@ -182,6 +194,8 @@ class BlockReader(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if self._head == len(self._open) - 1 > 0 and data.strip():
+            self._pop(self._head)  # text may not stand in a head
         if self._open[-1].skipped:
             return
         self._parts.append(data)
