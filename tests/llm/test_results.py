@@ -255,6 +255,27 @@ def test_mixture_by_brute_force(docs, texts):
         assert weight[lang] / sum(weight.values()) == pytest.approx(share, abs=0.02)
 
 
+def test_mixture_of_sources_with_any_name(spark):
+    """Half of the tokens are from one source, a quarter has none; the smallest is below the tail."""
+    words = "word " * 100
+    rows = [(i, words, "en", "big" if i % 4 < 2 else None if i % 4 == 2 else ("*" if i % 8 == 3 else f"new{i % 16}")) for i in range(4000)]
+    rows += [(4000 + i, words, "en", "tiny") for i in range(8)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+    weight = Counter()
+    for r in got:
+        weight[r["source"]] += r["n_tokens"] * r["probability"]
+    share = {k: x / sum(weight.values()) for k, x in weight.items()}
+    assert share.pop("tiny") == pytest.approx(8 / 4008, abs=1e-6)
+    assert set(share) == {"big", "unknown", "*", "new7", "new15"}
+    assert list(share.values()) == pytest.approx([4000 / 4008 / 5] * 5, abs=1e-6)
+
+
+def test_equal_shares_within_reach():
+    assert mixing.equal_shares(np.array([0.9, 0.05, 0.05]), 0.25) == pytest.approx([0.6, 0.2, 0.2])
+    assert mixing.equal_shares(np.array([0.4, 0.3, 0.2]), 0.25) == pytest.approx([0.3] * 3)
+    assert mixing.equal_shares(np.zeros(0), 0.25).tolist() == []
+
+
 # --- 5
 @pytest.mark.parametrize("rule", token_counts.RULES)
 def test_attribution_by_the_other_library(docs, texts, rule):

@@ -8,7 +8,9 @@ cells of its marginals take up the rest.  Documents are then drawn by a hash of
 their id, so a draw is repeatable and needs no shuffle.
 
 Targets are stated by the caller for named values (at most ``MAX_TARGETS`` in
-all).  Every other value of a dimension falls into one rest cell, which keeps
+all), or a dimension is ``EQUAL``: every value that the data hold with at least
+``TAIL`` of the tokens gets the same share, or all that it can supply if that is
+less.  Every other value of a dimension falls into one rest cell, which keeps
 its natural share unless a target for ``*`` is stated.  So the table of cells has
 a proven bound, whatever the data hold, and can be fitted on the driver and
 broadcast; token counts come from one partial aggregate over all documents.
@@ -34,12 +36,15 @@ from txnlake.llm.common import WHITE, cut
 
 MAX_TARGETS = 300
 REST = "*"
+EQUAL = "equal"
+#: The share of the tokens from which on a value has a target of its own in an ``EQUAL`` dimension: 200 values at most.
+TAIL = 1 / 200
 DIMENSIONS = ("source", "lang", "topic")
 
-#: Production targets: no source above a twentieth, English at half. Targets must be within reach: a topic
+#: Production targets: all sources alike, whatever their names, English at half. Targets must be within reach: a topic
 #: with 1 % of the tokens can't be a quarter of a sample of a quarter; such a marginal ends short of its target.
-TARGETS: dict[str, dict[str, float]] = {
-    "source": {f"src{i}": 0.05 for i in range(20)},
+TARGETS: dict[str, dict[str, float] | str] = {
+    "source": EQUAL,
     "lang": {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1},
     "topic": {"brief": 0.01, "plain": 0.4, "dense": 0.25, "long": 0.34},
 }
@@ -86,15 +91,50 @@ def rake(tokens: np.ndarray, cells: list[np.ndarray], targets: list[np.ndarray],
     return p
 
 
-def mix(docs: DataFrame, targets: dict[str, dict[str, float]] = TARGETS, fraction: float = FRACTION, seed: str = "mix", topic_of: Column | None = None) -> DataFrame:
+def equal_shares(natural: np.ndarray, fraction: float) -> np.ndarray:
+    """The same share of the sum of ``natural`` for all, except for those that can't supply it (at probability 1): they give what they can."""
+    share, most, total = np.zeros(len(natural)), natural / fraction, natural.sum()
+    open_ = np.ones(len(natural), bool)
+    while open_.any():
+        level = (total - share[~open_].sum()) / open_.sum()
+        short = open_ & (most < level)
+        if not short.any():
+            share[open_] = level
+            break
+        share[short] = most[short]
+        open_ &= ~short
+    return share
+
+
+def _stated(rows: DataFrame, targets: dict[str, dict[str, float] | str], fraction: float) -> dict[str, dict[str, float]]:
+    """The targets with those of ``EQUAL`` dimensions taken from the data."""
+    out = {}
+    for d in DIMENSIONS:
+        stated = targets.get(d, {})
+        if stated == EQUAL:
+            sums = rows.groupBy(d).agg(F.sum("n_tokens").alias("n"))
+            total = rows.agg(F.sum("n_tokens")).first()[0] or 0
+            found = sums.filter((F.col("n") > 0) & (F.col("n") >= TAIL * total)).orderBy(d).collect()
+            shares = equal_shares(np.array([r["n"] for r in found], float) / max(total, 1), fraction)
+            stated = {r[d]: float(x) for r, x in zip(found, shares)}
+        out[d] = stated
+    return out
+
+
+def mix(docs: DataFrame, targets: dict[str, dict[str, float] | str] = TARGETS, fraction: float = FRACTION, seed: str = "mix", topic_of: Column | None = None) -> DataFrame:
     """doc_id, source, lang, topic, n_tokens, probability, sampled for every row of ``docs``."""
-    if sum(map(len, targets.values())) > MAX_TARGETS:
+    if sum(len(x) for x in targets.values() if x != EQUAL) > MAX_TARGETS:
         raise ValueError(f"at most {MAX_TARGETS} targets can be stated")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce("source", F.lit("unknown")).alias("source"), F.coalesce("lang", F.lit("unknown")).alias("lang"))
     rows = rows.withColumn("n_tokens", n_words())
     rows = rows.withColumn("topic", F.coalesce(topic() if topic_of is None else topic_of, F.lit("none"))).drop("text")
     rows = cut(rows.select("doc_id", *DIMENSIONS, "n_tokens"), "mix-rows")
-    named = [F.when(F.col(d).isin(list(targets.get(d, {}))), F.col(d)).otherwise(REST).alias(f"cell_{d}") for d in DIMENSIONS]
+    equal = [d for d in DIMENSIONS if targets.get(d) == EQUAL]
+    targets = _stated(rows, targets, fraction)
+    # Named values are marked, so that one of an equal dimension that is called as the rest is not taken for it.
+    names = {d: [v for v in targets[d] if v != REST or d in equal] for d in DIMENSIONS}
+    rest = {d: None if d in equal else targets[d].get(REST) for d in DIMENSIONS}
+    named = [F.when(F.col(d).isin(names[d]), F.concat(F.lit("="), F.col(d))).otherwise(REST).alias(f"cell_{d}") for d in DIMENSIONS]
     keys = [f"cell_{d}" for d in DIMENSIONS]
     found = rows.select(*named, "n_tokens").groupBy(*keys).agg(F.sum("n_tokens").alias("n")).orderBy(*keys).collect()
     tokens = np.array([r["n"] or 0 for r in found], float)
@@ -104,9 +144,8 @@ def mix(docs: DataFrame, targets: dict[str, dict[str, float]] = TARGETS, fractio
         place = {v: i for i, v in enumerate(values)}
         of = np.array([place[r[key]] for r in found], int)
         natural = np.bincount(of, tokens, len(values)) / max(tokens.sum(), 1)
-        stated = targets.get(d, {})
-        share = np.array([stated.get(v, 0.0) if v != REST else stated.get(REST, natural[i]) for i, v in enumerate(values)])
-        if REST in place and REST not in stated:  # the rest keeps its share, the stated ones divide what is left
+        share = np.array([targets[d][v[1:]] if v != REST else natural[i] if rest[d] is None else rest[d] for i, v in enumerate(values)])
+        if REST in place and rest[d] is None:  # the rest keeps its share, the stated ones divide what is left
             others = share.sum() - share[place[REST]]
             share = np.where(np.arange(len(values)) == place[REST], share, share * (1 - natural[place[REST]]) / others if others else 0)
         places.append(of)
@@ -115,7 +154,7 @@ def mix(docs: DataFrame, targets: dict[str, dict[str, float]] = TARGETS, fractio
     cells = docs.sparkSession.createDataFrame(
         [(*(r[k] for k in keys), float(x)) for r, x in zip(found, p)], ", ".join(f"{k} string" for k in keys) + ", probability double"
     )
-    # The cells number at most (stated + 1) in each dimension, so the broadcast has a bound.
+    # The cells number at most (stated, or 1 / TAIL, + 1) in each dimension, so the broadcast has a bound.
     out = rows.select("*", *named).join(F.broadcast(cells), keys, "left")
     draw = F.conv(F.substring(F.md5(F.concat_ws("/", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 13), 16, 10).cast("double") / float(16**13)
     return out.select("doc_id", *DIMENSIONS, "n_tokens", F.coalesce("probability", F.lit(0.0)).alias("probability"), (draw < F.coalesce("probability", F.lit(0.0))).alias("sampled"))
