@@ -15,9 +15,9 @@ its natural share unless a target for ``*`` is stated.  So the table of cells ha
 a proven bound, whatever the data hold, and can be fitted on the driver and
 broadcast; token counts come from one partial aggregate over all documents.
 
-Topic: the stated topic words of a document, those of the topic with most
-occurrences; by default the topics are word-length profiles, which every text has
-(documents carry no topic of their own).
+Topic: documents carry no topic of their own, so the third marginal is a length
+profile, a bucket of a text's number of words and its mean word length (``topic``);
+a caller with topics passes them as ``topic_of``.
 
 Defined results: null text has no token, weight 0 and the topic ``none``; null
 source or language is the value ``unknown``; repeated rows are documents of their
@@ -58,7 +58,7 @@ def n_words(text: str = "text") -> Column:
 
 
 def topic(text: str = "text", n: str = "n_tokens") -> Column:
-    """The default topic: a profile of a text's length and its mean word length."""
+    """The default third marginal, a length profile: buckets of a text's length and its mean word length, not a subject."""
     mean = F.length(text) / F.col(n)
     return (
         F.when(F.col(n) == 0, "none").when(F.col(n) < 60, "brief").when(F.col(n) >= 1000, "long").when(mean < 6.2, "plain").otherwise("dense")
