@@ -226,6 +226,13 @@ def test_extraction_with_an_open_head(spark):
     assert read(f"<html><head><title>x</title></head><body><p>{A}<head><p>{B}") == [A, B]
 
 
+def test_blocks_below_many_inline_elements():
+    plain = html_extract.BlockReader().read(f"<article><p>{A}</article>")[0]
+    for n in (63, 64, 300):
+        deep = html_extract.BlockReader().read(f"<article><p>{'<font>' * n}{A}</article>")[0]
+        assert deep == plain
+
+
 # --- 4
 def test_raking_meets_the_targets():
     rng = np.random.default_rng(0)

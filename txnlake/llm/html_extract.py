@@ -102,6 +102,7 @@ class _Open:
     boiler_words: int
     skipped: bool = field(default=False)
     sticky: bool = field(default=False)
+    outer: _Open | None = field(default=None)  # the nearest element around it that isn't inline
 
 
 class BlockReader(HTMLParser):
@@ -127,7 +128,12 @@ class BlockReader(HTMLParser):
         text = SPACE.sub(" ", "".join(self._parts)).strip()
         if text:
             # Inline elements don't make a place of their own.
-            stack = [x for x in self._open[-64:] if x.tag not in INLINE][-16:] or self._open[:1]
+            stack, x = [], self._open[-1]
+            x = x.outer if x.tag in INLINE else x
+            while x and len(stack) < 16:
+                stack.append(x)
+                x = x.outer
+            stack.reverse()
             top = stack[-1]
             self.blocks.append(
                 Block(text, tuple(x.number for x in stack), top.tag, min(self._linked, len(text)), top.content, top.boiler, top.content_words, top.boiler_words)
@@ -176,6 +182,7 @@ class BlockReader(HTMLParser):
             depth if words & BOILER_WORDS else up.boiler_words,
             up.skipped or tag in SKIPPED,
             sticky,
+            up.outer if up.tag in INLINE else up,
         )
         self._open.append(own)
         self._links += tag == "a"
