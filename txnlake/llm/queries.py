@@ -9,15 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnlake.llm import lm, toxicity
-from txnlake.llm.common import table
+from txnlake.llm.common import shared_path, table
 from txnlake.llm.exact_dedup import exact_dedup
 from txnlake.llm.html_extract import extract
 from txnlake.llm.imi import search
 from txnlake.llm.langid import identify
 from txnlake.llm.mixing import mix
 from txnlake.llm.packing import pack
+from txnlake.llm.phrases import collocations
 from txnlake.llm.simhash import near_duplicates
+from txnlake.llm.spelling import variants
 from txnlake.llm.token_counts import section_tokens, windows
+from txnlake.llm.token_files import read_tokens, write_tokens
 
 
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +63,20 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants(table(spark, sf_dir, "documents"))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "token-files")
+    write_tokens(table(spark, sf_dir, "documents"), path)
+    return read_tokens(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_toxicity": op2_toxicity,
@@ -71,6 +88,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
     "op10_simhash": op10_simhash,
+    "op11_phrase_mining": op11_phrase_mining,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_token_files": op13_token_files,
 }
 
 ORACLE: dict[str, str] = {
@@ -85,4 +105,46 @@ ORACLE: dict[str, str] = {
                text_sha256
         FROM t
     """,
+    "op11_phrase_mining": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents
+        ),
+        words AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+        grams AS (
+            SELECT lang, 1 AS k, unnest(w) AS phrase FROM words
+            UNION ALL
+            SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM words
+            UNION ALL
+            SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM words
+        ),
+        f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
+        totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+        c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10),
+        cuts AS (
+            SELECT c.lang, c.k, c.phrase, a, x.f AS l, y.f AS r, x.k AS cut,
+                   CAST(1000000 * CAST(a AS HUGEINT) * a // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+            FROM c JOIN f x ON x.lang = c.lang AND x.phrase = w[1] JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(w[2:], ' ')
+            UNION ALL
+            SELECT c.lang, c.k, c.phrase, a, x.f, y.f, x.k,
+                   CAST(1000000 * CAST(a AS HUGEINT) * a // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT)
+            FROM c JOIN f x ON x.lang = c.lang AND x.phrase = w[1] || ' ' || w[2] JOIN f y ON y.lang = c.lang AND y.phrase = w[3]
+            WHERE c.k = 3
+        ),
+        best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+        longer AS (
+            SELECT lang, phrase, max(a) AS a
+            FROM (SELECT lang, w[1] || ' ' || w[2] AS phrase, a FROM c WHERE k = 3 UNION ALL SELECT lang, w[2] || ' ' || w[3], a FROM c WHERE k = 3)
+            GROUP BY lang, phrase
+        ),
+        kept AS (
+            SELECT b.* FROM best b LEFT JOIN longer o ON o.lang = b.lang AND o.phrase = b.phrase AND b.k = 2
+            WHERE o.a IS NULL OR 100 * o.a < 50 * b.a
+        )
+        SELECT k.lang, row_number() OVER (PARTITION BY k.lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score
+        FROM kept k JOIN totals t ON t.lang = k.lang
+        QUALIFY rank <= 2000
+    """,
 }
