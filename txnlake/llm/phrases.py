@@ -47,7 +47,7 @@ _CLASS = np.zeros(256, np.uint8)
 _CLASS[[0x20, 0x09]] = 1
 _CLASS[[ord(c) for c in ".,;:!?\x0a\x0b\x0c\x0d"]] = 2
 
-SLICE_BYTES, CHUNK_ROWS = 4 << 20, 2_000_000
+SLICE_BYTES, CHUNK_ROWS = 1 << 20, 1_000_000
 
 
 # --- texts as arrays of hashes ----------------------------------------------
@@ -112,7 +112,7 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 # --- counting -----------------------------------------------------------------
-def count_words(seed: int, held_most: int = 400_000):
+def count_words(seed: int, held_most: int = 200_000):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
 
