@@ -32,9 +32,12 @@ further columns are ignored.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
+import sys
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -46,7 +49,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnlake.llm.common import shuffle_partitions, slices
-from txnlake.llm.packing import END_ID, tokenizer_path
+from txnlake.llm.packing import END_ID, byte_letters, tokenizer_path
 
 TOKENIZER = "byte_bpe_50k.json"
 MAGIC, VERSION = b"TIDP", 1
@@ -184,6 +187,11 @@ def file_system(path: str) -> tuple[pa.fs.FileSystem, str]:
 # --- encoding ---------------------------------------------------------------------
 MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{|}~"
 _INNER = re.compile(r"(?<=\S) (?=\S)")
+#: Letters, and all characters, that are surely of one kind for any version of Unicode's tables.
+_WORD = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+_KNOWN = re.compile("[\t\n\r\x20-\x7e\u00a1-\u024f]+")
+_LETTERS = {b: ord(c) for b, c in byte_letters().items()}
+_BLANK = chr(_LETTERS[0x20])
 
 
 class _Unsafe(Exception):
@@ -198,37 +206,79 @@ class TextEncoder(dict):
     is encoded once.  Texts with other white space at a segment's ends are split only
     at such blanks, and texts that hold a special token's string are encoded whole."""
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 350_000):
+        import public_tokenizers
+        import regex
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.tokenizer, self.limit, self.tails = Tokenizer.from_file(path), limit, {}
+        self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.older: dict[str, bytes] = {}
+        self.others: dict[str, bytes] = {}
+        # The model itself takes a single piece at a quarter of the cost; only a file of this kind allows it.
+        kind = json.loads(self.tokenizer.to_str())
+        before = kind["pre_tokenizer"] or {}
+        plain = kind["normalizer"] is None and before.get("type") == "ByteLevel" and before["use_regex"] and not before["add_prefix_space"]
+        self.model = self.tokenizer.model if plain and sys.byteorder == "little" and array("I").itemsize == 4 and not kind["model"]["ignore_merges"] else None
+        self.pieces = regex.compile(public_tokenizers.PATTERN).findall
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _tail(self, marks: str) -> bytes:
-        if marks not in self.tails:
-            if len(self.tails) >= self.limit:
-                self.tails.clear()
-            self.tails[marks] = self.whole(marks)
-        return self.tails[marks]
+    def _piece(self, piece: str) -> bytes:
+        letters = piece.encode().decode("latin-1").translate(_LETTERS)
+        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+
+    def _encoded(self, text: str) -> bytes:
+        """The ids of a short text, by its pieces if they are known."""
+        if self.model is None or not _KNOWN.fullmatch(text):
+            return self.whole(text)
+        return b"".join(map(self._piece, self.pieces(text)))
+
+    def _word(self, word: str) -> bytes:
+        """The ids of letters after a blank: one piece."""
+        letters = _BLANK + (word if word.isascii() else word.encode().decode("latin-1").translate(_LETTERS))
+        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+
+    def _plain(self, text: str) -> bytes:
+        """The ids of a text that follows no blank: marks after a word, words after the end of a line."""
+        ids = self.others.get(text)
+        if ids is None:
+            if len(self.others) >= self.limit:
+                self.others.clear()
+            ids = self.others[text] = self._encoded(text)
+        return ids
 
     def __missing__(self, segment: str) -> bytes:
-        if not segment or segment[0].isspace() or segment[-1].isspace():
-            raise _Unsafe
-        core = segment.rstrip(MARKS)
-        # Letters and digits are never in one piece with the marks after them. Characters beyond Latin are left to the tokenizer.
-        if core and len(core) < len(segment) and core[-1].isalnum() and core[-1] < "ɐ":
-            ids = self[core] + self._tail(segment[len(core) :])
-        else:
-            ids = self.whole(" " + segment)
-        if len(self) >= self.limit:
+        ids = self.older.get(segment)
+        if ids is None:
+            if self.model is not None and _WORD.fullmatch(segment):
+                ids = self._word(segment)
+            elif not segment or segment[0].isspace() or segment[-1].isspace():
+                raise _Unsafe
+            elif "\n" in segment and len(lines := segment.split("\n")) == 2 and _KNOWN.fullmatch(segment) and not (lines[0][-1].isspace() or lines[1][0].isspace()):
+                # One line's end between two characters: a piece of its own. Not kept: few of these come again.
+                return self[lines[0]] + self._plain("\n") + self._line(lines[1])
+            else:
+                core = segment.rstrip(MARKS)
+                # Letters and digits are never in one piece with the marks after them. Characters beyond Latin are left to the tokenizer.
+                if core and len(core) < len(segment) and core[-1].isalnum() and core[-1] < "ɐ":
+                    ids = self[core] + self._plain(segment[len(core) :])
+                else:
+                    ids = self._encoded(" " + segment)
+        if len(self) >= self.limit:  # words that were used since the last time stay
+            self.older = dict(self)
             self.clear()
         self[segment] = ids
         return ids
 
+    def _line(self, text: str) -> bytes:
+        core = text.rstrip(MARKS)
+        if core and _WORD.fullmatch(core):
+            return self._plain(core) + (self._plain(text[len(core) :]) if len(core) < len(text) else b"")
+        return self._plain(text)
+
     def document(self, text: str) -> bytes:
         if not text:
             return b""
