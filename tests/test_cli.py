@@ -137,3 +137,37 @@ def test_predictions_in_a_database(spark, scratch, capsys):
     assert out[2]["scored"] == out[3]["appended"] > 600
     rows = spark.read.jdbc(url, "predictions")
     assert rows.count() == rows.select("trans_num").distinct().count() == 300 + out[3]["appended"]
+
+
+def test_tables_kept_by_state(spark, scratch, capsys):
+    """Compaction, key store, panels, reconciliation and a snapshot from the command line."""
+    import json
+
+    from pyspark.sql import functions as F
+
+    from txnlake.plans.fixtures import bronze_from_events, fixture_layers, load_table
+
+    p = fixture_layers(spark, SF)["predictions"]
+    k = F.col("trans_num").cast("long")
+    for i in range(3):
+        p.filter(k % 3 == i).write.parquet(f"{scratch}/p/batch_id=b{i}")
+    main(["refresh-keys", "--predictions", f"{scratch}/p", "--keys", f"{scratch}/k"], spark)
+    main(["refresh-panels", "--predictions", f"{scratch}/p", "--state", f"{scratch}/s", "--out", f"{scratch}/panels"], spark)
+    main(["compact", "--predictions", f"{scratch}/p", "--vacuum-days", "1"], spark)
+    spark.read.parquet(f"{scratch}/p/batch_id=b1").withColumn("amt", F.col("amt") + 1).write.parquet(f"{scratch}/edited")
+    main(["reconcile", "--source", f"{scratch}/p/batch_id=b1", "--target", f"{scratch}/edited", "--out", f"{scratch}/found"], spark)
+    bronze = bronze_from_events(load_table(spark, SF, "events"))
+    bronze.write.parquet(f"{scratch}/bronze")
+    bronze.filter(k >= 100).write.parquet(f"{scratch}/snapshot")
+    main(["ingest-snapshot", "--snapshot", f"{scratch}/snapshot", "--bronze", f"{scratch}/bronze", "--at", "2024-03-01T00:00:00"], spark)
+    out = [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
+    n = spark.read.parquet(f"{scratch}/edited").filter("amt is not null").count()
+    assert out == [
+        {"keys": 1000},
+        {"batches": 3, "binned": 3},
+        {"packed": 3, "removed": 0},
+        {"missing": 0, "extra": 0, "differs": n, "passed": False},
+        {"delete": bronze.filter(k < 100).select("trans_num").distinct().count()},
+    ]
+    assert spark.read.parquet(f"{scratch}/panels/kpis").first()["total_transactions"] == 1000
+    assert {r["changed"] for r in spark.read.parquet(f"{scratch}/found").collect()} == {"amt"}

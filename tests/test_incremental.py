@@ -327,3 +327,17 @@ def test_batch_cut_keeps_the_oldest_rows(spark):
     df = spark.createDataFrame([(str(i), t + dt.timedelta(minutes=20 * i)) for i in range(30)] + [("n", None)], "trans_num string, ingestion_timestamp timestamp_ntz")
     assert INC.batch_cut(df, 4) == t + dt.timedelta(hours=2)
     assert INC.batch_cut(df, 31) is None
+
+
+def test_a_first_cycle_without_a_scorable_row(spark, scratch, lake):
+    """Nothing can be scored yet: the cycle ends with zeros, and a later one scores."""
+    bronze = bronze_from_events(load_table(spark, SF, "events"))
+    paths = {k: f"{scratch}/{k}" for k in ("bronze", "silver", "gold", "batches", "predictions", "state")}
+    paths["model"] = f"{lake['root']}/model"
+    bronze.withColumn("lat", F.lit(None).cast("double")).write.parquet(paths["bronze"])
+    out = jobs.scoring_cycle(spark, paths, RUN, "one", as_of=AS_OF)
+    assert (out["scored"], out["appended"], out["alerts"]) == (0, 0, 0)
+    later = bronze.withColumn("ingestion_timestamp", F.col("ingestion_timestamp") + dt.timedelta(days=60))
+    later.write.mode("append").parquet(paths["bronze"])
+    out = jobs.scoring_cycle(spark, paths, RUN, "two", as_of=AS_OF, n=None)
+    assert out["scored"] == out["appended"] == lake["scorable"]

@@ -119,3 +119,69 @@ def test_stream_scoring_scores_every_scorable_row_once(spark, bronze, scratch):
     scorable = ML.split_scorable(g)[0].count()
     assert p.count() == p.select("trans_num").distinct().count() == scorable
     assert p.select("batch_id").distinct().count() == 4
+
+
+def _latest_run(spark, root, schema):
+    stream = S.bronze_stream(spark, f"{root}/bronze", schema, arrival=True)
+    q = S.start_latest_merge(S.latest_stream(stream), f"{root}/silver", f"{root}/ckpt", gold_path=f"{root}/gold", as_of=AS_OF)
+    q.awaitTermination(300)
+    assert q.exception() is None
+    return q
+
+
+def test_stream_keeps_the_latest_copy_whatever_the_order_of_arrival(spark, bronze, scratch):
+    """Copies arrive oldest last, newest last, and long after: each time Silver and Gold equal the batch rule."""
+    import datetime as dt
+
+    part = F.col("trans_num").cast("long") % 3
+    newer = bronze.filter(part == 1).withColumn("amt", F.col("amt") + 1).withColumn("ingestion_timestamp", F.col("ingestion_timestamp") + dt.timedelta(days=40))
+    older = bronze.filter(part == 2).withColumn("amt", F.col("amt") + 2).withColumn("ingestion_timestamp", F.col("ingestion_timestamp") - dt.timedelta(days=400))
+    moved = bronze.filter(part == 0).withColumn("trans_date_trans_time", F.lit("2023-03-04 05:06:07")).withColumn("ingestion_timestamp", F.col("ingestion_timestamp") + dt.timedelta(days=90))
+    nothing = bronze.limit(5).withColumn("trans_num", F.lit(None).cast("string"))
+    so_far = None
+    for drop in (newer.unionByName(nothing), bronze, older, moved):
+        drop.write.mode("append").parquet(f"{scratch}/bronze")
+        _latest_run(spark, scratch, bronze.schema)
+        so_far = drop if so_far is None else so_far.unionByName(drop)
+        silver = to_silver(so_far)
+        assert _same(spark.read.parquet(f"{scratch}/silver"), silver)
+        assert _same(spark.read.parquet(f"{scratch}/gold"), to_gold(silver, as_of=AS_OF))
+
+
+def test_replayed_micro_batches_change_nothing(spark, bronze, scratch):
+    """A query that died before it committed its last micro-batch runs it again."""
+    import os
+
+    ts = F.col("ingestion_timestamp")
+    for early in (True, False):
+        rows = bronze.filter((ts < F.lit(CUT).cast("timestamp_ntz")) == F.lit(early))
+        rows.write.mode("append").parquet(f"{scratch}/bronze")
+        _latest_run(spark, scratch, bronze.schema)
+    assert _same(spark.read.parquet(f"{scratch}/silver"), to_silver(bronze))
+    commits = sorted(int(x) for x in os.listdir(f"{scratch}/ckpt/commits") if x.isdigit())
+    for last in commits[-2:]:  # as if the driver had died before these commits
+        os.rename(f"{scratch}/ckpt/commits/{last}", f"{scratch}/lost-{last}")
+        if os.path.exists(f"{scratch}/ckpt/commits/.{last}.crc"):
+            os.rename(f"{scratch}/ckpt/commits/.{last}.crc", f"{scratch}/lost-{last}.crc")
+    _latest_run(spark, scratch, bronze.schema)
+    assert _same(spark.read.parquet(f"{scratch}/silver"), to_silver(bronze))
+
+
+def test_latest_state_is_evicted(spark, bronze, scratch):
+    """Arrival windows behind the watermark leave the state."""
+    import datetime as dt
+
+    at = bronze.withColumn("_arrived", F.lit(dt.datetime(2024, 1, 1, 12)))
+    at.write.mode("append").parquet(f"{scratch}/in")
+    for day in (2, 3):
+        bronze.limit(3).withColumn("_arrived", F.lit(dt.datetime(2024, 1, day, 12))).write.mode("append").parquet(f"{scratch}/in{day}")
+    held = []
+    for folder in ("in", "in2", "in3"):
+        if folder != "in":
+            spark.read.parquet(f"{scratch}/{folder}").write.mode("append").parquet(f"{scratch}/in")
+        stream = spark.readStream.schema(at.schema).parquet(f"{scratch}/in")
+        w = S.latest_stream(stream).writeStream.outputMode("update").foreachBatch(lambda b, i: None)
+        q = w.option("checkpointLocation", f"{scratch}/ckpt").trigger(availableNow=True).start()
+        q.awaitTermination(300)
+        held.append([p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]])
+    assert held[0][0] == 1000 and held[-1][-1] <= 3

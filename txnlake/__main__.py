@@ -59,13 +59,21 @@ def _properties(args) -> dict | None:
 
 def _predictions(spark, args):
     """The predictions a command reads: of the database if ``--url`` names one, else of the files."""
+    from txnlake.schemas import PREDICTIONS_TABLE
+    from txnlake.sinks.batches import read_batches
     from txnlake.sources.layers import read_jdbc
 
     if not args.url:
-        return spark.read.parquet(args.predictions)
+        return read_batches(spark, args.predictions, PREDICTIONS_TABLE)
     return read_jdbc(spark, args.url, args.table, _properties(args), predicates=args.predicate)
 
 
+def _store(spark, args):
+    from txnlake.operators.keystore import KeyStore
+
+    return KeyStore(spark, args.keys, args.predictions) if args.keys and not args.url else None
+
+
 def _print_rows(df) -> None:
     for r in df.collect():
         print(json.dumps(r.asDict(recursive=True), default=str))
@@ -97,12 +105,14 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     a.add_argument("--predictions")
     a.add_argument("--run-ts", type=_ts, required=True)
     a.add_argument("--state")
+    a.add_argument("--keys", help="a key store of the predictions")
     a.add_argument("--n", type=_rows, default=5000, help="rows to score, or all")
     a = sub.add_parser("persist")
     _database(a)
     for k in ("batches", "batch-id"):
         a.add_argument(f"--{k}", required=True)
     a.add_argument("--predictions")
+    a.add_argument("--keys", help="a key store of the predictions")
     a = sub.add_parser("alerts")
     _database(a)
     a.add_argument("--predictions")
@@ -116,8 +126,30 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     a = sub.add_parser("validate")
     for k in ("bronze", "silver", "gold", "predictions"):
         a.add_argument(f"--{k}", required=True)
+    a.set_defaults(url=None)
     a.add_argument("--approx", action="store_true", help="HyperLogLog distinct counts (no key shuffle)")
     a.add_argument("--batch", help="a written batch: report rows per layer and its size too")
+    a = sub.add_parser("reconcile", help="keys whose content differs between two Parquet tables")
+    a.add_argument("--source", required=True)
+    a.add_argument("--target", required=True)
+    a.add_argument("--key", default="trans_num")
+    a.add_argument("--out", help="write the differing keys there")
+    a = sub.add_parser("ingest-snapshot", help="append inserts, edits and tombstones of a full snapshot to Bronze")
+    a.add_argument("--snapshot", required=True)
+    a.add_argument("--bronze", required=True)
+    a.add_argument("--at", type=_ts, required=True)
+    a = sub.add_parser("compact", help="pack small prediction batches; --vacuum-days frees what older readers may still read")
+    a.add_argument("--predictions", required=True)
+    a.add_argument("--target-mb", type=int, default=256)
+    a.add_argument("--vacuum-days", type=float)
+    a = sub.add_parser("refresh-keys", help="fold new batches into the key store")
+    a.add_argument("--predictions", required=True)
+    a.add_argument("--keys", required=True)
+    a = sub.add_parser("refresh-panels", help="bring the panels' partial states up to date and write the panels")
+    a.add_argument("--predictions", required=True)
+    a.add_argument("--state", required=True)
+    a.add_argument("--out", required=True)
+    a.add_argument("--filter", default="All")
     a = sub.add_parser("backup")
     _database(a)
     a.add_argument("--predictions")
@@ -132,6 +164,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     a.add_argument("--since", type=_ts)
     a.add_argument("--as-of")
     a.add_argument("--n", type=_rows, default=5000, help="rows to score, or all")
+    a.add_argument("--keys", help="a key store of the predictions")
     a = sub.add_parser("ingest")
     a.add_argument("--source", required=True)
     a.add_argument("--bronze", required=True)
@@ -185,6 +218,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         n = jobs.run_inference(
             spark, args.gold, args.predictions, args.model, args.batches, args.batch_id, args.run_ts, args.n,
             state_path=args.state, predictions=_predictions(spark, args) if args.url else None,
+            store=_store(spark, args),
         )
         print(json.dumps({"scored": n}))
     elif c == "persist":
@@ -193,7 +227,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
                 spark, args.batches, args.batch_id, args.url, args.table, _properties(args), predicates=args.predicate
             )
         else:
-            n = jobs.persist_predictions(spark, args.batches, args.batch_id, args.predictions)
+            n = jobs.persist_predictions(spark, args.batches, args.batch_id, args.predictions, store=_store(spark, args))
         print(json.dumps({"appended": n}))
     elif c == "alerts":
         _print_rows(jobs.alert_batch(_predictions(spark, args), args.now, threshold=args.threshold))
@@ -206,10 +240,39 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     elif c == "validate":
         from txnlake.operators.validation import validate_layers, validation_report
 
-        layers = {k: spark.read.parquet(getattr(args, k)) for k in ("bronze", "silver", "gold", "predictions")}
+        layers = {k: spark.read.parquet(getattr(args, k)) for k in ("bronze", "silver", "gold")}
+        layers["predictions"] = _predictions(spark, args)
         _print_rows(validation_report(layers, approx=args.approx))
         if args.batch:
             _print_rows(validate_layers(layers, spark.read.parquet(args.batch)))
+    elif c == "reconcile":
+        from txnlake.operators.reconcile import reconcile, summary
+
+        found = reconcile(spark.read.parquet(args.source), spark.read.parquet(args.target), args.key)
+        if args.out:
+            found.write.mode("overwrite").parquet(args.out)
+            found = spark.read.parquet(args.out)
+        _print_rows(summary(found))
+    elif c == "ingest-snapshot":
+        print(json.dumps(jobs.ingest_snapshot(spark, spark.read.parquet(args.snapshot), args.bronze, args.at)))
+    elif c == "compact":
+        out = {"packed": jobs.compact_predictions(spark, args.predictions, args.target_mb)}
+        if args.vacuum_days is not None:
+            from txnlake.sinks.batches import vacuum
+
+            out["removed"] = vacuum(spark, args.predictions, args.vacuum_days * 86_400)
+        print(json.dumps(out))
+    elif c == "refresh-keys":
+        from txnlake.operators.keystore import KeyStore
+
+        print(json.dumps({"keys": KeyStore(spark, args.keys, args.predictions).refresh()}))
+    elif c == "refresh-panels":
+        from txnlake.operators.panel_state import PanelState
+
+        state = PanelState(spark, args.state, args.predictions, args.filter)
+        print(json.dumps(state.refresh()))
+        for name, df in state.panels().items():
+            df.write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/{name}")
     elif c == "backup":
         jobs.backup(_predictions(spark, args), args.out)
     elif c == "prepare-raw":
@@ -257,6 +320,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     elif c == "cycle":
         r = args.root.rstrip("/")
         paths = {k: f"{r}/{k}" for k in ("bronze", "silver", "gold", "model", "batches", "predictions", "state")}
+        if args.keys:
+            paths["keys"] = args.keys
         out = jobs.scoring_cycle(spark, paths, args.run_ts, args.batch_id, as_of=args.as_of, n=args.n, since=args.since)
         print(json.dumps(out, default=str))
     return 0

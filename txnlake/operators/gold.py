@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnlake.functions import features as X
+from txnlake.operators.changes import live
 
 
 def gold_columns(as_of=None, with_haversine: bool = False) -> dict[str, Column]:
@@ -29,5 +30,6 @@ def to_gold(silver: DataFrame, as_of=None, with_haversine: bool = False) -> Data
 
     ``as_of`` fixes the date ages are measured at, so a rerun of the same data
     gives the same features; ``None`` means today, as the original job did.
+    Tombstones (``operators.changes``) are left out.
     """
-    return silver.withColumns(gold_columns(as_of, with_haversine))
+    return live(silver).withColumns(gold_columns(as_of, with_haversine))

@@ -147,12 +147,8 @@ def absent(rows: DataFrame, target_keys: DataFrame, key: str = KEY) -> DataFrame
     return rows.join(present, key, "left_anti")
 
 
-def rows_to_append(batch: DataFrame, target_keys: DataFrame, key: str = KEY, order: str = "inference_timestamp") -> DataFrame:
-    """Batch rows whose key the target lacks, one row per key: the idempotent
-    part of an append. Re-applying the same batch yields no rows.  The batch is
-    deduplicated once, into the cluster's checkpoint folder, as its size check,
-    the target's reduction and the result all read it.
-    """
+def one_row_per_key(batch: DataFrame, key: str = KEY, order: str = "inference_timestamp") -> DataFrame:
+    """The batch's latest row of each key, checkpointed: what follows reads it several times."""
     b = batch.filter(F.col(key).isNotNull())
     if order in b.columns:
         b = dedupe_latest(b, key, order)
@@ -161,31 +157,42 @@ def rows_to_append(batch: DataFrame, target_keys: DataFrame, key: str = KEY, ord
     else:
         b = b.dropDuplicates([key])
     checkpoint_dir(batch.sparkSession)
-    return absent(b.checkpoint(eager=True), target_keys, key)
+    return b.checkpoint(eager=True)
+
 
+def rows_to_append(batch: DataFrame, target_keys: DataFrame, key: str = KEY, order: str = "inference_timestamp") -> DataFrame:
+    """Batch rows whose key the target lacks, one row per key: the idempotent
+    part of an append. Re-applying the same batch yields no rows."""
+    return absent(one_row_per_key(batch, key, order), target_keys, key)
 
-def append_idempotent(batch: DataFrame, target_path: str, batch_id: str, key: str = KEY) -> int:
+
+def append_idempotent(batch: DataFrame, target_path: str, batch_id: str, key: str = KEY, store=None) -> int:
     """Append ``batch`` to a Parquet predictions table under ``batch_id=<id>``.
 
     Keys already present in *other* batches are skipped; the batch's own
     directory is replaced whole, so a retried run of the same batch replaces
     its files instead of adding a second copy, also when it has fewer rows or
     none.  Single writer per table is assumed (plain files have no MERGE).
-    Returns the number of rows written.
+    With ``store`` (a ``KeyStore`` of the table) the keys are looked up there
+    instead of scanning those of all batches.  Returns the number of rows written.
     """
-    from txnlake.sources.layers import read_or_empty
+    from txnlake.sinks.batches import read_batches, uncover
 
     spark = batch.sparkSession
     schema = batch.schema
     if "batch_id" not in schema.fieldNames():
         schema = T.StructType(schema.fields + [T.StructField("batch_id", T.StringType())])
-    target = read_or_empty(spark, target_path, schema)
     # Only *other* batches are read (partition pruning on batch_id), and only
     # this batch's directory is replaced, so the plan never reads what it
     # overwrites and a task retried after an executor loss sees the same input.
-    others = target.filter(F.col("batch_id") != F.lit(batch_id))
     own = f"{target_path.rstrip('/')}/batch_id={batch_id}"
-    rows_to_append(batch.drop("batch_id"), others, key).write.mode("overwrite").parquet(own)
+    if store is not None:
+        rows = store.absent(one_row_per_key(batch.drop("batch_id"), key), without=batch_id)
+    else:
+        others = read_batches(spark, target_path, schema).filter(F.col("batch_id") != F.lit(batch_id))
+        rows = rows_to_append(batch.drop("batch_id"), others, key)
+    rows.write.mode("overwrite").parquet(own)
+    uncover(spark, target_path, batch_id)  # a compacted copy of the batch no longer counts
     return spark.read.schema(batch.drop("batch_id").schema).parquet(own).count()
 
 

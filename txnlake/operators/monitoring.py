@@ -82,8 +82,11 @@ def seeded_sample(df: DataFrame, n: int, seed: int = MAP_SEED, key: str = KEY) -
     them, so nothing larger than n x tasks rows meets in one place.
     ``DataFrame.sample`` is neither exact nor stable across partitionings.
     """
-    h = F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed))))
-    return df.orderBy(h, F.col(key)).limit(n)
+    return df.orderBy(sample_order(seed, key), F.col(key)).limit(n)
+
+
+def sample_order(seed: int = MAP_SEED, key: str = KEY):
+    return F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed))))
 
 
 def map_points(df: DataFrame, cap: int = MAP_CAP, seed: int = MAP_SEED) -> DataFrame:
@@ -188,20 +191,23 @@ def histogram(df: DataFrame, col: str, bins: int, lo: float | None = None, hi: f
             [], "bin int, bin_start double, bin_end double, count long"
         )
     lo, hi = float(lo), float(hi)
+    return with_edges(df.groupBy(bin_of(x, lo, hi, bins).alias("bin")).agg(F.count(F.lit(1)).alias("count")), lo, hi, bins)
+
+
+def bin_of(x, lo: float, hi: float, bins: int):
+    """The equal-width bin of a value between ``lo`` and ``hi``."""
+    if hi > lo and (hi - lo) / bins > 0:
+        return F.least(F.floor((x - F.lit(lo)) / F.lit(hi - lo) * F.lit(bins)), F.lit(bins - 1)).cast("int")
+    return F.lit(0)
+
+
+def with_edges(counts: DataFrame, lo: float, hi: float, bins: int) -> DataFrame:
     width = (hi - lo) / bins
-    if width > 0:
-        idx = F.least(F.floor((x - F.lit(lo)) / F.lit(hi - lo) * F.lit(bins)), F.lit(bins - 1)).cast("int")
-    else:
-        idx = F.lit(0)
-    return (
-        df.groupBy(idx.alias("bin"))
-        .agg(F.count(F.lit(1)).alias("count"))
-        .select(
-            "bin",
-            (F.lit(lo) + F.col("bin") * F.lit(width)).alias("bin_start"),
-            (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("bin_end"),
-            "count",
-        )
+    return counts.select(
+        "bin",
+        (F.lit(lo) + F.col("bin") * F.lit(width)).alias("bin_start"),
+        (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("bin_end"),
+        "count",
     )
 
 
@@ -251,21 +257,72 @@ def _gid(*grouped: str) -> int:
     return sum(1 << (n - 1 - i) for i, k in enumerate(_PANEL_KEYS) if k not in grouped)
 
 
+_PANEL_SETS = [[], [PRED], ["high_amount_flag"], ["night_transaction_flag"], ["transaction_hour"], [_BIN]]
+
+
+def _is_fraud():
+    return F.col(PRED) == 1
+
+
+def _binned(df: DataFrame) -> DataFrame:
+    bin_ = F.least(F.floor(F.col(PROB) * F.lit(PROBABILITY_BINS)), F.lit(PROBABILITY_BINS - 1)).cast("int")
+    return df.withColumn(_BIN, bin_)
+
+
+def panel_partials(df: DataFrame, by: str = "batch_id") -> DataFrame:
+    """``panel_aggregates`` for each value of ``by``, in a form that merges: sums stay exact decimals, and the grand
+    total has the range of the distances.  About 100 rows for each value."""
+    x = F.col("customer_merchant_distance")
+    known = F.when(~F.isnan(x), x)
+    keys = [by, *_PANEL_KEYS]
+    out = _binned(df).groupingSets([[by, *s] for s in _PANEL_SETS], *keys).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(_is_fraud()).alias("frauds"),
+        F.sum(F.when(_is_fraud(), F.col("amt")).cast(AMOUNT_DECIMAL)).alias("fraud_amount"),
+        F.sum(F.col(PROB).cast(PROBABILITY_DECIMAL)).alias("prob_sum"),
+        F.count(F.col(PROB)).alias("prob_n"),
+        F.max(TS).alias("last_ts"),
+        F.min(known).alias("distance_lo"),
+        F.max(known).alias("distance_hi"),
+        F.grouping_id().alias("gid"),  # ``by`` is in every set: its bit, the highest, is 0
+    )
+    total = F.col("gid") == _gid()
+    return out.withColumns({c: F.when(total, F.col(c)) for c in ("distance_lo", "distance_hi")})
+
+
+def merged_partials(partials: DataFrame) -> DataFrame:
+    """``panel_aggregates`` of the whole, from its parts' partials: a row of each set and value is summed up."""
+    merged = partials.groupBy(*_PANEL_KEYS, "gid").agg(
+        F.sum("n").alias("n"),
+        F.sum("frauds").alias("frauds"),
+        F.sum("fraud_amount").cast("double").alias("fraud_amount"),
+        F.sum("prob_sum").cast("double").alias("prob_sum"),
+        F.sum("prob_n").alias("prob_n"),
+        F.max("last_ts").alias("last_ts"),
+    )
+    merged = merged.select(*_PANEL_KEYS, "n", "frauds", "fraud_amount", "prob_sum", "prob_n", "last_ts", "gid")
+    if partials.isEmpty():
+        return _no_rows(merged)
+    return merged
+
+
+def _no_rows(out: DataFrame) -> DataFrame:
+    total = (None,) * len(_PANEL_KEYS) + (0, 0, None, None, 0, None, _gid())
+    return out.sparkSession.createDataFrame([total], out.schema)
+
+
 def panel_aggregates(df: DataFrame) -> DataFrame:
     """Every aggregate panel from one scan: a GROUPING SETS aggregate over
     (), prediction, amount flag, night flag, hour and probability bin.  The
     Expand feeds a map-side partial aggregate, so the shuffle carries a few
     rows per set and task, and the result has at most ~100 rows."""
-    bin_ = F.least(F.floor(F.col(PROB) * F.lit(PROBABILITY_BINS)), F.lit(PROBABILITY_BINS - 1)).cast("int")
-    is_f = F.col(PRED) == 1
-    sets = [[], [PRED], ["high_amount_flag"], ["night_transaction_flag"], ["transaction_hour"], [_BIN]]
     out = (
-        df.withColumn(_BIN, bin_)
-        .groupingSets(sets, *_PANEL_KEYS)
+        _binned(df)
+        .groupingSets(_PANEL_SETS, *_PANEL_KEYS)
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.count_if(is_f).alias("frauds"),
-            exact_sum(F.when(is_f, F.col("amt")), AMOUNT_DECIMAL).alias("fraud_amount"),
+            F.count_if(_is_fraud()).alias("frauds"),
+            exact_sum(F.when(_is_fraud(), F.col("amt")), AMOUNT_DECIMAL).alias("fraud_amount"),
             exact_sum(F.col(PROB), PROBABILITY_DECIMAL).alias("prob_sum"),
             F.count(F.col(PROB)).alias("prob_n"),
             F.max(TS).alias("last_ts"),
@@ -275,8 +332,7 @@ def panel_aggregates(df: DataFrame) -> DataFrame:
     # Spark returns no grand-total row for an empty input; SQL (and a
     # global aggregate) returns one.  Reading one row settles which case.
     if df.isEmpty():
-        total = (None,) * len(_PANEL_KEYS) + (0, 0, None, None, 0, None, _gid())
-        return df.sparkSession.createDataFrame([total], out.schema)
+        return _no_rows(out)
     return out
 
 

@@ -31,10 +31,19 @@ def _orderable(dtype: T.DataType) -> bool:
     return True
 
 
+def latest_row(df: DataFrame, key: str = KEY, order: str = ORDER_COL) -> Column:
+    """The aggregate that gives a key's latest row, as a struct of the other columns.
+
+    Ties on ``order`` are broken by a 64-bit hash of the remaining values, so the
+    choice is the same on every run and layout (rows tying on both are identical)."""
+    cols = [c for c in df.columns if c != key]
+    others = [c for c in cols if c != order]
+    tie = F.xxhash64(*[F.col(c) for c in others if _orderable(df.schema[c].dataType)]) if others else F.lit(0)
+    return F.max_by(F.struct(*[F.col(c) for c in cols]), F.struct(F.col(order), tie))
+
+
 def dedupe_latest(df: DataFrame, key: str = KEY, order: str = ORDER_COL) -> DataFrame:
-    """Keep one row per key: the latest by ``order``; ties broken by a 64-bit
-    hash of the row's remaining values, so the choice is the same on every
-    run and layout (rows tying on both are identical rows).
+    """Keep one row per key: the latest by ``order`` (``latest_row``).
 
     Written as a grouped ``max_by`` rather than a ``row_number`` window: the
     aggregate combines map-side, so a key repeated millions of times (a feed
@@ -42,17 +51,8 @@ def dedupe_latest(df: DataFrame, key: str = KEY, order: str = ORDER_COL) -> Data
     landing whole in one task.  The ordering is (time, hash), two fixed-width
     fields, so each row crosses the shuffle once, not twice.
     """
-    cols = df.columns
-    others = [c for c in cols if c not in (key, order)]
-    tie = F.xxhash64(*[F.col(c) for c in others if _orderable(df.schema[c].dataType)]) if others else F.lit(0)
-    ordering = F.struct(F.col(order), tie)
-    payload = F.struct(*[F.col(c) for c in cols if c != key])
-    return (
-        df.groupBy(key)
-        .agg(F.max_by(payload, ordering).alias("_row"))
-        .select(F.col(key), "_row.*")
-        .select(*cols)
-    )
+    rows = df.groupBy(key).agg(latest_row(df, key, order).alias("_row"))
+    return rows.select(F.col(key), "_row.*").select(*df.columns)
 
 
 def silver_columns(df: DataFrame, ts_col: str = "trans_date_trans_time") -> dict[str, Column]:

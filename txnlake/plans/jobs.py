@@ -19,7 +19,11 @@ from txnlake.functions.columns import INDEX_COLUMN, drop_if_present, normalize_c
 from txnlake.operators import alerts as AL
 from txnlake.operators import incremental as INC
 from txnlake.operators import ml as ML
+from txnlake.operators import reconcile as REC
+from txnlake.operators.bootstrap import compare_predictions
+from txnlake.operators.changes import DELETED, live, snapshot_changes
 from txnlake.operators.gold import to_gold
+from txnlake.operators.keystore import KeyStore
 from txnlake.operators.silver import dedupe_latest, split_null_keys, standardize, to_silver
 from txnlake.schemas import (
     FEATURES,
@@ -34,8 +38,18 @@ from txnlake.schemas import (
     TRAINING_INPUT,
 )
 from txnlake.session import checkpoint_dir
+from txnlake.sinks import batches as BATCHES
 from txnlake.sinks import layers as SINK
-from txnlake.sources.layers import existing_keys, jdbc_table_exists, read_jdbc, read_layer, read_or_empty, read_raw_csv
+from txnlake.sources.layers import (
+    TOMBSTONES,
+    existing_keys,
+    jdbc_table_exists,
+    read_jdbc,
+    read_layer,
+    read_or_empty,
+    read_raw_csv,
+    read_with_tombstones,
+)
 
 
 def _written_rows(spark: SparkSession, path: str) -> int:
@@ -73,6 +87,28 @@ def ingest_to_bronze(
     return n
 
 
+def ingest_snapshot(spark: SparkSession, snapshot: DataFrame, bronze_path: str, at) -> dict[str, int]:
+    """Append to Bronze what a full snapshot of the source says has changed: new and edited rows and tombstones of
+    deleted ones, stamped ``at`` (``operators.changes``).  The next layer refresh carries them through Silver and Gold.
+    A rerun after a failure finds nothing left to append.  Returns the rows by change."""
+    bronze = read_or_empty(spark, bronze_path, snapshot.schema)
+    if bronze.isEmpty():
+        snapshot.write.mode("append").parquet(bronze_path)
+        return {"insert": _written_rows(spark, bronze_path)}
+    checkpoint_dir(spark)
+    changes = snapshot_changes(read_with_tombstones(spark, bronze_path), snapshot, at).checkpoint(eager=True)
+    counts = {r["change"]: r["count"] for r in changes.groupBy("change").count().collect()}
+    if counts:
+        SINK.touch(spark, f"{bronze_path.rstrip('/')}/{TOMBSTONES}")
+        changes.drop("change").write.mode("append").parquet(bronze_path)
+    return counts
+
+
+def verify_load(source: DataFrame, loaded: DataFrame, key: str = KEY, ignore: tuple[str, ...] = ()) -> dict:
+    """Whether a loaded table holds the content of its source, by digest trees; counts of the keys that differ."""
+    return REC.summary(REC.reconcile(source, loaded, key, ignore)).first().asDict()
+
+
 # --- E1, E2: layers -------------------------------------------------------------
 
 
@@ -90,8 +126,10 @@ def bronze_to_silver(
     ``write_layer``)."""
     if bronze_path.rstrip("/") == silver_path.rstrip("/"):
         raise ValueError("a layer cannot be rewritten in place")
-    df = to_silver(read_layer(spark, bronze_path, required=SILVER_INPUT))
+    df = to_silver(read_with_tombstones(spark, bronze_path, required=SILVER_INPUT))
     SINK.write_layer(df, silver_path, touched_only=touched_only, rebalance=rebalance)
+    if DELETED in df.columns:
+        SINK.touch(spark, f"{silver_path.rstrip('/')}/{TOMBSTONES}")
     return _written_rows(spark, silver_path)
 
 
@@ -110,6 +148,12 @@ def merge_into_silver(new_bronze: DataFrame, silver_path: str) -> list[tuple]:
     spark = new_bronze.sparkSession
     new = standardize(split_null_keys(new_bronze)[0])
     existing = read_or_empty(spark, silver_path, new.schema)
+    marked = SINK.path_exists(spark, f"{silver_path.rstrip('/')}/{TOMBSTONES}")
+    if marked and DELETED not in new.columns:
+        new = new.withColumn(DELETED, F.lit(None).cast("boolean"))
+        existing = read_or_empty(spark, silver_path, new.schema)
+    elif DELETED in new.columns and not marked:  # before the first tombstone is written
+        SINK.touch(spark, f"{silver_path.rstrip('/')}/{TOMBSTONES}")
     keys = new.select(KEY)
     size = keys.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(KEY)).alias("b")).first()
     if size["n"] <= INC.MAX_BROADCAST_KEYS and (size["b"] or 0) <= INC.MAX_BROADCAST_BYTES:
@@ -160,7 +204,7 @@ def bronze_to_silver_incremental(
     if bronze_path.rstrip("/") == silver_path.rstrip("/"):
         raise ValueError("a layer cannot be rewritten in place")
     since_lit = F.lit(since).cast("timestamp_ntz")
-    new_rows = read_layer(spark, bronze_path, required=SILVER_INPUT).filter(F.col(INC.CURSOR) >= since_lit)
+    new_rows = read_with_tombstones(spark, bronze_path, required=SILVER_INPUT).filter(F.col(INC.CURSOR) >= since_lit)
     return merge_into_silver(new_rows, silver_path)
 
 
@@ -174,7 +218,7 @@ def silver_to_gold(
 ) -> int:
     """Silver -> Gold. ``months`` restricts the read to those (year, month)
     partitions (partition pruning) and implies ``touched_only``."""
-    silver = read_layer(spark, silver_path, required=GOLD_INPUT)
+    silver = live(read_with_tombstones(spark, silver_path, required=GOLD_INPUT))
     if months:
         silver = silver.filter(_months_filter(months))
         touched_only = True
@@ -227,6 +271,7 @@ def run_inference(
     state_path: str | None = None,
     lookback: dt.timedelta = dt.timedelta(hours=1),
     predictions: DataFrame | None = None,
+    store=None,
 ) -> int:
     """Write this run's batch (possibly empty) under ``batch_root``.
 
@@ -241,6 +286,9 @@ def run_inference(
     none is), so it selects exactly what a run over all of Gold would: a late
     record arrives in a new file, a rewritten month is looked at again, and a
     batch that was not persisted never moves the mark.
+
+    With ``store`` (a ``KeyStore`` of the predictions) the scored keys are looked up
+    there, without scanning or moving those of all batches.
     """
     gold = INC.with_arrival(read_layer(spark, gold_path, required=SCORING_INPUT))
     # A batch id is one unit of work: its selection ignores its own earlier
@@ -253,19 +301,24 @@ def run_inference(
             raise ValueError("a scoring state needs predictions in files")
         preds = predictions
     else:
-        preds = read_or_empty(spark, predictions_path, PREDICTIONS_TABLE).filter(F.col("batch_id") != this)
+        preds = BATCHES.read_batches(spark, predictions_path, PREDICTIONS_TABLE).filter(F.col("batch_id") != this)
     mark = None
     if state_path is not None:
         state = read_or_empty(spark, state_path, INC.CURSOR_STATE)
+        packed = BATCHES.manifest(spark, predictions_path).covered
         mark = INC.scoring_mark(
-            state, batch_id, lambda b: SINK.path_exists(spark, f"{predictions_path.rstrip('/')}/batch_id={b}/_SUCCESS")
+            state,
+            batch_id,
+            lambda b: b in packed or SINK.path_exists(spark, f"{SINK.batch_path(predictions_path, b)}/_SUCCESS"),
         )
         if mark is not None:
             gold = gold.filter(F.col(INC.ARRIVED) >= F.lit(mark) - F.lit(lookback))
     checkpoint_dir(spark)
     ok, _ = ML.split_scorable(gold.filter(F.col(KEY).isNotNull()))
     waiting = ok.select(KEY, INC.CURSOR, INC.ARRIVED)
-    if mark is not None:  # a window: its keys are few beside the predictions'
+    if store is not None:
+        waiting = store.absent(waiting.checkpoint(eager=True), without=batch_id)
+    elif mark is not None:  # a window: its keys are few beside the predictions'
         waiting = INC.absent(waiting, existing_keys(preds))
     else:
         waiting = INC.unscored(waiting, existing_keys(preds))
@@ -301,14 +354,19 @@ def run_inference(
 MAX_BROADCAST_BATCH = 1_000_000
 
 
-def persist_predictions(spark: SparkSession, batch_root: str, batch_id: str, predictions_path: str) -> int:
+def persist_predictions(spark: SparkSession, batch_root: str, batch_id: str, predictions_path: str, store=None) -> int:
     """Append the batch idempotently; rerunning adds nothing.  An empty
     batch is a no-op (checked with ``isEmpty``, one row read at most), unless an
     earlier run of it left rows, which it then replaces."""
     batch = read_or_empty(spark, SINK.batch_path(batch_root, batch_id), PREDICTIONS)
-    if batch.isEmpty() and not SINK.path_exists(spark, SINK.batch_path(predictions_path, batch_id)):
+    if batch.isEmpty() and batch_id not in BATCHES.versions(spark, predictions_path):
         return 0
-    return INC.append_idempotent(batch, predictions_path, batch_id)
+    return INC.append_idempotent(batch, predictions_path, batch_id, store=store)
+
+
+def compact_predictions(spark: SparkSession, predictions_path: str, target_mb: int = 256) -> int:
+    """Pack the table's small batches into files of about ``target_mb`` (``sinks.batches``); the batches packed."""
+    return BATCHES.compact(spark, predictions_path, PREDICTIONS_TABLE, target_mb << 20, sort_by=KEY)
 
 
 def persist_predictions_jdbc(
@@ -415,12 +473,14 @@ def compare_models(
     gold_path: str,
     current_rows,
     candidate_rows,
+    replicates: int = 0,
     **forest_args,
 ) -> DataFrame:
     """Roadmap X6: fit the current and a candidate model on two row ranges
     (column conditions, e.g. two ingestion periods) and score both on one
     shared hold-out, the exact stratified test split of all rows.  Returns
-    one metrics row per model."""
+    one metrics row per model; with ``replicates`` a row per metric with the
+    interval of the difference (``operators.bootstrap``)."""
     gold = read_layer(spark, gold_path, required=TRAINING_INPUT)
     data = ML.clean_training(gold)
     checkpoint_dir(spark)
@@ -430,10 +490,14 @@ def compare_models(
     out = None
     for name, cond in (("current", current_rows), ("candidate", candidate_rows)):
         m = ML.train(train.filter(cond).select(*FEATURES, LABEL), **forest_args)
-        scored = ML.score(test.select(KEY, *FEATURES), m).join(test.select(KEY, LABEL), KEY)
-        row = ML.binary_metrics(scored).withColumn("model", F.lit(name))
-        out = row if out is None else out.unionByName(row)
-    return out
+        scored = ML.score(test.select(KEY, *FEATURES), m)
+        if replicates:
+            row = scored.select(KEY, F.col("fraud_prediction").alias(name))
+            out = row.join(test.select(KEY, LABEL), KEY) if out is None else out.join(row, KEY)
+        else:
+            row = ML.binary_metrics(scored.join(test.select(KEY, LABEL), KEY)).withColumn("model", F.lit(name))
+            out = row if out is None else out.unionByName(row)
+    return compare_predictions(out, "current", "candidate", b=replicates) if replicates else out
 
 
 # --- E6: alerts -------------------------------------------------------------------
@@ -483,7 +547,7 @@ def scoring_cycle(
 ) -> dict:
     """One scheduled run, in order: Silver, Gold, score the next batch,
     persist it, select alerts.  ``paths`` names bronze, silver, gold, model,
-    batches, predictions and (optional) state.  With ``since`` the layers are
+    batches, predictions and (optional) state and keys (a ``KeyStore``).  With ``since`` the layers are
     refreshed for the touched months only; with a state path scoring runs in
     cursor mode.  Every step is replay-safe, so a failed cycle is rerun with
     the same arguments."""
@@ -494,12 +558,13 @@ def scoring_cycle(
         months = bronze_to_silver_incremental(spark, paths["bronze"], paths["silver"], since)
         if months:
             silver_to_gold(spark, paths["silver"], paths["gold"], as_of=as_of, months=months)
+    store = KeyStore(spark, paths["keys"], paths["predictions"]) if paths.get("keys") else None
     scored = run_inference(
         spark, paths["gold"], paths["predictions"], paths["model"], paths["batches"], batch_id, run_ts, n,
-        state_path=paths.get("state"),
+        state_path=paths.get("state"), store=store,
     )
-    appended = persist_predictions(spark, paths["batches"], batch_id, paths["predictions"])
-    alert = alert_batch(spark.read.parquet(paths["predictions"]), run_ts).first()
+    appended = persist_predictions(spark, paths["batches"], batch_id, paths["predictions"], store=store)
+    alert = alert_batch(BATCHES.read_batches(spark, paths["predictions"], PREDICTIONS_TABLE), run_ts).first()
     return {"scored": scored, "appended": appended, "alerts": alert["n_alerts"], "status": alert["status"]}
 
 

@@ -35,14 +35,14 @@ SELECT
 FROM events
 """
 
-LAYERS = f"""
-bronze_base AS ({BRONZE_BASE}),
-bronze AS (
+BRONZE = """
   SELECT * FROM bronze_base
   UNION ALL
   SELECT * REPLACE (ingestion_timestamp + INTERVAL 1 HOUR AS ingestion_timestamp)
   FROM bronze_base WHERE CAST(trans_num AS BIGINT) % 20 = 3
-),
+"""
+
+REST = f"""
 latest AS (
   SELECT * FROM bronze WHERE trans_num IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY trans_num ORDER BY ingestion_timestamp DESC) = 1
@@ -90,6 +90,6 @@ predictions AS (
 """
 
 
-def with_layers(body: str, extra_ctes: str = "") -> str:
-    ctes = LAYERS + (",\n" + extra_ctes if extra_ctes else "")
+def with_layers(body: str, extra_ctes: str = "", bronze: str = BRONZE) -> str:
+    ctes = f"bronze_base AS ({BRONZE_BASE}),\nbronze AS ({bronze}),{REST}" + (",\n" + extra_ctes if extra_ctes else "")
     return f"WITH {ctes}\n{body}"

@@ -8,6 +8,8 @@ what any right forest must give.
 
 from __future__ import annotations
 
+import math
+
 from txnlake.plans.oracle import with_layers
 
 ORACLE: dict[str, str] = {}
@@ -482,3 +484,152 @@ sql("missing_source", "SELECT trans_num FROM gold WHERE trans_num IS NOT NULL")
 # The incremental paths give what the full ones do
 sql("unscored_cursor", "SELECT trans_num, ingestion_timestamp FROM waiting WHERE trans_num IS NOT NULL")
 sql("silver_merge", "SELECT * FROM silver")
+sql("stream_latest", "SELECT * FROM silver")
+
+# Content reconciliation and snapshot differences
+EDITED_AMT = "CASE WHEN CAST(trans_num AS BIGINT) % 89 = 3 THEN amt + 1 ELSE amt END"
+EDITED_CITY = "CASE WHEN CAST(trans_num AS BIGINT) % 83 = 7 THEN NULL ELSE city_pop END"
+EDITED = f"""
+  SELECT * REPLACE ({EDITED_AMT} AS amt, CAST({EDITED_CITY} AS INTEGER) AS city_pop) FROM {{0}} WHERE CAST(trans_num AS BIGINT) % 97 <> 5
+  UNION ALL
+  SELECT * REPLACE ('9000000' || trans_num AS trans_num) FROM {{0}} WHERE CAST(trans_num AS BIGINT) % 101 = 9
+"""
+ORACLE["reconcile_layers"] = with_layers(
+    extra_ctes=f"""
+loaded AS ({EDITED.format("gold")}),
+t AS (SELECT trans_num, any_value(amt) AS amt, any_value(city_pop) AS city_pop,
+        CAST(CASE WHEN CAST(trans_num AS BIGINT) % 103 = 11 THEN 2 ELSE 1 END AS BIGINT) AS n FROM loaded GROUP BY trans_num)
+""",
+    body="""
+SELECT coalesce(s.trans_num, t.trans_num) AS trans_num,
+  CASE WHEN t.trans_num IS NULL THEN 'missing' WHEN s.trans_num IS NULL THEN 'extra' ELSE 'differs' END AS status,
+  CASE WHEN t.trans_num IS NULL OR s.trans_num IS NULL THEN NULL
+       WHEN t.n = 2 THEN 'rows'
+       ELSE concat_ws(',', CASE WHEN s.amt IS DISTINCT FROM t.amt THEN 'amt' END,
+                           CASE WHEN s.city_pop IS DISTINCT FROM t.city_pop THEN 'city_pop' END) END AS changed,
+  CAST(CASE WHEN s.trans_num IS NULL THEN 0 ELSE 1 END AS BIGINT) AS source_rows,
+  coalesce(t.n, CAST(0 AS BIGINT)) AS target_rows
+FROM gold s FULL OUTER JOIN t ON s.trans_num = t.trans_num
+WHERE s.trans_num IS NULL OR t.trans_num IS NULL OR t.n = 2
+   OR s.amt IS DISTINCT FROM t.amt OR s.city_pop IS DISTINCT FROM t.city_pop
+""",
+)
+ORACLE["snapshot_changes"] = with_layers(
+    extra_ctes=f"snap AS ({EDITED.format('bronze_base')})",
+    body="""
+SELECT coalesce(n.trans_num, o.trans_num) AS trans_num,
+  CASE WHEN n.trans_num IS NULL THEN o.amt ELSE n.amt END AS amt,
+  CASE WHEN n.trans_num IS NULL THEN o.city_pop ELSE n.city_pop END AS city_pop,
+  TIMESTAMP '2024-03-01 00:00:00' AS ingestion_timestamp, n.trans_num IS NULL AS is_deleted,
+  CASE WHEN n.trans_num IS NULL THEN 'delete' WHEN o.trans_num IS NULL THEN 'insert' ELSE 'update' END AS change
+FROM snap n FULL OUTER JOIN latest o ON n.trans_num = o.trans_num
+WHERE n.trans_num IS NULL OR o.trans_num IS NULL OR n.amt IS DISTINCT FROM o.amt OR n.city_pop IS DISTINCT FROM o.city_pop
+""",
+)
+ORACLE["snapshot_merge"] = with_layers("SELECT * EXCLUDE (ingestion_timestamp) FROM gold", bronze=EDITED.format("bronze_base"))
+
+# Tables kept by state give what the whole table gives
+ORACLE["append_keystore"] = ORACLE["append_idempotent"]
+ORACLE["panels_refreshed"] = ORACLE["monitoring_panels"]
+sql("compact_batches", "SELECT * FROM predictions")
+
+# Anomalies against the past, model comparison, sketches
+sql(
+    "past_anomalies",
+    """
+SELECT trans_num, cc_num, amt, past, round(m, 6) AS past_mean, round(sd, 6) AS past_std,
+  round(CASE WHEN sd > 0 THEN (amt - m) / sd END, 6) AS z_score,
+  coalesce(abs(CASE WHEN sd > 0 THEN (amt - m) / sd END) > 3, false) AS is_anomaly
+FROM (
+  SELECT trans_num, cc_num, amt, past, CASE WHEN past >= 5 THEN s / past END AS m,
+    CASE WHEN past >= 5 THEN sqrt(greatest((ss - s * s / past) / (past - 1), CAST(0 AS DOUBLE))) END AS sd
+  FROM (
+    SELECT trans_num, cc_num, amt, count(*) OVER w AS past,
+      CAST(coalesce(sum(x) OVER w, 0) AS DOUBLE) AS s, CAST(coalesce(sum(x * x) OVER w, 0) AS DOUBLE) AS ss
+    FROM (SELECT *, CAST(amt AS DECIMAL(18,4)) AS x FROM gold
+          WHERE cc_num IS NOT NULL AND amt IS NOT NULL AND trans_date_trans_time IS NOT NULL) v
+    WINDOW w AS (PARTITION BY cc_num ORDER BY trans_date_trans_time, trans_num ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+  ) t
+) u
+""",
+)
+
+
+def _poisson_weight(h: str) -> str:
+    """The weight of a 24-bit hash value: how many of the Poisson distribution's sums it passes."""
+    total, term, cuts = 0.0, math.exp(-1), []
+    for k in range(1, 30):
+        total += term
+        if (at := round(total * 2**24)) >= 2**24:
+            break
+        cuts.append(at)
+        term /= k
+    return " + ".join(f"CAST({h} >= {c} AS INTEGER)" for c in cuts)
+
+
+METRICS = {
+    "accuracy": "(tp + tn) / n",
+    "precision": "CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END",
+    "recall": "CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END",
+    "f1_score": "CASE WHEN tp > 0 THEN 2 * (tp / (tp + fp)) * (tp / (tp + fn)) / (tp / (tp + fp) + tp / (tp + fn)) ELSE 0 END",
+}
+COMPARISON = f"""
+SELECT metric, round(max(CASE WHEN j = 0 THEN a END), 6) AS current, round(max(CASE WHEN j = 0 THEN b END), 6) AS candidate,
+  round(max(CASE WHEN j = 0 THEN b - a END), 6) AS difference,
+  round(max(CASE WHEN place = 3 THEN b - a END), 6) AS low, round(max(CASE WHEN place = 98 THEN b - a END), 6) AS high,
+  max(CASE WHEN place = 3 THEN b - a END) > 0 OR max(CASE WHEN place = 98 THEN b - a END) < 0 AS significant
+FROM (
+  SELECT *, CASE WHEN j > 0 THEN row_number() OVER (PARTITION BY metric, j > 0 ORDER BY b - a) END AS place
+  FROM (
+    {" UNION ALL ".join(
+        f"SELECT '{m}' AS metric, j, max(CASE WHEN model = 'a' THEN {e} END) AS a, max(CASE WHEN model = 'b' THEN {e} END) AS b FROM counts GROUP BY j"
+        for m, e in METRICS.items()
+    )}
+  ) m
+) p
+GROUP BY metric
+"""
+ORACLE["model_comparison"] = with_layers(
+    COMPARISON,
+    STATE
+    + f""",
+pair AS (
+  SELECT trans_num, is_fraud, fraud_prediction AS a,
+    CASE WHEN customer_merchant_distance > 5 OR (amt > 900 AND night_transaction_flag = 1) THEN 1 ELSE 0 END AS b
+  FROM labelled WHERE is_fraud IS NOT NULL AND fraud_prediction IS NOT NULL
+),
+weighed AS (
+  SELECT *, CASE WHEN j = 0 THEN 1 ELSE {_poisson_weight("h")} END AS w
+  FROM (SELECT *, CAST('0x' || substr(md5(CAST(j AS VARCHAR) || '#' || trans_num), 1, 6) AS BIGINT) AS h
+        FROM pair, (SELECT unnest(range(0, 101)) AS j) r) x
+),
+counts AS (
+  {" UNION ALL ".join(
+      f"SELECT '{m}' AS model, j, CAST(sum(w) AS DOUBLE) AS n, "
+      + ", ".join(
+          f"CAST(coalesce(sum(w) FILTER (WHERE {m} = {said} AND is_fraud = {real}), 0) AS DOUBLE) AS {name}"
+          for name, said, real in (("tp", 1, 1), ("fp", 1, 0), ("fn", 0, 1), ("tn", 0, 0))
+      )
+      + " FROM weighed GROUP BY j"
+      for m in "ab"
+  )}
+)
+""",
+)
+sql(
+    "key_sketches",
+    """
+SELECT 'gold' AS what, count(DISTINCT trans_num) AS keys, true AS within_bound FROM gold
+UNION ALL SELECT 'scored', count(DISTINCT trans_num), true FROM scored_keys
+UNION ALL SELECT 'unscored', count(DISTINCT trans_num), true FROM waiting
+""",
+)
+sql(
+    "quantile_drift",
+    " UNION ALL ".join(
+        f"SELECT '{f.strip()}' AS feature, count({f}) FILTER (WHERE ingestion_timestamp < TIMESTAMP '2024-01-15 00:00:00') AS base_rows, "
+        f"count({f}) FILTER (WHERE ingestion_timestamp >= TIMESTAMP '2024-01-15 00:00:00') AS current_rows, "
+        "CAST(0 AS BIGINT) AS beyond_error FROM gold"
+        for f in FEATURES.split(",")
+    ),
+)

@@ -19,26 +19,34 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnlake.functions import features as X
 from txnlake.functions.columns import INDEX_COLUMN, drop_if_present, normalize_columns
 from txnlake.functions.formatting import AMOUNT_LABELS, TIME_LABELS
 from txnlake.operators import alerts as AL
-from txnlake.operators.anomaly import amount_anomalies, drift_report
+from txnlake.operators import changes as CH
+from txnlake.operators import sketches as SK
+from txnlake.operators.anomaly import amount_anomalies, drift_report, past_anomalies
+from txnlake.operators.bootstrap import compare_predictions
 from txnlake.operators.silver import silver_quality, to_silver
 from txnlake.operators.trends import fraud_trend
 from txnlake.plans import jobs
 from txnlake.operators import incremental as INC
 from txnlake.operators import ml as ML
 from txnlake.operators import monitoring as MON
+from txnlake.operators import reconcile as REC
+from txnlake.operators.keystore import KeyStore
+from txnlake.operators.panel_state import PanelState
 from txnlake.operators import validation as VAL
-from txnlake.schemas import FEATURES, KEY, LABEL, PREDICTIONS
+from txnlake.schemas import FEATURES, KEY, LABEL, PREDICTIONS, PREDICTIONS_TABLE
 from txnlake.plans import fixtures as FX
 from txnlake.session import checkpoint_dir
+from txnlake.sinks import batches as BATCHES
 from txnlake.sinks.layers import write_layer
 from txnlake.sources.layers import existing_keys, read_layer, read_or_empty
+from txnlake.streaming import layers as S
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -522,6 +530,132 @@ def q_silver_merge(spark, sf_dir):
     return spark.read.schema(silver.schema).parquet(path).select(*silver.columns)
 
 
+def _copy() -> Column:
+    """Whether a Bronze row is a re-ingested copy: it came later than the hour of its transaction."""
+    return F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ingestion_timestamp) > unix_time")
+
+
+@register("stream_latest")
+def q_stream_latest(spark, sf_dir):
+    """Bronze arrives in three drops, each streamed when it is there (one checkpoint): newer copies before their
+    originals, the rest, and late newer copies.  Silver must hold the latest copy of every key."""
+    bronze = _layers(spark, sf_dir)["bronze"]
+    root = f"{checkpoint_dir(spark)}/stream-latest-{uuid.uuid4().hex[:12]}"
+    ahead = F.col(KEY).cast("long") % 40 == 3  # of every second re-sent key the newer copy comes first
+    early = F.col("ingestion_timestamp") < F.lit(BRONZE_UPTO).cast("timestamp_ntz")
+    drop = F.when(_copy(), F.when(ahead, 1).otherwise(3)).when(ahead | ~early, 2).otherwise(1)
+    for i in (1, 2, 3):
+        bronze.filter(drop == i).write.mode("append").parquet(f"{root}/bronze")
+        stream = S.bronze_stream(spark, f"{root}/bronze", bronze.schema, arrival=True)
+        query = S.start_latest_merge(S.latest_stream(stream), f"{root}/silver", f"{root}/checkpoint")
+        query.awaitTermination()
+    silver = _layers(spark, sf_dir)["silver"]
+    return spark.read.schema(silver.schema).parquet(f"{root}/silver").select(*silver.columns)
+
+
+def _edited(df: DataFrame, key: str = KEY) -> DataFrame:
+    """The rows with edits: some keys gone, some amounts and cities changed, some new keys."""
+    k = F.col(key).cast("long")
+    kept = df.filter(k % 97 != 5).withColumns(
+        {
+            "amt": F.when(k % 89 == 3, F.col("amt") + 1).otherwise(F.col("amt")).cast(df.schema["amt"].dataType),
+            "city_pop": F.when(k % 83 == 7, F.lit(None)).otherwise(F.col("city_pop")).cast("int"),
+        }
+    )
+    return kept.unionByName(df.filter(k % 101 == 9).withColumn(key, F.concat(F.lit("9000000"), F.col(key))))
+
+
+@register("reconcile_layers")
+def q_reconcile_layers(spark, sf_dir):
+    """Gold against a loaded copy of it with planted edits and rows that were loaded twice."""
+    gold = _layers(spark, sf_dir)["gold"]
+    loaded = _edited(gold)
+    return REC.reconcile(gold, loaded.unionByName(loaded.filter(F.col(KEY).cast("long") % 103 == 11)))
+
+
+SNAPSHOT_AT = dt.datetime(2024, 3, 1)
+
+
+@register("snapshot_changes")
+def q_snapshot_changes(spark, sf_dir):
+    """Rows inserted, edited or deleted at the source between Bronze's last load and a full snapshot."""
+    bronze = _layers(spark, sf_dir)["bronze"]
+    found = CH.snapshot_changes(bronze, _edited(bronze.filter(~_copy())), SNAPSHOT_AT)
+    return found.select(KEY, "amt", "city_pop", INC.CURSOR, CH.DELETED, "change")
+
+
+@register("snapshot_merge")
+def q_snapshot_merge(spark, sf_dir):
+    """S7 through the layers: a snapshot's changes are appended to Bronze and merged into Silver and Gold; Gold must be
+    that of the snapshot."""
+    bronze = _layers(spark, sf_dir)["bronze"]
+    root = f"{checkpoint_dir(spark)}/snapshot-{uuid.uuid4().hex[:12]}"
+    bronze.write.parquet(f"{root}/bronze")
+    jobs.bronze_to_silver(spark, f"{root}/bronze", f"{root}/silver")
+    jobs.silver_to_gold(spark, f"{root}/silver", f"{root}/gold", as_of=FX.AS_OF)
+    jobs.ingest_snapshot(spark, _edited(bronze.filter(~_copy())), f"{root}/bronze", SNAPSHOT_AT)
+    months = jobs.bronze_to_silver_incremental(spark, f"{root}/bronze", f"{root}/silver", SNAPSHOT_AT)
+    jobs.silver_to_gold(spark, f"{root}/silver", f"{root}/gold", as_of=FX.AS_OF, months=months)
+    gold = _layers(spark, sf_dir)["gold"]
+    return spark.read.schema(gold.schema).parquet(f"{root}/gold").select(*gold.columns).drop(INC.CURSOR)
+
+
+def _in_batches(predictions: DataFrame, path: str, n: int) -> None:
+    """The predictions table as runs leave it: ``n`` batch folders."""
+    batch = F.concat(F.lit("run"), F.pmod(F.col(KEY).cast("long"), F.lit(n)).cast("string"))
+    predictions.withColumn("batch_id", batch).repartition("batch_id").write.partitionBy("batch_id").parquet(path)
+
+
+@register("append_keystore")
+def q_append_keystore(spark, sf_dir):
+    """K4/N1 on a bucketed key store: a part of the scored batches is in the store, later ones are in their folders,
+    and one was written again since, with half of its rows at first."""
+    L = _layers(spark, sf_dir)
+    root = f"{checkpoint_dir(spark)}/key-store-{uuid.uuid4().hex[:12]}"
+    scored = FX.predictions_from_gold(_before(L["gold"], SCORED_BEFORE)).withColumn("_run", F.pmod(F.col(KEY).cast("long"), F.lit(24)))
+    half = scored.filter((F.col("_run") < 16) & ((F.col("_run") != 3) | (F.col("amt") > 100))).drop("_run")
+    _in_batches(half, f"{root}/predictions", 24)
+    store = KeyStore(spark, f"{root}/keys", f"{root}/predictions")
+    store.refresh()
+    again = scored.filter("_run = 3").drop("_run")
+    again.write.mode("overwrite").parquet(f"{root}/predictions/batch_id=run3")
+    scored.filter("_run >= 16").withColumn("batch_id", F.concat(F.lit("run"), F.col("_run"))).drop("_run").write.mode("append").partitionBy(
+        "batch_id"
+    ).parquet(f"{root}/predictions")
+    return store.absent(INC.one_row_per_key(FX.predictions_from_gold(L["gold"])))
+
+
+@register("compact_batches")
+def q_compact_batches(spark, sf_dir):
+    """K2/K3: two hundred batch folders packed into few files, a batch written again, the rest packed again; the table's rows
+    are those of the batches."""
+    predictions = _layers(spark, sf_dir)["predictions"]
+    path = f"{checkpoint_dir(spark)}/compact-{uuid.uuid4().hex[:12]}"
+    _in_batches(predictions, path, 200)
+    jobs.compact_predictions(spark, path, target_mb=4)
+    INC.append_idempotent(predictions.filter(F.col(KEY).cast("long") % 200 == 7), path, "run7")
+    jobs.compact_predictions(spark, path)
+    return BATCHES.read_batches(spark, path, PREDICTIONS_TABLE).select(*predictions.columns)
+
+
+@register("panels_refreshed")
+def q_panels_refreshed(spark, sf_dir):
+    """E7 from partial states: a refresh over the first batches, then some are written again and late ones arrive, and a
+    second refresh reads only those."""
+    predictions = _layers(spark, sf_dir)["predictions"]
+    root = f"{checkpoint_dir(spark)}/panels-{uuid.uuid4().hex[:12]}"
+    k = F.pmod(F.col(KEY).cast("long"), F.lit(24))
+    early = predictions.filter(k < 20).withColumn("fraud_probability", F.when(k == 5, F.lit(0.5)).otherwise(F.col("fraud_probability")))
+    _in_batches(early, f"{root}/predictions", 24)
+    state = PanelState(spark, f"{root}/panels", f"{root}/predictions")
+    state.refresh()
+    predictions.filter(k == 5).write.mode("overwrite").parquet(f"{root}/predictions/batch_id=run5")
+    late = predictions.filter(k >= 20).withColumn("batch_id", F.concat(F.lit("run"), k))
+    late.write.mode("append").partitionBy("batch_id").parquet(f"{root}/predictions")
+    state.refresh()
+    return state.totals()
+
+
 # --- contracts of the model operators: what holds for any right forest --------------
 
 
@@ -630,3 +764,84 @@ def q_feature_drift(spark, sf_dir):
     g = _layers(spark, sf_dir)["gold"]
     cut = F.lit(BATCH_UPTO).cast("timestamp_ntz")
     return drift_report(g.filter(F.col("ingestion_timestamp") < cut), g.filter(F.col("ingestion_timestamp") >= cut))
+
+
+@register("past_anomalies")
+def q_past_anomalies(spark, sf_dir):
+    """X5 against earlier transactions only."""
+    return past_anomalies(_layers(spark, sf_dir)["gold"])
+
+
+@register("model_comparison")
+def q_model_comparison(spark, sf_dir):
+    """Two classifiers on the labelled rows, with bootstrap intervals of the differences.  The stand-ins: the fixture's
+    scores, and a rule on distance and amount."""
+    L = _layers(spark, sf_dir)
+    rule = ((F.col("customer_merchant_distance") > 5) | ((F.col("amt") > 900) & (F.col("night_transaction_flag") == 1))).cast("int")
+    rows = _labelled(L).select(KEY, LABEL, F.col("fraud_prediction").alias("current"), F.coalesce(rule, F.lit(0)).alias("candidate"))
+    return compare_predictions(rows, "current", "candidate")
+
+
+@register("key_sketches")
+def q_key_sketches(spark, sf_dir):
+    """A9/A11 by stored sketches: distinct keys by layer and keys still unscored, exactly, and whether each estimate lies
+    within its bound."""
+    L = _layers(spark, sf_dir)
+    root = f"{checkpoint_dir(spark)}/sketches-{uuid.uuid4().hex[:12]}"
+    SK.write_key_sketches(L["gold"], f"{root}/gold")
+    _in_batches(FX.predictions_from_gold(_before(L["gold"], SCORED_BEFORE)), f"{root}/predictions", 12)
+    scored = SK.KeySketches(spark, f"{root}/keys", f"{root}/predictions")
+    scored.refresh()
+    gold = spark.read.parquet(f"{root}/gold")
+    found = [
+        ("gold", L["gold"], SK.distinct_keys(gold)),
+        ("scored", _scored_keys(L), SK.distinct_keys(scored.sketches())),
+        ("unscored", _waiting(L), SK.missing_keys(gold, scored.sketches())),
+    ]
+    out = None
+    for name, rows, estimate in found:
+        exact = rows.agg(F.count_distinct(KEY).alias("keys"))
+        row = exact.join(estimate).select(F.lit(name).alias("what"), "keys", (F.abs(F.col("estimate") - F.col("keys")) <= F.col("bound")).alias("within_bound"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@register("quantile_drift")
+def q_quantile_drift(spark, sf_dir):
+    """X4 by KLL sketches: for each feature the rows of both periods, and how many of the sketches' deciles are not at
+    their rank within the error (counted over all rows)."""
+    g = _layers(spark, sf_dir)["gold"]
+    at = F.lit(BATCH_UPTO).cast("timestamp_ntz")
+    periods = [g.filter(F.col("ingestion_timestamp") < at), g.filter(F.col("ingestion_timestamp") >= at)]
+    sketched = [SK.feature_sketches(p) for p in periods]
+    drift = SK.quantile_drift(*sketched)
+    sizes = sketched[0].join(sketched[1].toDF(*[f"c_{c}" for c in sketched[1].columns]))
+    rows = sizes.select(
+        F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"n_{f}").alias("base_rows"), F.col(f"c_n_{f}").alias("current_rows")) for f in FEATURES])).alias("r")
+    ).select("r.*")
+    ranks = [i / 10 for i in range(1, 10)]
+    deciles = sketched[0].select(*[F.kll_sketch_get_quantile_double(f"s_{f}", F.array(*[F.lit(r) for r in ranks])).alias(f"q_{f}") for f in FEATURES])
+    tested = periods[0].join(F.broadcast(deciles))  # one row
+    counts = []
+    for f in FEATURES:
+        x = F.col(f).cast("double")
+        for i in range(9):
+            q = F.get(f"q_{f}", F.lit(i))
+            counts += [F.count_if(x < q).alias(f"lt_{f}_{i}"), F.count_if(x <= q).alias(f"le_{f}_{i}")]
+        counts.append(F.count(F.when(~F.isnan(x), x)).alias(f"n_{f}"))
+    counted = tested.agg(*counts)
+    off = [
+        F.struct(
+            F.lit(f).alias("feature"),
+            sum(
+                ((F.col(f"lt_{f}_{i}") / F.col(f"n_{f}") > r + SK.KLL_ERROR * 2) | (F.col(f"le_{f}_{i}") / F.col(f"n_{f}") < r - SK.KLL_ERROR * 2)).cast("int")
+                for i, r in enumerate(ranks)
+            ).alias("off"),
+        )
+        for f in FEATURES
+    ]
+    off = counted.select(F.explode(F.array(*off)).alias("o")).select("o.*")
+    bad = drift.select("feature", ((F.col("ks") < 0) | (F.col("ks") > 1) | (F.col("psi") < 0)).cast("int").alias("bad"))
+    return rows.join(F.broadcast(off), "feature").join(F.broadcast(bad), "feature").select(
+        "feature", "base_rows", "current_rows", (F.col("off") + F.col("bad")).cast("long").alias("beyond_error")
+    )

@@ -59,6 +59,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty marker file."""
+    p, fs = _file_system(spark, path)
+    fs.create(p, True).close()
+
+
 def drop_partitions(spark: SparkSession, path: str, values: list[tuple], partition_cols: list[str] | None = None) -> None:
     """Remove the named partitions of a layer: a dynamic overwrite replaces the
     partitions it has rows for and leaves one that lost its last row."""

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import decimal
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +35,22 @@ def read_layer(
     return df
 
 
+#: A layer that holds tombstones has this file beside its data; files written before the first one lack the column.
+TOMBSTONES = "_tombstones"
+
+
+def read_with_tombstones(spark: SparkSession, path: str, required: list[str] | None = None) -> DataFrame:
+    """A layer with its ``is_deleted`` column, if any of its files may have one (else as ``read_layer``)."""
+    from txnlake.operators.changes import DELETED
+    from txnlake.sinks.layers import path_exists
+
+    df = read_layer(spark, path, required=required)
+    if DELETED in df.columns or not path_exists(spark, f"{path.rstrip('/')}/{TOMBSTONES}"):
+        return df
+    # Spark takes the schema from one file; a column that a file lacks is NULL in its rows.
+    return read_layer(spark, path, T.StructType([*df.schema.fields, T.StructField(DELETED, T.BooleanType())]))
+
+
 def _is_missing_path(e: AnalysisException) -> bool:
     cond = getattr(e, "getCondition", None) or getattr(e, "getErrorClass", None)
     name = cond() if callable(cond) else None
@@ -148,3 +167,66 @@ def read_jdbc_parallel(
         spark, url, table, props, partition_column=partition_column, lower=int(lo), upper=int(hi) + 1,
         num_partitions=num_partitions, columns=columns,
     )
+
+
+# One row a split point, asked from the database's own order of the column; with an index it reads the index.
+SPLIT_SQL = '(SELECT "{column}" AS k FROM {table} WHERE "{column}" IS NOT NULL ORDER BY "{column}" OFFSET {at} ROWS FETCH NEXT 1 ROWS ONLY) s'
+
+
+def split_points(
+    spark: SparkSession, url: str, table: str, column: str, num_partitions: int, properties: dict[str, str] | None = None, split_sql: str = SPLIT_SQL
+) -> list:
+    """Values of ``column`` that cut the table into ``num_partitions`` ranges of about equal rows, in rising order.
+
+    The database counts the rows and gives the value at each cut; no key travels but the cuts.  A value that many rows
+    share is one cut, as ranges can't divide it.  ``split_sql`` is the query for databases with another dialect."""
+    props = dict(properties or {})
+    n = spark.read.jdbc(url, f'(SELECT COUNT("{column}") AS n FROM {table}) c', properties=props).first()[0]
+    points = []
+    for i in range(1, num_partitions):
+        at = n * i // num_partitions
+        if 0 < at < n:
+            row = spark.read.jdbc(url, split_sql.format(column=column, table=table, at=at), properties=props).first()
+            if row is not None and row[0] not in points:
+                points.append(row[0])
+    return points
+
+
+def _literal(value) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("'", "''") + "'"
+    if isinstance(value, bool) or value is None:
+        raise ValueError(f"no range can be cut at {value!r}")
+    if isinstance(value, (int, float, decimal.Decimal)):
+        return repr(value) if isinstance(value, float) else str(value)
+    if isinstance(value, dt.datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
+    if isinstance(value, dt.date):
+        return f"DATE '{value.isoformat()}'"
+    raise ValueError(f"no range can be cut at {value!r}")
+
+
+def range_predicates(column: str, points: list) -> list[str]:
+    """Disjoint conditions that cover all rows: NULLs are in the first."""
+    if not points:
+        return ["1 = 1"]
+    c, cuts = f'"{column}"', [_literal(p) for p in points]
+    middle = [f"{c} >= {a} AND {c} < {b}" for a, b in zip(cuts, cuts[1:])]
+    return [f"({c} < {cuts[0]} OR {c} IS NULL)", *middle, f"{c} >= {cuts[-1]}"]
+
+
+def read_jdbc_balanced(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    column: str,
+    num_partitions: int,
+    properties: dict[str, str] | None = None,
+    columns: list[str] | None = None,
+    split_sql: str = SPLIT_SQL,
+) -> DataFrame:
+    """Whole-table read in ranges of about equal rows of any ordered ``column``, also a text key or a skewed number."""
+    points = split_points(spark, url, table, column, num_partitions, properties, split_sql)
+    wanted = columns if columns is None or column in columns else [*columns, column]
+    df = read_jdbc(spark, url, table, properties, columns=wanted, predicates=range_predicates(column, points))
+    return df if columns is None else df.select(*columns)

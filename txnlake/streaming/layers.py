@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from txnlake.operators.incremental import CURSOR, append_idempotent
+from txnlake.operators.incremental import ARRIVED, CURSOR, append_idempotent, with_arrival
+from txnlake.operators.silver import latest_row
 from txnlake.schemas import KEY
 
 
@@ -25,14 +26,17 @@ def bronze_stream(
     bronze_path: str,
     schema: T.StructType | None = None,
     max_files_per_trigger: int | None = None,
+    arrival: bool = False,
 ) -> DataFrame:
     """Stream of Bronze rows as Parquet files land (a file source needs a
-    schema up front; by default it is taken from the files present)."""
+    schema up front; by default it is taken from the files present).  ``arrival``
+    adds the time at which each row's file was written."""
     schema = schema or spark.read.parquet(bronze_path).schema
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(bronze_path)
+    rows = reader.parquet(bronze_path)
+    return with_arrival(rows) if arrival else rows
 
 
 def _trigger(writer, available_now: bool, interval: str | None):
@@ -64,9 +68,10 @@ def start_silver_gold(
 
 
 def dedupe_stream(stream: DataFrame, key: str = KEY, event_time: str = CURSOR, watermark: str = "1 day") -> DataFrame:
-    """Drop repeats of a key arriving within ``watermark`` of each other
-    (state kept per key, evicted after the watermark passes).  The event time
-    is cast to TIMESTAMP: watermarks reject TIMESTAMP_NTZ."""
+    """Drop repeats of a key arriving within ``watermark`` of each other
+    (state kept per key, evicted after the watermark passes): the *first* copy
+    stays, for feeds whose copies are equal.  ``latest_stream`` keeps the latest.
+    The event time is cast to TIMESTAMP: watermarks reject TIMESTAMP_NTZ."""
     return (
         stream.filter(F.col(key).isNotNull())
         .withColumn("_event_time", F.col(event_time).cast("timestamp"))
@@ -76,6 +81,61 @@ def dedupe_stream(stream: DataFrame, key: str = KEY, event_time: str = CURSOR, w
     )
 
 
+def latest_stream(
+    stream: DataFrame,
+    key: str = KEY,
+    order: str = CURSOR,
+    arrival: str = ARRIVED,
+    window: str = "1 hour",
+    watermark: str = "1 hour",
+) -> DataFrame:
+    """Each key's latest copy, as a stateful aggregation for update mode.
+
+    The state holds a key's latest row (by ``order``; the batch rule of
+    ``dedupe_latest``) per window of *arrival* time, and is evicted when the
+    watermark passes the window.  Arrival (``bronze_stream(with_arrival=True)``) is
+    the clock, not the record's own time: a record may be late by any amount and
+    still arrives now, so the watermark drops no late copy and the state is
+    bounded by the keys that arrive within a window and the watermark.  Copies that
+    arrive in different windows come out once each; the sink must keep the latest,
+    as the merge into Silver does.
+    """
+    row = stream.drop(arrival)
+    latest = latest_row(row, key, order).alias("_row")
+    return (
+        stream.filter(F.col(key).isNotNull())
+        .withColumn("_at", F.col(arrival).cast("timestamp"))
+        .withWatermark("_at", watermark)
+        .groupBy(F.window("_at", window), key)
+        .agg(latest)
+        .select(key, "_row.*")
+        .select(*row.columns)
+    )
+
+
+def start_latest_merge(
+    stream: DataFrame,
+    silver_path: str,
+    checkpoint_location: str,
+    gold_path: str | None = None,
+    as_of=None,
+    available_now: bool = True,
+    interval: str | None = None,
+) -> StreamingQuery:
+    """X2 sink: the updated keys of each micro-batch (``latest_stream``) are merged into
+    Silver, and the touched months of Gold rebuilt.  A copy that is older than the
+    stored one changes nothing, and a replayed micro-batch merges the same rows again."""
+    from txnlake.plans.jobs import merge_into_silver, silver_to_gold
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        months = merge_into_silver(batch, silver_path)
+        if months and gold_path:
+            silver_to_gold(batch.sparkSession, silver_path, gold_path, as_of=as_of, months=months)
+
+    w = stream.writeStream.outputMode("update").foreachBatch(per_batch).option("checkpointLocation", checkpoint_location)
+    return _trigger(w, available_now, interval).start()
+
+
 def start_idempotent_append(
     stream: DataFrame,
     target_path: str,
