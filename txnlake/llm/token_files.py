@@ -220,6 +220,8 @@ class TextEncoder(dict):
         before = kind["pre_tokenizer"] or {}
         plain = kind["normalizer"] is None and before.get("type") == "ByteLevel" and before["use_regex"] and not before["add_prefix_space"]
         self.model = self.tokenizer.model if plain and sys.byteorder == "little" and array("I").itemsize == 4 and not kind["model"]["ignore_merges"] else None
+        if hasattr(self.model, "_resize_cache"):
+            self.model._resize_cache(1000)  # it sees each word about once
         self.pieces = regex.compile(public_tokenizers.PATTERN).findall
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
