@@ -123,15 +123,15 @@ ORACLE: dict[str, str] = {
         f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
         totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
         c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10),
-        cuts AS (
-            SELECT c.lang, c.k, c.phrase, a, x.f AS l, y.f AS r, x.k AS cut,
-                   CAST(1000000 * CAST(a AS HUGEINT) * a // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
-            FROM c JOIN f x ON x.lang = c.lang AND x.phrase = w[1] JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(w[2:], ' ')
+        parts AS (
+            SELECT lang, k, phrase, a, 1 AS cut, w[1] AS head, CASE WHEN k = 2 THEN w[2] ELSE w[2] || ' ' || w[3] END AS tail FROM c
             UNION ALL
-            SELECT c.lang, c.k, c.phrase, a, x.f, y.f, x.k,
-                   CAST(1000000 * CAST(a AS HUGEINT) * a // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT)
-            FROM c JOIN f x ON x.lang = c.lang AND x.phrase = w[1] || ' ' || w[2] JOIN f y ON y.lang = c.lang AND y.phrase = w[3]
-            WHERE c.k = 3
+            SELECT lang, k, phrase, a, 2, w[1] || ' ' || w[2], w[3] FROM c WHERE k = 3
+        ),
+        cuts AS (
+            SELECT p.lang, p.k, p.phrase, p.a, p.cut, x.f AS l, y.f AS r,
+                   CAST(1000000 * CAST(p.a AS HUGEINT) * p.a // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+            FROM parts p JOIN f x ON x.lang = p.lang AND x.phrase = p.head JOIN f y ON y.lang = p.lang AND y.phrase = p.tail
         ),
         best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
         longer AS (
