@@ -251,6 +251,16 @@ def score_of(a: str, left: str, right: str):
     return F.expr(f"({wide}) div (cast({left} as decimal(18,0)) * cast({right} as decimal(18,0)))")
 
 
+#: Most languages whose rows are broadcast.
+MAX_BROADCAST_LANGS = 100_000
+
+
+def _by_lang(rows: DataFrame) -> DataFrame:
+    """A table of a row for each language, to be joined: without moving the other side, in which one language may
+    have most rows, while its checked size allows."""
+    return F.broadcast(rows) if rows.count() <= MAX_BROADCAST_LANGS else rows
+
+
 def _thresholds(pairs: DataFrame, open_: DataFrame, wanted: int, grid: int) -> DataFrame:
     """For each open language the highest multiple of ``grid`` that ``wanted`` of its pairs reach; 0 if there are fewer."""
     bins = pairs.groupBy("lang", F.expr(f"score div {grid}").alias("bin")).agg(F.count(F.lit(1)).alias("rows"))
@@ -262,7 +272,7 @@ def _thresholds(pairs: DataFrame, open_: DataFrame, wanted: int, grid: int) -> D
 def _triples(rows: DataFrame, seed: int, pairs: DataFrame, limits: DataFrame, least: int) -> DataFrame:
     """All triples that score at least their language's threshold, or may drop a pair that does."""
     spark = rows.sparkSession
-    reach = pairs.join(limits, "lang").select(
+    reach = pairs.join(_by_lang(limits), "lang").select(
         "h1", "h2",
         F.explode(
             F.array_compact(
@@ -346,10 +356,10 @@ def collocations(docs: DataFrame, top: int = 2000, least: int = 10, inside_perce
         alive = pairs.join(longer, ["h1", "h2"], "left").filter(F.col("long").isNull() | (100 * F.col("long") < inside_percent * F.col("a")))
         columns = ["lang", "h1", "h2", "h3", "a", "l", "r", "score"]
         both = alive.withColumn("h3", F.lit(None).cast("long")).select(columns).union(triples.select(columns))
-        both = cut(both.join(limits, "lang").filter("score >= t"), "phrase-survivors")
+        both = cut(both.join(_by_lang(limits), "lang").filter("score >= t"), "phrase-survivors")
         counts = limits.join(both.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")), "lang", "left")
-        settled = counts.filter((F.col("t") == 0) | (F.col("rows") >= top)).select("lang")
-        own = both.drop("t").join(settled, "lang", "left_semi")
+        settled = cut(counts.filter((F.col("t") == 0) | (F.col("rows") >= top)).select("lang"), "phrase-settled")
+        own = both.drop("t").join(_by_lang(settled), "lang", "left_semi")
         out = own if out is None else out.unionByName(own)
         open_ = cut(limits.select("lang").join(settled, "lang", "left_anti"), "phrase-open")
         wanted *= 8
@@ -369,5 +379,5 @@ def _ranked(found: DataFrame, words: DataFrame, frequent: DataFrame, top: int) -
     share = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(shares))).orderBy(*order)
     found = found.withColumn("rank", F.row_number().over(share)).filter(F.col("rank") <= top)
     found = found.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("rank") <= top)
-    n = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    return found.join(n, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+    n = cut(words.groupBy("lang").agg(F.sum("f").alias("n")), "phrase-totals")
+    return found.join(_by_lang(n), "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
