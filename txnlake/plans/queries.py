@@ -506,11 +506,38 @@ def q_train_model(spark, sf_dir):
 # --- incremental paths, against the full rule ----------------------------------------
 
 
+FIRST_BATCH = 700  # rows of the first run in ``unscored_cursor``
+
+
 @register("unscored_cursor")
 def q_unscored_cursor(spark, sf_dir):
-    """N1 as cursor mode does it: narrow keys, the scored ones among them found by a reduced semi-join."""
+    """N1/E3 as cursor mode does it.  Gold arrives in two loads: a first run scores and persists a batch and leaves its mark;
+    then a part of Gold is written again as it was, and late and new rows arrive.  What the next run selects from the files
+    behind its mark must be what a run over all of Gold would."""
     L = _layers(spark, sf_dir)
-    return INC.absent(L["gold"].filter(F.col(KEY).isNotNull()).select(KEY, INC.CURSOR), _scored_keys(L))
+    checkpoint_dir(spark)
+    gold = L["gold"].checkpoint(eager=True)
+    root = f"{checkpoint_dir(spark)}/cursor-{uuid.uuid4().hex[:12]}"
+    P = {k: f"{root}/{k}" for k in ("gold", "predictions", "model", "batches", "state")}
+    ML.save_model(ML.train(_training(L).drop(KEY), num_trees=2, max_depth=2), P["model"])
+    FX.predictions_from_gold(_before(gold, SCORED_BEFORE)).write.parquet(f"{P['predictions']}/batch_id=earlier")
+    k = F.col(KEY).cast("long")
+    first = _before(gold, BRONZE_UPTO).filter(k % 13 != 0)
+    for part, rows in (("a", first.filter(k % 5 == 0)), ("b", first.filter(k % 5 != 0))):
+        rows.write.parquet(f"{P['gold']}/part={part}")
+
+    def run(batch_id: str, n: int) -> None:
+        jobs.run_inference(
+            spark, P["gold"], P["predictions"], P["model"], P["batches"], batch_id, dt.datetime(2024, 1, 31), n, P["state"], dt.timedelta(0)
+        )
+
+    run("one", FIRST_BATCH)
+    jobs.persist_predictions(spark, P["batches"], "one", P["predictions"])
+    first.filter(k % 5 == 0).write.mode("overwrite").parquet(f"{P['gold']}/part=a")
+    later = F.coalesce(F.col("ingestion_timestamp") >= F.lit(BRONZE_UPTO).cast("timestamp_ntz"), F.lit(True))
+    gold.filter((k % 13 == 0) | later).write.parquet(f"{P['gold']}/part=c")
+    run("two", INC.BATCH_SIZE)
+    return spark.read.schema(PREDICTIONS).parquet(f"{P['batches']}/batch_id=two").select(KEY, "amt")
 
 
 @register("silver_merge")
@@ -674,6 +701,20 @@ def q_score_contract(spark, sf_dir):
     )
 
 
+@register("train_contract")
+def q_train_contract(spark, sf_dir):
+    """M3: a row for each tree of the forest: its depth within the limit, and the same tree from Gold in 2 and in 8 files."""
+    gold = _layers(spark, sf_dir)["gold"]
+    root = f"{checkpoint_dir(spark)}/train-{uuid.uuid4().hex[:12]}"
+    fits = []
+    for files in (2, 8):
+        gold.repartition(files).write.parquet(f"{root}/gold{files}")
+        forest = jobs.train_on(spark.read.schema(gold.schema).parquet(f"{root}/gold{files}"))["model"].stages[-1]
+        fits.append([(t.depth, t.toDebugString.split("\n", 1)[1]) for t in forest.trees])
+    rows = [(i, a[0] <= ML.MAX_DEPTH, a == b) for i, (a, b) in enumerate(zip(*fits))]
+    return spark.createDataFrame(rows, "tree int, within_depth boolean, same_on_other_files boolean")
+
+
 @register("inference_batch_contract")
 def q_inference_batch_contract(spark, sf_dir):
     """The keys that the batch must hold, whatever the model says of them."""

@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from txnlake.operators.incremental import ARRIVED, CURSOR, append_idempotent, with_arrival
 from txnlake.operators.silver import latest_row
 from txnlake.schemas import KEY
+from txnlake.session import checkpoint_dir
 
 
 def bronze_stream(
@@ -127,7 +128,11 @@ def start_latest_merge(
     stored one changes nothing, and a replayed micro-batch merges the same rows again."""
     from txnlake.plans.jobs import merge_into_silver, silver_to_gold
 
+    checkpoint_dir(stream.sparkSession)
+
     def per_batch(batch: DataFrame, batch_id: int) -> None:
+        # Read several times by the merge: the state is updated once.
+        batch = batch.checkpoint(eager=True)
         months = merge_into_silver(batch, silver_path)
         if months and gold_path:
             silver_to_gold(batch.sparkSession, silver_path, gold_path, as_of=as_of, months=months)
