@@ -132,6 +132,15 @@ MAX_BROADCAST_KEYS = 2_000_000
 MAX_BROADCAST_BYTES = 64 << 20
 
 
+def small_keys(rows: DataFrame, key: str = KEY) -> DataFrame:
+    """The key column, marked for broadcast if its checked size, in rows and in bytes, allows it."""
+    size = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.col(key).cast("string"))).alias("b")).first()
+    keys = rows.select(key)
+    if size["n"] <= MAX_BROADCAST_KEYS and (size["b"] or 0) <= MAX_BROADCAST_BYTES:
+        return F.broadcast(keys)
+    return keys
+
+
 def absent(rows: DataFrame, target_keys: DataFrame, key: str = KEY) -> DataFrame:
     """``rows`` (keys not NULL) whose key the target lacks.
 
@@ -139,11 +148,7 @@ def absent(rows: DataFrame, target_keys: DataFrame, key: str = KEY) -> DataFrame
     can only build its right side, so the target's key column is first cut down
     to the keys asked for: one scan and no shuffle of it when their checked
     size, in rows and in bytes, allows a broadcast."""
-    size = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.col(key).cast("string"))).alias("b")).first()
-    keys = rows.select(key)
-    if size["n"] <= MAX_BROADCAST_KEYS and (size["b"] or 0) <= MAX_BROADCAST_BYTES:
-        keys = F.broadcast(keys)
-    present = target_keys.select(key).join(keys, key, "left_semi")
+    present = target_keys.select(key).join(small_keys(rows, key), key, "left_semi")
     return rows.join(present, key, "left_anti")
 
 

@@ -154,17 +154,14 @@ def merge_into_silver(new_bronze: DataFrame, silver_path: str) -> list[tuple]:
         existing = read_or_empty(spark, silver_path, new.schema)
     elif DELETED in new.columns and not marked:  # before the first tombstone is written
         SINK.touch(spark, f"{silver_path.rstrip('/')}/{TOMBSTONES}")
-    keys = new.select(KEY)
-    size = keys.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(KEY)).alias("b")).first()
-    if size["n"] <= INC.MAX_BROADCAST_KEYS and (size["b"] or 0) <= INC.MAX_BROADCAST_BYTES:
-        keys = F.broadcast(keys)
-    sitting = existing.select(KEY, *PARTITION_COLS).join(keys, KEY, "left_semi").select(*PARTITION_COLS)
+    sitting = existing.select(KEY, *PARTITION_COLS).join(INC.small_keys(new), KEY, "left_semi").select(*PARTITION_COLS)
     touched = new.select(*PARTITION_COLS).union(sitting).distinct()
     months = [tuple(r) for r in touched.limit(MAX_MONTHS + 1).collect()]
     if not months:
         return []
     if len(months) > MAX_MONTHS:
-        # Corrupt times can name any month: all months are then rewritten, by a plan that names none.
+        # Corrupt times can name any month: all months are then rewritten, by a plan that names none.  Their list is
+        # bounded by the calendar: 12 months of 9,999 years.
         months = [tuple(r) for r in existing.select(*PARTITION_COLS).union(new.select(*PARTITION_COLS)).distinct().collect()]
         merged = dedupe_latest(existing.select(*new.columns).unionByName(new))
     else:
@@ -219,6 +216,8 @@ def silver_to_gold(
     """Silver -> Gold. ``months`` restricts the read to those (year, month)
     partitions (partition pruning) and implies ``touched_only``."""
     silver = live(read_with_tombstones(spark, silver_path, required=GOLD_INPUT))
+    if months and len(months) > MAX_MONTHS:
+        months = None  # too many to name: the whole layer
     if months:
         silver = silver.filter(_months_filter(months))
         touched_only = True
@@ -330,8 +329,7 @@ def run_inference(
             batch = batch.filter(F.col(INC.CURSOR).isNull() | (F.col(INC.CURSOR) <= F.lit(until).cast("timestamp_ntz")))
         batch = INC.next_batch(batch, n)
     batch = batch.select(KEY).checkpoint(eager=True)
-    # The batch is at most n keys; larger ones are joined by shuffle.
-    keys = F.broadcast(batch) if n is not None and n <= MAX_BROADCAST_BATCH else batch
+    keys = INC.small_keys(batch)
     rows = gold.join(keys, KEY, "left_semi")
     scored = ML.score(ML.select_features(rows), ML.load_model(model_path), run_ts).select(*PREDICTIONS.fieldNames())
     p = SINK.write_batch(scored, batch_root, batch_id)
@@ -350,10 +348,6 @@ def run_inference(
     return count
 
 
-# Most keys of a batch that are broadcast to fetch its rows.
-MAX_BROADCAST_BATCH = 1_000_000
-
-
 def persist_predictions(spark: SparkSession, batch_root: str, batch_id: str, predictions_path: str, store=None) -> int:
     """Append the batch idempotently; rerunning adds nothing.  An empty
     batch is a no-op (checked with ``isEmpty``, one row read at most), unless an
@@ -413,10 +407,12 @@ def persist_predictions_jdbc(
 FIT_PARTITIONS, FIT_ROWS = 16, 250_000
 
 
-def fixed_layout(df: DataFrame, partitions: int | None = None) -> DataFrame:
+def fit_partitions(rows: int) -> int:
+    return max(FIT_PARTITIONS, -(-rows // FIT_ROWS))
+
+
+def fixed_layout(df: DataFrame, partitions: int) -> DataFrame:
     """Rows in ``partitions`` partitions by key, sorted by key in each."""
-    if partitions is None:
-        partitions = max(FIT_PARTITIONS, -(-df.count() // FIT_ROWS))
     return df.repartition(partitions, KEY).sortWithinPartitions(KEY, *[c for c in df.columns if c != KEY])
 
 
@@ -449,7 +445,8 @@ def train_on(
     # binned rows) and the hold-out once more: the split is computed once and
     # checkpointed into the cluster's checkpoint folder.
     checkpoint_dir(spark)
-    split = fixed_layout(ML.stratified_split(data), partitions).checkpoint(eager=True)
+    # Counted before the split's join: one narrow scan.
+    split = fixed_layout(ML.stratified_split(data), partitions or fit_partitions(data.count())).checkpoint(eager=True)
     fit_rows = split.filter(~F.col("is_test")).drop("is_test")
     if balanced:  # off by default, as in the original fit
         fit_rows = ML.with_balanced_weights(fit_rows)
@@ -484,7 +481,7 @@ def compare_models(
     gold = read_layer(spark, gold_path, required=TRAINING_INPUT)
     data = ML.clean_training(gold)
     checkpoint_dir(spark)
-    split = fixed_layout(ML.stratified_split(data)).checkpoint(eager=True)
+    split = fixed_layout(ML.stratified_split(data), fit_partitions(data.count())).checkpoint(eager=True)
     train = split.filter(~F.col("is_test"))
     test = split.filter(F.col("is_test"))
     out = None
