@@ -19,7 +19,7 @@ def empty_dir(spark, tmp_path_factory):
     return d
 
 
-FITTED = {"score_contract", "inference_batch_contract", "train_model_contract", "importance_contract"}  # no forest without rows
+FITTED = {"train_contract", "unscored_cursor", "score_contract", "inference_batch_contract", "train_model_contract", "importance_contract"}  # no forest without rows
 
 
 @pytest.mark.parametrize("name", sorted(set(ORACLE) - FITTED))

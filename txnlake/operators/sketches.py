@@ -13,13 +13,15 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txnlake.operators.panel_state import BatchPartials
 from txnlake.schemas import FEATURES, KEY, PARTITION_COLS
 from txnlake.session import checkpoint_dir
 from txnlake.sinks.layers import write_layer
+from txnlake.sources.layers import read_or_empty
 
 #: log2 of the hashes that a theta sketch keeps: 32 KB, 1.6 % standard error.
 LG_K = 12
@@ -43,6 +45,11 @@ def write_key_sketches(df: DataFrame, path: str, touched_only: bool = False, key
     write_layer(key_sketches(df, PARTITION_COLS, key), path, touched_only=touched_only)
 
 
+def read_key_sketches(spark: SparkSession, path: str) -> DataFrame:
+    """The stored sketches of a layer; none if it had no rows."""
+    return read_or_empty(spark, path, T.StructType([*(T.StructField(c, T.IntegerType()) for c in PARTITION_COLS), T.StructField("sketch", T.BinaryType())]))
+
+
 class KeySketches(BatchPartials):
     """The sketches of the predictions' batches, kept up to date like the panels."""
 

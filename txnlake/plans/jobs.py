@@ -43,6 +43,7 @@ from txnlake.sinks import layers as SINK
 from txnlake.sources.layers import (
     TOMBSTONES,
     existing_keys,
+    holds_nothing,
     jdbc_table_exists,
     read_jdbc,
     read_layer,
@@ -54,7 +55,7 @@ from txnlake.sources.layers import (
 
 def _written_rows(spark: SparkSession, path: str) -> int:
     """Rows in a written Parquet output, answered from file footers."""
-    return spark.read.parquet(path).count()
+    return 0 if holds_nothing(spark, path) else spark.read.parquet(path).count()
 
 
 # --- S6, S7: ingestion ------------------------------------------------------------
@@ -215,6 +216,8 @@ def silver_to_gold(
 ) -> int:
     """Silver -> Gold. ``months`` restricts the read to those (year, month)
     partitions (partition pruning) and implies ``touched_only``."""
+    if holds_nothing(spark, silver_path):  # nothing was ever ingested
+        return 0
     silver = live(read_with_tombstones(spark, silver_path, required=GOLD_INPUT))
     if months and len(months) > MAX_MONTHS:
         months = None  # too many to name: the whole layer

@@ -577,7 +577,7 @@ def q_stream_latest(spark, sf_dir):
         query = S.start_latest_merge(S.latest_stream(stream), f"{root}/silver", f"{root}/checkpoint")
         query.awaitTermination()
     silver = _layers(spark, sf_dir)["silver"]
-    return spark.read.schema(silver.schema).parquet(f"{root}/silver").select(*silver.columns)
+    return read_or_empty(spark, f"{root}/silver", silver.schema).select(*silver.columns)
 
 
 def _edited(df: DataFrame, key: str = KEY) -> DataFrame:
@@ -624,7 +624,7 @@ def q_snapshot_merge(spark, sf_dir):
     months = jobs.bronze_to_silver_incremental(spark, f"{root}/bronze", f"{root}/silver", SNAPSHOT_AT)
     jobs.silver_to_gold(spark, f"{root}/silver", f"{root}/gold", as_of=FX.AS_OF, months=months)
     gold = _layers(spark, sf_dir)["gold"]
-    return spark.read.schema(gold.schema).parquet(f"{root}/gold").select(*gold.columns).drop(INC.CURSOR)
+    return read_or_empty(spark, f"{root}/gold", gold.schema).select(*gold.columns).drop(INC.CURSOR)
 
 
 def _in_batches(predictions: DataFrame, path: str, n: int) -> None:
@@ -833,7 +833,7 @@ def q_key_sketches(spark, sf_dir):
     _in_batches(FX.predictions_from_gold(_before(L["gold"], SCORED_BEFORE)), f"{root}/predictions", 12)
     scored = SK.KeySketches(spark, f"{root}/keys", f"{root}/predictions")
     scored.refresh()
-    gold = spark.read.parquet(f"{root}/gold")
+    gold = SK.read_key_sketches(spark, f"{root}/gold")
     found = [
         ("gold", L["gold"], SK.distinct_keys(gold)),
         ("scored", _scored_keys(L), SK.distinct_keys(scored.sketches())),
@@ -861,7 +861,10 @@ def q_quantile_drift(spark, sf_dir):
         F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"n_{f}").alias("base_rows"), F.col(f"c_n_{f}").alias("current_rows")) for f in FEATURES])).alias("r")
     ).select("r.*")
     ranks = [i / 10 for i in range(1, 10)]
-    deciles = sketched[0].select(*[F.kll_sketch_get_quantile_double(f"s_{f}", F.array(*[F.lit(r) for r in ranks])).alias(f"q_{f}") for f in FEATURES])
+    at_ranks = F.array(*[F.lit(r) for r in ranks])
+    deciles = sketched[0].select(
+        *[F.when(F.col(f"n_{f}") > 0, F.kll_sketch_get_quantile_double(f"s_{f}", at_ranks)).alias(f"q_{f}") for f in FEATURES]
+    )
     tested = periods[0].join(F.broadcast(deciles))  # one row
     counts = []
     for f in FEATURES:
@@ -871,11 +874,15 @@ def q_quantile_drift(spark, sf_dir):
             counts += [F.count_if(x < q).alias(f"lt_{f}_{i}"), F.count_if(x <= q).alias(f"le_{f}_{i}")]
         counts.append(F.count(F.when(~F.isnan(x), x)).alias(f"n_{f}"))
     counted = tested.agg(*counts)
+
+    def below(count: str, f: str) -> Column:
+        return F.try_divide(F.col(count), F.col(f"n_{f}"))
+
     off = [
         F.struct(
             F.lit(f).alias("feature"),
             sum(
-                ((F.col(f"lt_{f}_{i}") / F.col(f"n_{f}") > r + SK.KLL_ERROR * 2) | (F.col(f"le_{f}_{i}") / F.col(f"n_{f}") < r - SK.KLL_ERROR * 2)).cast("int")
+                F.coalesce((below(f"lt_{f}_{i}", f) > r + SK.KLL_ERROR * 2) | (below(f"le_{f}_{i}", f) < r - SK.KLL_ERROR * 2), F.lit(False)).cast("int")
                 for i, r in enumerate(ranks)
             ).alias("off"),
         )
@@ -883,6 +890,6 @@ def q_quantile_drift(spark, sf_dir):
     ]
     off = counted.select(F.explode(F.array(*off)).alias("o")).select("o.*")
     bad = drift.select("feature", ((F.col("ks") < 0) | (F.col("ks") > 1) | (F.col("psi") < 0)).cast("int").alias("bad"))
-    return rows.join(F.broadcast(off), "feature").join(F.broadcast(bad), "feature").select(
-        "feature", "base_rows", "current_rows", (F.col("off") + F.col("bad")).cast("long").alias("beyond_error")
+    return rows.join(F.broadcast(off), "feature").join(F.broadcast(bad), "feature", "left").select(
+        "feature", "base_rows", "current_rows", (F.col("off") + F.coalesce("bad", F.lit(0))).cast("long").alias("beyond_error")
     )

@@ -57,6 +57,17 @@ def _is_missing_path(e: AnalysisException) -> bool:
     return name == "PATH_NOT_FOUND" or "PATH_NOT_FOUND" in str(e)
 
 
+def holds_nothing(spark: SparkSession, path: str) -> bool:
+    """Whether a partitioned layer was written without a row: it has no file to take a schema from."""
+    try:
+        spark.read.parquet(path)
+        return False
+    except AnalysisException as e:
+        if "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return True
+        raise
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
     """An absent table is an empty one; every other failure propagates
     (an outage must not read as "nothing scored yet")."""
