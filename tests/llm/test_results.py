@@ -283,10 +283,6 @@ def test_equal_shares_within_reach():
     assert mixing.equal_shares(np.zeros(0), 0.25).tolist() == []
 
 
-def test_third_marginal_is_stated_as_a_length_profile():
-    assert "stated topic words" not in mixing.__doc__ and "length\nprofile" in mixing.__doc__
-
-
 def test_topics_of_the_caller(docs):
     got = mixing.mix(docs, topic_of=F.when(F.col("lang") == "en", "a")).select("lang", "topic").distinct().collect()
     assert {(r["lang"] == "en", r["topic"]) for r in got} == {(True, "a"), (False, "none")}

@@ -210,7 +210,7 @@ def connected(links: DataFrame, rounds: int = 50) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, dense: int = 1 << 16) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable), n_links_class for every row."""
+    """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable) for every row."""
     if not 0 <= max_bits <= BYTES - SAME:
         raise ValueError(f"max_bits must be 0 to {BYTES - SAME}")
     prints = cut(fingerprints(docs, shingle), "simhash-prints")
