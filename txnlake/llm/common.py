@@ -12,9 +12,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnlake.session import checkpoint_dir
+from txnlake.sinks.layers import _file_system
 
 #: White space of every contract here: space and the bytes 9 to 13.
 WHITE = r"[\x20\x09-\x0D]+"
+#: Spark's setting that removes the shuffle files of a query when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,12 +29,27 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/llm-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back: lineage ends here,
-    so a lost executor costs only the tasks it ran, and later passes don't repeat the work."""
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def cut(df: DataFrame, name: str, path: str | None = None, free: bool = False) -> DataFrame:
+    """``df`` written once to the shared folder (at ``path``, if given) and read back: lineage ends here,
+    so a lost executor costs only the tasks it ran, and later passes don't repeat the work.
+
+    ``free`` has Spark remove the shuffle files of this write when it is done; nothing may read ``df`` itself again at their cost."""
+    spark = df.sparkSession
+    path = path or shared_path(spark, name)
+    before = spark.conf.get(CLEANUP, "false")
+    if free:
+        spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    """Remove a folder that ``cut`` wrote, once all that read it are done."""
+    place, files = _file_system(spark, path)
+    files.delete(place, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

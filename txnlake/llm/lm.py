@@ -1,14 +1,22 @@
 """LM scoring with a log-frequency Bloom filter in shards.
 
 The model keeps every word, word pair and triple of the training texts, however
-rare.  Texts are put into blocks; each block sends the different n-grams it holds,
-by key hash, to their shards, with the number of training occurrences (0 where
-only held-out texts have them).  A shard sums them, holds pairs and triples in a
+rare.  Texts are put into blocks, and two passes run over them.  The first sends
+the different n-grams of each block's training texts, with their occurrences, by
+key hash to shards.  A shard sums them and is written: pairs and triples as a
 log-frequency Bloom filter sized from the events it counted (words keep exact
-counts) and answers each block in the order it was asked, so an answer is a byte
-and needs no key.  The block then scores its texts.  What is shuffled and held
-grows with the corpus, a shard only with a partition's share of it; nothing is
-broadcast or gathered on the driver but two totals.
+counts).  From there on no other count exists.  The second pass sends the n-grams
+of all texts, without counts, to the written shards; these probe their filters and
+answer each block in the order it asked, so an answer is a byte and needs no key.
+The block then scores its texts.
+
+The number of shards follows from the counted occurrences (``SHARD``), that of the
+scoring tasks from the blocks, so a task reads the same at every size of the corpus;
+where a task has several shards or blocks it takes them one at a time.  A shard's
+memory is its different n-grams; a filter can't be outgrown, since its size follows
+its events.  Sending all shards to every worker would need memory that grows with the
+corpus, so the questions go to the filters.  Nothing is broadcast or gathered on the
+driver but totals.
 
 The filter holds an n-gram at level 1 to q, where q is its count on a scale of
 powers of sqrt 2.  Nothing but bits is kept: a count is read by probing level
@@ -35,6 +43,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -43,22 +53,27 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnlake.llm.common import cut, remainder, shuffle_partitions, slices, text_bytes
-from txnlake.llm.tokens import mix, sequences
+from txnlake.llm.common import cut, drop, remainder, shared_path, slices, text_bytes
+from txnlake.llm.tokens import count_words, mix, sequences
 
 _U = np.uint64
 #: How many occurrences the shorter context's probability weighs as, by length of the context.
 K1, K2 = 800.0, 5.0
 COUNT_BASE = 2**0.5
 SLICE = 2 << 20
+#: Occurrences of pairs and triples for which a shard is made, and blocks for which a scoring task is.
+SHARD, TASK_BLOCKS = 4_000_000, 8
+#: Beyond so many tasks one takes several shards or more blocks, one after the other.
+MOST_TASKS = 100_000
+#: Keys that are summed up or asked for at once.
+AT_ONCE = 1 << 20
 
 
 class LogBloom:
     """Small integers by 64-bit key, held as membership of (key, 1), (key, 2), ... in a Bloom filter."""
 
-    def __init__(self, events: int, bits_per_event: int = 16, hashes: int = 8, most_bits: int = 1 << 29):
-        size = 1 << max(16, int(max(1, events) * bits_per_event - 1).bit_length())
-        self.size, self.hashes = min(size, most_bits), hashes
+    def __init__(self, events: int, bits_per_event: int = 16, hashes: int = 8):
+        self.size, self.hashes = 1 << max(16, int(max(1, events) * bits_per_event - 1).bit_length()), hashes
         self.bits = np.zeros(self.size // 8, np.uint8)
 
     def _places(self, key: np.ndarray, level: int) -> Iterator[np.ndarray]:
@@ -124,9 +139,10 @@ def low(level: np.ndarray) -> np.ndarray:
 
 
 # --- blocks -----------------------------------------------------------------
-BLOCKS = "block long, docs long, doc_ids binary, nulls binary, held binary, lengths binary, size long, texts binary"
-#: ``counts`` are the occurrences that are asked with (question) or found (answer).
-QUESTIONS = "block long, bucket int, words binary, word_counts binary, grams binary, gram_counts binary"
+BLOCKS = "block long, docs long, occurrences long, doc_ids binary, nulls binary, held binary, lengths binary, size long, texts binary"
+QUESTIONS = "block long, bucket int, words binary, grams binary"
+#: Words, pairs and triples of training texts come with their occurrences.
+COUNTED = f"{QUESTIONS}, word_counts binary, gram_counts binary"
 
 
 def _pack(values: np.ndarray) -> bytes:
@@ -166,17 +182,20 @@ def blocked(docs: DataFrame, name: str) -> DataFrame:
             ids = table.column("doc_id")
             texts = text_bytes(table.column("text"))
             whole = b"".join(texts)
+            out = table.column("held_out").to_numpy().astype(bool)
+            trained = [t for t, x in zip(texts, out.tolist()) if not x]
             row = {
                 "block": number,
                 "docs": len(texts),
+                "occurrences": 2 * count_words(trained) + len(trained),
                 "doc_ids": _pack(pa.compute.fill_null(ids, 0).to_numpy()),
                 "nulls": pa.compute.is_null(ids).to_numpy().tobytes(),
-                "held": table.column("held_out").to_numpy().astype(bool).tobytes(),
+                "held": out.tobytes(),
                 "lengths": _pack(np.array([len(t) for t in texts])),
                 "size": len(whole),
                 "texts": pa.compress(whole, "zstd", asbytes=True),
             }
-            return pa.RecordBatch.from_arrays([pa.array([row[k]], pa.int64() if k in ("block", "docs", "size") else pa.binary()) for k in row], names=list(row))
+            return pa.RecordBatch.from_arrays([pa.array([row[k]], pa.int64() if k in ("block", "docs", "occurrences", "size") else pa.binary()) for k in row], names=list(row))
 
         for batch in slices(batches, "text", SLICE):
             more = pa.compute.sum(pa.compute.binary_length(batch.column("text"))).as_py() or 0
@@ -198,38 +217,50 @@ def _texts(row: dict) -> list[bytes]:
     return [whole[a:b] for a, b in zip(edge, edge[1:])]
 
 
-def questions(blocks: DataFrame, buckets: int) -> DataFrame:
-    """The different n-grams of each block, dealt to ``buckets`` by their keys, with their occurrences in training texts."""
+def shards_for(occurrences: int) -> int:
+    return max(1, -(-occurrences // SHARD))
+
+
+def questions(blocks: DataFrame, buckets: int, training: bool) -> DataFrame:
+    """The different n-grams of each block, dealt to ``buckets`` by their keys: of training texts with their occurrences, or of all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                flat, first = sequences(_texts(row))
-                spot = _spots(flat, first)
-                trained = np.repeat(~np.frombuffer(row["held"], bool), np.diff(first))
-                word, pair, triple = keys_of(flat, spot)
-                # The leading end token is asked for as a context, but doesn't count.
-                grams = np.concatenate([pair[spot >= 1], triple[spot >= 2]])
-                columns = []
-                for key, counts, spare in ((word, trained & (spot >= 1), _U(0)), (grams, np.concatenate([trained[spot >= 1], trained[spot >= 2]]), SPARE)):
-                    key, back = np.unique(key, return_inverse=True)
-                    count = np.bincount(back, counts, len(key)).astype(np.int64)
-                    edges = np.searchsorted(bucket_of(key, buckets), np.arange(buckets + 1)).tolist()
-                    # The first key of a part counts from 0, so a part can be read by itself.
-                    columns.append([_pack_keys(key[a:b], spare) for a, b in zip(edges, edges[1:])])
-                    columns.append([_pack(count[a:b]) for a, b in zip(edges, edges[1:])])
-                present = [i for i in range(buckets) if columns[0][i] or columns[2][i]]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([row["block"]] * len(present), pa.int64()),
-                        pa.array(present, pa.int32()),
-                        *(pa.array([x[i] for i in present], pa.binary()) for x in columns),
-                    ],
-                    names=["block", "bucket", "words", "word_counts", "grams", "gram_counts"],
-                )
-
-    asked = blocks.select("block", "held", "lengths", "size", "texts").mapInArrow(run, QUESTIONS)
-    return asked.repartition(shuffle_partitions(blocks.sparkSession), "bucket")
+        for row in _rows(batches):
+            texts = _texts(row)
+            if training:
+                texts = [t for t, out in zip(texts, np.frombuffer(row["held"], bool).tolist()) if not out]
+                if not texts:
+                    continue
+            flat, first = sequences(texts)
+            spot = _spots(flat, first)
+            word, pair, triple = keys_of(flat, spot)
+            columns: dict[str, list[bytes]] = {}
+            # The leading end token is a context, but doesn't count.
+            for name, key, spare in (("word", word[spot >= 1], _U(0)), ("gram", np.concatenate([pair[spot >= 1], triple[spot >= 2]]), SPARE)):
+                key, count = np.unique(key, return_counts=True) if training else (np.unique(key), None)
+                edges = np.searchsorted(bucket_of(key, buckets), np.arange(buckets + 1)).tolist()
+                # The first key of a part counts from 0, so a part can be read by itself.
+                columns[f"{name}s"] = [_pack_keys(key[a:b], spare) for a, b in zip(edges, edges[1:])]
+                if training:
+                    columns[f"{name}_counts"] = [_pack(count[a:b]) for a, b in zip(edges, edges[1:])]
+            present = [i for i in range(buckets) if columns["words"][i] or columns["grams"][i]]
+            names = ["words", "grams", *(["word_counts", "gram_counts"] if training else [])]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([row["block"]] * len(present), pa.int64()),
+                    pa.array(present, pa.int32()),
+                    *(pa.array([columns[x][i] for i in present], pa.binary()) for x in names),
+                ],
+                names=["block", "bucket", *names],
+            )
+
+    return blocks.select("block", "held", "lengths", "size", "texts").mapInArrow(run, COUNTED if training else QUESTIONS)
+
+
+def _dealt(rows: DataFrame, buckets: int) -> DataFrame:
+    """Bucket by bucket, and in each the blocks in order (a shard, which is of no block, first)."""
+    n = min(buckets, MOST_TASKS)
+    return rows.repartitionById(n, (F.col("bucket") % n).cast("int")).sortWithinPartitions("bucket", "block")
 
 
 def bucket_of(key: np.ndarray, buckets: int) -> np.ndarray:
@@ -237,72 +268,107 @@ def bucket_of(key: np.ndarray, buckets: int) -> np.ndarray:
     return ((key >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int32)
 
 
-def _sum(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The different keys, their totals, and for each entry its key's place."""
-    key, back = np.unique(np.concatenate(keys), return_inverse=True)
-    total = np.zeros(len(key), np.int64)
-    np.add.at(total, back, np.concatenate(counts))
-    return key, total, back
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 16):
+            yield from batch.slice(at, 16).to_pylist()
+
 
+# --- shards -----------------------------------------------------------------
+SHARDS = "bucket int, words binary, counts binary, size long, bits binary, n long, v long"
 
-def _filter(key: np.ndarray, total: np.ndarray) -> LogBloom:
-    level = level_of(total[total > 0])
-    bloom = LogBloom(int(level.sum()))
-    bloom.add(key[total > 0], level)
-    return bloom
 
+class Sums:
+    """Totals by key; the entries that wait are added up whenever they are many against the keys."""
 
-def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
-    """Each bucket with its questions: block, words, their counts, pairs and triples, their counts."""
-    held: dict[int, list[tuple]] = {}
-    for batch in batches:
-        for block, bucket, *parts in zip(*(batch.column(x).to_pylist() for x in ("block", "bucket", "words", "word_counts", "grams", "gram_counts"))):
-            held.setdefault(bucket, []).append((block, *parts))
-    for bucket in sorted(held):
-        yield bucket, held.pop(bucket)
+    def __init__(self) -> None:
+        self.keys, self.totals, self.waiting = [np.zeros(0, _U)], [np.zeros(0, np.int64)], 0
 
+    def add(self, key: np.ndarray, count: np.ndarray) -> None:
+        self.keys.append(key)
+        self.totals.append(count)
+        self.waiting += len(key)
+        if self.waiting > max(AT_ONCE, len(self.keys[0]) // 2):
+            self.result()
 
-def _words(rows: list[tuple]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    return [_unpack_keys(r[1]) for r in rows], [_unpack(r[2]) for r in rows]
+    def result(self) -> tuple[np.ndarray, np.ndarray]:
+        if self.waiting:
+            key, total = np.concatenate(self.keys), np.concatenate(self.totals)
+            order = np.argsort(key, kind="stable")
+            key = key[order]
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            self.keys, self.totals, self.waiting = [key[first]], [np.add.reduceat(total[order], first)], 0
+        return self.keys[0], self.totals[0]
 
 
-def _grams(rows: list[tuple]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    return [_unpack_keys(r[3], SPARE) for r in rows], [_unpack(r[4]) for r in rows]
+def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A shard of each bucket: exact counts of its words, a filter of its pairs and triples."""
+    for bucket, rows in groupby(_rows(batches), key=itemgetter("bucket")):
+        words, grams = Sums(), Sums()
+        for r in rows:
+            words.add(_unpack_keys(r["words"]), _unpack(r["word_counts"]))
+            grams.add(_unpack_keys(r["grams"], SPARE), _unpack(r["gram_counts"]))
+        key, total = grams.result()
+        level = level_of(total)
+        bloom = LogBloom(int(level.sum()))
+        bloom.add(key, level)
+        key, total = words.result()
+        row = (bucket, _pack_keys(key), _pack(total), bloom.size, pa.compress(bloom.bits.tobytes(), "zstd", asbytes=True), int(total.sum()), len(key))
+        types = (pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types)], names=["bucket", "words", "counts", "size", "bits", "n", "v"])
 
 
-ANSWERS = "block long, bucket int, words binary, grams binary, n long, v long"
+class Shard:
+    """A written shard, read: all that is known of the counts of its keys."""
+
+    def __init__(self, row: dict):
+        self.words, self.counts, self.bloom = _unpack_keys(row["words"]), _unpack(row["counts"]), LogBloom(1)
+        self.bloom.size, self.bloom.bits = row["size"], np.frombuffer(pa.decompress(row["bits"], row["size"] // 8, "zstd", asbytes=True), np.uint8)
+
+    def find(self, key: np.ndarray, words: bool) -> np.ndarray:
+        """Counts of words, or levels of pairs and triples."""
+        if not words:
+            return self.bloom.get(key)
+        if not len(self.words):
+            return np.zeros(len(key), np.int64)
+        place = np.minimum(np.searchsorted(self.words, key), len(self.words) - 1)
+        return np.where(self.words[place] == key, self.counts[place], 0)
+
+
+ANSWERS = "block long, bucket int, words binary, grams binary"
 
 
 def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """To each question the words' counts and the pairs' and triples' levels over all blocks; the words' totals with the first."""
-    for bucket, rows in _by_bucket(batches):
-        keys, counts = _words(rows)
-        _, total, back = _sum(keys, counts)
-        found, edges = total[back], np.cumsum([0, *map(len, keys)]).tolist()
-        words = [_pack(found[a:b]) for a, b in zip(edges, edges[1:])]
-        n, v = int(total.sum()), int((total > 0).sum())
-        keys, counts = _grams(rows)
-        key, total, back = _sum(keys, counts)
-        found, edges = _filter(key, total).get(key).astype(np.uint8)[back], np.cumsum([0, *map(len, keys)]).tolist()
-        grams = [found[a:b].tobytes() for a, b in zip(edges, edges[1:])]
-        rest = len(rows) - 1
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([r[0] for r in rows], pa.int64()),
-                pa.array([bucket] * len(rows), pa.int32()),
-                pa.array(words, pa.binary()),
-                pa.array(grams, pa.binary()),
-                pa.array([n] + [0] * rest, pa.int64()),
-                pa.array([v] + [0] * rest, pa.int64()),
-            ],
-            names=["block", "bucket", "words", "grams", "n", "v"],
+    """To each question the words' counts and the pairs' and triples' levels, as the bucket's shard has them (none: all 0)."""
+
+    def answers(shard: Shard | None, bucket: int, asked: list[tuple]) -> pa.RecordBatch:
+        columns = []
+        for i, words in ((1, True), (2, False)):
+            keys = np.concatenate([r[i] for r in asked])
+            found = shard.find(keys, words) if shard else np.zeros(len(keys), np.int64)
+            edges = np.cumsum([0, *(len(r[i]) for r in asked)]).tolist()
+            columns.append([_pack(found[a:b]) if words else found[a:b].astype(np.uint8).tobytes() for a, b in zip(edges, edges[1:])])
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in asked], pa.int64()), pa.array([bucket] * len(asked), pa.int32()), *(pa.array(x, pa.binary()) for x in columns)],
+            names=["block", "bucket", "words", "grams"],
         )
 
-
-# --- a model that stays -----------------------------------------------------
-SHARDS = "bucket int, words binary, counts binary, size long, bits binary, n long, v long"
+    for bucket, rows in groupby(_rows(batches), key=itemgetter("bucket")):
+        shard, asked, waiting = None, [], 0
+        for r in rows:
+            if r["block"] is None:
+                shard = Shard(r)
+                continue
+            asked.append((r["block"], _unpack_keys(r["words"]), _unpack_keys(r["grams"], SPARE)))
+            waiting += len(asked[-1][1]) + len(asked[-1][2])
+            if waiting > AT_ONCE:
+                yield answers(shard, bucket, asked)
+                asked, waiting = [], 0
+        if asked:
+            yield answers(shard, bucket, asked)
 
 
+# --- a model that stays -----------------------------------------------------
 @dataclass
 class Model:
     """A trained model in a written table of shards; ``find`` fetches the shards it is asked for, for a few texts."""
@@ -320,43 +386,31 @@ class Model:
         if new:
             self.held |= {b: None for b in new}
             for r in self.shards.filter(F.col("bucket").isin(new)).collect():
-                bloom = LogBloom(1)
-                bloom.size, bloom.bits = r["size"], np.frombuffer(pa.decompress(r["bits"], r["size"] // 8, "zstd", asbytes=True), np.uint8)
-                self.held[r["bucket"]] = (_unpack_keys(r["words"]), _unpack(r["counts"]), bloom)
+                self.held[r["bucket"]] = Shard(r)
         out = np.zeros(len(key), np.int64)
         for b in asked:
             at = np.flatnonzero(bucket == b)
-            if self.held[b] is None:
-                continue
-            known, count, bloom = self.held[b]
-            if not words:
-                out[at] = bloom.get(key[at])
-            elif len(known):
-                place = np.minimum(np.searchsorted(known, key[at]), len(known) - 1)
-                out[at] = np.where(known[place] == key[at], count[place], 0)
+            if self.held[b]:
+                out[at] = self.held[b].find(key[at], words)
         return out
 
 
-def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for bucket, rows in _by_bucket(batches):
-        key, total, _ = _sum(*_words(rows))
-        key, total = key[total > 0], total[total > 0]
-        gram, of, _ = _sum(*_grams(rows))
-        bloom = _filter(gram, of)
-        row = (bucket, _pack_keys(key), _pack(total), bloom.size, pa.compress(bloom.bits.tobytes(), "zstd", asbytes=True), int(total.sum()), len(key))
-        types = (pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types)], names=["bucket", "words", "counts", "size", "bits", "n", "v"])
-
-
 def _totals(rows: DataFrame) -> tuple[int, int]:
     return tuple(rows.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first())
 
 
+def _trained(blocks: DataFrame) -> tuple[DataFrame, str, int, int]:
+    """The shards of the blocks' training texts, their folder and number, and the number of blocks."""
+    occurrences, n = blocks.agg(F.coalesce(F.sum("occurrences"), F.lit(0)), F.count("block")).first()
+    buckets, path = shards_for(occurrences), shared_path(blocks.sparkSession, "lm-shards")
+    rows = _dealt(questions(blocks, buckets, training=True), buckets)
+    return cut(rows.mapInArrow(_shards, SHARDS), "lm-shards", path, free=True), path, buckets, n
+
+
 def train(rows: DataFrame) -> tuple[Model, DataFrame, int]:
     """The model, its table of shards and their number of buckets; learns from every row of ``rows`` (text)."""
-    buckets = 2 * shuffle_partitions(rows.sparkSession)
     blocks = blocked(rows.select(F.lit(0).alias("doc_id"), "text", F.lit(False).alias("held_out")), "lm-blocks")
-    shards = cut(questions(blocks, buckets).mapInArrow(_shards, SHARDS), "lm-shards")
+    shards, _, buckets, _ = _trained(blocks)
     return Model(*_totals(shards), shards, buckets), shards, buckets
 
 
@@ -394,22 +448,16 @@ COLUMNS = [x.split()[0] for x in RESULT.split(", ")]
 
 
 def _scored(n: int, v: int):
-    """The rows of each block, from its texts and all answers to it."""
+    """The rows of each block, from its texts (first) and all answers to it, by their buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts, told = {}, {}
-        for batch in batches:
-            for row in batch.to_pylist():
-                if row["docs"] is not None:
-                    texts[row["block"]] = row
-                else:
-                    told.setdefault(row["block"], []).append((row["bucket"], row["words"], row["grams"]))
         model = Model(n, v, None, 0)
-        for block in sorted(texts):
-            row, answers = texts.pop(block), sorted(told.pop(block, []))
+        for block, rows in groupby(_rows(batches), key=itemgetter("block")):
+            row = next(rows)
+            answers = [(r["words"], r["grams"]) for r in rows]
 
             def find(key: np.ndarray, words: bool) -> np.ndarray:
-                got = [_unpack(x) if words else np.frombuffer(y, np.uint8).astype(np.int64) for _, x, y in answers]
+                got = [_unpack(x) if words else np.frombuffer(y, np.uint8).astype(np.int64) for x, y in answers]
                 got = np.concatenate([np.zeros(0, np.int64), *got])
                 if len(got) != len(key):
                     raise ValueError(f"block {block}: {len(got)} answers to {len(key)} questions")
@@ -447,8 +495,12 @@ HELD_OUT = (7, 2)
 def score_documents(docs: DataFrame) -> DataFrame:
     """Every row of ``docs`` scored by a model of the rows that are not held out."""
     rows = docs.select("doc_id", "text").withColumn("held_out", remainder("doc_id", HELD_OUT[0]) == HELD_OUT[1])
-    partitions = shuffle_partitions(docs.sparkSession)
     blocks = blocked(rows, "lm-blocks")
-    answers = cut(questions(blocks, 2 * partitions).mapInArrow(_answer, ANSWERS), "lm-answers")
-    both = blocks.unionByName(answers.drop("n", "v"), allowMissingColumns=True).repartition(partitions, "block")
-    return both.mapInArrow(_scored(*_totals(answers)), RESULT)
+    shards, path, buckets, n = _trained(blocks)
+    totals = _totals(shards)
+    asked = _dealt(questions(blocks, buckets, training=False).unionByName(shards.drop("n", "v"), allowMissingColumns=True), buckets)
+    answers = cut(asked.mapInArrow(_answer, ANSWERS), "lm-answers", free=True)
+    drop(docs.sparkSession, path)
+    both = blocks.drop("occurrences").unionByName(answers, allowMissingColumns=True)
+    both = both.repartition(min(MOST_TASKS, max(1, -(-n // TASK_BLOCKS))), "block").sortWithinPartitions("block", "bucket")
+    return both.mapInArrow(_scored(*totals), RESULT)

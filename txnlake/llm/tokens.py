@@ -58,6 +58,11 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return found, np.diff(np.searchsorted(start, bounds))
 
 
+def count_words(texts: list[bytes]) -> int:
+    white = _IS_WHITE[np.frombuffer(b"\n".join([b"", *texts, b""]), np.uint8)]
+    return int((white[:-1] & ~white[1:]).sum())
+
+
 def sequences(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The words of all texts with the end token before and after each text, and the place of each text's first entry
     (and the end of the last)."""
