@@ -84,10 +84,12 @@ class LogBloom:
             y = y + step
 
     def add(self, key: np.ndarray, value: np.ndarray) -> None:
+        plane = np.unpackbits(self.bits, bitorder="little")
         for level in range(1, int(value.max(initial=0)) + 1):
             key, value = key[value >= level], value[value >= level]
             for place in self._places(key, level):
-                np.bitwise_or.at(self.bits, place >> _U(3), (1 << (place & _U(7))).astype(np.uint8))
+                plane[place] = 1
+        self.bits = np.packbits(plane, bitorder="little")
 
     def get(self, key: np.ndarray) -> np.ndarray:
         """Probe level after level; 0 if level 1 is missing. Never below the value added."""
@@ -217,6 +219,12 @@ def _texts(row: dict) -> list[bytes]:
     return [whole[a:b] for a, b in zip(edge, edge[1:])]
 
 
+def _different(key: np.ndarray) -> np.ndarray:
+    """The different keys in order, by sorting (np.unique hashes them, which is far slower for mostly different ones)."""
+    key = np.sort(key)
+    return key[np.concatenate([[True], key[1:] != key[:-1]])] if len(key) else key
+
+
 def shards_for(occurrences: int) -> int:
     return max(1, -(-occurrences // SHARD))
 
@@ -237,7 +245,7 @@ def questions(blocks: DataFrame, buckets: int, training: bool) -> DataFrame:
             columns: dict[str, list[bytes]] = {}
             # The leading end token is a context, but doesn't count.
             for name, key, spare in (("word", word[spot >= 1], _U(0)), ("gram", np.concatenate([pair[spot >= 1], triple[spot >= 2]]), SPARE)):
-                key, count = np.unique(key, return_counts=True) if training else (np.unique(key), None)
+                key, count = np.unique(key, return_counts=True) if training else (_different(key), None)
                 edges = np.searchsorted(bucket_of(key, buckets), np.arange(buckets + 1)).tolist()
                 # The first key of a part counts from 0, so a part can be read by itself.
                 columns[f"{name}s"] = [_pack_keys(key[a:b], spare) for a, b in zip(edges, edges[1:])]
