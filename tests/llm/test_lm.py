@@ -91,9 +91,9 @@ def test_counts_come_from_the_filter_alone(spark, rows, monkeypatch):
     found = lm.Shard({"words": b"", "counts": b"", "size": 1 << 16, "bits": lm.pa.compress(bytes(1 << 13), "zstd", asbytes=True)})
     assert not found.find(np.arange(9, dtype=np.uint64), False).any() and not found.find(np.arange(9, dtype=np.uint64), True).any()
     blocks = lm.blocked(spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "text", "false AS held_out"), "t")
-    shards, _, buckets, _ = lm._trained(blocks)
-    assert set(shards.columns) == {"bucket", "words", "counts", "size", "bits", "n", "v"} and buckets == 1
-    asked = lm.questions(blocks, buckets, training=False)
+    model, _, _ = lm._trained(blocks)
+    assert set(model.shards.columns) == {"bucket", "words", "counts", "size", "bits", "n", "v"} and model.buckets == 1
+    asked = lm.questions(blocks, model.buckets, model.spare, training=False)
     assert set(asked.columns) == {"block", "bucket", "words", "grams"}
 
 
@@ -110,6 +110,12 @@ def test_shards_follow_the_occurrences():
     assert [lm.shards_for(n) for n in (0, 1, lm.SHARD, lm.SHARD + 1, 1000 * lm.SHARD)] == [1, 1, 1, 2, 1000]
 
 
+def test_keys_grow_with_the_occurrences():
+    for n in (1, 1000, 10**8, 10**11, 10**14):
+        assert 2 ** (64 - lm.spare_bits(n)) > n * 2**lm.MARGIN
+    assert lm.spare_bits(2**60) == 0
+
+
 def test_sums_of_parts(monkeypatch):
     monkeypatch.setattr(lm, "AT_ONCE", 10)
     rng, sums, exact = np.random.default_rng(1), lm.Sums(), Counter()

@@ -30,8 +30,9 @@ q is rounded down and Q up, so that the probabilities of all words sum to at mos
 1 (but for the filter's false positives).  An unseen context leaves the shorter
 one's probability as it is.  The context of a text's first word is the end token.
 
-Words are known by 64-bit hashes, pairs and triples by 50-bit ones: among 10^10 of them an unseen one meets another's
-key with a probability of 10^-5, below the filter's own false positives (6 x 10^-4).
+Words are known by 64-bit hashes, pairs and triples by ``MARGIN`` bits more than their
+occurrences have, so an unseen one meets another's key with a probability below
+2^-MARGIN (6 x 10^-5) at every size of the corpus, a tenth of the filter's own false positives (6 x 10^-4).
 
 Defined results: null text is empty, its one token is the end; a null id counts
 as the empty text in the fold rule; repeated rows each count and each get a
@@ -113,9 +114,13 @@ class LogBloom:
 
 # --- keys -------------------------------------------------------------------
 PAIR, TRIPLE = _U(0x1111111111111111), _U(0x2222222222222222)
-#: Pairs and triples are known by 50 bits, so the gap between two keys of a block takes four bytes.
-SPARE = _U(14)
-GRAM = ~((_U(1) << SPARE) - _U(1))
+#: Bits of a pair's or triple's key beyond those of the number of occurrences; the fewer, the shorter the gaps between a block's keys.
+MARGIN = 14
+
+
+def spare_bits(occurrences: int) -> int:
+    """The low bits that keys of pairs and triples leave 0."""
+    return max(0, 64 - MARGIN - max(1, occurrences).bit_length())
 
 
 def _spots(flat: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -123,13 +128,14 @@ def _spots(flat: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.arange(len(flat)) - np.repeat(first[:-1], np.diff(first))
 
 
-def keys_of(flat: np.ndarray, spot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def keys_of(flat: np.ndarray, spot: np.ndarray, spare: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Each entry's word, pair and triple (those that end with it); 0 where the text has too few entries before it."""
     word = mix(flat)
     pair, triple = np.zeros(len(flat), _U), np.zeros(len(flat), _U)
     pair[1:] = mix(mix(flat[:-1] ^ PAIR) + flat[1:])
     triple[2:] = mix(mix(pair[1:-1] ^ TRIPLE) + flat[2:])
-    return word, np.where(spot >= 1, pair & GRAM, _U(0)), np.where(spot >= 2, triple & GRAM, _U(0))
+    kept = _U((2**64 - 1) >> spare << spare)
+    return word, np.where(spot >= 1, pair & kept, _U(0)), np.where(spot >= 2, triple & kept, _U(0))
 
 
 def level_of(count: np.ndarray) -> np.ndarray:
@@ -165,12 +171,12 @@ def _unpack(data: bytes) -> np.ndarray:
     return out.view(np.int64).ravel()
 
 
-def _pack_keys(keys: np.ndarray, spare: np.uint64 = _U(0)) -> bytes:
-    return _pack((np.diff(keys, prepend=_U(0)) >> spare).view(np.int64))
+def _pack_keys(keys: np.ndarray, spare: int = 0) -> bytes:
+    return _pack((np.diff(keys, prepend=_U(0)) >> _U(spare)).view(np.int64))
 
 
-def _unpack_keys(data: bytes, spare: np.uint64 = _U(0)) -> np.ndarray:
-    return np.cumsum(_unpack(data).view(_U) << spare, dtype=_U)
+def _unpack_keys(data: bytes, spare: int = 0) -> np.ndarray:
+    return np.cumsum(_unpack(data).view(_U) << _U(spare), dtype=_U)
 
 
 def blocked(docs: DataFrame, name: str) -> DataFrame:
@@ -229,7 +235,7 @@ def shards_for(occurrences: int) -> int:
     return max(1, -(-occurrences // SHARD))
 
 
-def questions(blocks: DataFrame, buckets: int, training: bool) -> DataFrame:
+def questions(blocks: DataFrame, buckets: int, spare: int, training: bool) -> DataFrame:
     """The different n-grams of each block, dealt to ``buckets`` by their keys: of training texts with their occurrences, or of all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,14 +247,14 @@ def questions(blocks: DataFrame, buckets: int, training: bool) -> DataFrame:
                     continue
             flat, first = sequences(texts)
             spot = _spots(flat, first)
-            word, pair, triple = keys_of(flat, spot)
+            word, pair, triple = keys_of(flat, spot, spare)
             columns: dict[str, list[bytes]] = {}
             # The leading end token is a context, but doesn't count.
-            for name, key, spare in (("word", word[spot >= 1], _U(0)), ("gram", np.concatenate([pair[spot >= 1], triple[spot >= 2]]), SPARE)):
+            for name, key, low_bits in (("word", word[spot >= 1], 0), ("gram", np.concatenate([pair[spot >= 1], triple[spot >= 2]]), spare)):
                 key, count = np.unique(key, return_counts=True) if training else (_different(key), None)
                 edges = np.searchsorted(bucket_of(key, buckets), np.arange(buckets + 1)).tolist()
                 # The first key of a part counts from 0, so a part can be read by itself.
-                columns[f"{name}s"] = [_pack_keys(key[a:b], spare) for a, b in zip(edges, edges[1:])]
+                columns[f"{name}s"] = [_pack_keys(key[a:b], low_bits) for a, b in zip(edges, edges[1:])]
                 if training:
                     columns[f"{name}_counts"] = [_pack(count[a:b]) for a, b in zip(edges, edges[1:])]
             present = [i for i in range(buckets) if columns["words"][i] or columns["grams"][i]]
@@ -309,21 +315,25 @@ class Sums:
         return self.keys[0], self.totals[0]
 
 
-def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _shards(spare: int):
     """A shard of each bucket: exact counts of its words, a filter of its pairs and triples."""
-    for bucket, rows in groupby(_rows(batches), key=itemgetter("bucket")):
-        words, grams = Sums(), Sums()
-        for r in rows:
-            words.add(_unpack_keys(r["words"]), _unpack(r["word_counts"]))
-            grams.add(_unpack_keys(r["grams"], SPARE), _unpack(r["gram_counts"]))
-        key, total = grams.result()
-        level = level_of(total)
-        bloom = LogBloom(int(level.sum()))
-        bloom.add(key, level)
-        key, total = words.result()
-        row = (bucket, _pack_keys(key), _pack(total), bloom.size, pa.compress(bloom.bits.tobytes(), "zstd", asbytes=True), int(total.sum()), len(key))
-        types = (pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types)], names=["bucket", "words", "counts", "size", "bits", "n", "v"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, rows in groupby(_rows(batches), key=itemgetter("bucket")):
+            words, grams = Sums(), Sums()
+            for r in rows:
+                words.add(_unpack_keys(r["words"]), _unpack(r["word_counts"]))
+                grams.add(_unpack_keys(r["grams"], spare), _unpack(r["gram_counts"]))
+            key, total = grams.result()
+            level = level_of(total)
+            bloom = LogBloom(int(level.sum()))
+            bloom.add(key, level)
+            key, total = words.result()
+            row = (bucket, _pack_keys(key), _pack(total), bloom.size, pa.compress(bloom.bits.tobytes(), "zstd", asbytes=True), int(total.sum()), len(key))
+            types = (pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types)], names=["bucket", "words", "counts", "size", "bits", "n", "v"])
+
+    return run
 
 
 class Shard:
@@ -346,7 +356,7 @@ class Shard:
 ANSWERS = "block long, bucket int, words binary, grams binary"
 
 
-def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _answer(spare: int):
     """To each question the words' counts and the pairs' and triples' levels, as the bucket's shard has them (none: all 0)."""
 
     def answers(shard: Shard | None, bucket: int, asked: list[tuple]) -> pa.RecordBatch:
@@ -361,19 +371,22 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["block", "bucket", "words", "grams"],
         )
 
-    for bucket, rows in groupby(_rows(batches), key=itemgetter("bucket")):
-        shard, asked, waiting = None, [], 0
-        for r in rows:
-            if r["block"] is None:
-                shard = Shard(r)
-                continue
-            asked.append((r["block"], _unpack_keys(r["words"]), _unpack_keys(r["grams"], SPARE)))
-            waiting += len(asked[-1][1]) + len(asked[-1][2])
-            if waiting > AT_ONCE:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, rows in groupby(_rows(batches), key=itemgetter("bucket")):
+            shard, asked, waiting = None, [], 0
+            for r in rows:
+                if r["block"] is None:
+                    shard = Shard(r)
+                    continue
+                asked.append((r["block"], _unpack_keys(r["words"]), _unpack_keys(r["grams"], spare)))
+                waiting += len(asked[-1][1]) + len(asked[-1][2])
+                if waiting > AT_ONCE:
+                    yield answers(shard, bucket, asked)
+                    asked, waiting = [], 0
+            if asked:
                 yield answers(shard, bucket, asked)
-                asked, waiting = [], 0
-        if asked:
-            yield answers(shard, bucket, asked)
+
+    return run
 
 
 # --- a model that stays -----------------------------------------------------
@@ -385,6 +398,7 @@ class Model:
     v: int  # different ones
     shards: DataFrame | None
     buckets: int
+    spare: int  # low bits that keys of pairs and triples lack
     held: dict = field(default_factory=dict)
 
     def find(self, key: np.ndarray, words: bool) -> np.ndarray:
@@ -407,19 +421,20 @@ def _totals(rows: DataFrame) -> tuple[int, int]:
     return tuple(rows.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first())
 
 
-def _trained(blocks: DataFrame) -> tuple[DataFrame, str, int, int]:
-    """The shards of the blocks' training texts, their folder and number, and the number of blocks."""
+def _trained(blocks: DataFrame) -> tuple[Model, str, int]:
+    """The model of the blocks' training texts, the folder of its shards, and the number of blocks."""
     occurrences, n = blocks.agg(F.coalesce(F.sum("occurrences"), F.lit(0)), F.count("block")).first()
-    buckets, path = shards_for(occurrences), shared_path(blocks.sparkSession, "lm-shards")
-    rows = _dealt(questions(blocks, buckets, training=True), buckets)
-    return cut(rows.mapInArrow(_shards, SHARDS), "lm-shards", path, free=True), path, buckets, n
+    buckets, spare, path = shards_for(occurrences), spare_bits(occurrences), shared_path(blocks.sparkSession, "lm-shards")
+    rows = _dealt(questions(blocks, buckets, spare, training=True), buckets)
+    shards = cut(rows.mapInArrow(_shards(spare), SHARDS), "lm-shards", path, free=True)
+    return Model(*_totals(shards), shards, buckets, spare), path, n
 
 
 def train(rows: DataFrame) -> tuple[Model, DataFrame, int]:
     """The model, its table of shards and their number of buckets; learns from every row of ``rows`` (text)."""
     blocks = blocked(rows.select(F.lit(0).alias("doc_id"), "text", F.lit(False).alias("held_out")), "lm-blocks")
-    shards, _, buckets, _ = _trained(blocks)
-    return Model(*_totals(shards), shards, buckets), shards, buckets
+    model, _, _ = _trained(blocks)
+    return model, model.shards, model.buckets
 
 
 # --- scoring ----------------------------------------------------------------
@@ -432,7 +447,7 @@ def log_probabilities(model: Model, flat: np.ndarray, first: np.ndarray, find: F
     ``find`` gives the counts of different words, or the levels of different pairs and triples, in rising order of their keys."""
     find = find or model.find
     spot = _spots(flat, first)
-    word, pair, triple = keys_of(flat, spot)
+    word, pair, triple = keys_of(flat, spot, model.spare)
     key, back = np.unique(word, return_inverse=True)
     c = find(key, True)[back]
     one, two = np.flatnonzero(spot >= 1), np.flatnonzero(spot >= 2)
@@ -455,11 +470,11 @@ RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 COLUMNS = [x.split()[0] for x in RESULT.split(", ")]
 
 
-def _scored(n: int, v: int):
+def _scored(n: int, v: int, spare: int):
     """The rows of each block, from its texts (first) and all answers to it, by their buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(n, v, None, 0)
+        model = Model(n, v, None, 0, spare)
         for block, rows in groupby(_rows(batches), key=itemgetter("block")):
             row = next(rows)
             answers = [(r["words"], r["grams"]) for r in rows]
@@ -504,11 +519,10 @@ def score_documents(docs: DataFrame) -> DataFrame:
     """Every row of ``docs`` scored by a model of the rows that are not held out."""
     rows = docs.select("doc_id", "text").withColumn("held_out", remainder("doc_id", HELD_OUT[0]) == HELD_OUT[1])
     blocks = blocked(rows, "lm-blocks")
-    shards, path, buckets, n = _trained(blocks)
-    totals = _totals(shards)
-    asked = _dealt(questions(blocks, buckets, training=False).unionByName(shards.drop("n", "v"), allowMissingColumns=True), buckets)
-    answers = cut(asked.mapInArrow(_answer, ANSWERS), "lm-answers", free=True)
+    model, path, n = _trained(blocks)
+    asked = questions(blocks, model.buckets, model.spare, training=False).unionByName(model.shards.drop("n", "v"), allowMissingColumns=True)
+    answers = cut(_dealt(asked, model.buckets).mapInArrow(_answer(model.spare), ANSWERS), "lm-answers", free=True)
     drop(docs.sparkSession, path)
     both = blocks.drop("occurrences").unionByName(answers, allowMissingColumns=True)
     both = both.repartition(min(MOST_TASKS, max(1, -(-n // TASK_BLOCKS))), "block").sortWithinPartitions("block", "bucket")
-    return both.mapInArrow(_scored(*totals), RESULT)
+    return both.mapInArrow(_scored(model.n, model.v, model.spare), RESULT)
