@@ -74,14 +74,21 @@ class LogBloom:
     """Small integers by 64-bit key, held as membership of (key, 1), (key, 2), ... in a Bloom filter."""
 
     def __init__(self, events: int, bits_per_event: int = 16, hashes: int = 8):
-        self.size, self.hashes = 1 << max(16, int(max(1, events) * bits_per_event - 1).bit_length()), hashes
+        self.size, self.hashes = max(1 << 10, -(-events * bits_per_event // 8) * 8), hashes
         self.bits = np.zeros(self.size // 8, np.uint8)
 
-    def _places(self, key: np.ndarray, level: int) -> Iterator[np.ndarray]:
+    def _start(self, key: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
         y = mix(key + _U((level * 0xD6E8FEB86659FD93) & (2**64 - 1)))
-        step = (y >> _U(32)) | _U(1)
+        return y, (y * _U(0x9E3779B97F4A7C15)) | _U(1)
+
+    def _place(self, y: np.ndarray) -> np.ndarray:
+        """From 0 to size - 1, by the high bits (of a filter with more bits than 32 can count: by the remainder)."""
+        return (y >> _U(32)) * _U(self.size) >> _U(32) if self.size < 1 << 32 else y % _U(self.size)
+
+    def _places(self, key: np.ndarray, level: int) -> Iterator[np.ndarray]:
+        y, step = self._start(key, level)
         for _ in range(self.hashes):
-            yield y & _U(self.size - 1)
+            yield self._place(y)
             y = y + step
 
     def add(self, key: np.ndarray, value: np.ndarray) -> None:
@@ -104,10 +111,9 @@ class LogBloom:
 
     def _rest(self, key: np.ndarray, live: np.ndarray, level: int) -> np.ndarray:
         """Those of ``live`` whose bits of this level are all set, dropping misses hash by hash."""
-        y = mix(key[live] + _U((level * 0xD6E8FEB86659FD93) & (2**64 - 1)))
-        step = (y >> _U(32)) | _U(1)
+        y, step = self._start(key[live], level)
         for _ in range(self.hashes):
-            place = y & _U(self.size - 1)
+            place = self._place(y)
             hit = (self.bits[place >> _U(3)] >> (place & _U(7)).astype(np.uint8)) & 1 == 1
             live, y, step = live[hit], y[hit] + step[hit], step[hit]
         return live
