@@ -50,6 +50,7 @@ from operator import itemgetter
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -365,19 +366,20 @@ ANSWERS = "block long, bucket int, words binary, grams binary"
 def _answer(spare: int):
     """To each question the words' counts and the pairs' and triples' levels, as the bucket's shard has them (none: all 0)."""
 
-    def answers(shard: Shard | None, bucket: int, asked: list[tuple]) -> pa.RecordBatch:
+    def answers(shard: Shard | None, bucket: int, asked: list[tuple], small: zstandard.ZstdCompressor) -> pa.RecordBatch:
         columns = []
         for i, words in ((1, True), (2, False)):
             keys = np.concatenate([r[i] for r in asked])
             found = shard.find(keys, words) if shard else np.zeros(len(keys), np.int64)
             edges = np.cumsum([0, *(len(r[i]) for r in asked)]).tolist()
-            columns.append([_pack(found[a:b]) if words else found[a:b].astype(np.uint8).tobytes() for a, b in zip(edges, edges[1:])])
+            columns.append([_pack(found[a:b]) if words else small.compress(found[a:b].astype(np.uint8).tobytes()) for a, b in zip(edges, edges[1:])])
         return pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in asked], pa.int64()), pa.array([bucket] * len(asked), pa.int32()), *(pa.array(x, pa.binary()) for x in columns)],
             names=["block", "bucket", "words", "grams"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        small = zstandard.ZstdCompressor(level=1)
         for bucket, rows in groupby(_rows(batches), key=itemgetter("bucket")):
             shard, asked, waiting = None, [], 0
             for r in rows:
@@ -387,10 +389,10 @@ def _answer(spare: int):
                 asked.append((r["block"], _unpack_keys(r["words"]), _unpack_keys(r["grams"], spare)))
                 waiting += len(asked[-1][1]) + len(asked[-1][2])
                 if waiting > AT_ONCE:
-                    yield answers(shard, bucket, asked)
+                    yield answers(shard, bucket, asked, small)
                     asked, waiting = [], 0
             if asked:
-                yield answers(shard, bucket, asked)
+                yield answers(shard, bucket, asked, small)
 
     return run
 
@@ -486,7 +488,7 @@ def _scored(n: int, v: int, spare: int):
             answers = [(r["words"], r["grams"]) for r in rows]
 
             def find(key: np.ndarray, words: bool) -> np.ndarray:
-                got = [_unpack(x) if words else np.frombuffer(y, np.uint8).astype(np.int64) for x, y in answers]
+                got = [_unpack(x) if words else np.frombuffer(zstandard.decompress(y), np.uint8).astype(np.int64) for x, y in answers]
                 got = np.concatenate([np.zeros(0, np.int64), *got])
                 if len(got) != len(key):
                     raise ValueError(f"block {block}: {len(got)} answers to {len(key)} questions")
