@@ -62,9 +62,9 @@ _U = np.uint64
 #: How many occurrences the shorter context's probability weighs as, by length of the context.
 K1, K2 = 800.0, 5.0
 COUNT_BASE = 2**0.5
-SLICE = 2 << 20
+SLICE = 4 << 20
 #: Occurrences of pairs and triples for which a shard is made, and blocks for which a scoring task is.
-SHARD, TASK_BLOCKS = 4_000_000, 8
+SHARD, TASK_BLOCKS = 4_000_000, 4
 #: Beyond so many tasks one takes several shards or more blocks, one after the other.
 MOST_TASKS = 100_000
 #: Keys that are summed up or asked for at once.
