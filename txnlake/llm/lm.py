@@ -67,6 +67,8 @@ SLICE = 4 << 20
 SHARD, TASK_BLOCKS = 4_000_000, 4
 #: Beyond so many tasks one takes several shards or more blocks, one after the other.
 MOST_TASKS = 100_000
+#: Parts of the shards that are asked one after the other, so that the shuffle holds one part's questions at a time.
+PARTS = 2
 #: Keys that are summed up or asked for at once.
 AT_ONCE = 1 << 20
 
@@ -242,8 +244,11 @@ def shards_for(occurrences: int) -> int:
     return max(1, -(-occurrences // SHARD))
 
 
-def questions(blocks: DataFrame, buckets: int, spare: int, training: bool) -> DataFrame:
-    """The different n-grams of each block, dealt to ``buckets`` by their keys: of training texts with their occurrences, or of all texts."""
+def questions(blocks: DataFrame, buckets: int, spare: int, training: bool, part: range | None = None) -> DataFrame:
+    """The different n-grams of each block, dealt to ``buckets`` by their keys: of training texts with their occurrences, or of all texts.
+
+    ``part``: only those of these buckets."""
+    part = range(buckets) if part is None else part
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
@@ -259,17 +264,17 @@ def questions(blocks: DataFrame, buckets: int, spare: int, training: bool) -> Da
             # The leading end token is a context, but doesn't count.
             for name, key, low_bits in (("word", word[spot >= 1], 0), ("gram", np.concatenate([pair[spot >= 1], triple[spot >= 2]]), spare)):
                 key, count = np.unique(key, return_counts=True) if training else (_different(key), None)
-                edges = np.searchsorted(bucket_of(key, buckets), np.arange(buckets + 1)).tolist()
+                edges = np.searchsorted(bucket_of(key, buckets), np.arange(part.start, part.stop + 1)).tolist()
                 # The first key of a part counts from 0, so a part can be read by itself.
                 columns[f"{name}s"] = [_pack_keys(key[a:b], low_bits) for a, b in zip(edges, edges[1:])]
                 if training:
                     columns[f"{name}_counts"] = [_pack(count[a:b]) for a, b in zip(edges, edges[1:])]
-            present = [i for i in range(buckets) if columns["words"][i] or columns["grams"][i]]
+            present = [i for i in range(len(part)) if columns["words"][i] or columns["grams"][i]]
             names = ["words", "grams", *(["word_counts", "gram_counts"] if training else [])]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([row["block"]] * len(present), pa.int64()),
-                    pa.array(present, pa.int32()),
+                    pa.array([part.start + i for i in present], pa.int32()),
                     *(pa.array([columns[x][i] for i in present], pa.binary()) for x in names),
                 ],
                 names=["block", "bucket", *names],
@@ -528,9 +533,13 @@ def score_documents(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", "text").withColumn("held_out", remainder("doc_id", HELD_OUT[0]) == HELD_OUT[1])
     blocks = blocked(rows, "lm-blocks")
     model, path, n = _trained(blocks)
-    asked = questions(blocks, model.buckets, model.spare, training=False).unionByName(model.shards.drop("n", "v"), allowMissingColumns=True)
-    answers = cut(_dealt(asked, model.buckets).mapInArrow(_answer(model.spare), ANSWERS), "lm-answers", free=True)
+    both, edges = blocks.drop("occurrences"), [model.buckets * i // PARTS for i in range(PARTS + 1)]
+    for part in map(range, edges, edges[1:]):
+        if part:
+            shards = model.shards.drop("n", "v").filter(F.col("bucket").between(part.start, part.stop - 1))
+            asked = questions(blocks, model.buckets, model.spare, False, part).unionByName(shards, allowMissingColumns=True)
+            answers = cut(_dealt(asked, len(part)).mapInArrow(_answer(model.spare), ANSWERS), "lm-answers", free=True)
+            both = both.unionByName(answers, allowMissingColumns=True)
     drop(docs.sparkSession, path)
-    both = blocks.drop("occurrences").unionByName(answers, allowMissingColumns=True)
     both = both.repartition(min(MOST_TASKS, max(1, -(-n // TASK_BLOCKS))), "block").sortWithinPartitions("block", "bucket")
     return both.mapInArrow(_scored(model.n, model.v, model.spare), RESULT)
