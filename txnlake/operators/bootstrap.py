@@ -36,10 +36,23 @@ def poisson_cuts() -> list[int]:
         k += 1
 
 
+def weight_hash(key: Column, replicate: Column) -> Column:
+    """The hash that a row's weight in a resample is read off: six hexadecimal digits, whose text order is that of their values."""
+    return F.substring(F.md5(F.concat_ws("#", replicate.cast("string"), key.cast("string"))), 1, 6)
+
+
+def weight_at(h: Column) -> Column:
+    """The weight that a hash stands for; the most frequent weights are found first."""
+    out = None
+    for w, c in enumerate(poisson_cuts()):
+        below = h < F.lit(f"{c:06x}")
+        out = F.when(below, w) if out is None else out.when(below, w)
+    return out.otherwise(len(poisson_cuts()))
+
+
 def weight(key: Column, replicate: Column) -> Column:
     """The row's weight in a resample."""
-    h = F.conv(F.substring(F.md5(F.concat_ws("#", replicate.cast("string"), key.cast("string"))), 1, 6), 16, 10).cast("long")
-    return sum(((h >= c).cast("int") for c in poisson_cuts()), F.lit(0))
+    return weight_at(weight_hash(key, replicate))
 
 
 def _metrics(prefix: str) -> dict[str, Column]:
@@ -59,17 +72,27 @@ def _metrics(prefix: str) -> dict[str, Column]:
 
 
 def replicate_metrics(df: DataFrame, current: str, candidate: str, label: str = LABEL, key: str = KEY, b: int = REPLICATES) -> DataFrame:
-    """replicate (0: the rows as they are) and the metrics of both models in it: b + 1 rows."""
+    """replicate (0: the rows as they are) and the metrics of both models in it: b + 1 rows.
+
+    A row costs one hash a resample, and one sum: weights are summed by cell (label and both predictions), and the
+    counts of both models follow from the cells.  Rows are dealt out evenly first, since each of them stands for b."""
     rows = df.filter(F.col(key).isNotNull() & F.col(label).isNotNull() & F.col(current).isNotNull() & F.col(candidate).isNotNull())
-    rows = rows.select(key, label, current, candidate, F.explode(F.sequence(F.lit(0), F.lit(b))).alias("replicate"))
-    w = F.when(F.col("replicate") == 0, 1).otherwise(weight(F.col(key), F.col("replicate")))
-    rows = rows.select("replicate", label, current, candidate, w.alias("w")).filter("w > 0")
+
+    def side(c: str) -> Column:  # 0, 1, or 2 for what is neither
+        return F.when(F.col(c) == 1, 1).when(F.col(c) == 0, 0).otherwise(2)
+
+    rows = rows.select(F.col(key).cast("string").alias("key"), (side(label) * 9 + side(current) * 3 + side(candidate)).alias("cell"))
+    rows = rows.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = rows.select("key", "cell", F.explode(F.sequence(F.lit(0), F.lit(b))).alias("replicate"))
+    rows = rows.select("replicate", "cell", weight_hash(F.col("key"), F.col("replicate")).alias("h"))
+    w = F.when(F.col("replicate") == 0, 1).otherwise(weight_at(F.col("h")))
+    cells = rows.groupBy("replicate", "cell").agg(F.sum(w).alias("w"))  # 27 cells a replicate at most
+    real, said = F.floor(F.col("cell") / 9), {"a": F.floor(F.col("cell") / 3) % 3, "b": F.col("cell") % 3}
     sums = []
-    for side, p in (("a", current), ("b", candidate)):
-        for name, said, real in (("tp", 1, 1), ("fp", 1, 0), ("fn", 0, 1), ("tn", 0, 0)):
-            hit = (F.col(p) == said) & (F.col(label) == real)
-            sums.append(F.coalesce(F.sum(F.when(hit, F.col("w"))), F.lit(0)).alias(f"{side}_{name}"))
-    counted = rows.groupBy("replicate").agg(*sums)
+    for side_, p in said.items():
+        for name, s, r in (("tp", 1, 1), ("fp", 1, 0), ("fn", 0, 1), ("tn", 0, 0)):
+            sums.append(F.coalesce(F.sum(F.when((p == s) & (real == r), F.col("w"))), F.lit(0)).alias(f"{side_}_{name}"))
+    counted = cells.groupBy("replicate").agg(*sums, F.sum("w").alias("w")).filter("w > 0")
     a, c = _metrics("a"), _metrics("b")
     return counted.select("replicate", *[a[m].alias(f"a_{m}") for m in METRICS], *[c[m].alias(f"b_{m}") for m in METRICS])
 
