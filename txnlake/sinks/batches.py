@@ -34,6 +34,8 @@ from txnlake.sinks.layers import _file_system, batch_path, path_exists
 from txnlake.sources.layers import read_or_empty
 
 TARGET_BYTES = 256 << 20
+#: Bytes of batches that one task of a compaction sorts and writes (one batch at least): a bin is a few such files.
+TASK_BYTES = 32 << 20
 BATCH = "batch_id"
 #: Most batches that one compaction packs; what is left waits for the next.
 MOST_BATCHES = 100_000
@@ -207,10 +209,18 @@ def compact(spark: SparkSession, root: str, schema: T.StructType, target_bytes:
     members = [[b for name in names for b in (groups[name]["batches"] if name in groups else [name])] for names in packed]
     moved = [b for own in members for b in own]
     rows = read_batches(spark, root, schema, only=moved)
-    where = spark.createDataFrame([(b, i) for i, own in enumerate(members) for b in own], f"{BATCH} string, bin int")  # MOST_BATCHES rows at most
+    sizes = small | {b: g["bytes"] / g["packed"] for g in groups.values() for b in g["batches"]}
+    where, task = [], -1
+    for i, own in enumerate(members):  # no task has rows of two bins
+        task, held = task + 1, 0
+        for b in sorted(own):
+            if held and held + sizes[b] > TASK_BYTES:
+                task, held = task + 1, 0
+            held += sizes[b]
+            where.append((b, i, task))
     run = f"_groups/{uuid.uuid4().hex[:12]}"
-    # A bin is at most one file of target_bytes, written by one task.
-    dealt = rows.join(F.broadcast(where), BATCH).repartition(len(packed), "bin").sortWithinPartitions("bin", BATCH, *([sort_by] if sort_by else []))
+    dealt = rows.join(F.broadcast(spark.createDataFrame(where, f"{BATCH} string, bin int, task int")), BATCH)  # MOST_BATCHES rows at most
+    dealt = dealt.repartitionById(task + 1, "task").drop("task").sortWithinPartitions("bin", BATCH, *([sort_by] if sort_by else []))
     dealt.write.partitionBy("bin").parquet(f"{root}/{run}")
     counted = spark.read.schema(T.StructType([*schema.fields, T.StructField("bin", T.IntegerType())])).parquet(f"{root}/{run}")
     got = {r["bin"]: r["count"] for r in counted.groupBy("bin").count().collect()}
