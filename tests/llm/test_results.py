@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from txnlake.llm import html_extract, imi, langid, lm, mixing, packing, simhash, token_counts, toxicity
-from txnlake.llm.common import components
+from txnlake.llm.common import components, slices
 from txnlake.llm.exact_dedup import CuckooIndex, exact_dedup
 
 SF = "/root/testdata/sf0.01"
@@ -403,6 +403,42 @@ def test_backoff_takes_the_longest_known_grams():
     assert got.tolist() == [[-4, -13], [0, 0], [-20, -11]]
 
 
+def test_a_worker_keeps_no_scorer_after_its_task(spark, docs):
+    """The pipeline's next stages run in the same processes, beside whatever is kept there."""
+
+    def kept(batches):
+        import gc
+
+        import pyarrow as pa
+
+        for _ in batches:
+            pass
+        gc.collect()
+        yield pa.RecordBatch.from_arrays([pa.array([sum(isinstance(x, langid.Scorer) for x in gc.get_objects())])], names=["n"])
+
+    assert langid.identify(docs).count() > 0
+    assert spark.range(0, 64, 1, 16).mapInArrow(kept, "n long").agg({"n": "max"}).first()[0] == 0
+
+
+def test_a_batch_of_contents_is_taken_apart_by_bytes(monkeypatch):
+    """A batch's contents are held as Python objects a few at a time, whatever its number of rows."""
+    import importlib
+
+    import pyarrow as pa
+
+    ED = importlib.import_module("txnlake.llm.exact_dedup")
+    monkeypatch.setattr(ED, "SLICE", 1000, raising=False)
+    seen, whole = [], slices
+    monkeypatch.setattr(ED, "slices", lambda *a: (seen.append(x.num_rows) or x for x in whole(*a)), raising=False)
+    contents = [b"%03d" % (i % 150) * 10 for i in range(300)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(300), pa.int64()), pa.array([c[:6] for c in contents], pa.binary()), pa.array([c.decode() for c in contents])], names=["id", "digest", "content"]
+    )
+    got = [r for b in ED._combine(1 << 20, 1000)(iter([batch])) for r in b.to_pylist()]
+    assert max(seen) <= 34 and sum(seen) == 300
+    assert sorted((r["least"], r["n"]) for r in got) == [(i, 2) for i in range(150)]
+
+
 # --- 9
 def test_packing_round_trip(docs, texts):
     from tokenizers import Tokenizer

@@ -29,9 +29,10 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnlake.llm.common import WHITE, cut
+from txnlake.llm.common import WHITE, cut, slices
 
 NO_ID = np.iinfo(np.int64).max  # a null id inside the lists
+SLICE = 2 << 20  # bytes of content that are taken out of a batch at a time
 
 
 class CuckooIndex:
@@ -152,7 +153,7 @@ def _combine(window_bytes: int, ids_per_row: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, held = CuckooIndex(), 0
-        for batch in batches:
+        for batch in slices(batches, "content", SLICE):
             contents = batch.column("content").cast(pa.binary()).to_pylist()
             for doc, digest, content in zip(batch.column("id").to_pylist(), batch.column("digest").to_pylist(), contents):
                 doc = NO_ID if doc is None else doc
@@ -173,7 +174,7 @@ def _combine(window_bytes: int, ids_per_row: int):
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Number the different contents under one digest (one, unless the digest fails)."""
     index, seen = CuckooIndex(), {}
-    for batch in batches:
+    for batch in slices(batches, "content", SLICE):
         variants = []
         for digest, content in zip(batch.column("digest").to_pylist(), batch.column("content").to_pylist()):
             if (variant := index.get(digest, content)) is None:

@@ -24,7 +24,6 @@ from __future__ import annotations
 
 import math
 import re
-import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -57,7 +56,6 @@ class Model:
     prior: np.ndarray
     words: dict[str, np.ndarray]
     grams: list[dict[str, np.ndarray]]  # longest first
-    name: str = ""
 
     def unseen(self, words: list[str]) -> np.ndarray:
         """Scores of words that training hasn't kept: the mean over a word's known n-grams of the greatest length with any."""
@@ -133,17 +131,6 @@ class Scorer:
             out[:, lang] += np.bincount(of, self.rows[flat, lang], len(texts))
 
 
-_SCORERS: dict[str, Scorer] = {}
-
-
-def scorer(model: Model, cache: int) -> Scorer:
-    """One for each worker process and model, kept from task to task."""
-    if model.name not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[model.name] = Scorer(model, cache)
-    return _SCORERS[model.name]
-
-
 def _word_counts(flush: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, Counter] = defaultdict(Counter)
@@ -224,7 +211,7 @@ def train(docs: DataFrame, max_gram: int = 4, min_share: float = 4e-6, max_langu
         known[r[0]].append(r[1:])
     whole = sum(totals.values()) or 1
     prior = np.log(np.array([max(totals[x], 1) / whole for x in langs], np.float64))
-    return Model(langs, prior, words, [_table(known[n], place, min_share) for n in range(max_gram, 0, -1)], uuid.uuid4().hex)
+    return Model(langs, prior, words, [_table(known[n], place, min_share) for n in range(max_gram, 0, -1)])
 
 
 def _table(rows: list, place: dict[str, int], min_share: float) -> dict[str, np.ndarray]:
@@ -238,14 +225,15 @@ def _table(rows: list, place: dict[str, int], min_share: float) -> dict[str, np.
     return found
 
 
-def predict(docs: DataFrame, model: Model, keep: list[str], cache: int = 400_000) -> DataFrame:
-    """The columns ``keep`` of ``docs`` with lang_pred and score."""
+def predict(docs: DataFrame, model: Model, keep: list[str], cache: int = 100_000) -> DataFrame:
+    """The columns ``keep`` of ``docs`` with lang_pred and score.  A scorer lives as long as its task:
+    what a worker process kept would stand beside the later stages' memory."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     schema = docs.select(*keep).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
-        reader = scorer(model, cache)
+        reader = Scorer(model, cache)
         for batch in slices(batches, "text", 2 << 20):
             texts = [LETTERS.findall(t.lower()) if t else [] for t in batch.column("text").to_pylist()]
             langs, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
