@@ -1,5 +1,9 @@
 """Nulls, empty and very long texts, ties and repeated rows, empty tables and clashing columns, for every operator."""
 
+import re
+from collections import Counter
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -88,6 +92,12 @@ def test_lm_of_empty_texts(docs):
     assert all(r["n_tokens"] == 1 for r in got) and len({r["base_score"] for r in got}) == 1
 
 
+def test_mixing_needs_no_python_worker(docs):
+    """Its cells come from the driver as columns; rows would start a daemon and workers on every executor."""
+    plan = mixing.mix(docs)._jdf.queryExecution().toString()
+    assert "LocalRelation" in plan and "ExistingRDD" not in plan
+
+
 def test_mixing_of_nulls(docs):
     got = {r["doc_id"]: r for r in mixing.mix(docs).collect()}
     assert got[3]["n_tokens"] == 0 and got[3]["topic"] == "none" and got[3]["lang"] == "unknown"
@@ -148,3 +158,58 @@ def test_pipeline_stages_on_edge_rows(spark, docs):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, "")
     assert empty.collect() == []
+
+
+def test_exact_stage_writes_no_table_of_its_own(spark, docs, monkeypatch):
+    """Its result needs the smallest ids alone; each table written costs every executor files and tasks."""
+    import importlib
+
+    import corpus_pipeline
+
+    written = []
+    for module in (corpus_pipeline, importlib.import_module("txnlake.llm.exact_dedup")):
+        monkeypatch.setattr(module, "cut", lambda df, name, *a, **k: written.append(name) or df)
+    rows = docs.union(docs.limit(2)).union(docs.filter("doc_id IS NULL"))
+    got = Counter((r["doc_id"], r["text"]) for r in corpus_pipeline.drop_exact_copies(spark, rows, "").collect())
+    assert written == [] and max(got.values()) == 1
+    first = {}
+    for doc, text, *_ in rows.collect():
+        key, place = re.sub(r"[\x20\x09-\x0d]+", " ", text or ""), (doc is None, doc or 0)
+        first[key] = min(first.get(key, place), place)
+    assert sorted(re.sub(r"[\x20\x09-\x0d]+", " ", t or "") for _, t in got) == sorted(first)
+    assert all(first[re.sub(r"[\x20\x09-\x0d]+", " ", t or "")] == (i is None, i or 0) for i, t in got)
+
+
+def test_representatives_are_the_kept_rows(docs):
+    from txnlake.llm.exact_dedup import representatives
+
+    rows = docs.union(docs).union(docs.filter("doc_id IS NULL"))
+    kept = exact_dedup(rows).filter("kept").select("doc_id", "text_sha256")
+    for window, ids in ((1 << 20, 1000), (1, 1)):
+        got = representatives(rows, window_bytes=window, ids_per_row=ids).collect()
+        assert sorted(map(str, got)) == sorted(map(str, kept.collect()))
+
+
+@pytest.mark.parametrize("stage", [0, 1, 2, 4])
+def test_pipeline_bounds_batches_by_bytes(spark, docs, stage):
+    """A worker and its executor hold a batch whole: 10,000 long rows would be far more than a stage needs at once."""
+    import corpus_pipeline
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["rows", "bytes"])
+
+    def largest(session):
+        long = session.range(0, 2000, 1, 1).select(F.repeat(F.lit("x"), 20_000).alias("text"))
+        got = long.mapInArrow(sizes, "rows long, bytes long").collect()
+        assert sum(r["rows"] for r in got) == 2000
+        return max(r["bytes"] for r in got)
+
+    own = spark.newSession()
+    rows = own.createDataFrame(docs.limit(3).collect(), docs.schema)
+    corpus_pipeline.STAGES[stage][1](own, rows, "")
+    assert largest(own) < 8 << 20
+    chosen = spark.newSession()
+    chosen.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
+    corpus_pipeline.STAGES[stage][1](chosen, chosen.createDataFrame(docs.limit(3).collect(), docs.schema), "")
+    assert chosen.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "16m"

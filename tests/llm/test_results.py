@@ -403,6 +403,16 @@ def test_backoff_takes_the_longest_known_grams():
     assert got.tolist() == [[-4, -13], [0, 0], [-20, -11]]
 
 
+def test_a_model_is_sent_as_matrices():
+    """Each worker of an executor holds the model: its entries take a place each, not an array each."""
+    import pickle
+
+    words = {f"w{i}": np.array([i, -i, 1], np.float32) for i in range(5000)}
+    model = pickle.loads(sent := pickle.dumps(langid.Model(["a", "b", "c"], np.zeros(3), words, [dict(words), {}])))
+    assert len(sent) / 10_000 < 60
+    assert langid.Scorer(model, cache=10).totals([["w7", "w4999"], []]).tolist() == [[5006, -5006, 2], [0, 0, 0]]
+
+
 def test_a_worker_keeps_no_scorer_after_its_task(spark, docs):
     """The pipeline's next stages run in the same processes, beside whatever is kept there."""
 

@@ -12,6 +12,7 @@
 3. Sizes and smallest ids are aggregated with partial sums; the id lists (at
    most ``ids_per_row`` in a row, each with the content) are joined to them.  Both sides are read from
    written tables, so that Spark can split a hot digest or broadcast a small side.
+   Who wants only the rows that stay asks for ``representatives``: step 3 is then one aggregate.
 
 Defined results: null text counts as empty; null ids sort after all others (a
 group of null ids alone has a null keep_id); repeated rows, ids included, are
@@ -212,13 +213,25 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def exact_dedup(docs: DataFrame, window_bytes: int = 32 << 20, ids_per_row: int = 1000) -> DataFrame:
-    """doc_id, keep_id, group_size, kept, text_sha256 for every row of ``docs`` (doc_id, text)."""
+def _variants(docs: DataFrame, window_bytes: int, ids_per_row: int) -> DataFrame:
+    """The id lists of each group, verified: a group is a digest and the number of its content."""
     content = F.regexp_replace(F.coalesce("text", F.lit("")), WHITE, " ")
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), content.alias("content"))
     rows = rows.select("id", F.unhex(F.sha2(F.col("content"), 256)).alias("digest"), "content")
     groups = rows.mapInArrow(_combine(window_bytes, ids_per_row), GROUPS)
-    variants = groups.repartition("digest").mapInArrow(_verify, VARIANTS)
+    return groups.repartition("digest").mapInArrow(_verify, VARIANTS)
+
+
+def representatives(docs: DataFrame, window_bytes: int = 32 << 20, ids_per_row: int = 1000) -> DataFrame:
+    """doc_id, text_sha256 of the row that stays of each group: the rows that ``exact_dedup`` marks as kept, without
+    those of their copies.  Nothing but the smallest ids is asked for, so no list is joined and no table written."""
+    least = _variants(docs, window_bytes, ids_per_row).groupBy("digest", "variant").agg(F.min("least").alias("least"))
+    return least.select(F.when(F.col("least") != NO_ID, F.col("least")).alias("doc_id"), F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+def exact_dedup(docs: DataFrame, window_bytes: int = 32 << 20, ids_per_row: int = 1000) -> DataFrame:
+    """doc_id, keep_id, group_size, kept, text_sha256 for every row of ``docs`` (doc_id, text)."""
+    variants = _variants(docs, window_bytes, ids_per_row)
     # A list's own name settles which row stays when ids repeat; it is fixed by the write.
     variants = cut(variants.withColumn("row", F.expr("uuid()")), "exact-variants")
     key = ["digest", "variant"]

@@ -50,49 +50,49 @@ def grams(word: str, n: int) -> list[str]:
 
 @dataclass
 class Model:
-    """Log frequencies by language: of words, and of n-grams for each length."""
+    """Log frequencies by language: of words, and of n-grams for each length.
+
+    Every worker holds the model, so its entries become places in one matrix: an array for each would take several times the memory."""
 
     langs: list[str]
     prior: np.ndarray
     words: dict[str, np.ndarray]
     grams: list[dict[str, np.ndarray]]  # longest first
 
+    def __post_init__(self) -> None:
+        self.words, self.rows = self._placed(self.words, 0)
+        self.grams = [self._placed(g, 1) for g in self.grams]  # row 0 is for unknown n-grams, all zero
+
+    def _placed(self, table: dict[str, np.ndarray], first: int) -> tuple[dict[str, int], np.ndarray]:
+        rows = np.vstack([np.zeros((first, len(self.langs)), np.float32), *table.values()])
+        return {entry: i for i, entry in enumerate(table, first)}, rows
+
     def unseen(self, words: list[str]) -> np.ndarray:
         """Scores of words that training hasn't kept: the mean over a word's known n-grams of the greatest length with any."""
         out = np.zeros((len(words), len(self.langs)), np.float32)
         left = np.arange(len(words))
         longest = len(self.grams)
-        for n, known in zip(range(longest, 0, -1), self.grams):
-            if not len(left) or not known:
+        for n, (place, known) in zip(range(longest, 0, -1), self.grams):
+            if not len(left) or not place:
                 continue
-            place = self._place(n, known)
             parts = [grams(words[i], n) for i in left.tolist()]
             at = np.fromiter((place.get(g, 0) for p in parts for g in p), np.int64)
             of = np.repeat(np.arange(len(left)), [len(p) for p in parts])
             count = np.bincount(of, at > 0, len(left))
-            rows = self._rows[n][at]  # row 0 is for unknown n-grams, all zero
+            rows = known[at]
             some = np.flatnonzero(count)
             for lang in range(len(self.langs)):
                 out[left[some], lang] = (np.bincount(of, rows[:, lang], len(left))[some] / count[some]).astype(np.float32)
             left = np.delete(left, some)
         return out
 
-    def _place(self, n: int, known: dict[str, np.ndarray]) -> dict[str, int]:
-        if not hasattr(self, "_rows"):
-            self._rows, self._places = {}, {}
-        if n not in self._rows:
-            self._rows[n] = np.vstack([np.zeros((1, len(self.langs)), np.float32), *known.values()])
-            self._places[n] = {g: i + 1 for i, g in enumerate(known)}
-        return self._places[n]
-
 
 class Scorer:
     """Adds up word scores; the scores of unseen words are kept, ``cache`` of them."""
 
     def __init__(self, model: Model, cache: int):
         self.model, self.cache = model, cache
-        self.known = {w: i for i, w in enumerate(model.words)}
-        self.table = np.vstack([np.zeros((0, len(model.langs)), np.float32), *model.words.values()])
+        self.known, self.table = model.words, model.rows
         self._reset()
 
     def _reset(self) -> None:

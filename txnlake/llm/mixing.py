@@ -29,6 +29,7 @@ further columns are ignored.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -151,9 +152,9 @@ def mix(docs: DataFrame, targets: dict[str, dict[str, float] | str] = TARGETS, f
         places.append(of)
         shares.append(share * (natural > 0) / max((share * (natural > 0)).sum(), 1e-300))
     p = rake(tokens, places, shares, fraction)
-    cells = docs.sparkSession.createDataFrame(
-        [(*(r[k] for k in keys), float(x)) for r, x in zip(found, p)], ", ".join(f"{k} string" for k in keys) + ", probability double"
-    )
+    # As an Arrow table: rows would go through Python workers of their own, which then stay beside those of the operators.
+    columns = {k: pa.array([r[k] for r in found], pa.string()) for k in keys} | {"probability": pa.array(p, pa.float64())}
+    cells = docs.sparkSession.createDataFrame(pa.table(columns))
     # The cells number at most (stated, or 1 / TAIL, + 1) in each dimension, so the broadcast has a bound.
     out = rows.select("*", *named).join(F.broadcast(cells), keys, "left")
     draw = F.conv(F.substring(F.md5(F.concat_ws("/", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 13), 16, 10).cast("double") / float(16**13)
