@@ -2,6 +2,7 @@
 
 import re
 from collections import Counter
+from pathlib import Path
 
 import pyarrow as pa
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from txnlake.llm import html_extract, imi, langid, lm, mixing, packing, simhash, token_counts, toxicity
 from txnlake.llm.exact_dedup import exact_dedup
+from txnlake.session import checkpoint_dir
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 LONG = "word " * 60_000
@@ -213,3 +215,39 @@ def test_pipeline_bounds_batches_by_bytes(spark, docs, stage):
     chosen.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
     corpus_pipeline.STAGES[stage][1](chosen, chosen.createDataFrame(docs.limit(3).collect(), docs.schema), "")
     assert chosen.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "16m"
+
+
+def test_language_id_bounds_what_is_read_at_once(spark, docs, tmp_path):
+    """Whole texts in arrays of 4,096 rows let an executor's heap grow beyond what the job needs."""
+    spark.range(0, 2000, 1, 1).select(F.lit("a text").alias("text")).write.parquet(f"{tmp_path}/read")
+
+    def batches(session):
+        run = session.read.parquet(f"{tmp_path}/read")._jdf.queryExecution()
+        run.toRdd().count()
+        plan = run.executedPlan()
+        while "numInputBatches" not in str(plan.metrics().keySet()):
+            plan = plan.children().head()
+        return plan.metrics().apply("numInputBatches").value()
+
+    own = spark.newSession()
+    langid.identify(own.createDataFrame(docs.limit(3).collect(), docs.schema))
+    assert batches(own) == 8
+    chosen = spark.newSession()
+    chosen.conf.set("spark.sql.parquet.columnarReaderBatchSize", "1000")
+    langid.identify(chosen.createDataFrame(docs.limit(3).collect(), docs.schema))
+    assert batches(chosen) == 2
+
+
+def test_language_id_leaves_no_counts(spark, docs):
+    """Neither tables in the shared folder nor blocks on the executors, also when training ends in an error."""
+    shared = Path(checkpoint_dir(spark).removeprefix("file:"))
+
+    def left():
+        return {p.name for p in shared.glob("llm-langid-*")}, spark.sparkContext._jsc.getPersistentRDDs().size()
+
+    before = left()
+    assert langid.identify(docs).count() == docs.count()
+    assert left() == before
+    with pytest.raises(ValueError, match="languages"):
+        langid.train(docs.filter("lang IS NOT NULL"), max_languages=0)
+    assert left() == before

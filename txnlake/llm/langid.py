@@ -30,10 +30,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnlake.llm.common import cut, remainder, slices
+from txnlake.llm.common import bound_batches, remainder, slices
 
 LETTERS = re.compile(r"[^\W\d_]+")
 MARK = "\x02"
@@ -187,10 +188,22 @@ def _gram_counts(max_gram: int):
 
 
 def train(docs: DataFrame, max_gram: int = 4, min_share: float = 4e-6, max_languages: int = 200) -> Model:
-    """Learn from every row of ``docs`` (text, lang); rows with null text or lang teach nothing."""
+    """Learn from every row of ``docs`` (text, lang); rows with null text or lang teach nothing.
+
+    The counts stay on the executors' disks until the model stands: tables would leave files in the shared folder."""
     rows = docs.filter("text IS NOT NULL AND lang IS NOT NULL").select("lang", "text")
     counts = rows.mapInArrow(_word_counts(600_000), "lang string, word string, n long")
-    counts = cut(counts.groupBy("lang", "word").agg(F.sum("n").alias("n")), "langid-words")
+    counts = counts.groupBy("lang", "word").agg(F.sum("n").alias("n")).persist(StorageLevel.DISK_ONLY)
+    gram_rows = counts.mapInArrow(_gram_counts(max_gram), "lang string, length int, gram string, n long")
+    gram_rows = gram_rows.groupBy("lang", "length", "gram").agg(F.sum("n").alias("n")).persist(StorageLevel.DISK_ONLY)
+    try:
+        return _model(counts, gram_rows, max_gram, min_share, max_languages)
+    finally:
+        gram_rows.unpersist()
+        counts.unpersist()
+
+
+def _model(counts: DataFrame, gram_rows: DataFrame, max_gram: int, min_share: float, max_languages: int) -> Model:
     totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).limit(max_languages + 1).collect()}
     if len(totals) > max_languages:
         raise ValueError(f"more than {max_languages} languages; raise max_languages if that is meant")
@@ -203,8 +216,6 @@ def train(docs: DataFrame, max_gram: int = 4, min_share: float = 4e-6, max_langu
 
     sums = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     words = _table(kept(counts, ["lang"], sums).select("word", "lang", "n", "total").collect(), place, min_share)
-    gram_rows = counts.mapInArrow(_gram_counts(max_gram), "lang string, length int, gram string, n long")
-    gram_rows = cut(gram_rows.groupBy("lang", "length", "gram").agg(F.sum("n").alias("n")), "langid-grams")
     gram_sums = gram_rows.groupBy("lang", "length").agg(F.sum("n").alias("total"))
     known = defaultdict(list)
     for r in kept(gram_rows, ["lang", "length"], gram_sums).select("length", "gram", "lang", "n", "total").collect():
@@ -256,6 +267,7 @@ HELD_OUT = (4, 2)
 
 def identify(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every row; learns from the rows that are not held out."""
+    bound_batches(docs.sparkSession)
     rows = docs.select("doc_id", "text", "lang").withColumn("held_out", remainder("doc_id", HELD_OUT[0]) == HELD_OUT[1])
     model = train(rows.filter("NOT held_out"))
     return predict(rows, model, ["doc_id", "held_out"])
