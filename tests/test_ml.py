@@ -213,6 +213,7 @@ def test_the_fit_of_many_rows_is_the_same_on_any_layout(spark, separable, scratc
     ML.save_model(models[0], f"{scratch}/m")
     assert scored.exceptAll(ML.score(separable, ML.load_model(f"{scratch}/m"))).count() == 0
     with_weights = ML.train(ML.with_balanced_weights(separable), num_trees=2, max_depth=2, weight_col="class_weight")
+    ML.train(separable, num_trees=1, max_depth=forest.MAX_DEPTH + 1)
     assert len(calls) == 2 and len(with_weights.stages) == 2
 
 
